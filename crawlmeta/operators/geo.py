@@ -73,11 +73,11 @@ def dimension_from_lines(lines: DataFrame, line_col: str = "value", ord_col: str
     """Dimension from numbered TSV lines ``(line_no, value)``, line 1 being
     the header; rows need exactly three non-empty fields."""
     f = tsv_fields(line_col)
-    ok = (F.size(f) == 3) & (F.element_at(f, 1) != "") & (F.element_at(f, 2) != "") & (F.element_at(f, 3) != "")
+    ok = (F.size(f) == 3) & (F.try_element_at(f, F.lit(1)) != "") & (F.try_element_at(f, F.lit(2)) != "") & (F.try_element_at(f, F.lit(3)) != "")
     return lines.filter((F.col(ord_col) > 1) & ok).select(
         F.col(ord_col).cast("int").alias("ord"),
-        F.element_at(f, 1).alias("country_key"), F.element_at(f, 2).alias("country_name"),
-        normalize_suffix(F.element_at(f, 3)).alias("suffix"))
+        F.try_element_at(f, F.lit(1)).alias("country_key"), F.try_element_at(f, F.lit(2)).alias("country_name"),
+        normalize_suffix(F.try_element_at(f, F.lit(3))).alias("suffix"))
 
 
 def load_suffixes(spark: SparkSession, path: str) -> DataFrame:
@@ -177,8 +177,9 @@ def select_country(dim: DataFrame, queries: DataFrame, query_col: str = "query")
         F.min(F.struct("ord", "country_key", "country_name")).alias("c"))
     a = checked_broadcast(by_slug.select(F.col("k").alias("_sc_k1"), F.col("c").alias("_sc_c1")))
     b = checked_broadcast(by_suffix.select(F.col("k").alias("_sc_k2"), F.col("c").alias("_sc_c2")))
-    x = queries.join(a, slug(query_col) == a["_sc_k1"], "left").join(
-        b, normalize_suffix(query_col) == b["_sc_k2"], "left")
+    probes = queries.withColumn("_sc_slug", slug(query_col)).withColumn("_sc_suffix", normalize_suffix(query_col))
+    x = probes.join(a, probes["_sc_slug"] == a["_sc_k1"], "left").join(
+        b, probes["_sc_suffix"] == b["_sc_k2"], "left")
     best = F.least(F.col("_sc_c1"), F.col("_sc_c2"))
     return x.select(*queries.columns, best["country_key"].alias("country_key"),
                     best["country_name"].alias("country_name"))

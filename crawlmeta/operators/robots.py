@@ -118,8 +118,8 @@ def directives(body: Column | str) -> Column:
         return F.struct(
             x["n"].alias("n"), x["t"].alias("t"), x["c"].alias("c"), x["f"].alias("f"), x["v"].alias("v"),
             F.when(x["f"] == FIELD_CRAWL_DELAY, _java_double(x["v"])).alias("d"),
-            F.when(is_rate, _java_int(java_trim(F.element_at(parts, 1)))).alias("rq"),
-            F.when(is_rate, _java_int(java_trim(F.element_at(parts, 2)))).alias("rs"))
+            F.when(is_rate, _java_int(java_trim(F.try_element_at(parts, F.lit(1))))).alias("rq"),
+            F.when(is_rate, _java_int(java_trim(F.try_element_at(parts, F.lit(2))))).alias("rs"))
 
     def kind(x: Column) -> Column:
         f, v = x["f"], x["v"]

@@ -111,3 +111,194 @@ QUERIES = {
     "sitemap_language_region": q_sitemap_language_region,
     "sitemap_country_counts": q_sitemap_country_counts,
 }
+
+
+# --- grouping, one-country mode, country selection ----------------------------
+
+from crawlmeta.functions import policy  # noqa: E402
+from crawlmeta.functions.text import safe_path_part, sha256_hex16, tsv_row  # noqa: E402
+from crawlmeta.functions.url import normalize_host, try_parse_url  # noqa: E402
+from crawlmeta.sinks import tsv as tsv_sink  # noqa: E402
+from crawlmeta.sources import manifest, tsv  # noqa: E402
+
+
+def q_filter_grouped(spark, sf_dir):
+    """Every classified link under its country and its language-region."""
+    c = classified(spark, sf_dir)
+    return tsv_sink.grouped_rows(c).select("out_group", "out_key", "page_id", "sitemap_url")
+
+
+def selected_country_key(spark: SparkSession, dim: DataFrame, query: str) -> str:
+    """Resolve one country query on the (small) dimension; unknown -> error
+    listing the first supported keys."""
+    q = spark.createDataFrame([(query,)], "query string")
+    row = geo.select_country(dim, q).first()
+    if row is None or row["country_key"] is None:
+        keys = [r["country_key"] for r in geo.supported_country_keys(dim).collect()]
+        raise ValueError(f"Unknown sitemap country '{query}'. Supported country keys include: {', '.join(keys)}")
+    return row["country_key"]
+
+
+def q_one_country_sitemaps(spark, sf_dir, country: str = "ua"):
+    """One-country mode: the dimension is cut to the country *before* the
+    lookup, so a .de robots host with a .ua sitemap counts as this country."""
+    dim = geo.sample_dimension(spark)
+    one = geo.country_dimension(dim, selected_country_key(spark, dim, country))
+    return classified(spark, sf_dir, one).select(
+        "page_id", "robots_host", "sitemap_url", "country_key", "country_name", "matched_suffix",
+        "language_region")
+
+
+# Country query texts, picked per page as page_id % 8.
+COUNTRY_QUERIES = ["Ukraine", " united KINGDOM ", ".UA", "ua", "XN--P1AI", "russia", "Russian Federation!", "de"]
+
+
+def q_select_country(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    texts = F.array(*[F.lit(t) for t in COUNTRY_QUERIES])
+    qs = pages.select("page_id", F.element_at(texts, (F.col("page_id") % len(COUNTRY_QUERIES) + 1).cast("int"))
+                      .alias("query"))
+    return geo.select_country(geo.sample_dimension(spark), qs)
+
+
+# IDN top-level labels given to page hosts (page_id % 4).
+IDN_TLDS = ["укр", "рф", "УКР.", "ua"]
+
+
+def q_idn_hosts(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    tld = F.element_at(F.array(*[F.lit(t) for t in IDN_TLDS]), (F.col("page_id") % len(IDN_TLDS) + 1).cast("int"))
+    sld = F.regexp_replace(F.regexp_extract("url", "^https?://([^/?#]+)", 1), "[.](com|net|org)$", "")
+    hosts = pages.select("page_id", F.concat(sld, F.lit("."), tld).alias("host"))
+    out = hosts.withColumn("ascii_host", normalize_host("host"))
+    with_country = geo.classify(out.withColumn("_url", F.lit("")), geo.sample_dimension(spark), "host", "_url",
+                                keep_unmatched=True)
+    return with_country.select("page_id", "host", "ascii_host", "country_key")
+
+
+# --- manifest, file names, TSV rows, fetch policy, JSON payload -----------------
+
+def manifest_lines_from_pages(pages: DataFrame) -> DataFrame:
+    """A manifest text derived from pages: robots archives (padded with
+    spaces), comments, blank lines, non-robots archives and absolute URLs."""
+    pid = F.col("page_id").cast("string")
+    value = (F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("  crawl-data/CC-MAIN-2024-33/segments/"), pid,
+                                                          F.lit("/robotstxt/CC-MAIN-"), pid, F.lit(".warc.gz  ")))
+             .when(F.col("page_id") % 5 == 1, F.concat(F.lit("# comment "), pid))
+             .when(F.col("page_id") % 5 == 2, F.lit(""))
+             .when(F.col("page_id") % 5 == 3, F.concat(F.lit("crawl-data/CC-MAIN-2024-33/segments/"), pid,
+                                                       F.lit("/wat/CC-MAIN-"), pid, F.lit(".warc.wat.gz")))
+             .otherwise(F.concat(F.lit("https://data.commoncrawl.org/crawl-data/x/"), pid,
+                                 F.lit("/robotstxt/r.warc.gz"))))
+    return pages.select(F.col("page_id").alias("line_no"), value.alias("value"))
+
+
+MANIFEST_SKIP, MANIFEST_MAX = 3, 40
+
+
+def q_manifest_slice(spark, sf_dir):
+    lines = manifest_lines_from_pages(table(spark, sf_dir, "pages").select("page_id"))
+    sliced = manifest.slice_archives(manifest.archive_paths(lines), MANIFEST_SKIP, MANIFEST_MAX)
+    return manifest.with_archive_uri(sliced).select(F.col("line_no").cast("long").alias("line_no"),
+                                                    "archive_path", "archive_uri")
+
+
+def robots_file_name(url: str, date: str, archive: str):
+    """``<host>/<scheme>-<date>-<digest16>.txt`` for a capture."""
+    host = F.lower(F.coalesce(F.nullif(try_parse_url(url, "HOST"), F.lit("")), F.lit("unknown-host")))
+    scheme = F.coalesce(try_parse_url(url, "PROTOCOL"), F.lit("unknown"))
+    digest = sha256_hex16(F.concat_ws("\n", F.col(url), F.col(date), F.col(archive)))
+    return F.concat(safe_path_part(host), F.lit("/"), safe_path_part(scheme), F.lit("-"),
+                    safe_path_part(F.col(date)), F.lit("-"), digest, F.lit(".txt"))
+
+
+def archive_file_name(archive: str):
+    return F.concat(F.lit("archive-"), sha256_hex16(archive), F.lit(".sitemaps.tsv"))
+
+
+def q_capture_file_names(spark, sf_dir):
+    c = captures(spark, sf_dir).select("page_id", "robots_url", corpus.capture_date().alias("capture_date"),
+                                       corpus.archive_path().alias("archive_path"))
+    return c.select("page_id", robots_file_name("robots_url", "capture_date", "archive_path").alias("file_name"))
+
+
+def q_archive_names(spark, sf_dir):
+    a = table(spark, sf_dir, "pages").select(corpus.archive_path().alias("archive_path")).distinct()
+    return a.select("archive_path", archive_file_name("archive_path").alias("file_name"))
+
+
+def tsv_lines_from_links(links: DataFrame) -> DataFrame:
+    """Local sitemap TSV lines with injected bad shapes (page_id % 6):
+    good, 3 fields, 5 fields, empty host, 8 fields, empty sitemap URL."""
+    path = F.concat(F.lit("/data/robots/"), F.col("robots_host"), F.lit("/https-"),
+                    F.col("page_id").cast("string"), F.lit(".txt"))
+    h, s, u = F.col("robots_host"), F.lit("https"), F.col("sitemap_url")
+    k = F.col("page_id") % 6
+    line = (F.when(k == 0, tsv_row(path, h, s, u))
+            .when(k == 1, tsv_row(path, h, u))
+            .when(k == 2, tsv_row(path, h, s, u, F.lit("extra")))
+            .when(k == 3, tsv_row(path, F.lit(""), s, u))
+            .when(k == 4, tsv_row(path, h, s, u, F.lit("ukraine"), F.lit("Ukraine"), F.lit(".ua"), F.lit("uk-UA")))
+            .otherwise(tsv_row(path, h, s, F.lit(""))))
+    return links.select("page_id", "sitemap_no", line.alias("value"))
+
+
+def q_tsv_rows(spark, sf_dir):
+    links = robots.sitemap_rows(parsed(spark, sf_dir), ["page_id", "robots_host"])
+    lines = tsv_lines_from_links(links)
+    strict = tsv.parse_local_sitemap_rows(lines)
+    seeds = tsv.parse_seed_rows(strict.select("page_id", "sitemap_no", "value", F.col("status").alias("strict_status"),
+                                              *tsv.LOCAL_SITEMAP_COLUMNS))
+    both = tsv.parse_link_rows(seeds.withColumnRenamed("status", "seed_status"))
+    return both.select("page_id", "sitemap_no", "strict_status", "seed_status",
+                       F.col("status").alias("link_status"), "robots_host", "sitemap_url", "seed_sitemap_url",
+                       "page_url")
+
+
+def q_tsv_encode(spark, sf_dir):
+    """Capture rows as TSV lines (bodies carry TAB/CR/LF that become spaces)."""
+    c = captures(spark, sf_dir)
+    return c.select("page_id", tsv_row("robots_url", "robots_host", "body").alias("line"))
+
+
+# HTTP statuses (page_id % 10) and download hosts (page_id % 3).
+POLICY_STATUSES = [200, 403, 404, 408, 425, 429, 500, 502, 503, 504]
+
+
+def q_fetch_policy(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pid = F.col("page_id")
+    url = (F.when(pid % 3 == 0, F.col("url"))
+           .when(pid % 3 == 1, F.concat(F.lit("https://data.commoncrawl.org/crawl-data/"), pid.cast("string"),
+                                        F.lit(".warc.gz")))
+           .otherwise(F.concat(F.lit("https://DS5Q9OXWQWSFJ.cloudfront.net/"), pid.cast("string"))))
+    status = F.when(pid % 11 == 10, F.lit(None).cast("int")).otherwise(
+        F.element_at(F.array(*[F.lit(s) for s in POLICY_STATUSES]), (pid % 10 + 1).cast("int")))
+    g = pages.select("page_id", url.alias("url"), status.alias("status"),
+                     (pid % 6 + 1).cast("int").alias("attempt"))
+    return g.select("page_id", "url", F.col("status").cast("long").alias("status"),
+                    F.col("attempt").cast("long").alias("attempt"),
+                    policy.max_attempts("url").cast("long").alias("max_attempts"),
+                    policy.retryable("url", "status").alias("retryable"),
+                    policy.backoff_ms("url", "attempt").alias("backoff_ms"),
+                    policy.will_retry("url", "status", "attempt").alias("will_retry"))
+
+
+def q_kafka_payload(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return pages.select("page_id", F.to_json(F.struct(F.col("url").alias("url"))).alias("value"))
+
+
+QUERIES.update({
+    "filter_grouped": q_filter_grouped,
+    "one_country_sitemaps": q_one_country_sitemaps,
+    "select_country": q_select_country,
+    "idn_hosts": q_idn_hosts,
+    "manifest_slice": q_manifest_slice,
+    "capture_file_names": q_capture_file_names,
+    "archive_names": q_archive_names,
+    "tsv_rows": q_tsv_rows,
+    "tsv_encode": q_tsv_encode,
+    "fetch_policy": q_fetch_policy,
+    "kafka_payload": q_kafka_payload,
+})

@@ -100,5 +100,7 @@ def archive_path(page_id_col: str = "page_id", per_archive: int = 10) -> F.Colum
 
 def capture_date(page_id_col: str = "page_id") -> F.Column:
     """ISO-8601 capture instant derived from the page id (seconds offset)."""
-    ts = F.timestamp_seconds(F.lit(1722470400) + F.col(page_id_col) * 37)
+    # TIMESTAMP_NTZ arithmetic: the text does not depend on the session time zone
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ts = F.timestamp_add("SECOND", F.lit(1722470400) + F.col(page_id_col) * 37, epoch)
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")

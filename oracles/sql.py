@@ -109,15 +109,16 @@ def lang_region(u: str) -> str:
             f"when {first} in ('ru', 'ru-ru') then 'ru-RU' when {first} in ('en-gb', 'en-uk', 'gb') then 'en-GB' end, 'unknown')")
 
 
-CLASSIFIED = f"""
+def classified_cte(dim: str = "dim") -> str:
+    return f"""
 lk as (select page_id, robots_url, robots_host, sitemap_url, {norm_host('robots_host')} as rh,
           {norm_host(URL_HOST.format(u='sitemap_url'))} as sh from links),
 rmatch as (select lk.page_id, lk.sitemap_url, d.country_key, d.country_name, d.suffix,
              row_number() over (partition by lk.page_id, lk.sitemap_url order by length(d.suffix) desc, d.ord) as rn
-           from lk join dim d on lk.rh = substr(d.suffix, 2) or ends_with(lk.rh, d.suffix)),
+           from lk join {dim} d on lk.rh = substr(d.suffix, 2) or ends_with(lk.rh, d.suffix)),
 smatch as (select lk.page_id, lk.sitemap_url, d.country_key, d.country_name, d.suffix,
              row_number() over (partition by lk.page_id, lk.sitemap_url order by length(d.suffix) desc, d.ord) as rn
-           from lk join dim d on lk.sh = substr(d.suffix, 2) or ends_with(lk.sh, d.suffix)),
+           from lk join {dim} d on lk.sh = substr(d.suffix, 2) or ends_with(lk.sh, d.suffix)),
 cls as (select lk.page_id, lk.robots_url, lk.robots_host, lk.sitemap_url,
            coalesce(r.country_key, s.country_key) as country_key,
            coalesce(r.country_name, s.country_name) as country_name,
@@ -127,7 +128,7 @@ cls as (select lk.page_id, lk.robots_url, lk.robots_host, lk.sitemap_url,
                 left join smatch s on s.page_id = lk.page_id and s.sitemap_url = lk.sitemap_url and s.rn = 1
         where coalesce(r.country_key, s.country_key) is not null)"""
 
-WITH_CLS = WITH_A + "," + DIM + "," + CLASSIFIED
+WITH_CLS = WITH_A + "," + DIM + "," + classified_cte()
 
 ARCHIVE = ("concat('crawl-data/CC-MAIN-2024-33/segments/', cast(page_id // 10 as varchar), '/robotstxt/CC-MAIN-', "
            "lpad(cast(page_id // 10 as varchar), 5, '0'), '.warc.gz')")
@@ -192,3 +193,120 @@ select page_id, sitemap_url, {lang_region('sitemap_url')} as language_region fro
 
 ORACLE["sitemap_country_counts"] = WITH_CLS + """
 select country_key, language_region, count(*) as links from cls group by country_key, language_region"""
+
+ORACLE["filter_grouped"] = WITH_CLS + """
+select 'country' as out_group, country_key as out_key, page_id, sitemap_url from cls
+union all
+select 'language-region' as out_group, language_region as out_key, page_id, sitemap_url from cls"""
+
+ORACLE["one_country_sitemaps"] = (WITH_A + "," + DIM + ", dimu as (select * from dim where country_key = 'ukraine'),"
+                                  + classified_cte("dimu") + """
+select page_id, robots_host, sitemap_url, country_key, country_name, matched_suffix, language_region from cls""")
+
+
+def slug_sql(x: str) -> str:
+    return f"regexp_replace(regexp_replace(lower({jtrim(x)}), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g')"
+
+
+ORACLE["select_country"] = "with " + DIM.strip() + f""",
+q as (select page_id, (['Ukraine', ' united KINGDOM ', '.UA', 'ua', 'XN--P1AI', 'russia', 'Russian Federation!', 'de'])[page_id % 8 + 1] as query from pages),
+qn as (select page_id, query, {slug_sql('query')} as qs,
+         '.' || lower(regexp_replace({jtrim(f"regexp_replace({jtrim('query')}, '^[.]', '')")}, '[.]$', '')) as qsuf from q),
+m as (select qn.page_id, d.ord, d.country_key, d.country_name from qn join dim d
+        on {slug_sql('d.country_key')} = qn.qs or {slug_sql('d.country_name')} = qn.qs or d.suffix = qn.qsuf),
+best as (select page_id, arg_min(country_key, ord) as country_key, arg_min(country_name, ord) as country_name from m group by page_id)
+select qn.page_id, qn.query, best.country_key, best.country_name from qn left join best using (page_id)"""
+
+ORACLE["idn_hosts"] = """
+with h as (select page_id, regexp_replace(regexp_extract(url, '^https?://([^/?#]+)', 1), '[.](com|net|org)$', '') as sld from pages)
+select page_id, sld || '.' || (['укр', 'рф', 'УКР.', 'ua'])[page_id % 4 + 1] as host,
+  lower(sld) || '.' || (['xn--j1amh', 'xn--p1ai', 'xn--j1amh', 'ua'])[page_id % 4 + 1] as ascii_host,
+  (['ukraine', 'russian-federation', 'ukraine', 'ukraine'])[page_id % 4 + 1] as country_key
+from h"""
+
+ORACLE["manifest_slice"] = """
+with l as (select page_id as line_no, case page_id % 5
+    when 0 then '  crawl-data/CC-MAIN-2024-33/segments/' || cast(page_id as varchar) || '/robotstxt/CC-MAIN-' || cast(page_id as varchar) || '.warc.gz  '
+    when 1 then '# comment ' || cast(page_id as varchar)
+    when 2 then ''
+    when 3 then 'crawl-data/CC-MAIN-2024-33/segments/' || cast(page_id as varchar) || '/wat/CC-MAIN-' || cast(page_id as varchar) || '.warc.wat.gz'
+    else 'https://data.commoncrawl.org/crawl-data/x/' || cast(page_id as varchar) || '/robotstxt/r.warc.gz' end as value
+  from pages),
+a as (select line_no, trim(value) as archive_path from l),
+m as (select *, row_number() over (order by line_no) as rn from a
+      where archive_path <> '' and not starts_with(archive_path, '#') and contains(archive_path, '/robotstxt/')
+        and ends_with(archive_path, '.warc.gz'))
+select cast(line_no as bigint) as line_no, archive_path,
+  case when regexp_matches(archive_path, '^[A-Za-z][A-Za-z0-9+.-]*:') then archive_path
+       else 'https://data.commoncrawl.org/' || ltrim(archive_path, '/') end as archive_uri
+from m where rn > 3 and rn <= 43"""
+
+SAFE = "regexp_replace({x}, '[^A-Za-z0-9._-]', '_', 'g')"
+
+ORACLE["capture_file_names"] = WITH_A.split(",\nln0 as")[0] + f"""
+, c as (select page_id, robots_url,
+    strftime(make_timestamp((1722470400 + page_id * 37) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as capture_date,
+    {ARCHIVE} as archive_path,
+    lower(regexp_extract(robots_url, '^[a-z]+://([^/]+)', 1)) as host,
+    regexp_extract(robots_url, '^([a-z]+)://', 1) as scheme from cap)
+select page_id, {SAFE.format(x='host')} || '/' || {SAFE.format(x='scheme')} || '-' || {SAFE.format(x='capture_date')} || '-'
+  || substr(sha256(robots_url || chr(10) || capture_date || chr(10) || archive_path), 1, 16) || '.txt' as file_name
+from c"""
+
+ORACLE["archive_names"] = f"""
+with a as (select distinct {ARCHIVE} as archive_path from pages)
+select archive_path, 'archive-' || substr(sha256(archive_path), 1, 16) || '.sitemaps.tsv' as file_name from a"""
+
+TSVF = "translate({x}, chr(9) || chr(13) || chr(10), '   ')"
+
+
+def tsv_sql(*xs: str) -> str:
+    return "concat_ws(chr(9), " + ", ".join(TSVF.format(x=f"coalesce({x}, '')") for x in xs) + ")"
+
+
+ORACLE["tsv_rows"] = WITH_A + f"""
+, lk as (select page_id, robots_host, sitemap_url, row_number() over (partition by page_id order by first_n) as sitemap_no
+         from links where page_id in (select page_id from validp)),
+ln2 as (select page_id, sitemap_no,
+  case page_id % 6
+    when 0 then {tsv_sql("'/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt'", 'robots_host', "'https'", 'sitemap_url')}
+    when 1 then {tsv_sql("'/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt'", 'robots_host', 'sitemap_url')}
+    when 2 then {tsv_sql("'/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt'", 'robots_host', "'https'", 'sitemap_url', "'extra'")}
+    when 3 then {tsv_sql("'/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt'", "''", "'https'", 'sitemap_url')}
+    when 4 then {tsv_sql("'/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt'", 'robots_host', "'https'", 'sitemap_url', "'ukraine'", "'Ukraine'", "'.ua'", "'uk-UA'")}
+    else {tsv_sql("'/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt'", 'robots_host', "'https'", "''")}
+  end as value from lk),
+f as (select page_id, sitemap_no, string_split(value, chr(9)) as f from ln2)
+select page_id, cast(sitemap_no as bigint) as sitemap_no,
+  case when len(f) = 4 and f[2] <> '' and f[4] <> '' then 'ok' else 'malformed' end as strict_status,
+  case when len(f) >= 4 and f[4] <> '' then 'ok' else 'malformed' end as seed_status,
+  case when len(f) >= 3 and f[3] <> '' then 'ok' else 'malformed' end as link_status,
+  case when len(f) = 4 and f[2] <> '' and f[4] <> '' then f[2] end as robots_host,
+  case when len(f) = 4 and f[2] <> '' and f[4] <> '' then f[4] end as sitemap_url,
+  case when len(f) >= 4 and f[4] <> '' then f[4] end as seed_sitemap_url,
+  case when len(f) >= 3 and f[3] <> '' then f[3] end as page_url
+from f"""
+
+ORACLE["tsv_encode"] = WITH_A.split(",\nln0 as")[0] + f"""
+select page_id, {tsv_sql('robots_url', 'robots_host', 'body')} as line from cap"""
+
+ORACLE["fetch_policy"] = """
+with g as (select page_id,
+    case page_id % 3 when 0 then url
+         when 1 then 'https://data.commoncrawl.org/crawl-data/' || cast(page_id as varchar) || '.warc.gz'
+         else 'https://DS5Q9OXWQWSFJ.cloudfront.net/' || cast(page_id as varchar) end as url,
+    case when page_id % 11 = 10 then null else ([200, 403, 404, 408, 425, 429, 500, 502, 503, 504])[page_id % 10 + 1] end as status,
+    page_id % 6 + 1 as attempt
+  from pages),
+b as (select *, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) in
+        ('data.commoncrawl.org', 'ds5q9oxwqwsfj.cloudfront.net', 'commoncrawl.s3.amazonaws.com') as bucket from g)
+select page_id, url, cast(status as bigint) as status, cast(attempt as bigint) as attempt,
+  cast(case when bucket then 1000 else 4 end as bigint) as max_attempts,
+  (status is null or status in (408, 425, 429, 500, 502, 503, 504) or (status = 403 and bucket)) as retryable,
+  cast(case when bucket then 1000 else least(30000, 1000 * pow(2, attempt - 1)) end as bigint) as backoff_ms,
+  (status is null or status in (408, 425, 429, 500, 502, 503, 504) or (status = 403 and bucket))
+    and attempt < (case when bucket then 1000 else 4 end) as will_retry
+from b"""
+
+ORACLE["kafka_payload"] = """
+select page_id, '{"url":' || to_json(url) || '}' as value from pages"""
