@@ -1,0 +1,440 @@
+"""Per-row helper: RFC 2396 URI parse / resolve / normalise with the rules
+of ``java.net.URI`` (the parser behind Spark's ``parse_url``).
+
+Used only by the Arrow batch function for sitemap ``loc`` resolution, and
+only for rows that the built-in fast path cannot decide (see
+``crawlmeta.functions.resolve``). Differences from ``urllib.parse.urljoin``
+that matter here: ``?a=1`` resolves against the base *directory*, an empty
+reference gives the directory, ``..`` above the root is kept, scheme case
+is kept, duplicate slashes in the path are collapsed, and characters such
+as space, ``|``, ``[`` in a path, a second ``#`` or a bad ``%`` escape make
+the reference invalid.
+"""
+
+from __future__ import annotations
+
+import string
+
+_ALPHA = frozenset(string.ascii_letters)
+_DIGIT = frozenset(string.digits)
+_ALNUM = _ALPHA | _DIGIT
+_HEX = frozenset(string.hexdigits)
+_MARK = frozenset("-_.!~*'()")
+_UNRESERVED = _ALNUM | _MARK
+_RESERVED = frozenset(";/?:@&=+$,[]")
+_PCHAR = _UNRESERVED | frozenset(":@&=+$,")
+_PATH = _PCHAR | frozenset(";/")
+_URIC = _RESERVED | _UNRESERVED
+_SCHEME = _ALNUM | frozenset("+-.")
+_USERINFO = _UNRESERVED | frozenset(";:&=+$,")
+_REG_NAME = _UNRESERVED | frozenset("$,;:@&=+")
+_SERVER = _USERINFO | _ALNUM | frozenset("-.:@[]")
+
+
+class URISyntaxError(ValueError):
+    pass
+
+
+def _java_space_char(c: str) -> bool:
+    # Character.isSpaceChar: Unicode space separators (Zs, Zl, Zp)
+    import unicodedata
+    return unicodedata.category(c) in ("Zs", "Zl", "Zp")
+
+
+def _iso_control(c: str) -> bool:
+    o = ord(c)
+    return o <= 0x1F or 0x7F <= o <= 0x9F
+
+
+def _scan(s: str, p: int, n: int, allowed: frozenset, escaped: bool) -> int:
+    """Advance over allowed chars; with ``escaped``, also over %HH and over
+    visible non-ASCII chars (code point > 128, not space, not control)."""
+    while p < n:
+        c = s[p]
+        if c in allowed:
+            p += 1
+            continue
+        if escaped:
+            if c == "%":
+                if p + 3 <= n and s[p + 1] in _HEX and s[p + 2] in _HEX:
+                    p += 3
+                    continue
+                raise URISyntaxError("Malformed escape pair")
+            if ord(c) > 128 and not _java_space_char(c) and not _iso_control(c):
+                p += 1
+                continue
+        break
+    return p
+
+
+def _check(s: str, p: int, n: int, allowed: frozenset, what: str) -> None:
+    if _scan(s, p, n, allowed, True) < n:
+        raise URISyntaxError(f"Illegal character in {what}")
+
+
+def _find_any(s: str, p: int, n: int, chars: str) -> int:
+    while p < n and s[p] not in chars:
+        p += 1
+    return p
+
+
+class JavaURI:
+    __slots__ = ("scheme", "ssp", "authority", "userinfo", "host", "port", "path", "query", "fragment", "string")
+
+    def __init__(self) -> None:
+        self.scheme = self.ssp = self.authority = self.userinfo = self.host = None
+        self.port = -1
+        self.path = self.query = self.fragment = self.string = None
+
+    @property
+    def opaque(self) -> bool:
+        return self.path is None
+
+    # --- parsing -----------------------------------------------------------
+    @classmethod
+    def parse(cls, s: str) -> "JavaURI":
+        u = cls()
+        u.string = s
+        n = len(s)
+        p = 0
+        q = _find_any(s, 0, n, ":/?#")
+        if q < n and s[q] == ":":
+            if q == 0:
+                raise URISyntaxError("Expected scheme name")
+            if s[0] not in _ALPHA:
+                raise URISyntaxError("Illegal character in scheme name")
+            for c in s[1:q]:
+                if c not in _SCHEME:
+                    raise URISyntaxError("Illegal character in scheme name")
+            u.scheme = s[:q]
+            p = q + 1
+            if p < n and s[p] == "/":
+                p = u._hierarchical(s, p, n)
+            else:
+                q = _find_any(s, p, n, "#")
+                if q <= p:
+                    raise URISyntaxError("Expected scheme-specific part")
+                _check(s, p, q, _URIC, "opaque part")
+                u.ssp = s[p:q]
+                p = q
+        else:
+            p = u._hierarchical(s, 0, n)
+        if p < n and s[p] == "#":
+            _check(s, p + 1, n, _URIC, "fragment")
+            u.fragment = s[p + 1:]
+            p = n
+        if p < n:
+            raise URISyntaxError("Expected end of URI")
+        return u
+
+    def _hierarchical(self, s: str, p: int, n: int) -> int:
+        if s.startswith("//", p):
+            p += 2
+            q = _find_any(s, p, n, "/?#")
+            if q > p:
+                p = self._authority(s, p, q)
+            elif q >= n:
+                raise URISyntaxError("Expected authority")
+        q = _find_any(s, p, n, "?#")
+        _check(s, p, q, _PATH, "path")
+        self.path = s[p:q]
+        p = q
+        if p < n and s[p] == "?":
+            p += 1
+            q = _find_any(s, p, n, "#")
+            _check(s, p, q, _URIC, "query")
+            self.query = s[p:q]
+            p = q
+        return p
+
+    def _authority(self, s: str, p: int, n: int) -> int:
+        server_chars = _scan(s, p, n, _SERVER, True) == n
+        reg_chars = _scan(s, p, n, _REG_NAME, True) == n
+        if reg_chars and not server_chars:
+            self.authority = s[p:n]
+            return n
+        err = None
+        q = p
+        if server_chars:
+            try:
+                q = self._server(s, p, n)
+                if q < n:
+                    raise URISyntaxError("Expected end of authority")
+                self.authority = s[p:n]
+            except URISyntaxError as ex:
+                self.userinfo, self.host, self.port = None, None, -1
+                err, q = ex, p
+        if q < n:
+            if reg_chars:
+                self.authority = s[p:n]
+            elif err is not None:
+                raise err
+            else:
+                raise URISyntaxError("Illegal character in authority")
+        return n
+
+    def _server(self, s: str, p: int, n: int) -> int:
+        q = _find_any(s, p, n, "/?#@")
+        if q < n and s[q] == "@":
+            _check(s, p, q, _USERINFO, "user info")
+            self.userinfo = s[p:q]
+            p = q + 1
+        if p < n and s[p] == "[":
+            close = s.find("]", p)
+            if close < 0:
+                raise URISyntaxError("Expected closing bracket for IPv6 address")
+            inner = s[p + 1:close]
+            if not inner or any(c not in _HEX and c not in ":." for c in inner):
+                raise URISyntaxError("Malformed IPv6 address")
+            self.host = s[p:close + 1]
+            p = close + 1
+        else:
+            q = self._ipv4(s, p, n)
+            if q <= p:
+                q = self._hostname(s, p, n)
+            p = q
+        if p < n and s[p] == ":":
+            p += 1
+            q = p
+            while q < n and s[q] in _DIGIT:
+                q += 1
+            if q > p:
+                port = int(s[p:q])
+                if port > 2147483647:
+                    raise URISyntaxError("Malformed port number")
+                self.port = port
+            p = q
+        return p
+
+    def _ipv4(self, s: str, p: int, n: int) -> int:
+        q = p
+        parts = 0
+        while True:
+            r = q
+            while r < n and s[r] in _DIGIT:
+                r += 1
+            if r == q or r - q > 3 or int(s[q:r]) > 255:
+                return -1
+            parts += 1
+            q = r
+            if parts == 4:
+                break
+            if q < n and s[q] == ".":
+                q += 1
+            else:
+                return -1
+        if q < n and s[q] != ":":
+            return -1
+        self.host = s[p:q]
+        return q
+
+    def _hostname(self, s: str, start: int, n: int) -> int:
+        p = start
+        last = -1
+        while p < n:
+            q = p
+            while q < n and s[q] in _ALNUM:
+                q += 1
+            if q <= p:
+                break
+            last = p
+            p = q
+            q = p
+            while q < n and (s[q] in _ALNUM or s[q] == "-"):
+                q += 1
+            if q > p:
+                if s[q - 1] == "-":
+                    raise URISyntaxError("Illegal character in hostname")
+                p = q
+            if p < n and s[p] == ".":
+                p += 1
+            else:
+                break
+        if p < n and s[p] != ":":
+            raise URISyntaxError("Illegal character in hostname")
+        if last < 0:
+            raise URISyntaxError("Expected hostname")
+        if last > start and s[last] not in _ALPHA:
+            raise URISyntaxError("Illegal character in hostname")
+        self.host = s[start:p]
+        return p
+
+    # --- output ------------------------------------------------------------
+    def to_string(self) -> str:
+        if self.string is not None:
+            return self.string
+        out = []
+        if self.scheme is not None:
+            out.append(self.scheme + ":")
+        if self.opaque:
+            out.append(self.ssp or "")
+        else:
+            if self.host is not None:
+                out.append("//")
+                if self.userinfo is not None:
+                    out.append(self.userinfo + "@")
+                needs = ":" in self.host and not self.host.startswith("[") and not self.host.endswith("]")
+                out.append(f"[{self.host}]" if needs else self.host)
+                if self.port != -1:
+                    out.append(f":{self.port}")
+            elif self.authority is not None:
+                out.append("//" + self.authority)
+            out.append(self.path or "")
+            if self.query is not None:
+                out.append("?" + self.query)
+        if self.fragment is not None:
+            out.append("#" + self.fragment)
+        self.string = "".join(out)
+        return self.string
+
+    def _copy(self) -> "JavaURI":
+        v = JavaURI()
+        for k in JavaURI.__slots__:
+            setattr(v, k, getattr(self, k))
+        v.string = None
+        return v
+
+
+def _needs_normalization(path: str) -> bool:
+    n = len(path)
+    p = 0
+    while p < n and path[p] == "/":
+        p += 1
+    if p > 1:
+        return True
+    while p < n:
+        if path[p] == "." and (p + 1 == n or path[p + 1] == "/" or
+                               (path[p + 1] == "." and (p + 2 == n or path[p + 2] == "/"))):
+            return True
+        while p < n:
+            c = path[p]
+            p += 1
+            if c != "/":
+                continue
+            if p < n and path[p] == "/":
+                return True
+            break
+    return False
+
+
+def normalize_path(path: str) -> str:
+    """Drop ``.`` segments and ``seg/..`` pairs, collapse repeated slashes;
+    a leading ``..`` that has nothing to cancel stays."""
+    if not _needs_normalization(path):
+        return path
+    n = len(path)
+    absolute = path.startswith("/")
+    p = 0
+    while p < n and path[p] == "/":
+        p += 1
+    segs: list[list] = []  # [text, followed_by_slash, kept]
+    while p < n:
+        q = path.find("/", p)
+        if q < 0:
+            segs.append([path[p:], False, True])
+            break
+        segs.append([path[p:q], True, True])
+        p = q
+        while p < n and path[p] == "/":
+            p += 1
+    for i, seg in enumerate(segs):
+        if seg[0] == ".":
+            seg[2] = False
+        elif seg[0] == "..":
+            j = i - 1
+            while j >= 0 and not segs[j][2]:
+                j -= 1
+            if j >= 0 and segs[j][0] != "..":
+                seg[2] = False
+                segs[j][2] = False
+    out = "/" if absolute else ""
+    kept = [s for s in segs if s[2]]
+    if not absolute and segs and not segs[0][2] and kept and ":" in kept[0][0]:
+        out = "./"
+    out += "".join(s[0] + ("/" if s[1] else "") for s in kept)
+    return out
+
+
+def _resolve_path(base: str, child: str, absolute: bool) -> str:
+    i = base.rfind("/")
+    if child == "":
+        path = base[:i + 1] if i >= 0 else ""
+    elif i >= 0 or not absolute:
+        path = base[:i + 1] + child
+    else:
+        path = "/" + child
+    return normalize_path(path)
+
+
+def resolve(base: JavaURI, child: JavaURI) -> JavaURI:
+    if child.opaque or base.opaque:
+        return child
+    if (child.scheme is None and child.authority is None and child.path == "" and child.fragment is not None
+            and child.query is None):
+        if base.fragment is not None and child.fragment == base.fragment:
+            return base
+        ru = base._copy()
+        ru.fragment = child.fragment
+        return ru
+    if child.scheme is not None:
+        return child
+    ru = JavaURI()
+    ru.scheme = base.scheme
+    ru.query = child.query
+    ru.fragment = child.fragment
+    if child.authority is None:
+        ru.authority, ru.host, ru.userinfo, ru.port = base.authority, base.host, base.userinfo, base.port
+        if child.path.startswith("/"):
+            ru.path = child.path
+        else:
+            ru.path = _resolve_path(base.path, child.path, base.scheme is not None)
+    else:
+        ru.authority, ru.host, ru.userinfo, ru.port = child.authority, child.host, child.userinfo, child.port
+        ru.path = child.path
+    return ru
+
+
+def normalize(u: JavaURI) -> JavaURI:
+    if u.opaque or not u.path:
+        return u
+    np = normalize_path(u.path)
+    if np == u.path:
+        return u
+    v = u._copy()
+    v.path = np
+    return v
+
+
+def _has_space_or_control(s: str) -> bool:
+    for c in s:
+        o = ord(c)
+        if o <= 0x1F or 0x7F <= o <= 0x9F:
+            return True
+        if c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" or (_java_space_char(c) and c not in "\u00a0\u2007\u202f"):
+            return True
+    return False
+
+
+def is_valid_page_url(u: JavaURI) -> bool:
+    return (u.scheme is not None and u.scheme.lower() in ("http", "https") and bool(u.authority)
+            and not u.opaque and not _has_space_or_control(u.to_string()))
+
+
+def resolve_loc(base: str, loc: str) -> str | None:
+    """``base.resolve(loc).normalize()`` when it is a valid http(s) page URL,
+    else None (also None when either text is not a URI)."""
+    try:
+        b = JavaURI.parse(base)
+        c = JavaURI.parse(loc)
+    except URISyntaxError:
+        return None
+    r = normalize(resolve(b, c))
+    return r.to_string() if is_valid_page_url(r) else None
+
+
+def host(s: str) -> str | None:
+    """``URI.getHost`` (None when unparsable or registry-based)."""
+    try:
+        return JavaURI.parse(s).host
+    except URISyntaxError:
+        return None

@@ -302,3 +302,61 @@ QUERIES.update({
     "fetch_policy": q_fetch_policy,
     "kafka_payload": q_kafka_payload,
 })
+
+
+# --- sitemap documents, loc resolution, sitemap-index crawl ----------------------
+
+from crawlmeta.functions.resolve import with_resolved  # noqa: E402
+from crawlmeta.operators import crawl as crawl_op  # noqa: E402
+from crawlmeta.operators.sitemap_docs import parse_sitemaps  # noqa: E402
+
+
+def documents_b(spark, sf_dir):
+    return corpus.sitemap_documents(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def q_sitemap_docs(spark, sf_dir):
+    d = parse_sitemaps(documents_b(spark, sf_dir))
+    return d.select("url", F.col("doc.kind").alias("kind"), F.array_join("doc.locs", " ").alias("locs"),
+                    F.col("doc.error").alias("error"))
+
+
+# References resolved against every page URL besides its own
+# links (directory query, empty, above-root, scheme case and double slash,
+# network path, opaque, space, dot segments).
+EXTRA_REFS = ["?a=1", "", "../../x", "HTTP://Example.UA/a//b", "//cdn.example.ua/x", "mailto:a@b", "a b",
+              "x/./y/../z"]
+
+
+def q_resolve_loc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    hrefs = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
+    refs = F.concat(hrefs, F.array(*[F.lit(r) for r in EXTRA_REFS]))
+    x = pages.select("page_id", F.col("url").alias("base"), F.posexplode(refs).alias("ref_no", "ref"))
+    return with_resolved(x, "base", "ref", "resolved").select(
+        "page_id", F.col("ref_no").cast("long").alias("ref_no"), "ref", "resolved")
+
+
+def _crawl(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    seeds = corpus.sitemap_seeds(pages)
+    fetch = crawl_op.table_fetcher(corpus.sitemap_documents(pages))
+    return seeds, crawl_op.crawl(seeds, fetch)
+
+
+def q_crawl_links(spark, sf_dir):
+    _, res = _crawl(spark, sf_dir)
+    return res.links.select("seed_id", "sitemap_url", "page_url")
+
+
+def q_crawl_counters(spark, sf_dir):
+    seeds, res = _crawl(spark, sf_dir)
+    return crawl_op.seed_counters(res, seeds)
+
+
+QUERIES.update({
+    "sitemap_docs": q_sitemap_docs,
+    "resolve_loc": q_resolve_loc,
+    "crawl_links": q_crawl_links,
+    "crawl_counters": q_crawl_counters,
+})

@@ -310,3 +310,79 @@ from b"""
 
 ORACLE["kafka_payload"] = """
 select page_id, '{"url":' || to_json(url) || '}' as value from pages"""
+
+CORPUS_B = r"""
+docs as (
+  select page_id, 'idx' as typ, 'https://s.example.ua/idx-' || cast(page_id as varchar) || '.xml' as url, url as page_url,
+    case when page_id < 25 then (case when page_id % 5 < 4 then page_id + 1 else page_id - 4 end)
+         when page_id % 30 < 29 then page_id + 1 else page_id - 29 end as next_id
+  from pages
+  union all
+  select page_id, 'sm' as typ, 'https://s.example.ua/sm-' || cast(page_id as varchar) || '.xml' as url, url as page_url, null as next_id
+  from pages
+)"""
+
+ORACLE["sitemap_docs"] = "with " + CORPUS_B.strip() + """
+select url,
+  case when typ = 'idx' then 'sitemapindex' when page_id % 6 in (0, 1, 2, 3) then 'urlset' else 'invalid' end as kind,
+  case when typ = 'idx' then 'sm-' || cast(page_id as varchar) || '.xml https://s.example.ua/idx-' || cast(next_id as varchar) || '.xml'
+       when page_id % 6 = 0 then page_url || ' /p/' || cast(page_id as varchar) || ' mailto:a@example.ua'
+       when page_id % 6 in (1, 2, 3) then page_url end as locs,
+  case when typ = 'sm' and page_id % 6 = 4 then 'Unsupported sitemap root element: html'
+       when typ = 'sm' and page_id % 6 = 5 then 'Invalid text sitemap URL: not a url' end as error
+from docs"""
+
+ORACLE["resolve_loc"] = """
+with r as (
+  select page_id, url as base, regexp_extract(url, '^(https?://[^/?#]*)', 1) as origin,
+         regexp_extract(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '^(.*/)', 1) as dir,
+         regexp_extract(url, '^(https?)://', 1) as scheme,
+         list_concat(regexp_extract_all(html, 'href="([^"]*)"', 1),
+                     ['?a=1', '', '../../x', 'HTTP://Example.UA/a//b', '//cdn.example.ua/x', 'mailto:a@b', 'a b', 'x/./y/../z']) as refs
+  from pages),
+x as (select page_id, origin, dir, scheme, refs, unnest(generate_series(1, len(refs))) as i from r)
+select page_id, cast(i - 1 as bigint) as ref_no, refs[i] as ref,
+  case refs[i]
+    when '?a=1' then origin || dir || '?a=1'
+    when '' then origin || dir
+    when '../../x' then origin || case length(dir) - length(replace(dir, '/', '')) - 1
+                                    when 0 then '/../../x' when 1 then '/../x'
+                                    else regexp_replace(dir, '[^/]+/[^/]+/$', '') || 'x' end
+    when 'HTTP://Example.UA/a//b' then 'HTTP://Example.UA/a/b'
+    when '//cdn.example.ua/x' then scheme || '://cdn.example.ua/x'
+    when 'mailto:a@b' then null
+    when 'a b' then null
+    when 'x/./y/../z' then origin || dir || 'x/z'
+    else origin || refs[i] end as resolved
+from x"""
+
+CRAWL = "with recursive " + CORPUS_B.strip() + """,
+edges as (
+  select url as src, 'https://s.example.ua/sm-' || cast(page_id as varchar) || '.xml' as dst from docs where typ = 'idx'
+  union all
+  select url as src, 'https://s.example.ua/idx-' || cast(next_id as varchar) || '.xml' as dst from docs where typ = 'idx'),
+walk(seed_id, url, depth) as (
+  select page_id, url, 0 from docs where typ = 'idx'
+  union
+  select w.seed_id, e.dst, w.depth + 1 from walk w join edges e on e.src = w.url where w.depth < 20),
+visited as (select seed_id, url, min(depth) as depth from walk group by seed_id, url),
+vis as (select v.seed_id, v.url, d.typ, d.page_id, d.page_url,
+          case when d.url is null then 'failed'
+               when d.typ = 'idx' or d.page_id % 6 in (0, 1, 2, 3) then 'parsed' else 'invalid' end as status
+        from visited v left join docs d on d.url = v.url),
+links as (
+  select seed_id, url as sitemap_url, page_url from vis where typ = 'sm' and page_id % 6 in (0, 1, 2, 3)
+  union all
+  select seed_id, url as sitemap_url, 'https://s.example.ua/p/' || cast(page_id as varchar) as page_url
+  from vis where typ = 'sm' and page_id % 6 = 0)"""
+
+ORACLE["crawl_links"] = CRAWL + """
+select seed_id, sitemap_url, page_url from links"""
+
+ORACLE["crawl_counters"] = CRAWL + """,
+c as (select seed_id, count(*) filter (where status = 'parsed') as d, count(*) filter (where status = 'invalid') as i,
+        count(*) filter (where status = 'failed') as f from vis group by seed_id),
+l as (select seed_id, count(*) as n from links group by seed_id)
+select c.seed_id, cast(c.d as bigint) as downloaded_sitemaps, cast(c.i as bigint) as invalid_sitemaps,
+  cast(c.f as bigint) as failed_downloads, cast(coalesce(l.n, 0) as bigint) as saved_links
+from c left join l using (seed_id)"""
