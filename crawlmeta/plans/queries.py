@@ -360,3 +360,20 @@ QUERIES.update({
     "crawl_links": q_crawl_links,
     "crawl_counters": q_crawl_counters,
 })
+
+
+# --- HTML rows -------------------------------------------------------------------
+
+from crawlmeta.functions import html as html_fn  # noqa: E402
+
+
+def q_html_rows(spark, sf_dir):
+    """Anchor rows of every page plus its decoded title."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    links = html_fn.anchor_rows(pages)
+    titles = pages.select("page_id", F.lit(0).cast("long").alias("link_no"), F.lit(None).cast("string").alias("href"),
+                          html_fn.html_unescape(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("label"))
+    return links.unionByName(titles)
+
+
+QUERIES["html_rows"] = q_html_rows

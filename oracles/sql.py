@@ -386,3 +386,20 @@ l as (select seed_id, count(*) as n from links group by seed_id)
 select c.seed_id, cast(c.d as bigint) as downloaded_sitemaps, cast(c.i as bigint) as invalid_sitemaps,
   cast(c.f as bigint) as failed_downloads, cast(coalesce(l.n, 0) as bigint) as saved_links
 from c left join l using (seed_id)"""
+
+
+def unescape_sql(x: str) -> str:
+    # named entities only (the pages hold no numeric ones); '&amp;' last = one pass
+    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&nbsp;", "' || chr(160) || '")]:
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return f"replace({x}, '&amp;', '&')"
+
+
+ORACLE["html_rows"] = f"""
+with a as (select page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) as hrefs,
+                  regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) as labels from pages),
+x as (select page_id, hrefs, labels, unnest(generate_series(1, len(hrefs))) as i from a where len(hrefs) > 0)
+select page_id, cast(i as bigint) as link_no, hrefs[i] as href, {unescape_sql('labels[i]')} as label from x
+union all
+select page_id, cast(0 as bigint) as link_no, null as href,
+  {unescape_sql("regexp_extract(html, '<title>([^<]*)</title>', 1)")} as label from pages"""
