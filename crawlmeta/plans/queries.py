@@ -377,3 +377,62 @@ def q_html_rows(spark, sf_dir):
 
 
 QUERIES["html_rows"] = q_html_rows
+
+
+# --- WARC round trip ---------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from crawlmeta.session import checkpoint_dir  # noqa: E402
+from crawlmeta.sources import warc  # noqa: E402
+
+# Content-Encoding per capture (page_id % 4).
+WARC_ENCODINGS = ["", "gzip", "deflate", "deflate, gzip"]
+
+
+def q_warc_roundtrip(spark, sf_dir):
+    """Corpus A written as WARC archives (with noise records and stacked
+    encodings), read back with the WARC source, decoded and parsed."""
+    c = captures(spark, sf_dir)
+    enc = F.element_at(F.array(*[F.lit(e) for e in WARC_ENCODINGS]), (F.col("page_id") % 4 + 1).cast("int"))
+    rows = c.select(F.floor(F.col("page_id") / 10).cast("long").cast("string").alias("archive_key"),
+                    F.col("robots_url").alias("target_url"), corpus.capture_date().alias("capture_date"),
+                    "body", enc.alias("content_encoding"))
+    out_dir = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write_warc_files(rows, out_dir).collect()
+    got = warc.read_warc(spark, out_dir)
+    parsed_back = robots.with_robots(got.withColumn("text", robots.decode_body("body")), body="text")
+    return parsed_back.select("target_url", "capture_date", "content_encoding", F.col("text").alias("body"),
+                              F.col("robots.valid").alias("valid"),
+                              F.size(F.array_distinct("robots.sitemaps")).cast("long").alias("sitemap_links"))
+
+
+QUERIES["warc_roundtrip"] = q_warc_roundtrip
+
+
+# --- streaming = batch -------------------------------------------------------------
+
+from crawlmeta.streaming import pipelines as streams  # noqa: E402
+
+
+def local_sitemap_lines(spark, sf_dir) -> DataFrame:
+    """Corpus A links as local sitemap TSV lines (file path, host, scheme, URL)."""
+    links = robots.sitemap_rows(parsed(spark, sf_dir), ["page_id", "robots_host"])
+    path = F.concat(F.lit("/data/robots/"), F.col("robots_host"), F.lit("/https-"),
+                    F.col("page_id").cast("string"), F.lit(".txt"))
+    return links.select("page_id", tsv_row(path, "robots_host", F.lit("https"), "sitemap_url").alias("value"))
+
+
+def q_stream_equals_batch(spark, sf_dir):
+    """Corpus A link TSVs -> the streaming filter job (available-now) -> the
+    grouped output read back; equals the batch classification."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    local_sitemap_lines(spark, sf_dir).select(F.floor(F.col("page_id") / 50).alias("part"), "value") \
+        .write.partitionBy("part").text(f"{base}/in")
+    q = streams.filter_sitemaps_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
+                                       geo.sample_dimension(spark), suffix=".txt")
+    q.awaitTermination()
+    return spark.read.schema("value string, out_group string, out_key string").text(f"{base}/out")
+
+
+QUERIES["stream_equals_batch"] = q_stream_equals_batch

@@ -52,3 +52,8 @@ def parse_link_rows(lines: DataFrame, line_col: str = "value") -> DataFrame:
     ok = (F.size(f) >= 3) & (F.try_element_at(f, F.lit(3)) != "")
     return lines.select("*", F.when(ok, "ok").otherwise("malformed").alias("status"),
                         F.when(ok, F.try_element_at(f, F.lit(3))).alias("page_url"))
+
+
+def list_inputs(root: str, suffix: str) -> list[str]:
+    from crawlmeta.sources.files import list_files
+    return list_files(root, suffixes=(suffix,))

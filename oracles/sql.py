@@ -403,3 +403,19 @@ select page_id, cast(i as bigint) as link_no, hrefs[i] as href, {unescape_sql('l
 union all
 select page_id, cast(0 as bigint) as link_no, null as href,
   {unescape_sql("regexp_extract(html, '<title>([^<]*)</title>', 1)")} as label from pages"""
+
+ORACLE["warc_roundtrip"] = WITH_A + """
+select c.robots_url as target_url,
+  strftime(make_timestamp((1722470400 + c.page_id * 37) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as capture_date,
+  (['', 'gzip', 'deflate', 'deflate, gzip'])[c.page_id % 4 + 1] as content_encoding,
+  c.body, v.page_id is not null as valid,
+  cast((select count(*) from sm where sm.page_id = c.page_id) as bigint) as sitemap_links
+from cap c left join validp v using (page_id)"""
+
+ORACLE["stream_equals_batch"] = WITH_A + "," + DIM + "," + classified_cte() + f""",
+cl2 as (select cls.*, '/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt' as fpath from cls)
+select {tsv_sql('fpath', 'robots_host', "'https'", 'sitemap_url', 'country_key', 'country_name', 'matched_suffix', 'language_region')} as value,
+  'country' as out_group, country_key as out_key from cl2
+union all
+select {tsv_sql('fpath', 'robots_host', "'https'", 'sitemap_url', 'country_key', 'country_name', 'matched_suffix', 'language_region')} as value,
+  'language-region' as out_group, language_region as out_key from cl2"""
