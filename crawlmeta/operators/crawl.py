@@ -7,13 +7,23 @@ depth <= ``max_depth`` (21 levels for the default 20). Breadth-first order
 means the first visit of a URL has its least depth, so level-by-level
 frontiers give the same visited set as a FIFO queue.
 
-Scale notes: each level fetches every distinct URL of the frontier once;
-the frontier, the visited set and the links are row sets hash-partitioned
-by (seed, url), so a seed with millions of children is spread over all
-tasks. Lineage is cut every level with a reliable checkpoint in the
-cluster's checkpoint folder, so lost executors recompute at most one level.
-Distinct seed URLs are crawled once; seed rows join their results back
-(a seed listed twice emits its links twice).
+A fetcher turns a set of URLs into two row sets: ``status (url, kind,
+error)`` and ``edges (url, kind, pos, target)`` (resolved locs, duplicates
+kept). Every URL is fetched, parsed and resolved once per crawl, not once
+per seed or level; a level is then three joins on ``url``:
+
+  visits   = frontier JOIN status
+  links    = frontier JOIN edges (url sets)
+  children = frontier JOIN edges (indexes) -> distinct -> ANTI JOIN visited
+
+Scale notes: rows are hash-partitioned by url / (seed, url), so a seed with
+millions of children is spread over all tasks and no seed is collected in
+one place; AQE splits a hot URL shared by many seeds. The frontier of each
+level is a reliable checkpoint in the cluster's checkpoint folder (one
+action per level); visited = union of those checkpoints, so lineage stays
+one level deep and a lost executor recomputes at most one level. Distinct
+seed URLs are crawled once and seed rows join their results back (a seed
+listed twice emits its links twice).
 """
 
 from __future__ import annotations
@@ -21,7 +31,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crawlmeta.functions.resolve import with_resolved
@@ -39,71 +49,91 @@ class CrawlResult:
     visits: DataFrame     # seed_id, seed_sitemap_url, sitemap_url, depth, status, error
 
 
-def table_fetcher(documents: DataFrame, url: str = "url", body: str = "body") -> Callable[[DataFrame], DataFrame]:
-    """Fetch = lookup in a table of already-downloaded bodies. The table is
-    parsed once (one Arrow pass) and checkpointed; a URL missing from the
-    table is a failed download."""
-    parsed = parse_sitemaps(documents.select(F.col(url).alias("url"), F.col(body).alias("body")))
-    parsed = parsed.select("url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"),
-                           F.col("doc.error").alias("error"))
-    cache: dict[str, DataFrame] = {}
-
-    def fetch(urls: DataFrame) -> DataFrame:
-        if "docs" not in cache:
-            cache["docs"] = parsed.checkpoint(eager=True)
-        return urls.join(cache["docs"], "url", "left")
+@dataclass
+class Fetched:
+    status: DataFrame     # url, kind, error        (one row per fetched URL)
+    edges: DataFrame      # url, kind, pos, target  (resolved locs of parsed documents)
+
+
+def documents_to_fetched(docs: DataFrame) -> Fetched:
+    """(url, body) -> parsed status + resolved edges, both checkpointed
+    (one Arrow pass for parsing, one for the rows resolution cannot do
+    with built-ins)."""
+    parsed = parse_sitemaps(docs.select("url", "body")).select(
+        "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
+    parsed = parsed.checkpoint(eager=True)
+    status = parsed.select("url", "kind", "error")
+    locs = parsed.filter(F.col("kind").isin(KIND_URLSET, KIND_INDEX)).select(
+        "url", "kind", F.posexplode("locs").alias("pos", "loc"))
+    edges = with_resolved(locs, "url", "loc", "target").filter(F.col("target").isNotNull()).drop("loc")
+    return Fetched(status, edges.checkpoint(eager=True))
+
+
+def table_fetcher(documents: DataFrame, url: str = "url", body: str = "body") -> Callable[[DataFrame], Fetched]:
+    """Fetch = lookup in a table of downloaded bodies. The whole table is
+    parsed and resolved once (lazily, at the first level); a URL missing
+    from it is a failed download."""
+    cache: dict[str, Fetched] = {}
+
+    def fetch(urls: DataFrame) -> Fetched:
+        if "all" not in cache:
+            cache["all"] = documents_to_fetched(documents.select(F.col(url).alias("url"), F.col(body).alias("body")))
+        return cache["all"]
 
     return fetch
 
 
-def body_fetcher(fetch_bodies: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    """Wrap a fetcher that returns ``(url, body)`` (body NULL = failed) so
-    that documents are parsed per level, right after download."""
-    def fetch(urls: DataFrame) -> DataFrame:
-        got = parse_sitemaps(fetch_bodies(urls))
-        return got.select("url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"),
-                          F.col("doc.error").alias("error"))
+def body_fetcher(fetch_bodies: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], Fetched]:
+    """Wrap a fetcher returning ``(url, body)`` (NULL body = failed): each
+    level downloads only URLs no earlier level fetched, then parses and
+    resolves them; results accumulate for later levels."""
+    known: list[Fetched] = []
+
+    def fetch(urls: DataFrame) -> Fetched:
+        new = urls
+        if known:
+            new = urls.join(known[0].status.select("url"), "url", "left_anti")
+        got = documents_to_fetched(fetch_bodies(new))
+        if known:
+            got = Fetched(known[0].status.unionByName(got.status), known[0].edges.unionByName(got.edges))
+        known[:] = [got]
+        return got
     return fetch
 
 
-def _ckpt(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
-
-
-def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_depth: int = MAX_SITEMAP_INDEX_DEPTH,
+def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: int = MAX_SITEMAP_INDEX_DEPTH,
           seed_id: str = "seed_id", seed_url: str = "seed_sitemap_url") -> CrawlResult:
     if max_depth < 0:
         raise ValueError("max_depth must be >= 0")
     spark = seeds.sparkSession
     checkpoint_dir(spark)
     roots = seeds.select(F.col(seed_url).alias("root")).distinct()
-    frontier = _ckpt(roots.select("root", F.col("root").alias("url")))
-    visited = frontier
+    frontier = roots.select("root", F.col("root").alias("url")).checkpoint(eager=True)
+    visited: list[DataFrame] = []
     visits, links = [], []
+    status_expr = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
+                   .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
+    n_frontier = None
     for depth in range(max_depth + 1):
-        if frontier.isEmpty():
+        if n_frontier == 0 or (n_frontier is None and frontier.isEmpty()):
             break
-        docs = fetch(frontier.select("url").distinct())
-        level = frontier.join(docs, "url", "left").select(
-            "root", "url", F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"), "locs",
+        visited.append(frontier)
+        got = fetch(frontier.select("url").distinct())
+        v = frontier.join(got.status, "url", "left").select(
+            "root", F.col("url").alias("sitemap_url"), F.lit(depth).alias("depth"),
+            F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"),
             F.coalesce("error", F.when(F.col("kind").isNull(), F.lit("Download failed"))).alias("error"))
-        level = _ckpt(level)
-        status = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
-                  .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
-        visits.append(level.select("root", F.col("url").alias("sitemap_url"), F.lit(depth).alias("depth"),
-                                   status.alias("status"), "error"))
-        out_locs = level.filter(F.col("kind").isin(KIND_URLSET, KIND_INDEX)).select(
-            "root", "url", "kind", F.explode("locs").alias("loc"))
-        resolved = _ckpt(with_resolved(out_locs, "url", "loc", "resolved").filter(F.col("resolved").isNotNull()))
-        links.append(resolved.filter(F.col("kind") == KIND_URLSET).select(
-            "root", F.col("url").alias("sitemap_url"), F.col("resolved").alias("page_url")))
+        visits.append(v.select("root", "sitemap_url", "depth", status_expr.alias("status"), "error"))
+        e = frontier.join(got.edges, "url")
+        links.append(e.filter(F.col("kind") == KIND_URLSET).select(
+            "root", F.col("url").alias("sitemap_url"), F.col("target").alias("page_url")))
         if depth == max_depth:
             break
-        children = (resolved.filter(F.col("kind") == KIND_INDEX)
-                    .select("root", F.col("resolved").alias("url")).distinct()
-                    .join(visited, ["root", "url"], "left_anti"))
-        frontier = _ckpt(children)
-        visited = _ckpt(visited.unionByName(frontier))
+        children = e.filter(F.col("kind") == KIND_INDEX).select("root", F.col("target").alias("url")).distinct()
+        children = children.join(_union(visited, "root string, url string", spark), ["root", "url"], "left_anti")
+        obs = Observation(f"frontier_{depth + 1}")
+        frontier = children.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+        n_frontier = obs.get["n"]
     all_visits = _union(visits, "root string, sitemap_url string, depth int, status string, error string", spark)
     all_links = _union(links, "root string, sitemap_url string, page_url string", spark)
     s = seeds.select(F.col(seed_id).alias("seed_id"), F.col(seed_url).alias("root"))

@@ -108,7 +108,8 @@ def _pick(host: Column, cands: Column) -> Column:
 
 def locale_tokens(text: Column) -> Column:
     """Bigrams ``a-b`` of adjacent tokens first, then the tokens; tokens are
-    runs of [A-Za-z0-9], lowercased."""
+    runs of [A-Za-z0-9], lowercased. (Reference form of the marker search;
+    ``language_region`` uses the equivalent regular expressions.)"""
     toks = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "[^A-Za-z0-9]+"), lambda t: F.lower(t)),
                     lambda t: t != "")
     n = F.size(toks)
@@ -117,23 +118,40 @@ def locale_tokens(text: Column) -> Column:
     return F.concat(bigrams, toks)
 
 
-def host_locale_tokens(host: Column) -> Column:
-    """Locale tokens of a host without its last label (trailing dots ignored)."""
-    trimmed = F.regexp_replace(host, "[.]+$", "")
-    return locale_tokens(F.regexp_replace(trimmed, "[.]?[^.]*$", ""))
+def host_without_last_label(host: Column) -> Column:
+    """Host text before its last label (trailing dots ignored)."""
+    return F.regexp_replace(F.regexp_replace(host, "[.]+$", ""), "[.]?[^.]*$", "")
+
+
+# Marker search as anchored regular expressions (ASCII case-insensitive):
+# the leftmost match is the first marker token in token order.
+_B, _A = "(?<![A-Za-z0-9])", "(?![A-Za-z0-9])"
+_SEP = "[^A-Za-z0-9]+"
+_BIGRAMS = [k.split("-") for k in LANGUAGE_REGION_MARKERS if "-" in k]
+_UNIGRAMS = [k for k in LANGUAGE_REGION_MARKERS if "-" not in k]
+BIGRAM_MARKER = "(?i)" + _B + "(?:" + "|".join(f"{a}{_SEP}{b}" for a, b in _BIGRAMS) + ")" + _A
+UNIGRAM_MARKER = "(?i)" + _B + "(?:" + "|".join(_UNIGRAMS) + ")" + _A
+
+
+def _marker_region(text: Column, pattern: str, bigram: bool) -> Column:
+    hit = F.lower(F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 0))
+    key = F.regexp_replace(hit, _SEP, "-") if bigram else hit
+    markers = F.create_map(*[x for k, v in LANGUAGE_REGION_MARKERS.items() for x in (F.lit(k), F.lit(v))])
+    return F.when(hit != "", F.element_at(markers, key))
+
+
+def language_region_of(host: Column, path: Column) -> Column:
+    """First marker among host tokens (bigrams, then unigrams), then path
+    tokens; 'unknown' if none. ``host`` = URL host, ``path`` = raw path."""
+    h = host_without_last_label(host)
+    return F.coalesce(_marker_region(h, BIGRAM_MARKER, True), _marker_region(h, UNIGRAM_MARKER, False),
+                      _marker_region(path, BIGRAM_MARKER, True), _marker_region(path, UNIGRAM_MARKER, False),
+                      F.lit(UNKNOWN_LANGUAGE_REGION))
 
 
 def language_region(url: Column | str) -> Column:
-    """First marker among host tokens then path tokens; 'unknown' if none."""
     u = col(url)
-    host = url_host(u)
-    tokens = F.concat(F.when(host.isNotNull(), host_locale_tokens(host)).otherwise(F.array().cast("array<string>")),
-                      F.when(url_path(u).isNotNull(), locale_tokens(url_path(u)))
-                      .otherwise(F.array().cast("array<string>")))
-    markers = F.create_map(*[x for k, v in LANGUAGE_REGION_MARKERS.items() for x in (F.lit(k), F.lit(v))])
-    keys = list(LANGUAGE_REGION_MARKERS)
-    first = F.try_element_at(F.filter(tokens, lambda t: t.isin(*keys)), F.lit(1))
-    return F.coalesce(F.element_at(markers, first), F.lit(UNKNOWN_LANGUAGE_REGION))
+    return language_region_of(url_host(u), url_path(u))
 
 
 CLASS_COLUMNS = ["country_key", "country_name", "matched_suffix", "language_region"]
@@ -146,11 +164,13 @@ def classify(df: DataFrame, dim: DataFrame, host_col: str, url_col: str, keep_un
     from the sitemap URL's host. Rows without a country are dropped unless
     ``keep_unmatched`` (then the four columns are NULL)."""
     cands = _by_last_label(dim)
-    rh, sh = "_cl_rhost", "_cl_shost"
-    x = (df.withColumn(rh, normalize_host(host_col))
-         .withColumn(sh, normalize_host(url_host(url_col))))
-    r = checked_broadcast(cands.select(F.col("label").alias("_cl_rlabel"), F.col("cands").alias("_cl_rcands")))
-    s = checked_broadcast(cands.select(F.col("label").alias("_cl_slabel"), F.col("cands").alias("_cl_scands")))
+    if dim.count() <= MAX_BROADCAST_DIMENSION_ROWS:
+        cands = F.broadcast(cands)
+    rh, sh, uh, up = "_cl_rhost", "_cl_shost", "_cl_uhost", "_cl_upath"
+    x = (df.withColumn(uh, url_host(url_col)).withColumn(up, url_path(url_col))
+         .withColumn(rh, normalize_host(host_col)).withColumn(sh, normalize_host(F.col(uh))))
+    r = cands.select(F.col("label").alias("_cl_rlabel"), F.col("cands").alias("_cl_rcands"))
+    s = cands.select(F.col("label").alias("_cl_slabel"), F.col("cands").alias("_cl_scands"))
     x = x.join(r, last_label(x[rh]) == r["_cl_rlabel"], "left")
     x = x.join(s, last_label(x[sh]) == s["_cl_slabel"], "left")
     best = F.coalesce(_pick(F.col(rh), F.col("_cl_rcands")), _pick(F.col(sh), F.col("_cl_scands")))
@@ -161,7 +181,8 @@ def classify(df: DataFrame, dim: DataFrame, host_col: str, url_col: str, keep_un
                  F.col("_cl_best.country_key").alias("country_key"),
                  F.col("_cl_best.country_name").alias("country_name"),
                  F.col("_cl_best.suffix").alias("matched_suffix"),
-                 F.when(F.col("_cl_best").isNotNull(), language_region(url_col)).alias("language_region"))
+                 F.when(F.col("_cl_best").isNotNull(), language_region_of(F.col(uh), F.col(up)))
+                 .alias("language_region"))
     return x
 
 

@@ -436,3 +436,17 @@ def q_stream_equals_batch(spark, sf_dir):
 
 
 QUERIES["stream_equals_batch"] = q_stream_equals_batch
+
+
+# --- the flagship over a corpus that grows with lineitem ------------------------------
+
+def q_sitemap_country_counts_lineitem(spark, sf_dir):
+    """Flagship pipeline over one robots capture per lineitem row."""
+    keys = corpus.lineitem_pages(table(spark, sf_dir, "lineitem"))
+    caps = corpus.robots_captures(keys)
+    links = robots.sitemap_rows(robots.with_robots(caps), ["page_id", "robots_host"]).drop("sitemap_no")
+    cls = geo.classify(links, geo.sample_dimension(spark), "robots_host", "sitemap_url")
+    return cls.groupBy("country_key", "language_region").agg(F.count(F.lit(1)).alias("links"))
+
+
+QUERIES["sitemap_country_counts_lineitem"] = q_sitemap_country_counts_lineitem

@@ -104,3 +104,17 @@ def capture_date(page_id_col: str = "page_id") -> F.Column:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     ts = F.timestamp_add("SECOND", F.lit(1722470400) + F.col(page_id_col) * 37, epoch)
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def lineitem_pages(lineitem: DataFrame) -> DataFrame:
+    """A ``(page_id, url)`` key table over ``lineitem``: one page per
+    distinct (l_orderkey, l_linenumber) key (the table repeats some keys),
+    so robots corpora grow with the fact table. Host and path come from the
+    key alone."""
+    keys = lineitem.select("l_orderkey", "l_linenumber").distinct()
+    pid = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    tld = F.element_at(F.array(F.lit("com"), F.lit("net"), F.lit("org")), (F.col("l_orderkey") % 3 + 1).cast("int"))
+    url = F.concat(F.when(F.col("l_linenumber") % 2 == 0, F.lit("https")).otherwise(F.lit("http")), F.lit("://s"),
+                   (F.col("l_orderkey") % 997).cast("string"), F.lit(".example."), tld, F.lit("/p/"),
+                   F.col("l_orderkey").cast("string"))
+    return keys.select(pid.alias("page_id"), url.alias("url"))

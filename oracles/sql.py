@@ -419,3 +419,14 @@ select {tsv_sql('fpath', 'robots_host', "'https'", 'sitemap_url', 'country_key',
 union all
 select {tsv_sql('fpath', 'robots_host', "'https'", 'sitemap_url', 'country_key', 'country_name', 'matched_suffix', 'language_region')} as value,
   'language-region' as out_group, language_region as out_key from cl2"""
+
+
+LINEITEM_PAGES = """pages_li as (
+  select l_orderkey * 8 + l_linenumber as page_id,
+    (case when l_linenumber % 2 = 0 then 'https' else 'http' end) || '://s' || cast(l_orderkey % 997 as varchar) || '.example.'
+      || (['com', 'net', 'org'])[l_orderkey % 3 + 1] || '/p/' || cast(l_orderkey as varchar) as url
+  from (select distinct l_orderkey, l_linenumber from lineitem))"""
+
+ORACLE["sitemap_country_counts_lineitem"] = ("with " + LINEITEM_PAGES + "," + CORPUS_A.strip().replace(
+    "from pages\n), p1", "from pages_li\n), p1") + "," + PARSE + "," + DIM + "," + classified_cte() + """
+select country_key, language_region, count(*) as links from cls group by country_key, language_region""")
