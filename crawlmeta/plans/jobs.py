@@ -78,7 +78,7 @@ def stage_archives(spark: SparkSession, manifest_path: str, dest_dir: str, skip:
     fetched into ``dest_dir`` (shared storage). Returns (archive_path,
     archive_uri, local_path, error); one task per archive."""
     _check_slice(skip, max_files)
-    lines = manifest.read_manifest_lines(spark, manifest_path)
+    lines = manifest.read_manifest_lines(spark, manifest.resolve_manifest_path(manifest_path))
     paths = manifest.with_archive_uri(manifest.slice_archives(manifest.archive_paths(lines), skip, max_files))
     got = fetch_src.fetch(paths.select(F.col("archive_uri").alias("url")), allow_local=allow_local, delay=0)
     import hashlib

@@ -9,6 +9,12 @@ from crawlmeta.functions.text import java_trim
 from crawlmeta.functions.url import archive_uri, manifest_url  # noqa: F401  (re-export)
 
 
+def resolve_manifest_path(path: str) -> str:
+    """A ``.../wat.paths.gz`` manifest path points at ``.../robotstxt.paths.gz``."""
+    import re
+    return re.sub(r"/wat[.]paths[.]gz$", "/robotstxt.paths.gz", path)
+
+
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(line_no, value)``; gzip is decompressed by suffix. A gzip file is
     one split, so increasing ids follow file order."""
