@@ -60,8 +60,10 @@ MAX_BROADCAST_DIMENSION_ROWS = 200_000
 
 def dimension_from_rows(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
     """Dimension from (key, name, raw suffix) rows; suffixes normalised."""
-    raw = spark.createDataFrame(
-        [(i + 1, k, n, s) for i, (k, n, s) in enumerate(rows)], DIMENSION_SCHEMA)
+    from crawlmeta.session import local_rows
+    raw = local_rows(spark, ["ord", "country_key", "country_name", "suffix"],
+                     [(i + 1, k, n, s) for i, (k, n, s) in enumerate(rows)],
+                     "ord int, country_key string, country_name string, suffix string")
     return raw.withColumn("suffix", normalize_suffix("suffix"))
 
 

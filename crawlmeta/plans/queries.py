@@ -131,7 +131,8 @@ def q_filter_grouped(spark, sf_dir):
 def selected_country_key(spark: SparkSession, dim: DataFrame, query: str) -> str:
     """Resolve one country query on the (small) dimension; unknown -> error
     listing the first supported keys."""
-    q = spark.createDataFrame([(query,)], "query string")
+    from crawlmeta.session import local_rows
+    q = local_rows(spark, ["query"], [(query,)], "query string")
     row = geo.select_country(dim, q).first()
     if row is None or row["country_key"] is None:
         keys = [r["country_key"] for r in geo.supported_country_keys(dim).collect()]

@@ -55,3 +55,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="crawlmeta-ckpt-", dir="/tmp")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def local_rows(spark: SparkSession, columns: list[str], rows: list[tuple], schema: str | None = None):
+    """A small fixed table as a SQL ``VALUES`` local relation (JVM-side, no
+    Python RDD, known size for broadcast planning)."""
+    if not rows:
+        return spark.createDataFrame([], schema or ", ".join(f"{c} string" for c in columns))
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+    if schema:
+        from pyspark.sql import functions as F
+        types = [x.strip().split(" ", 1) for x in schema.split(",")]
+        df = df.select(*[F.col(n).cast(t).alias(n) for n, t in types])
+    return df
