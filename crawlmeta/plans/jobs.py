@@ -29,6 +29,7 @@ from crawlmeta.functions.text import tsv_row
 from crawlmeta.functions.url import is_robots_target, url_host
 from crawlmeta.operators import crawl as crawl_op
 from crawlmeta.operators import geo, robots
+from crawlmeta.operators import metrics as metrics_op
 from crawlmeta.sinks import kafka, robots_files
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sources import fetch as fetch_src
@@ -43,6 +44,7 @@ class JobFailed(RuntimeError):
 class JobResult:
     metrics: dict = field(default_factory=dict)
     failures: list[str] = field(default_factory=list)
+    per_unit: DataFrame | None = None    # e.g. per-archive results (lazy)
 
     def raise_if_failed(self, what: str) -> "JobResult":
         if self.failures:
@@ -131,7 +133,7 @@ def robots_job(spark: SparkSession, archives: str, out_table: str, export_root:
     robots_files.write_table(table, out_table)
     if export_root:
         robots_files.export_files(spark.read.parquet(out_table), export_root)
-    return JobResult(dict(obs.get), _failures(failures)).raise_if_failed("archives")
+    return JobResult(dict(obs.get), _failures(failures), metrics_op.archive_results(caps)).raise_if_failed("archives")
 
 
 def sitemap_rows_from_captures(caps: DataFrame) -> DataFrame:
@@ -153,7 +155,7 @@ def sitemaps_job(spark: SparkSession, archives: str, out_path: str) -> JobResult
                       tsv_row(*tsv.WARC_SITEMAP_COLUMNS).alias("value"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("archive_file").text(out_path))
-    return JobResult(dict(obs.get), _failures(failures)).raise_if_failed("archives")
+    return JobResult(dict(obs.get), _failures(failures), metrics_op.archive_results(caps)).raise_if_failed("archives")
 
 
 def _one_country(spark: SparkSession, dim: DataFrame, country: str) -> DataFrame:
@@ -175,7 +177,8 @@ def country_sitemaps_job(spark: SparkSession, archives: str, out_path: str, coun
     cls = cls.observe(obs, F.count(F.lit(1)).alias("matched_links"))
     tsv_sink.write_tsv(cls, tsv.WARC_COUNTRY_COLUMNS, out_path)
     totals = caps.agg(F.count_if(valid).alias("parsed_files"), F.count_if(~valid).alias("rejected_files")).first()
-    return JobResult({**dict(obs.get), **totals.asDict()}, _failures(failures)).raise_if_failed("archives")
+    return JobResult({**dict(obs.get), **totals.asDict()}, _failures(failures),
+                     metrics_op.archive_results(caps, cls)).raise_if_failed("archives")
 
 
 def local_sitemaps_job(spark: SparkSession, root: str, out_path: str) -> JobResult:

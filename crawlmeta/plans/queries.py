@@ -66,13 +66,8 @@ def q_robots_warnings(spark, sf_dir):
 
 def q_robots_valid_counts(spark, sf_dir):
     """Per archive: parsed (valid) and rejected captures, distinct links."""
-    p = parsed(spark, sf_dir).withColumn("archive_path", corpus.archive_path())
-    valid = F.col("robots.valid")
-    return p.groupBy("archive_path").agg(
-        F.count_if(valid).cast("long").alias("parsed_files"),
-        F.count_if(~valid).cast("long").alias("rejected_files"),
-        F.sum(F.when(valid, F.size(F.array_distinct("robots.sitemaps"))).otherwise(0)).cast("long")
-        .alias("sitemap_links"))
+    from crawlmeta.operators.metrics import archive_results
+    return archive_results(parsed(spark, sf_dir).withColumn("archive_path", corpus.archive_path()))
 
 
 def q_robots_groups_for_agent(spark, sf_dir):

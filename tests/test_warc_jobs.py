@@ -52,6 +52,8 @@ def test_sitemaps_and_country_jobs(spark, tmp_path):
         ("https://example.fr/robots.txt", "2024-08-01T00:00:00Z", b"<html>", "")])
     res = jobs.sitemaps_job(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert res.metrics == {"parsed_files": 2, "rejected_files": 1, "sitemap_links": 3}
+    per = res.per_unit.collect()
+    assert [(r["parsed_files"], r["rejected_files"], r["sitemap_links"]) for r in per] == [(2, 1, 3)]
     lines = spark.read.text(str(tmp_path / "out")).collect()
     assert len(lines) == 3 and all(len(r["value"].split("\t")) == 4 for r in lines)
     dim = geo.sample_dimension(spark)
@@ -142,3 +144,33 @@ def test_file_fetch(spark, tmp_path):
     assert bytes(got[p.as_uri()][0]) == b"abc"
     assert got["ftp://x/y"] == (None, "Unsupported URI scheme: ftp")
     assert got[str(p)][0] is None
+
+
+def test_streams(spark, tmp_path):
+    from crawlmeta.streaming import pipelines
+    src = tmp_path / "links"
+    src.mkdir()
+    (src / "a.sitemap-links.tsv").write_text("s\tf\thttps://x/1\ns\tf\t\nbad\n")
+    q = pipelines.publish_urls_stream(spark, str(src), str(tmp_path / "ck1"), out_path=str(tmp_path / "out1"))
+    q.awaitTermination()
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "out1")).collect()] == ['{"url":"https://x/1"}']
+    tsvdir = tmp_path / "tsv"
+    tsvdir.mkdir()
+    (tsvdir / "a.sitemaps.tsv").write_text("/r/example.ua/https-1.txt\texample.ua\thttps\thttps://example.ua/ru/s.xml\n"
+                                           "/r/example.com/https-1.txt\texample.com\thttps\thttps://example.com/s.xml\n")
+    dim = geo.sample_dimension(spark)
+    q = pipelines.filter_sitemaps_stream(spark, str(tsvdir), str(tmp_path / "out2"), str(tmp_path / "ck2"), dim)
+    q.awaitTermination()
+    got = sorted((r["out_group"], r["out_key"]) for r in spark.read.text(str(tmp_path / "out2")).collect())
+    assert got == [("country", "ukraine"), ("language-region", "ru-RU")]
+
+
+def test_local_country_job(spark, tmp_path):
+    src = tmp_path / "tsv"
+    src.mkdir()
+    (src / "a.sitemaps.tsv").write_text("/r/example.de/https-1.txt\texample.de\thttps\thttps://cdn.example.ua/s.xml\n"
+                                        "/r/example.ru/https-1.txt\texample.ru\thttps\thttps://example.ru/s.xml\n")
+    res = jobs.local_country_sitemaps_job(spark, str(src), str(tmp_path / "out"), "Ukraine", geo.sample_dimension(spark))
+    assert res.metrics == {"read_rows": 2, "malformed_rows": 0, "kept_rows": 1}
+    (line,) = [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert line.split("\t")[4:] == ["ukraine", "Ukraine", ".ua", "unknown"]
