@@ -25,7 +25,8 @@ def java_trim(c: Column | str) -> Column:
 
 def strip_bom(c: Column | str) -> Column:
     """Drop one leading U+FEFF."""
-    return F.regexp_replace(col(c), "^" + BOM, "")
+    x = col(c)
+    return F.when(x.startswith(BOM), F.substring(x, 2, 1 << 30)).otherwise(x)
 
 
 def text_lines(c: Column | str) -> Column:

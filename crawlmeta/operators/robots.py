@@ -85,13 +85,27 @@ def _message(template: str, **parts: Column) -> Column:
     return F.concat(*pieces)
 
 
+# Double.parseDouble accepts: plain decimals (a cast gives the same value),
+# and forms a cast does not read the same way (f/F/d/D suffix, hex floats,
+# NaN, Infinity), which go through the Java method itself. Text matching
+# neither is not a number, without calling into Java and raising.
+_PLAIN_DECIMAL = r"^[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?$"
+_JAVA_DOUBLE = (r"^[+-]?(?:NaN|Infinity|(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?[fFdD]?"
+                r"|0[xX](?:[0-9a-fA-F]+[.]?[0-9a-fA-F]*|[.][0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?)$")
+
+
 def _java_double(v: Column) -> Column:
-    # Double.parseDouble grammar (1d, 1e3, Infinity, hex floats ...); NULL when it throws
-    return F.try_reflect(F.lit("java.lang.Double"), F.lit("parseDouble"), v).try_cast("double")
+    return (F.when(v.rlike(_PLAIN_DECIMAL), v.try_cast("double"))
+            .when(v.rlike(_JAVA_DOUBLE),
+                  F.try_reflect(F.lit("java.lang.Double"), F.lit("parseDouble"), v).try_cast("double")))
 
 
 def _java_int(v: Column) -> Column:
-    return F.try_reflect(F.lit("java.lang.Integer"), F.lit("parseInt"), v).try_cast("int")
+    """Integer.parseInt: ASCII digits by cast, other Unicode decimal digits
+    through the Java method; NULL on overflow or any other text."""
+    return (F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast("int"))
+            .when(v.rlike(r"^[+-]?\p{Nd}+$"),
+                  F.try_reflect(F.lit("java.lang.Integer"), F.lit("parseInt"), v).try_cast("int")))
 
 
 def directives(body: Column | str) -> Column:
