@@ -18,14 +18,24 @@ def try_parse_url(c: Column | str, part: str) -> Column:
     return F.try_parse_url(col(c), F.lit(part))
 
 
-def url_host(u: Column | str) -> Column:
+def url_host(u: Column | str, strict_idn: bool = False) -> Column:
     """Host of a URL; when the text has none, retry with ``https://`` put in
-    front (so ``example.ua/x`` gives ``example.ua``)."""
+    front (so ``example.ua/x`` gives ``example.ua``).
+
+    ``java.net.URI`` has no host for names with ``_`` or non-ASCII text, so
+    the retry then yields ``https`` (kept by default, as the crawl tools do).
+    With ``strict_idn`` such names come from the raw authority instead
+    (user info and port removed)."""
     u = col(u)
-    return F.coalesce(
+    host = F.coalesce(
         try_parse_url(java_trim(u), "HOST"),
         try_parse_url(java_trim(F.concat(F.lit("https://"), u)), "HOST"),
     )
+    if not strict_idn:
+        return host
+    auth = try_parse_url(java_trim(u), "AUTHORITY")
+    bare = F.regexp_replace(F.regexp_replace(auth, "^[^@]*@", ""), ":[0-9]*$", "")
+    return F.coalesce(try_parse_url(java_trim(u), "HOST"), F.nullif(bare, F.lit("")), host)
 
 
 def url_path(u: Column | str) -> Column:

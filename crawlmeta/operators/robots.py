@@ -278,3 +278,12 @@ def agent_group_rows(df: DataFrame, keys: list[str], agents: list[str],
     hits = F.filter("_ng", lambda g: F.exists(g["user_agents"], lambda a: (a == "*") | F.contains(ua, a)))
     return x.select(*keys, "agent", F.explode(hits).alias("_g")).select(
         *keys, "agent", F.col("_g.group_no").cast("long").alias("group_no"))
+
+
+def with_resolved_sitemaps(df: DataFrame, robots_url: str = "robots_url", sitemap: str = "sitemap_url",
+                           out: str = "resolved_url") -> DataFrame:
+    """Optional ``resolved_url``: relative sitemap values (``/x``, ``//h/x``)
+    resolved against the robots URL; the raw value stays as it was. NULL
+    when the result is not an http(s) URL."""
+    from crawlmeta.functions.resolve import with_resolved
+    return with_resolved(df, robots_url, sitemap, out)

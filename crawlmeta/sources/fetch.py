@@ -85,11 +85,18 @@ def fetch_one(url: str, allow_local: bool = False, connect_timeout: float = poli
 
 
 def fetch(urls: DataFrame, url_col: str = "url", allow_local: bool = False, delay: float = policy.DEFAULT_DELAY_S,
-          partitions: int | None = None) -> DataFrame:
-    """Distinct URLs -> (url, status, body, attempts, error)."""
+          partitions: int | None = None, host_spread: int = 1) -> DataFrame:
+    """Distinct URLs -> (url, status, body, attempts, error).
+
+    URLs of one host go to at most ``host_spread`` tasks (1 = one task per
+    host, the polite default); raise it to split a host that holds a large
+    share of the URLs, at the cost of more parallel requests to it."""
+    if host_spread < 1:
+        raise ValueError("host_spread must be >= 1")
     u = urls.select(F.col(url_col).alias("url")).distinct()
     host = F.coalesce(F.try_parse_url(F.col("url"), F.lit("HOST")), F.col("url"))
-    u = u.repartition(partitions, host) if partitions else u.repartition(host)
+    spread = F.pmod(F.xxhash64("url"), F.lit(host_spread))
+    u = u.repartition(partitions, host, spread) if partitions else u.repartition(host, spread)
 
     def run(batches):
         for pdf in batches:

@@ -68,3 +68,14 @@ def test_anchor_rows(spark):
     df = spark.createDataFrame([(1, '<a href="/x">A &amp; B</a><a href="/y">y</a>')], "page_id long, html string")
     got = [(r["link_no"], r["href"], r["label"]) for r in html.anchor_rows(df).orderBy("link_no").collect()]
     assert got == [(1, "/x", "A & B"), (2, "/y", "y")]
+
+
+def test_strict_idn_host_and_resolved_sitemaps(spark):
+    assert one(spark, url.url_host, "https://ex_ample.ua/x") == "https"
+    assert one(spark, lambda c: url.url_host(c, strict_idn=True), "https://u@ex_ample.ua:8080/x") == "ex_ample.ua"
+    assert one(spark, lambda c: url.url_host(c, strict_idn=True), "https://example.com/x") == "example.com"
+    from crawlmeta.operators import robots
+    df = spark.createDataFrame([("https://h.ua/robots.txt", "/s.xml"), ("https://h.ua/robots.txt", "//cdn.ua/s.xml"),
+                                ("https://h.ua/robots.txt", "https://x.ua/s.xml")], "robots_url string, sitemap_url string")
+    got = sorted(r["resolved_url"] for r in robots.with_resolved_sitemaps(df).collect())
+    assert got == ["https://cdn.ua/s.xml", "https://h.ua/s.xml", "https://x.ua/s.xml"]
