@@ -7,23 +7,28 @@ depth <= ``max_depth`` (21 levels for the default 20). Breadth-first order
 means the first visit of a URL has its least depth, so level-by-level
 frontiers give the same visited set as a FIFO queue.
 
-A fetcher turns a set of URLs into two row sets: ``status (url, kind,
-error)`` and ``edges (url, kind, pos, target)`` (resolved locs, duplicates
-kept). Every URL is fetched, parsed and resolved once per crawl, not once
-per seed or level; a level is then three joins on ``url``:
+A fetcher turns a set of URLs into row sets: ``status (url, kind, error)``,
+``index_edges (url, target)`` (resolved children of sitemap indexes) and
+``page_edges (url, pos, target)`` (resolved page URLs of URL sets,
+duplicates kept). Every URL is fetched, parsed and resolved once per crawl,
+not once per seed or level. A level only needs the index edges:
 
-  visits   = frontier JOIN status
-  links    = frontier JOIN edges (url sets)
-  children = frontier JOIN edges (indexes) -> distinct -> ANTI JOIN visited
+  children = frontier JOIN index_edges -> distinct -> ANTI JOIN visited
+
+and after the last level two joins finish the job, each reading its table
+once: visits = frontiers JOIN status, links = parsed URL-set visits JOIN
+page_edges (the page table is by far the largest; it is never scanned per
+level).
 
 Scale notes: rows are hash-partitioned by url / (seed, url), so a seed with
 millions of children is spread over all tasks and no seed is collected in
-one place; AQE splits a hot URL shared by many seeds. The frontier of each
-level is a reliable checkpoint in the cluster's checkpoint folder (one
-action per level); visited = union of those checkpoints, so lineage stays
-one level deep and a lost executor recomputes at most one level. Distinct
-seed URLs are crawled once and seed rows join their results back (a seed
-listed twice emits its links twice).
+one place; AQE splits a hot URL shared by many seeds. The index edges are
+hash-partitioned by url once, so a level shuffles only its frontier. The
+frontier of each level is a reliable checkpoint in the cluster's checkpoint
+folder (one action per level); visited = union of those checkpoints, so
+lineage stays one level deep and a lost executor recomputes at most one
+level. Distinct seed URLs are crawled once and seed rows join their results
+back (a seed listed twice emits its links twice).
 """
 
 from __future__ import annotations
@@ -51,14 +56,15 @@ class CrawlResult:
 
 @dataclass
 class Fetched:
-    status: DataFrame     # url, kind, error        (one row per fetched URL)
-    edges: DataFrame      # url, kind, pos, target  (resolved locs of parsed documents)
+    status: DataFrame        # url, kind, error       (one row per fetched URL)
+    index_edges: DataFrame   # url, target            (children of sitemap indexes)
+    page_edges: DataFrame    # url, pos, target       (page URLs of URL sets)
 
 
 def documents_to_fetched(docs: DataFrame) -> Fetched:
-    """(url, body) -> parsed status + resolved edges, both checkpointed
-    (one Arrow pass for parsing, one for the rows resolution cannot do
-    with built-ins)."""
+    """(url, body) -> parsed status + resolved edges, checkpointed (one
+    Arrow pass for parsing, one for the rows resolution cannot do with
+    built-ins). Index edges are hash-partitioned by url for the level joins."""
     parsed = parse_sitemaps(docs.select("url", "body")).select(
         "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
     parsed = parsed.checkpoint(eager=True)
@@ -66,7 +72,16 @@ def documents_to_fetched(docs: DataFrame) -> Fetched:
     locs = parsed.filter(F.col("kind").isin(KIND_URLSET, KIND_INDEX)).select(
         "url", "kind", F.posexplode("locs").alias("pos", "loc"))
     edges = with_resolved(locs, "url", "loc", "target").filter(F.col("target").isNotNull()).drop("loc")
-    return Fetched(status, edges.checkpoint(eager=True))
+    edges = edges.checkpoint(eager=True)
+    index_edges = (edges.filter(F.col("kind") == KIND_INDEX).select("url", "target")
+                   .repartition("url").checkpoint(eager=True))
+    page_edges = edges.filter(F.col("kind") == KIND_URLSET).select("url", "pos", "target")
+    return Fetched(status, index_edges, page_edges)
+
+
+def _union_fetched(a: Fetched, b: Fetched) -> Fetched:
+    return Fetched(a.status.unionByName(b.status), a.index_edges.unionByName(b.index_edges),
+                   a.page_edges.unionByName(b.page_edges))
 
 
 def table_fetcher(documents: DataFrame, url: str = "url", body: str = "body") -> Callable[[DataFrame], Fetched]:
@@ -95,7 +110,7 @@ def body_fetcher(fetch_bodies: Callable[[DataFrame], DataFrame]) -> Callable[[Da
             new = urls.join(known[0].status.select("url"), "url", "left_anti")
         got = documents_to_fetched(fetch_bodies(new))
         if known:
-            got = Fetched(known[0].status.unionByName(got.status), known[0].edges.unionByName(got.edges))
+            got = _union_fetched(known[0], got)
         known[:] = [got]
         return got
     return fetch
@@ -110,32 +125,38 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
     roots = seeds.select(F.col(seed_url).alias("root")).distinct()
     frontier = roots.select("root", F.col("root").alias("url")).checkpoint(eager=True)
     visited: list[DataFrame] = []
-    visits, links = [], []
     status_expr = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
                    .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
     n_frontier = None
+    got: Fetched | None = None
+    frontiers: list[DataFrame] = []
     for depth in range(max_depth + 1):
         if n_frontier == 0 or (n_frontier is None and frontier.isEmpty()):
             break
         visited.append(frontier)
+        frontiers.append(frontier.withColumn("depth", F.lit(depth)))
         got = fetch(frontier.select("url").distinct())
-        v = frontier.join(got.status, "url", "left").select(
-            "root", F.col("url").alias("sitemap_url"), F.lit(depth).alias("depth"),
-            F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"),
-            F.coalesce("error", F.when(F.col("kind").isNull(), F.lit("Download failed"))).alias("error"))
-        visits.append(v.select("root", "sitemap_url", "depth", status_expr.alias("status"), "error"))
-        e = frontier.join(got.edges, "url")
-        links.append(e.filter(F.col("kind") == KIND_URLSET).select(
-            "root", F.col("url").alias("sitemap_url"), F.col("target").alias("page_url")))
         if depth == max_depth:
             break
-        children = e.filter(F.col("kind") == KIND_INDEX).select("root", F.col("target").alias("url")).distinct()
+        children = frontier.join(got.index_edges, "url").select("root", F.col("target").alias("url")).distinct()
         children = children.join(_union(visited, "root string, url string", spark), ["root", "url"], "left_anti")
         obs = Observation(f"frontier_{depth + 1}")
         frontier = children.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
         n_frontier = obs.get["n"]
-    all_visits = _union(visits, "root string, sitemap_url string, depth int, status string, error string", spark)
-    all_links = _union(links, "root string, sitemap_url string, page_url string", spark)
+    schema_v = "root string, sitemap_url string, depth int, status string, error string"
+    if got is None:
+        all_visits = spark.createDataFrame([], schema_v)
+        all_links = spark.createDataFrame([], "root string, sitemap_url string, page_url string")
+    else:
+        f = _union(frontiers, "root string, url string, depth int", spark)
+        v = f.join(got.status, "url", "left").select(
+            "root", F.col("url").alias("sitemap_url"), "depth",
+            F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"),
+            F.coalesce("error", F.when(F.col("kind").isNull(), F.lit("Download failed"))).alias("error"))
+        all_visits = v.select("root", "sitemap_url", "depth", status_expr.alias("status"), "error")
+        urlsets = v.filter(F.col("kind") == KIND_URLSET).select("root", F.col("sitemap_url").alias("url"))
+        all_links = urlsets.join(got.page_edges, "url").select(
+            "root", F.col("url").alias("sitemap_url"), F.col("target").alias("page_url"))
     s = seeds.select(F.col(seed_id).alias("seed_id"), F.col(seed_url).alias("root"))
     out_links = s.join(all_links, "root").select(
         "seed_id", F.col("root").alias("seed_sitemap_url"), "sitemap_url", "page_url")
