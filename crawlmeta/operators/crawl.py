@@ -34,6 +34,7 @@ back (a seed listed twice emits its links twice).
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -44,6 +45,22 @@ from crawlmeta.operators.sitemap_docs import KIND_FAILED, KIND_INDEX, KIND_INVAL
 from crawlmeta.session import checkpoint_dir
 
 MAX_SITEMAP_INDEX_DEPTH = 20
+# Sitemap bodies can be tens of MB: keep Arrow batches to few documents.
+DOCUMENT_BATCH_ROWS = 256
+
+
+@contextmanager
+def small_arrow_batches(spark, rows: int = DOCUMENT_BATCH_ROWS):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
 
 STATUS_PARSED, STATUS_INVALID, STATUS_FAILED = "parsed", "invalid", "failed"
 
@@ -67,7 +84,8 @@ def documents_to_fetched(docs: DataFrame) -> Fetched:
     built-ins). Index edges are hash-partitioned by url for the level joins."""
     parsed = parse_sitemaps(docs.select("url", "body")).select(
         "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
-    parsed = parsed.checkpoint(eager=True)
+    with small_arrow_batches(docs.sparkSession):
+        parsed = parsed.checkpoint(eager=True)
     status = parsed.select("url", "kind", "error")
     locs = parsed.filter(F.col("kind").isin(KIND_URLSET, KIND_INDEX)).select(
         "url", "kind", F.posexplode("locs").alias("pos", "loc"))

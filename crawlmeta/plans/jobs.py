@@ -77,35 +77,31 @@ def _check_slice(skip: int, max_files: int | None) -> None:
 def stage_archives(spark: SparkSession, manifest_path: str, dest_dir: str, skip: int = 0,
                    max_files: int | None = None, allow_local: bool = True) -> DataFrame:
     """Manifest -> archive URIs (slice applied after the path filter) ->
-    fetched into ``dest_dir`` (shared storage). Returns (archive_path,
-    archive_uri, local_path, error); one task per archive."""
+    each archive streamed into ``dest_dir`` (shared storage) by one task,
+    never held in memory. Returns (line_no, archive_path, archive_uri,
+    local_path, error); file names are content hashes, so a retried task
+    overwrites its own file."""
     _check_slice(skip, max_files)
     lines = manifest.read_manifest_lines(spark, manifest.resolve_manifest_path(manifest_path))
     paths = manifest.with_archive_uri(manifest.slice_archives(manifest.archive_paths(lines), skip, max_files))
-    got = fetch_src.fetch(paths.select(F.col("archive_uri").alias("url")), allow_local=allow_local, delay=0)
+    paths = paths.checkpoint(eager=True)
     import hashlib
 
     import pandas as pd
-
-    from crawlmeta.sources.files import open_output
     base = dest_dir.rstrip("/")
 
     def store(batches):
         for pdf in batches:
             out = []
-            for r in pdf.itertuples(index=False):
-                if r.body is None:
-                    out.append((r.url, None, r.error))
-                    continue
-                name = r.url.rstrip("/").rsplit("/", 1)[-1]
-                digest = hashlib.sha256(r.url.encode("utf-8")).hexdigest()[:16]
-                target = f"{base}/{digest}-{name}"
-                with open_output(target) as f:
-                    f.write(bytes(r.body))
-                out.append((r.url, target, None))
+            for uri in pdf["archive_uri"]:
+                name = uri.rstrip("/").rsplit("/", 1)[-1]
+                digest = hashlib.sha256(uri.encode("utf-8")).hexdigest()[:16]
+                out.append(fetch_src.download_to(uri, f"{base}/{digest}-{name}", allow_local=allow_local))
             yield pd.DataFrame(out, columns=["archive_uri", "local_path", "error"])
 
-    stored = got.mapInPandas(store, "archive_uri string, local_path string, error string")
+    n = max(1, paths.count())
+    stored = (paths.select("archive_uri").repartition(n, "archive_uri")
+              .mapInPandas(store, "archive_uri string, local_path string, error string"))
     return paths.join(stored, "archive_uri", "left")
 
 

@@ -104,3 +104,45 @@ def fetch(urls: DataFrame, url_col: str = "url", allow_local: bool = False, dela
             yield pd.DataFrame(rows, columns=["url", "status", "body", "attempts", "error"])
 
     return u.mapInPandas(run, FETCH_SCHEMA)
+
+
+def download_to(url: str, dest: str, allow_local: bool = True, delay: float = 0,
+                chunk: int = 8 << 20) -> tuple[str, str | None, str | None]:
+    """Stream one URL (file: / local path / http(s)) into ``dest`` chunk by
+    chunk, never holding the whole body; retries follow the policy.
+    Returns (url, dest or None, error)."""
+    import shutil
+
+    from crawlmeta.sources.files import open_output
+    scheme = url.split(":", 1)[0].lower() if ":" in url.split("/", 1)[0] else None
+    if scheme == "file" or (scheme is None and allow_local):
+        try:
+            with open_input(url) as src, open_output(dest) as out:
+                shutil.copyfileobj(src, out, chunk)
+            return url, dest, None
+        except OSError as ex:
+            return url, None, f"{type(ex).__name__}: {ex}"
+    if scheme not in ("http", "https"):
+        return url, None, f"Unsupported URI scheme: {scheme}"
+    bucket = _bucket(url)
+    max_attempts = policy.BUCKET_MAX_ATTEMPTS if bucket else policy.DEFAULT_MAX_ATTEMPTS
+    backoff = policy.RETRY_DELAY_MS / 1000.0
+    last = None
+    for attempt in range(1, max_attempts + 1):
+        _wait(delay)
+        try:
+            req = urllib.request.Request(url, headers={"User-Agent": USER_AGENT})
+            with urllib.request.urlopen(req, timeout=policy.DEFAULT_READ_TIMEOUT_S) as r, open_output(dest) as out:
+                shutil.copyfileobj(r, out, chunk)
+            return url, dest, None
+        except urllib.error.HTTPError as ex:
+            retry = ex.code in policy.TRANSIENT_STATUS_CODES or (ex.code == 403 and bucket)
+            last = f"GET {url} returned {ex.code} {ex.reason}"
+            if not retry:
+                return url, None, last
+        except (OSError, ValueError) as ex:
+            last = f"{type(ex).__name__}: {ex}"
+        if attempt < max_attempts:
+            time.sleep(backoff)
+            backoff = policy.RETRY_DELAY_MS / 1000.0 if bucket else min(backoff * 2, policy.MAX_BACKOFF_MS / 1000.0)
+    return url, None, f"GET {url} failed after {max_attempts} attempts: {last}"
