@@ -62,6 +62,8 @@ def exact_resolve(base: pd.Series, loc: pd.Series) -> pd.Series:
 def with_resolved(df: DataFrame, base: str, loc: str, out: str) -> DataFrame:
     """Add ``out`` = resolved page URL or NULL (unresolvable / not http(s)).
     ``df`` is read twice (fast rows, exact rows): pass a materialised frame."""
+    from crawlmeta.session import ship_package
+    ship_package(df.sparkSession)
     x = df.withColumn(out, fast_resolve(base, loc)).withColumn("_rs_fast", F.col(out).isNotNull())
     fast = x.filter("_rs_fast")
     slow = x.filter(~F.col("_rs_fast")).withColumn(out, exact_resolve(F.col(base), F.col(loc)))

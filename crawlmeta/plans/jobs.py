@@ -82,6 +82,8 @@ def stage_archives(spark: SparkSession, manifest_path: str, dest_dir: str, skip:
     local_path, error); file names are content hashes, so a retried task
     overwrites its own file."""
     _check_slice(skip, max_files)
+    from crawlmeta.session import ship_package
+    ship_package(spark)
     lines = manifest.read_manifest_lines(spark, manifest.resolve_manifest_path(manifest_path))
     paths = manifest.with_archive_uri(manifest.slice_archives(manifest.archive_paths(lines), skip, max_files))
     paths = paths.checkpoint(eager=True)

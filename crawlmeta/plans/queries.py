@@ -19,6 +19,8 @@ AGENTS = ["Googlebot", "Bingbot", "a-crawler/1.0", "B", "CCBot/2.0"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from crawlmeta.session import ship_package
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

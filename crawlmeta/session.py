@@ -81,3 +81,33 @@ def local_rows(spark: SparkSession, columns: list[str], rows: list[tuple], schem
         types = [x.strip().split(" ", 1) for x in schema.split(",")]
         df = df.select(*[F.col(n).cast(t).alias(n) for n, t in types])
     return df
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``crawlmeta`` importable by the Python workers (UDFs, data
+    sources, ``mapInPandas``): the package is zipped once per SparkContext
+    and added with ``addPyFile``, which Spark distributes to every executor
+    (the same as ``--py-files``). Skipped when ``spark.submit.pyFiles``
+    already carries it."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    if "crawlmeta" not in (sc.getConf().get("spark.submit.pyFiles", "") or ""):
+        import crawlmeta
+        pkg = os.path.dirname(os.path.abspath(crawlmeta.__file__))
+        root = os.path.dirname(pkg)
+        path = os.path.join(tempfile.mkdtemp(prefix="crawlmeta-pyfiles-"), "crawlmeta.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _dirs, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(path)
+    _SHIPPED.add(key)

@@ -39,6 +39,8 @@ def write_table(df: DataFrame, path: str) -> None:
 def export_files(df: DataFrame, root: str, text_col: str = "text") -> None:
     """One UTF-8 file per row at ``<root>/<file_name>`` (same name replaces)."""
     base = root.rstrip("/")
+    from crawlmeta.session import ship_package
+    ship_package(df.sparkSession)
 
     def write(rows):
         for r in rows:

@@ -93,6 +93,8 @@ def fetch(urls: DataFrame, url_col: str = "url", allow_local: bool = False, dela
     share of the URLs, at the cost of more parallel requests to it."""
     if host_spread < 1:
         raise ValueError("host_spread must be >= 1")
+    from crawlmeta.session import ship_package
+    ship_package(urls.sparkSession)
     u = urls.select(F.col(url_col).alias("url")).distinct()
     host = F.coalesce(F.try_parse_url(F.col("url"), F.lit("HOST")), F.col("url"))
     spread = F.pmod(F.xxhash64("url"), F.lit(host_spread))

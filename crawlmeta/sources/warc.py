@@ -197,6 +197,8 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from crawlmeta.session import ship_package
+    ship_package(spark)
     spark.dataSource.register(WarcDataSource)
 
 
@@ -249,6 +251,9 @@ def write_warc_files(df: DataFrame, out_dir: str, archive_col: str = "archive_ke
     from pyspark import TaskContext
     from pyspark.sql import functions as F
 
+    from crawlmeta.session import ship_package
+    ship_package(df.sparkSession)
+
     def write(batches):
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
         for b, pdf in enumerate(batches):
