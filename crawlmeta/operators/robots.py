@@ -217,6 +217,20 @@ def with_robots(df: DataFrame, body: str = "body", out: str = "robots") -> DataF
     return df.drop(d, first, placed)
 
 
+def with_sitemaps(df: DataFrame, body: str = "body", out: str = "robots") -> DataFrame:
+    """Light parse for link extraction: ``out = STRUCT<sitemaps, valid>``.
+
+    Exactly the ``sitemaps`` and ``valid`` of ``with_robots`` without
+    assembling groups or warnings: a file has a group iff it has a
+    non-empty user-agent line, so valid = any user-agent or usable sitemap
+    line."""
+    d = "_rb_dirs"
+    df = df.withColumn(d, directives(body))
+    sitemaps = F.transform(F.filter(d, lambda x: x["k"] == K_SITEMAP), lambda x: x["v"])
+    valid = F.exists(d, lambda x: x["k"].isin(K_AGENT, K_SITEMAP))
+    return df.withColumn(out, F.struct(sitemaps.alias("sitemaps"), valid.alias("valid"))).drop(d)
+
+
 def directive_rows(df: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
     """One row per non-blank line: keys + line_no, field, value, kind."""
     x = df.select(*keys, F.posexplode(directives(body)).alias("_pos", "_d"))

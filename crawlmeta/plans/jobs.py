@@ -114,7 +114,7 @@ def _captures(spark: SparkSession, archives: str) -> tuple[DataFrame, DataFrame]
         F.concat_ws(": ", "archive_path", F.coalesce("target_url", F.lit("archive")), "error").alias("failure"))
     ok = w.filter(F.col("error").isNull() & (F.col("record_type") == "response") & is_robots_target("target_url"))
     ok = ok.withColumn("text", robots.decode_body("body")).drop("body")
-    return robots.with_robots(ok, body="text"), failures
+    return robots.with_sitemaps(ok, body="text"), failures
 
 
 def _failures(df: DataFrame) -> list[str]:
@@ -181,7 +181,7 @@ def country_sitemaps_job(spark: SparkSession, archives: str, out_path: str, coun
 
 def local_sitemaps_job(spark: SparkSession, root: str, out_path: str) -> JobResult:
     files = local_tree.read_robots_tree(spark, root).withColumn("text", robots.decode_body("body")).drop("body")
-    parsed = robots.with_robots(files, body="text")
+    parsed = robots.with_sitemaps(files, body="text")
     valid = F.col("robots.valid")
     obs = Observation("local")
     parsed = parsed.observe(obs, F.count_if(valid).alias("parsed_files"), F.count_if(~valid).alias("rejected_files"))

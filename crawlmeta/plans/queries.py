@@ -34,7 +34,7 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sitemap_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct sitemap URLs of valid captures: page_id, robots_host, sitemap_url."""
-    p = parsed(spark, sf_dir)
+    p = robots.with_sitemaps(captures(spark, sf_dir))
     return robots.sitemap_rows(p, ["page_id", "robots_url", "robots_host"]).drop("sitemap_no")
 
 
@@ -415,7 +415,7 @@ from crawlmeta.streaming import pipelines as streams  # noqa: E402
 
 def local_sitemap_lines(spark, sf_dir) -> DataFrame:
     """Corpus A links as local sitemap TSV lines (file path, host, scheme, URL)."""
-    links = robots.sitemap_rows(parsed(spark, sf_dir), ["page_id", "robots_host"])
+    links = robots.sitemap_rows(robots.with_sitemaps(captures(spark, sf_dir)), ["page_id", "robots_host"])
     path = F.concat(F.lit("/data/robots/"), F.col("robots_host"), F.lit("/https-"),
                     F.col("page_id").cast("string"), F.lit(".txt"))
     return links.select("page_id", tsv_row(path, "robots_host", F.lit("https"), "sitemap_url").alias("value"))
@@ -442,7 +442,7 @@ def q_sitemap_country_counts_lineitem(spark, sf_dir):
     """Flagship pipeline over one robots capture per lineitem row."""
     keys = corpus.lineitem_pages(table(spark, sf_dir, "lineitem"))
     caps = corpus.robots_captures(keys)
-    links = robots.sitemap_rows(robots.with_robots(caps), ["page_id", "robots_host"]).drop("sitemap_no")
+    links = robots.sitemap_rows(robots.with_sitemaps(caps), ["page_id", "robots_host"]).drop("sitemap_no")
     cls = geo.classify(links, geo.sample_dimension(spark), "robots_host", "sitemap_url")
     return cls.groupBy("country_key", "language_region").agg(F.count(F.lit(1)).alias("links"))
 

@@ -128,3 +128,19 @@ def test_parse_has_no_shuffle(spark):
     df = spark.createDataFrame([(1, "User-agent: *\n")], "id int, body string")
     plan = robots.with_robots(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_light_parse_equals_full_parse(spark):
+    from crawlmeta.sources import corpus
+    from tests.conftest import SF001
+    pages = spark.read.parquet(f"{SF001}/pages.parquet").select("page_id", "url")
+    li = corpus.lineitem_pages(spark.read.parquet(f"{SF001}/lineitem.parquet")) \
+        .withColumn("page_id", F.col("page_id") + 10**9)
+    caps = corpus.robots_captures(pages).unionByName(corpus.robots_captures(li))
+    extra = spark.createDataFrame([(-1, "", "", "User-agent:\nSitemap: x\n"), (-2, "", "", "Allow: /\n"),
+                                   (-3, "", "", "user-agent: a\n")], "page_id long, robots_url string, robots_host string, body string")
+    caps = caps.unionByName(extra)
+    full = robots.with_robots(caps).select("page_id", F.col("robots.sitemaps").alias("s1"), F.col("robots.valid").alias("v1"))
+    light = robots.with_sitemaps(caps).select("page_id", F.col("robots.sitemaps").alias("s2"), F.col("robots.valid").alias("v2"))
+    diff = full.join(light, "page_id").filter((F.col("s1") != F.col("s2")) | (F.col("v1") != F.col("v2"))).count()
+    assert diff == 0
