@@ -68,7 +68,12 @@ def dimension_from_rows(spark: SparkSession, rows: list[tuple[str, str, str]]) -
 
 
 def sample_dimension(spark: SparkSession) -> DataFrame:
-    return dimension_from_rows(spark, SAMPLE_COUNTRY_SUFFIXES)
+    """The fixed sample dimension, built once per session."""
+    dim = getattr(spark, "_crawlmeta_sample_dimension", None)
+    if dim is None:
+        dim = dimension_from_rows(spark, SAMPLE_COUNTRY_SUFFIXES)
+        spark._crawlmeta_sample_dimension = dim
+    return dim
 
 
 def dimension_from_lines(lines: DataFrame, line_col: str = "value", ord_col: str = "line_no") -> DataFrame:
@@ -89,9 +94,18 @@ def load_suffixes(spark: SparkSession, path: str) -> DataFrame:
     return dimension_from_lines(lines)
 
 
-def checked_broadcast(dim: DataFrame, limit: int = MAX_BROADCAST_DIMENSION_ROWS) -> DataFrame:
+def row_count(df: DataFrame) -> int:
+    """Row count of a (small) lookup frame, computed once per frame object."""
+    n = getattr(df, "_crawlmeta_rows", None)
+    if n is None:
+        n = df.count()
+        df._crawlmeta_rows = n
+    return n
+
+
+def checked_broadcast(dim: DataFrame, limit: int = MAX_BROADCAST_DIMENSION_ROWS, rows: int | None = None) -> DataFrame:
     """Broadcast a lookup side only after its row count is checked."""
-    n = dim.count()
+    n = row_count(dim) if rows is None else rows
     return F.broadcast(dim) if n <= limit else dim
 
 
@@ -166,7 +180,7 @@ def classify(df: DataFrame, dim: DataFrame, host_col: str, url_col: str, keep_un
     from the sitemap URL's host. Rows without a country are dropped unless
     ``keep_unmatched`` (then the four columns are NULL)."""
     cands = _by_last_label(dim)
-    if dim.count() <= MAX_BROADCAST_DIMENSION_ROWS:
+    if row_count(dim) <= MAX_BROADCAST_DIMENSION_ROWS:
         cands = F.broadcast(cands)
     rh, sh, uh, up = "_cl_rhost", "_cl_shost", "_cl_uhost", "_cl_upath"
     x = (df.withColumn(uh, url_host(url_col)).withColumn(up, url_path(url_col))
@@ -198,8 +212,9 @@ def select_country(dim: DataFrame, queries: DataFrame, query_col: str = "query")
                .groupBy("k").agg(F.min("c").alias("c")))
     by_suffix = dim.groupBy(F.col("suffix").alias("k")).agg(
         F.min(F.struct("ord", "country_key", "country_name")).alias("c"))
-    a = checked_broadcast(by_slug.select(F.col("k").alias("_sc_k1"), F.col("c").alias("_sc_c1")))
-    b = checked_broadcast(by_suffix.select(F.col("k").alias("_sc_k2"), F.col("c").alias("_sc_c2")))
+    n = 2 * row_count(dim)   # each lookup has at most two keys per dimension row
+    a = checked_broadcast(by_slug.select(F.col("k").alias("_sc_k1"), F.col("c").alias("_sc_c1")), rows=n)
+    b = checked_broadcast(by_suffix.select(F.col("k").alias("_sc_k2"), F.col("c").alias("_sc_c2")), rows=n)
     probes = queries.withColumn("_sc_slug", slug(query_col)).withColumn("_sc_suffix", normalize_suffix(query_col))
     x = probes.join(a, probes["_sc_slug"] == a["_sc_k1"], "left").join(
         b, probes["_sc_suffix"] == b["_sc_k2"], "left")
