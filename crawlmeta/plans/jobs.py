@@ -168,14 +168,15 @@ def country_sitemaps_job(spark: SparkSession, archives: str, out_path: str, coun
     one = _one_country(spark, dim, country)
     caps, failures = _captures(spark, archives)
     valid = F.col("robots.valid")
+    files = Observation("files")
+    caps = caps.observe(files, F.count_if(valid).alias("parsed_files"), F.count_if(~valid).alias("rejected_files"))
     rows = sitemap_rows_from_captures(caps).withColumn(
         "robots_host", F.coalesce(url_host("robots_url"), F.lit("unknown-host")))
     cls = geo.classify(rows, one, "robots_host", "sitemap_url")
     obs = Observation("country")
     cls = cls.observe(obs, F.count(F.lit(1)).alias("matched_links"))
     tsv_sink.write_tsv(cls, tsv.WARC_COUNTRY_COLUMNS, out_path)
-    totals = caps.agg(F.count_if(valid).alias("parsed_files"), F.count_if(~valid).alias("rejected_files")).first()
-    return JobResult({**dict(obs.get), **totals.asDict()}, _failures(failures),
+    return JobResult({**dict(files.get), **dict(obs.get)}, _failures(failures),
                      metrics_op.archive_results(caps, cls)).raise_if_failed("archives")
 
 
@@ -227,10 +228,12 @@ def download_sitemaps_job(spark: SparkSession, in_root: str, out_path: str,
     (depth <= max_depth) and every page URL becomes (seed, sitemap, page)."""
     pol = fetch_policy or FetchPolicy()
     lines = tsv.parse_seed_rows(tsv.read_lines(spark, in_root, tsv.SITEMAPS_SUFFIX))
-    counts = lines.agg(F.count_if(F.col("status") == "ok").alias("read_rows"),
-                       F.count_if(F.col("status") == "malformed").alias("malformed_rows")).first().asDict()
+    obs = Observation("seeds")
+    lines = lines.observe(obs, F.count_if(F.col("status") == "ok").alias("read_rows"),
+                          F.count_if(F.col("status") == "malformed").alias("malformed_rows"))
     seeds = lines.filter(F.col("status") == "ok").select(
         F.monotonically_increasing_id().alias("seed_id"), "seed_sitemap_url").checkpoint(eager=True)
+    counts = dict(obs.get)
     if fetcher is None:
         fetcher = crawl_op.body_fetcher(lambda urls: fetch_src.fetch(
             urls, allow_local=allow_local, delay=pol.delay_s).select("url", "body"))
