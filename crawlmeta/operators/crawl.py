@@ -22,9 +22,11 @@ level).
 
 Scale notes: rows are hash-partitioned by url / (seed, url), so a seed with
 millions of children is spread over all tasks and no seed is collected in
-one place; AQE splits a hot URL shared by many seeds. The index edges are
-hash-partitioned by url once, so a level shuffles only its frontier. The
-frontier of each level is a reliable checkpoint in the cluster's checkpoint
+one place; AQE splits a hot URL shared by many seeds. Each level knows the
+exact size of its frontier and visited set (observed at the checkpoint):
+below CRAWL_BROADCAST_ROWS the set is broadcast, so the edge tables are
+streamed without a shuffle; above it the join shuffles (never a broadcast
+from a stale estimate). The frontier of each level is a reliable checkpoint in the cluster's checkpoint
 folder (one action per level); visited = union of those checkpoints, so
 lineage stays one level deep and a lost executor recomputes at most one
 level. Distinct seed URLs are crawled once and seed rows join their results
@@ -45,6 +47,11 @@ from crawlmeta.operators.sitemap_docs import KIND_FAILED, KIND_INDEX, KIND_INVAL
 from crawlmeta.session import checkpoint_dir
 
 MAX_SITEMAP_INDEX_DEPTH = 20
+# A frontier / visited set is broadcast only when its counted size is at most
+# this many rows (a few tens of MB); larger sets use a shuffle join. The
+# counts are exact (observed at each checkpoint), not optimizer estimates.
+CRAWL_BROADCAST_ROWS = 500_000
+
 # Sitemap bodies can be tens of MB: keep Arrow batches to few documents.
 DOCUMENT_BATCH_ROWS = 256
 
@@ -81,7 +88,7 @@ class Fetched:
 def documents_to_fetched(docs: DataFrame) -> Fetched:
     """(url, body) -> parsed status + resolved edges, checkpointed (one
     Arrow pass for parsing, one for the rows resolution cannot do with
-    built-ins). Index edges are hash-partitioned by url for the level joins."""
+    built-ins)."""
     parsed = parse_sitemaps(docs.select("url", "body")).select(
         "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
     with small_arrow_batches(docs.sparkSession):
@@ -91,8 +98,7 @@ def documents_to_fetched(docs: DataFrame) -> Fetched:
         "url", "kind", F.posexplode("locs").alias("pos", "loc"))
     edges = with_resolved(locs, "url", "loc", "target").filter(F.col("target").isNotNull()).drop("loc")
     edges = edges.checkpoint(eager=True)
-    index_edges = (edges.filter(F.col("kind") == KIND_INDEX).select("url", "target")
-                   .repartition("url").checkpoint(eager=True))
+    index_edges = edges.filter(F.col("kind") == KIND_INDEX).select("url", "target")
     page_edges = edges.filter(F.col("kind") == KIND_URLSET).select("url", "pos", "target")
     return Fetched(status, index_edges, page_edges)
 
@@ -141,23 +147,29 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
     spark = seeds.sparkSession
     checkpoint_dir(spark)
     roots = seeds.select(F.col(seed_url).alias("root")).distinct()
-    frontier = roots.select("root", F.col("root").alias("url")).checkpoint(eager=True)
+    obs0 = Observation("frontier_0")
+    frontier = roots.select("root", F.col("root").alias("url")).observe(
+        obs0, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    n_frontier = obs0.get["n"]
+    n_visited = 0
     visited: list[DataFrame] = []
     status_expr = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
                    .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
-    n_frontier = None
     got: Fetched | None = None
     frontiers: list[DataFrame] = []
     for depth in range(max_depth + 1):
-        if n_frontier == 0 or (n_frontier is None and frontier.isEmpty()):
+        if n_frontier == 0:
             break
         visited.append(frontier)
+        n_visited += n_frontier
         frontiers.append(frontier.withColumn("depth", F.lit(depth)))
         got = fetch(frontier.select("url").distinct())
         if depth == max_depth:
             break
-        children = frontier.join(got.index_edges, "url").select("root", F.col("target").alias("url")).distinct()
-        children = children.join(_union(visited, "root string, url string", spark), ["root", "url"], "left_anti")
+        children = (_sized(frontier, n_frontier).join(got.index_edges, "url")
+                    .select("root", F.col("target").alias("url")).distinct())
+        seen = _sized(_union(visited, "root string, url string", spark), n_visited)
+        children = children.join(seen, ["root", "url"], "left_anti")
         obs = Observation(f"frontier_{depth + 1}")
         frontier = children.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
         n_frontier = obs.get["n"]
@@ -166,7 +178,7 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
         all_visits = spark.createDataFrame([], schema_v)
         all_links = spark.createDataFrame([], "root string, sitemap_url string, page_url string")
     else:
-        f = _union(frontiers, "root string, url string, depth int", spark)
+        f = _sized(_union(frontiers, "root string, url string, depth int", spark), n_visited)
         v = f.join(got.status, "url", "left").select(
             "root", F.col("url").alias("sitemap_url"), "depth",
             F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"),
@@ -183,6 +195,12 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
     return CrawlResult(out_links, out_visits)
 
 
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a side whose row count is known to be small; otherwise
+    ask for a shuffle join so a stale size estimate never broadcasts it."""
+    return F.broadcast(df) if rows <= CRAWL_BROADCAST_ROWS else df.hint("shuffle_hash")
+
+
 def _union(frames: list[DataFrame], schema: str, spark) -> DataFrame:
     if not frames:
         return spark.createDataFrame([], schema)

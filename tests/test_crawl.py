@@ -38,3 +38,8 @@ def test_depth_limit_and_duplicate_seeds(spark):
     shallow = crawl_op.crawl(seeds, fetch, max_depth=1)
     assert shallow.links.count() == 0
     assert shallow.visits.filter(F.col("seed_id") == 1).count() == 2
+
+
+def test_shuffle_path_gives_same_totals(spark, monkeypatch):
+    monkeypatch.setattr(crawl_op, "CRAWL_BROADCAST_ROWS", 0)
+    assert totals(spark, SF0001) == (50, 627, 123, 20, 322)
