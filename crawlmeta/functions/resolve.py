@@ -1,70 +1,122 @@
-"""Sitemap ``loc`` resolution against the sitemap URL: built-in fast path,
-Arrow batch function for the rest.
-
-Most locs are already-normal absolute http(s) URLs, root-relative paths or
-simple relative paths; for those ``URI.resolve(..).normalize()`` is a plain
-string operation, done here with regular expressions (JVM, codegen). Only
-rows the patterns do not cover (dot segments, ``//``, odd characters,
-non-ASCII text, fragments in odd places ...) go through the exact
-``java.net.URI`` rules in ``javauri``. The two row sets are split with
-filters before the Python function, because Spark evaluates a Python UDF
-for every input row even inside a CASE branch.
+"""Sitemap ``loc`` resolution against the sitemap URL, as built-in
+expressions (no Python).
+
+``java.net.URI.resolve(..).normalize()`` semantics (RFC 2396), followed by
+the page-URL check (http/https scheme, non-empty authority, hierarchical,
+no whitespace or control character). Parsing is done by Spark's
+``parse_url``, which is ``java.net.URI`` itself, so a reference that Java
+rejects (space, ``|``, ``[`` in a path, a second ``#``, a bad ``%`` escape,
+bad scheme characters ...) gives NULL here too. What is left is the
+resolution and dot-segment rules, written with ``CASE`` and a small
+``aggregate`` stack:
+
+* a reference with a scheme is used as it is;
+* ``//host/...`` takes only the base scheme;
+* an absolute path takes the base scheme and authority;
+* a relative path (also ``?q`` alone or an empty reference) is appended to
+  the base directory; the base query and fragment are dropped;
+* a lone ``#frag`` keeps the whole base and replaces its fragment;
+* normalisation drops ``.`` segments and ``seg/..`` pairs, keeps a ``..``
+  that has nothing to cancel, and collapses repeated slashes in the path.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from crawlmeta.functions.javauri import resolve_loc as _resolve_one
 from crawlmeta.functions.text import col
 
-_ESC = "%[0-9A-Fa-f]{2}"
-_SEG_CH = r"[A-Za-z0-9\-_.!~*'():@&=+$,;]"
-_SEG_CH_NOCOLON = r"[A-Za-z0-9\-_.!~*'()@&=+$,;]"
-_Q_CH = r"[A-Za-z0-9\-_.!~*'();/?:@&=+$,\[\]]"
-_NOT_DOT = r"(?!\.\.?(?:/|\?|#|$))"
-_SEG = f"{_NOT_DOT}(?:{_SEG_CH}|{_ESC})+"
-_QUERY = f"(?:\\?(?:{_Q_CH}|{_ESC})*)?"
-_FRAG = f"(?:#(?:{_Q_CH}|{_ESC})*)?"
-_PATH = f"(?:/{_SEG})*/?"
-_ORIGIN = r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?"
-
-# Already-normal absolute http(s) URL: resolves to itself.
-FAST_ABSOLUTE = f"^{_ORIGIN}{_PATH}{_QUERY}{_FRAG}$"
-# Root-relative reference: origin of the base + the reference.
-FAST_ROOT_RELATIVE = f"^/(?:{_SEG}(?:/{_SEG})*/?)?{_QUERY}{_FRAG}$"
-# Relative path reference (no scheme-like first segment): base directory + reference.
-FAST_RELATIVE = f"^{_NOT_DOT}(?:{_SEG_CH_NOCOLON}|{_ESC})+(?:/{_SEG})*/?{_QUERY}{_FRAG}$"
-
-
-def fast_resolve(base: Column | str, loc: Column | str) -> Column:
-    """Resolved URL for the covered shapes, NULL when the row needs the
-    exact path."""
-    b, c = col(base), col(loc)
-    base_ok = b.rlike(FAST_ABSOLUTE)
-    origin = F.regexp_extract(b, r"^(https?://[^/?#]*)", 1)
-    bpath = F.regexp_extract(b, r"^https?://[^/?#]*([^?#]*)", 1)
-    bdir = F.when(bpath == "", F.lit("/")).otherwise(F.regexp_extract(bpath, r"^(.*/)", 1))
-    return (F.when(c.rlike(FAST_ABSOLUTE), c)
-            .when(base_ok & c.rlike(FAST_ROOT_RELATIVE), F.concat(origin, c))
-            .when(base_ok & c.rlike(FAST_RELATIVE), F.concat(origin, bdir, c)))
-
-
-@F.pandas_udf(T.StringType())
-def exact_resolve(base: pd.Series, loc: pd.Series) -> pd.Series:
-    return pd.Series([None if b is None or c is None else _resolve_one(b, c) for b, c in zip(base, loc)],
-                     dtype=object)
+
+def _part(u: Column, name: str) -> Column:
+    return F.try_parse_url(u, F.lit(name))
+
+
+# A path needs normalisation when it has a '.' or '..' segment or an empty
+# segment ('//'), or starts with more than one slash.
+_NEEDS_NORMALIZE = r"//|(^|/)[.][.]?(/|$)"
+
+
+def normalize_path(path: Column) -> Column:
+    absolute = path.startswith("/")
+    body = F.regexp_replace(path, "^/+", "")
+    ends_slash = body.endswith("/")
+    segs = F.filter(F.split(body, "/+", -1), lambda s: s != "")
+    n = F.size(segs)
+    # each segment keeps whether a slash followed it in the original path
+    tagged = F.transform(segs, lambda s, i: F.struct(s.alias("s"), ((i + 1 < n) | ends_slash).alias("slash")))
+    empty = F.array().cast("array<struct<s:string,slash:boolean>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        last = F.element_at(acc, -1)
+        return (F.when(x["s"] == ".", acc)
+                .when(x["s"] == "..", F.when((F.size(acc) > 0) & (last["s"] != ".."), F.slice(acc, 1, F.size(acc) - 1))
+                      .otherwise(F.array_append(acc, x)))
+                .otherwise(F.array_append(acc, x)))
+
+    kept = F.aggregate(tagged, empty, step)
+    # a removed '.' / '..' at the end leaves the previous segment's slash
+    joined = F.array_join(F.transform(kept, lambda x: F.concat(x["s"], F.when(x["slash"], "/").otherwise(""))), "")
+    out = F.concat(F.when(absolute, "/").otherwise(""), joined)
+    return F.when(path.rlike(_NEEDS_NORMALIZE), out).otherwise(path)
+
+
+def _server_authority(u: Column, auth: Column) -> Column:
+    """Authority as ``URI.toString`` rebuilds it for a new URI: a server
+    authority drops an empty port (``host:`` -> ``host``)."""
+    return F.when(_part(u, "HOST").isNotNull(), F.regexp_replace(auth, ":$", "")).otherwise(auth)
+
+
+def java_resolve(base: Column | str, loc: Column | str) -> Column:
+    """``base.resolve(loc).normalize()`` as a string when it is a valid
+    http(s) page URL, else NULL."""
+    b, r = col(base), col(loc)
+    b_scheme, b_auth, b_path = _part(b, "PROTOCOL"), _part(b, "AUTHORITY"), _part(b, "PATH")
+    b_query, b_frag = _part(b, "QUERY"), _part(b, "REF")
+    r_scheme, r_auth, r_path = _part(r, "PROTOCOL"), _part(r, "AUTHORITY"), _part(r, "PATH")
+    r_query, r_frag = _part(r, "QUERY"), _part(r, "REF")
+    b_ok = b_path.isNotNull() | b_scheme.isNotNull()
+    r_ok = r_path.isNotNull() | r_scheme.isNotNull()
+    r_opaque = r_scheme.isNotNull() & r_path.isNull()
+    b_opaque = b_scheme.isNotNull() & b_path.isNull()
+
+    def build(scheme: Column, auth: Column, path: Column, query: Column, frag: Column) -> Column:
+        return F.concat(F.coalesce(F.concat(scheme, F.lit(":")), F.lit("")),
+                        F.coalesce(F.concat(F.lit("//"), auth), F.lit("")), F.coalesce(path, F.lit("")),
+                        F.coalesce(F.concat(F.lit("?"), query), F.lit("")),
+                        F.coalesce(F.concat(F.lit("#"), frag), F.lit("")))
+
+    # reference with a scheme: itself, rebuilt only when normalisation changes its path
+    abs_path = normalize_path(r_path)
+    absolute = F.when(abs_path == r_path, r).otherwise(
+        build(r_scheme, _server_authority(r, r_auth), abs_path, r_query, r_frag))
+    # lone fragment: the base with that fragment
+    lone_frag = r_scheme.isNull() & r_auth.isNull() & (r_path == "") & r_frag.isNotNull() & r_query.isNull()
+    b_norm = normalize_path(b_path)
+    same_frag = F.coalesce(b_frag == r_frag, F.lit(False))
+    fragment_only = F.when(same_frag & (b_norm == b_path), b).otherwise(
+        build(b_scheme, _server_authority(b, b_auth), b_norm, b_query, r_frag))
+    # relative reference
+    b_dir = F.regexp_extract(b_path, "^(.*/)", 1)
+    merged = (F.when(r_path == "", b_dir)
+              .when((b_dir != "") | b_scheme.isNull(), F.concat(b_dir, r_path))
+              .otherwise(F.concat(F.lit("/"), r_path)))
+    rel_path = F.when(r_auth.isNotNull() | r_path.startswith("/"), r_path).otherwise(merged)
+    rel_auth = F.when(r_auth.isNotNull(), _server_authority(r, r_auth)).otherwise(_server_authority(b, b_auth))
+    relative = build(b_scheme, rel_auth, normalize_path(rel_path), r_query, r_frag)
+    out_auth = F.when(r_scheme.isNotNull(), r_auth).when(r_auth.isNotNull(), r_auth).otherwise(b_auth)
+    out_scheme = F.coalesce(r_scheme, b_scheme)
+    resolved = (F.when(r_scheme.isNotNull(), absolute).when(lone_frag, fragment_only).otherwise(relative))
+    valid = (b_ok & r_ok & ~r_opaque & ~b_opaque & F.lower(out_scheme).isin("http", "https")
+             & F.coalesce(out_auth != "", F.lit(False))
+             & ~resolved.rlike("[\\p{javaWhitespace}\\p{javaISOControl}]"))
+    # a scheme-carrying reference is used as it is even against an opaque base
+    valid_abs = (r_ok & ~r_opaque & F.lower(r_scheme).isin("http", "https") & F.coalesce(r_auth != "", F.lit(False))
+                 & ~absolute.rlike("[\\p{javaWhitespace}\\p{javaISOControl}]"))
+    return F.when(r_scheme.isNotNull(), F.when(F.coalesce(valid_abs, F.lit(False)), absolute)).otherwise(
+        F.when(F.coalesce(valid, F.lit(False)), resolved))
 
 
 def with_resolved(df: DataFrame, base: str, loc: str, out: str) -> DataFrame:
-    """Add ``out`` = resolved page URL or NULL (unresolvable / not http(s)).
-    ``df`` is read twice (fast rows, exact rows): pass a materialised frame."""
-    from crawlmeta.session import ship_package
-    ship_package(df.sparkSession)
-    x = df.withColumn(out, fast_resolve(base, loc)).withColumn("_rs_fast", F.col(out).isNotNull())
-    fast = x.filter("_rs_fast")
-    slow = x.filter(~F.col("_rs_fast")).withColumn(out, exact_resolve(F.col(base), F.col(loc)))
-    return fast.unionByName(slow).drop("_rs_fast")
+    """Add ``out`` = resolved page URL or NULL (unresolvable / not http(s))."""
+    return df.withColumn(out, java_resolve(base, loc))

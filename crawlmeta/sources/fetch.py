@@ -38,8 +38,11 @@ def _wait(delay_s: float) -> None:
 
 
 def _bucket(url: str) -> bool:
-    from crawlmeta.functions.javauri import host
-    h = host(url)
+    from urllib.parse import urlsplit
+    try:
+        h = urlsplit(url).hostname
+    except ValueError:
+        return False
     return h is not None and h.lower() in policy.CRAWL_BUCKET_HOSTS
 
 

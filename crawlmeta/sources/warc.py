@@ -25,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -43,20 +44,14 @@ WARC_SCHEMA = T.StructType([
 MAX_RECORD_BYTES = 64 << 20
 
 
-def is_robots_target(url: str | None) -> bool:
-    """Path (decoded) lowercased ends with ``/robots.txt``; bad URI = False."""
-    from urllib.parse import unquote
-
-    from crawlmeta.functions.javauri import JavaURI, URISyntaxError
+def maybe_robots_target(url: str | None) -> bool:
+    """Conservative reader-side filter: False only for targets that cannot
+    have a path ending in ``/robots.txt`` (the exact, decoded check is the
+    column function applied after the scan)."""
     if url is None:
         return False
-    try:
-        u = JavaURI.parse(url)
-    except URISyntaxError:
-        return False
-    if u.path is None:
-        return False
-    return unquote(u.path).lower().endswith("/robots.txt")
+    low = url.lower()
+    return "robots.txt" in low or "%" in low
 
 
 def decode_content(body: bytes, content_encoding: str | None) -> bytes:
@@ -145,7 +140,7 @@ def read_records(path: str, record_types: tuple[str, ...] = ("response",),
                 n = int(h.get("content-length", "0"))
                 wtype = h.get("warc-type", "")
                 target = h.get("warc-target-uri")
-                keep = wtype in record_types and (not robots_only or is_robots_target(target))
+                keep = wtype in record_types and (not robots_only or maybe_robots_target(target))
                 if not keep or n > MAX_RECORD_BYTES:
                     skipped = stream.read(n)
                     if len(skipped) < n:
@@ -203,9 +198,16 @@ def register(spark: SparkSession) -> None:
 
 
 def read_warc(spark: SparkSession, path: str, robots_only: bool = True, record_types: str = "response") -> DataFrame:
+    """Records of the archives under ``path``; with ``robots_only`` only
+    robots.txt targets (exact check in the JVM after the reader's prefilter;
+    archive-level error rows are kept)."""
+    from crawlmeta.functions.url import is_robots_target
     register(spark)
-    return (spark.read.format("warc").option("path", path).option("robotsOnly", str(robots_only).lower())
-            .option("recordTypes", record_types).load())
+    df = (spark.read.format("warc").option("path", path).option("robotsOnly", str(robots_only).lower())
+          .option("recordTypes", record_types).load())
+    if robots_only:
+        df = df.filter(F.col("target_url").isNull() | is_robots_target("target_url"))
+    return df
 
 
 # --- writing (test corpora, exports) -----------------------------------------------

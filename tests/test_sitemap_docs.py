@@ -2,9 +2,15 @@ import gzip
 
 import pytest
 
-from crawlmeta.functions import javauri
+from crawlmeta.functions.resolve import java_resolve
 from crawlmeta.operators.sitemap_docs import parse_document, parse_sitemaps
 
+
+def parse(spark, body):
+    df = spark.createDataFrame([("u", body)], "url string, body string")
+    d = parse_sitemaps(df).first()["doc"]
+    return d["kind"], (list(d["locs"]) if d["locs"] is not None else None), d["error"]
+
 URLSET = """<?xml version="1.0" encoding="UTF-8"?>
 <urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">
   <url>
@@ -38,9 +44,8 @@ ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><title>Example</title>
     ("\ufeff  \n<urlset><url><loc> <![CDATA[https://x/c]]> </loc></url><url><loc>https://x/c</loc></url></urlset>",
      "urlset", ["https://x/c"]),
 ])
-def test_documents(body, kind, locs):
-    k, got, err = parse_document(body)
-    assert (k, got, err) == (kind, locs, None)
+def test_documents(spark, body, kind, locs):
+    assert parse(spark, body) == (kind, locs, None)
 
 
 @pytest.mark.parametrize("body,message", [
@@ -53,8 +58,8 @@ def test_documents(body, kind, locs):
     ("https://x/a//b\n", "Invalid text sitemap URL: https://x/a//b"),
     ("<urlset><url><loc>https://x/a</loc></url>", "Invalid sitemap XML:"),
 ])
-def test_invalid_documents(body, message):
-    k, locs, err = parse_document(body)
+def test_invalid_documents(spark, body, message):
+    k, locs, err = parse(spark, body)
     assert k == "invalid" and locs is None and err.startswith(message)
 
 
@@ -76,7 +81,7 @@ def test_entity_declarations_are_refused():
 BASE = "https://example.com/sitemaps/root.xml"
 
 
-@pytest.mark.parametrize("loc,expected", [
+RESOLVE_CASES = [
     ("https://example.com/page", "https://example.com/page"),
     ("/page", "https://example.com/page"),
     ("mailto:a@example.com", None),
@@ -92,22 +97,35 @@ BASE = "https://example.com/sitemaps/root.xml"
     ("https://ex_ample.ua/x", "https://ex_ample.ua/x"),
     ("ftp://x/y", None),
     ("https://h/a?q=[1]", "https://h/a?q=[1]"),
-])
-def test_resolve_loc(loc, expected):
-    assert javauri.resolve_loc(BASE, loc) == expected
-
-
-def test_fast_path_agrees_with_exact_rules(spark):
-    from pyspark.sql import functions as F
-
-    from crawlmeta.functions.resolve import fast_resolve
-    bases = [BASE, "https://h", "http://h:80/a/b/", "https://h/x?q#f"]
-    locs = ["https://example.com/page", "/page", "p/q", "p", "/", "a:b", "x?y=1", "https://h/a/./b", "é",
-            "/%41", "/%4", "https://h:8080", "https://h/a/", "//x", "a//b", "https://h/a#f", "https://h/a#f g"]
-    df = spark.createDataFrame([(b, c) for b in bases for c in locs], "b string, c string")
-    for r in df.select("b", "c", fast_resolve("b", "c").alias("f")).collect():
-        if r["f"] is not None:
-            assert r["f"] == javauri.resolve_loc(r["b"], r["c"]), (r["b"], r["c"])
+    ("sm-1.xml", "https://example.com/sitemaps/sm-1.xml"),
+    (" sm-1.xml ", None),
+    ("#top", "https://example.com/sitemaps/root.xml#top"),
+    ("/laleen\u00e9elle", "https://example.com/laleen\u00e9elle"),
+    ("https://h/a/b/..", "https://h/a/"),
+    ("https://h/a/./b/.", "https://h/a/b/"),
+    ("http://h:/a/../b", "http://h/b"),
+    ("http://h:", "http://h:"),
+    ("https://1.2.3.4:80/x", "https://1.2.3.4:80/x"),
+    ("https://h//a//b/", "https://h/a/b/"),
+    ("1abc:x", None),
+    ("https:/x", None),
+]
+
+
+def test_resolve_loc(spark):
+    df = spark.createDataFrame([(BASE, c) for c, _ in RESOLVE_CASES], "b string, c string")
+    got = [r["r"] for r in df.select(java_resolve("b", "c").alias("r")).collect()]
+    assert got == [e for _, e in RESOLVE_CASES]
+
+
+def test_resolve_against_other_bases(spark):
+    cases = [("https://h", "p", "https://h/p"), ("https://h/a/b/", "../../x", "https://h/x"),
+             ("https://h/x?q#f", "#f", "https://h/x?q#f"), ("https://h/x?q#f", "", "https://h/"),
+             ("mailto:a@b", "/x", None), ("mailto:a@b", "https://h/x", "https://h/x"), ("not a uri", "/x", None),
+             ("https:///s.xml", "/x", None)]
+    df = spark.createDataFrame([(b, c) for b, c, _ in cases], "b string, c string")
+    got = [r["r"] for r in df.select(java_resolve("b", "c").alias("r")).collect()]
+    assert got == [e for _, _, e in cases]
 
 
 def test_parse_sitemaps_column(spark):
