@@ -218,11 +218,8 @@ def _record(headers: list[tuple[str, str]], payload: bytes) -> bytes:
     return gzip.compress(head.encode("utf-8") + payload + b"\r\n\r\n")
 
 
-def warc_bytes(rows: list[tuple[str, str, bytes, str]], with_noise: bool = True) -> bytes:
-    """A ``.warc.gz`` (one gzip member per record) from (target_url,
-    capture_date, body, content_encoding) rows; with noise records (warcinfo,
-    requests, a non-robots response) that readers must skip."""
-    out = [_record([("WARC-Type", "warcinfo"), ("Content-Type", "application/warc-fields")], b"software: crawlmeta\r\n")]
+def _records_bytes(rows: list[tuple[str, str, bytes, str]], first: bool = True, with_noise: bool = True) -> bytes:
+    out = []
     for i, (url, date, body, enc) in enumerate(rows):
         if with_noise:
             out.append(_record([("WARC-Type", "request"), ("WARC-Target-URI", url), ("WARC-Date", date)],
@@ -232,23 +229,32 @@ def warc_bytes(rows: list[tuple[str, str, bytes, str]], with_noise: bool = True)
             http += f"Content-Encoding: {enc}\r\n".encode()
         payload = http + b"\r\n" + encode_content(body, enc)
         out.append(_record([("WARC-Type", "response"), ("WARC-Target-URI", url), ("WARC-Date", date),
-                            ("WARC-Record-ID", f"<urn:uuid:{i:08d}>"),
                             ("Content-Type", "application/http; msgtype=response")], payload))
-        if with_noise and i == 0:
+        if with_noise and first and i == 0:
             other = url.rsplit("/", 1)[0] + "/index.html"
             out.append(_record([("WARC-Type", "response"), ("WARC-Target-URI", other), ("WARC-Date", date)],
                                b"HTTP/1.1 200 OK\r\n\r\n<html></html>"))
     return b"".join(out)
 
 
+def warc_bytes(rows: list[tuple[str, str, bytes, str]], with_noise: bool = True) -> bytes:
+    """A ``.warc.gz`` (one gzip member per record) from (target_url,
+    capture_date, body, content_encoding) rows; with noise records (warcinfo,
+    requests, a non-robots response) that readers must skip."""
+    head = _record([("WARC-Type", "warcinfo"), ("Content-Type", "application/warc-fields")], b"software: crawlmeta\r\n")
+    return head + _records_bytes(rows, first=True, with_noise=with_noise)
+
+
 def write_warc_files(df: DataFrame, out_dir: str, archive_col: str = "archive_key",
                      files_per_key: int = 1) -> DataFrame:
-    """Write rows as ``<archive_key>-<task>-<batch>.warc.gz`` files under
-    ``out_dir`` (shared storage on a cluster). Rows are hash-partitioned by
-    key (salted over ``files_per_key`` tasks, so a hot key is written by
-    several tasks) and streamed batch by batch; no group is collected.
-    Columns used: target_url, capture_date, body (string or binary),
-    content_encoding. Returns (archive_path, records) per written file."""
+    """Write rows as ``<archive_key>-<task>.warc.gz`` files under ``out_dir``
+    (shared storage on a cluster). Rows are hash-partitioned by key (salted
+    over ``files_per_key`` tasks, so a hot key is written by several tasks)
+    and streamed: each task keeps one open file per key and appends one gzip
+    member per record, so no group is collected in memory. A retried task
+    rewrites exactly the files of its first attempt. Columns used:
+    target_url, capture_date, body (string or binary), content_encoding.
+    Returns (archive_path, records) per written file."""
     import pandas as pd
     from pyspark import TaskContext
     from pyspark.sql import functions as F
@@ -258,18 +264,25 @@ def write_warc_files(df: DataFrame, out_dir: str, archive_col: str = "archive_ke
 
     def write(batches):
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
-        for b, pdf in enumerate(batches):
-            paths, counts = [], []
-            for key, part in pdf.groupby(archive_col, sort=False):
-                rows = [(r.target_url, r.capture_date,
-                         r.body.encode("utf-8") if isinstance(r.body, str) else bytes(r.body), r.content_encoding)
-                        for r in part.itertuples(index=False)]
-                path = f"{out_dir.rstrip('/')}/{key}-{task:05d}-{b:05d}.warc.gz"
-                with open_output(path) as f:
-                    f.write(warc_bytes(rows))
-                paths.append(path)
-                counts.append(len(rows))
-            yield pd.DataFrame({"archive_path": paths, "records": counts})
+        files: dict[str, object] = {}
+        counts: dict[str, int] = {}
+        try:
+            for pdf in batches:
+                for key, part in pdf.groupby(archive_col, sort=False):
+                    path = f"{out_dir.rstrip('/')}/{key}-{task:05d}.warc.gz"
+                    if path not in files:
+                        files[path] = open_output(path)
+                        files[path].write(warc_bytes([], with_noise=True))
+                        counts[path] = 0
+                    rows = [(r.target_url, r.capture_date,
+                             r.body.encode("utf-8") if isinstance(r.body, str) else bytes(r.body), r.content_encoding)
+                            for r in part.itertuples(index=False)]
+                    files[path].write(_records_bytes(rows, first=counts[path] == 0))
+                    counts[path] += len(rows)
+        finally:
+            for f in files.values():
+                f.close()
+        yield pd.DataFrame({"archive_path": list(counts), "records": list(counts.values())})
 
     cols = [archive_col, "target_url", "capture_date", "body", "content_encoding"]
     salt = F.pmod(F.xxhash64("target_url"), F.lit(files_per_key))
