@@ -108,16 +108,30 @@ def _java_int(v: Column) -> Column:
                   F.try_reflect(F.lit("java.lang.Integer"), F.lit("parseInt"), v).try_cast("int")))
 
 
-def directives(body: Column | str) -> Column:
+def directives(body: Column | str, only_fields: tuple[str, ...] | None = None) -> Column:
     """ARRAY<STRUCT<n INT, t STRING, f STRING, v STRING, k STRING, d DOUBLE,
     rq INT, rs INT>>: one element per non-blank line (``t`` = the stripped
-    line, ``f``/``v`` = field and value, ``k`` = directive kind)."""
+    line, ``f``/``v`` = field and value, ``k`` = directive kind).
+
+    ``only_fields`` keeps just the lines that can carry those fields (their
+    lowercased text contains the name), before any field splitting."""
     lines = F.split(F.coalesce(col(body), F.lit("")), LINE_BREAK, -1)
+
+    def keep(x: Column) -> Column:
+        cond = x["t"] != ""
+        if only_fields:
+            low = F.lower(x["t"])
+            any_field = F.lit(False)
+            for name in only_fields:
+                any_field = any_field | low.contains(name)
+            cond = cond & any_field
+        return cond
+
     stripped = F.filter(
         F.transform(lines, lambda line, i: F.struct(
             (i + 1).alias("n"),
             java_trim(F.substring_index(line, "#", 1)).alias("t"))),
-        lambda x: x["t"] != "")
+        keep)
 
     def split_field(x: Column) -> Column:
         colon = F.instr(x["t"], ":")
@@ -225,7 +239,7 @@ def with_sitemaps(df: DataFrame, body: str = "body", out: str = "robots") -> Dat
     non-empty user-agent line, so valid = any user-agent or usable sitemap
     line."""
     d = "_rb_dirs"
-    df = df.withColumn(d, directives(body))
+    df = df.withColumn(d, directives(body, only_fields=(FIELD_USER_AGENT, FIELD_SITEMAP)))
     sitemaps = F.transform(F.filter(d, lambda x: x["k"] == K_SITEMAP), lambda x: x["v"])
     valid = F.exists(d, lambda x: x["k"].isin(K_AGENT, K_SITEMAP))
     return df.withColumn(out, F.struct(sitemaps.alias("sitemaps"), valid.alias("valid"))).drop(d)
