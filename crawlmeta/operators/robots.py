@@ -199,23 +199,26 @@ def _group(members: Column) -> Column:
 def with_robots(df: DataFrame, body: str = "body", out: str = "robots") -> DataFrame:
     """Add the parsed ``robots`` struct column (narrow; no shuffle).
 
-    Groups are found without a window: the accepted group directives are
-    encoded as ``U<i>U`` (user-agent) / ``R<i>R`` (rule, delay, rate), joined
-    by commas, and every ``R,U`` boundary starts a new group. Each step is
-    its own projection so that Catalyst keeps the intermediate arrays
-    instead of re-evaluating them."""
+    Groups are found without a window: among the accepted group directives
+    (from the first user-agent on), a group starts at each user-agent line
+    that does not follow another user-agent line, and runs to the next
+    start (``slice``). Each step is its own projection so that Catalyst
+    keeps the intermediate arrays instead of re-evaluating them."""
     d, first, placed = "_rb_dirs", "_rb_first_agent", "_rb_placed"
     df = df.withColumn(d, directives(body))
     df = df.withColumn(first, F.try_element_at(F.filter(d, lambda x: x["k"] == K_AGENT), F.lit(1))["n"])
     df = df.withColumn(placed, F.filter(
         d, lambda x: x["k"].isin(*GROUP_KINDS) & (x["n"] >= F.col(first))))
-    codes = F.transform(placed, lambda x, i: F.when(
-        x["k"] == K_AGENT, F.concat(F.lit("U"), i.cast("string"), F.lit("U"))).otherwise(
-        F.concat(F.lit("R"), i.cast("string"), F.lit("R"))))
-    chunks = F.filter(F.split(F.regexp_replace(F.array_join(codes, ","), "R,U", "R;U"), ";"),
-                      lambda c: c != "")
-    members = F.transform(chunks, lambda c: F.transform(
-        F.split(c, ","), lambda t: F.element_at(F.col(placed), t.substr(F.lit(2), F.length(t) - 2).cast("int") + 1)))
+    # a group starts at every agent line that does not follow another agent line
+    starts = "_rb_starts"
+    n = F.size(placed)
+    df = df.withColumn(starts, F.filter(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: (i <= n) & F.coalesce(
+            (F.try_element_at(F.col(placed), i)["k"] == K_AGENT)
+            & ((i == 1) | (F.try_element_at(F.col(placed), i - 1)["k"] != K_AGENT)), F.lit(False))))
+    members = F.transform(starts, lambda s, j: F.slice(
+        placed, s, F.coalesce(F.try_element_at(F.col(starts), j + 2), n + 1) - s))
     groups = F.transform(members, _group)
     sitemaps = F.transform(F.filter(d, lambda x: x["k"] == K_SITEMAP), lambda x: x["v"])
     warnings = F.filter(
@@ -228,7 +231,7 @@ def with_robots(df: DataFrame, body: str = "body", out: str = "robots") -> DataF
         F.col(out)["groups"].alias("groups"), F.col(out)["sitemaps"].alias("sitemaps"),
         F.col(out)["warnings"].alias("warnings"),
         ((F.size(F.col(out)["groups"]) > 0) | (F.size(F.col(out)["sitemaps"]) > 0)).alias("valid")))
-    return df.drop(d, first, placed)
+    return df.drop(d, first, placed, starts)
 
 
 def with_sitemaps(df: DataFrame, body: str = "body", out: str = "robots") -> DataFrame:
