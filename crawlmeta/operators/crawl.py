@@ -93,13 +93,14 @@ def documents_to_fetched(docs: DataFrame) -> Fetched:
         "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
     with small_arrow_batches(docs.sparkSession):
         parsed = parsed.checkpoint(eager=True)
-    status = parsed.select("url", "kind", "error")
+    # these tables grow with the crawl: never broadcast them on an estimate
+    status = parsed.select("url", "kind", "error").hint("shuffle_hash")
     locs = parsed.filter(F.col("kind").isin(KIND_URLSET, KIND_INDEX)).select(
         "url", "kind", F.posexplode("locs").alias("pos", "loc"))
     edges = with_resolved(locs, "url", "loc", "target").filter(F.col("target").isNotNull()).drop("loc")
     edges = edges.checkpoint(eager=True)
-    index_edges = edges.filter(F.col("kind") == KIND_INDEX).select("url", "target")
-    page_edges = edges.filter(F.col("kind") == KIND_URLSET).select("url", "pos", "target")
+    index_edges = edges.filter(F.col("kind") == KIND_INDEX).select("url", "target").hint("shuffle_hash")
+    page_edges = edges.filter(F.col("kind") == KIND_URLSET).select("url", "pos", "target").hint("shuffle_hash")
     return Fetched(status, index_edges, page_edges)
 
 
