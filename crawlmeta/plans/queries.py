@@ -448,3 +448,31 @@ def q_sitemap_country_counts_lineitem(spark, sf_dir):
 
 
 QUERIES["sitemap_country_counts_lineitem"] = q_sitemap_country_counts_lineitem
+
+
+# --- local robots tree round trip ------------------------------------------------------
+
+from crawlmeta.sinks import robots_files  # noqa: E402
+from crawlmeta.sources import local_tree  # noqa: E402
+
+
+def q_local_tree_roundtrip(spark, sf_dir):
+    """Corpus A exported as one file per capture (``<host>/<scheme>-<id>.txt``),
+    read back as a local robots tree (recursive binaryFile scan), parsed;
+    one row per distinct sitemap link (the local-sitemaps job rows)."""
+    c = captures(spark, sf_dir)
+    scheme = F.regexp_extract("robots_url", "^([a-z]+)://", 1)
+    files = c.select(F.concat("robots_host", F.lit("/"), scheme, F.lit("-"), F.col("page_id").cast("string"),
+                              F.lit(".txt")).alias("file_name"), F.col("body").alias("text"))
+    root = f"{checkpoint_dir(spark).rstrip('/')}/robots-tree-{uuid.uuid4().hex}"
+    robots_files.export_files(files, root)
+    tree = local_tree.read_robots_tree(spark, root).withColumn("text", robots.decode_body("body")).drop("body")
+    parsed_tree = robots.with_sitemaps(tree, body="text")
+    rows = parsed_tree.filter(F.col("robots.valid")).select(
+        "robots_host", "robots_scheme",
+        F.element_at(F.split("robots_file_path", "/"), -1).alias("file_name"),
+        F.explode(F.array_distinct("robots.sitemaps")).alias("sitemap_url"))
+    return rows
+
+
+QUERIES["local_tree_roundtrip"] = q_local_tree_roundtrip

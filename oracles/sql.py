@@ -430,3 +430,10 @@ LINEITEM_PAGES = """pages_li as (
 ORACLE["sitemap_country_counts_lineitem"] = ("with " + LINEITEM_PAGES + "," + CORPUS_A.strip().replace(
     "from pages\n), p1", "from pages_li\n), p1") + "," + PARSE + "," + DIM + "," + classified_cte() + """
 select country_key, language_region, count(*) as links from cls group by country_key, language_region""")
+
+ORACLE["local_tree_roundtrip"] = WITH_A + """
+select cap.robots_host, regexp_extract(cap.robots_url, '^([a-z]+)://', 1) as robots_scheme,
+  regexp_extract(cap.robots_url, '^([a-z]+)://', 1) || '-' || cast(cap.page_id as varchar) || '.txt' as file_name,
+  sm.sitemap_url
+from sm join cap using (page_id)
+where sm.page_id in (select page_id from validp)"""
