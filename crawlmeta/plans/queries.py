@@ -476,3 +476,29 @@ def q_local_tree_roundtrip(spark, sf_dir):
 
 
 QUERIES["local_tree_roundtrip"] = q_local_tree_roundtrip
+
+
+# --- classification with a dimension loaded from a suffix file ----------------------------
+
+# The sample rows as a suffix file would hold them (raw IDN
+# suffixes, one malformed row, one row with an empty field).
+SUFFIX_FILE_LINES = [
+    "country_key\tcountry_name\tsuffix", "france\tFrance\t.fr", "germany\tGermany\tde",
+    "russian-federation\tRussian Federation\t.ru", "russian-federation\tRussian Federation\t.рф",
+    "ukraine\tUkraine\t.ua", "ukraine\tUkraine\t.укр", "broken row", "united-kingdom\tUnited Kingdom\t.gb",
+    "nowhere\t\t.zz", "united-kingdom\tUnited Kingdom\t.UK",
+]
+
+
+def q_sitemaps_classified_loaded_dim(spark, sf_dir):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/suffixes-{uuid.uuid4().hex}.tsv"
+    from crawlmeta.sources.files import open_output
+    with open_output(path) as f:
+        f.write(("\n".join(SUFFIX_FILE_LINES) + "\n").encode("utf-8"))
+    dim = geo.load_suffixes(spark, path)
+    return classified(spark, sf_dir, dim).select(
+        "page_id", "robots_host", "sitemap_url", "country_key", "country_name", "matched_suffix",
+        "language_region")
+
+
+QUERIES["sitemaps_classified_loaded_dim"] = q_sitemaps_classified_loaded_dim

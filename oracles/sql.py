@@ -437,3 +437,5 @@ select cap.robots_host, regexp_extract(cap.robots_url, '^([a-z]+)://', 1) as rob
   sm.sitemap_url
 from sm join cap using (page_id)
 where sm.page_id in (select page_id from validp)"""
+
+ORACLE["sitemaps_classified_loaded_dim"] = ORACLE["sitemaps_classified"]
