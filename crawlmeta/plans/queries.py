@@ -113,8 +113,8 @@ QUERIES = {
 # --- grouping, one-country mode, country selection ----------------------------
 
 from crawlmeta.functions import policy  # noqa: E402
-from crawlmeta.functions.text import safe_path_part, sha256_hex16, tsv_row  # noqa: E402
-from crawlmeta.functions.url import normalize_host, try_parse_url  # noqa: E402
+from crawlmeta.functions.text import tsv_row  # noqa: E402
+from crawlmeta.functions.url import normalize_host  # noqa: E402
 from crawlmeta.sinks import tsv as tsv_sink  # noqa: E402
 from crawlmeta.sources import manifest, tsv  # noqa: E402
 
@@ -201,17 +201,7 @@ def q_manifest_slice(spark, sf_dir):
                                                     "archive_path", "archive_uri")
 
 
-def robots_file_name(url: str, date: str, archive: str):
-    """``<host>/<scheme>-<date>-<digest16>.txt`` for a capture."""
-    host = F.lower(F.coalesce(F.nullif(try_parse_url(url, "HOST"), F.lit("")), F.lit("unknown-host")))
-    scheme = F.coalesce(try_parse_url(url, "PROTOCOL"), F.lit("unknown"))
-    digest = sha256_hex16(F.concat_ws("\n", F.col(url), F.col(date), F.col(archive)))
-    return F.concat(safe_path_part(host), F.lit("/"), safe_path_part(scheme), F.lit("-"),
-                    safe_path_part(F.col(date)), F.lit("-"), digest, F.lit(".txt"))
-
-
-def archive_file_name(archive: str):
-    return F.concat(F.lit("archive-"), sha256_hex16(archive), F.lit(".sitemaps.tsv"))
+from crawlmeta.sinks.robots_files import archive_file_name, robots_file_name  # noqa: E402
 
 
 def q_capture_file_names(spark, sf_dir):
