@@ -8,18 +8,33 @@ whole input. Column names match the DuckDB oracle texts in
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlmeta.functions import html as html_fn
+from crawlmeta.functions import policy
+from crawlmeta.functions.resolve import with_resolved
+from crawlmeta.functions.text import tsv_row
+from crawlmeta.functions.url import normalize_host
+from crawlmeta.operators import crawl as crawl_op
 from crawlmeta.operators import geo, robots
-from crawlmeta.sources import corpus
+from crawlmeta.operators.metrics import archive_results
+from crawlmeta.operators.sitemap_docs import parse_sitemaps
+from crawlmeta.session import checkpoint_dir, local_rows, ship_package
+from crawlmeta.sinks import robots_files
+from crawlmeta.sinks import tsv as tsv_sink
+from crawlmeta.sinks.robots_files import archive_file_name, robots_file_name
+from crawlmeta.sources import corpus, local_tree, manifest, tsv, warc
+from crawlmeta.sources.files import open_output
+from crawlmeta.streaming import pipelines as streams
 
 # Crawler names checked against robots groups.
 AGENTS = ["Googlebot", "Bingbot", "a-crawler/1.0", "B", "CCBot/2.0"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from crawlmeta.session import ship_package
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -68,7 +83,6 @@ def q_robots_warnings(spark, sf_dir):
 
 def q_robots_valid_counts(spark, sf_dir):
     """Per archive: parsed (valid) and rejected captures, distinct links."""
-    from crawlmeta.operators.metrics import archive_results
     return archive_results(parsed(spark, sf_dir).withColumn("archive_path", corpus.archive_path()))
 
 
@@ -112,12 +126,6 @@ QUERIES = {
 
 # --- grouping, one-country mode, country selection ----------------------------
 
-from crawlmeta.functions import policy  # noqa: E402
-from crawlmeta.functions.text import tsv_row  # noqa: E402
-from crawlmeta.functions.url import normalize_host  # noqa: E402
-from crawlmeta.sinks import tsv as tsv_sink  # noqa: E402
-from crawlmeta.sources import manifest, tsv  # noqa: E402
-
 
 def q_filter_grouped(spark, sf_dir):
     """Every classified link under its country and its language-region."""
@@ -128,7 +136,6 @@ def q_filter_grouped(spark, sf_dir):
 def selected_country_key(spark: SparkSession, dim: DataFrame, query: str) -> str:
     """Resolve one country query on the (small) dimension; unknown -> error
     listing the first supported keys."""
-    from crawlmeta.session import local_rows
     q = local_rows(spark, ["query"], [(query,)], "query string")
     row = geo.select_country(dim, q).first()
     if row is None or row["country_key"] is None:
@@ -201,9 +208,6 @@ def q_manifest_slice(spark, sf_dir):
                                                     "archive_path", "archive_uri")
 
 
-from crawlmeta.sinks.robots_files import archive_file_name, robots_file_name  # noqa: E402
-
-
 def q_capture_file_names(spark, sf_dir):
     c = captures(spark, sf_dir).select("page_id", "robots_url", corpus.capture_date().alias("capture_date"),
                                        corpus.archive_path().alias("archive_path"))
@@ -294,10 +298,6 @@ QUERIES.update({
 
 # --- sitemap documents, loc resolution, sitemap-index crawl ----------------------
 
-from crawlmeta.functions.resolve import with_resolved  # noqa: E402
-from crawlmeta.operators import crawl as crawl_op  # noqa: E402
-from crawlmeta.operators.sitemap_docs import parse_sitemaps  # noqa: E402
-
 
 def documents_b(spark, sf_dir):
     return corpus.sitemap_documents(table(spark, sf_dir, "pages").select("page_id", "url"))
@@ -352,8 +352,6 @@ QUERIES.update({
 
 # --- HTML rows -------------------------------------------------------------------
 
-from crawlmeta.functions import html as html_fn  # noqa: E402
-
 
 def q_html_rows(spark, sf_dir):
     """Anchor rows of every page plus its decoded title."""
@@ -369,10 +367,6 @@ QUERIES["html_rows"] = q_html_rows
 
 # --- WARC round trip ---------------------------------------------------------------
 
-import uuid  # noqa: E402
-
-from crawlmeta.session import checkpoint_dir  # noqa: E402
-from crawlmeta.sources import warc  # noqa: E402
 
 # Content-Encoding per capture (page_id % 4).
 WARC_ENCODINGS = ["", "gzip", "deflate", "deflate, gzip"]
@@ -400,8 +394,6 @@ QUERIES["warc_roundtrip"] = q_warc_roundtrip
 
 # --- streaming = batch -------------------------------------------------------------
 
-from crawlmeta.streaming import pipelines as streams  # noqa: E402
-
 
 def local_sitemap_lines(spark, sf_dir) -> DataFrame:
     """Corpus A links as local sitemap TSV lines (file path, host, scheme, URL)."""
@@ -442,9 +434,6 @@ QUERIES["sitemap_country_counts_lineitem"] = q_sitemap_country_counts_lineitem
 
 # --- local robots tree round trip ------------------------------------------------------
 
-from crawlmeta.sinks import robots_files  # noqa: E402
-from crawlmeta.sources import local_tree  # noqa: E402
-
 
 def q_local_tree_roundtrip(spark, sf_dir):
     """Corpus A exported as one file per capture (``<host>/<scheme>-<id>.txt``),
@@ -482,7 +471,6 @@ SUFFIX_FILE_LINES = [
 
 def q_sitemaps_classified_loaded_dim(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/suffixes-{uuid.uuid4().hex}.tsv"
-    from crawlmeta.sources.files import open_output
     with open_output(path) as f:
         f.write(("\n".join(SUFFIX_FILE_LINES) + "\n").encode("utf-8"))
     dim = geo.load_suffixes(spark, path)
