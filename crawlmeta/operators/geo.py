@@ -231,3 +231,16 @@ def country_dimension(dim: DataFrame, country_key: str) -> DataFrame:
 def supported_country_keys(dim: DataFrame, n: int = 12) -> DataFrame:
     """The first ``n`` distinct keys in sorted order (shown in errors)."""
     return dim.select("country_key").distinct().orderBy("country_key").limit(n)
+
+
+def resolve_country(spark: SparkSession, dim: DataFrame, query: str) -> str:
+    """Country key for one query text (key, name or suffix). An unknown
+    country is an error that lists the first supported keys, raised before
+    any job over the data runs."""
+    from crawlmeta.session import local_rows
+    q = local_rows(spark, ["query"], [(query,)], "query string")
+    row = select_country(dim, q).first()
+    if row is None or row["country_key"] is None:
+        keys = [r["country_key"] for r in supported_country_keys(dim).collect()]
+        raise ValueError(f"Unknown sitemap country '{query}'. Supported country keys include: {', '.join(keys)}")
+    return row["country_key"]

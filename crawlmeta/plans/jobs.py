@@ -159,8 +159,7 @@ def sitemaps_job(spark: SparkSession, archives: str, out_path: str) -> JobResult
 def _one_country(spark: SparkSession, dim: DataFrame, country: str) -> DataFrame:
     if not country or not country.strip():
         raise ValueError("country mode requires a country key, country name, or suffix")
-    from crawlmeta.plans.queries import selected_country_key
-    return geo.country_dimension(dim, selected_country_key(spark, dim, country))
+    return geo.country_dimension(dim, geo.resolve_country(spark, dim, country))
 
 
 def country_sitemaps_job(spark: SparkSession, archives: str, out_path: str, country: str,

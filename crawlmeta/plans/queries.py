@@ -22,7 +22,7 @@ from crawlmeta.operators import crawl as crawl_op
 from crawlmeta.operators import geo, robots
 from crawlmeta.operators.metrics import archive_results
 from crawlmeta.operators.sitemap_docs import parse_sitemaps
-from crawlmeta.session import checkpoint_dir, local_rows, ship_package
+from crawlmeta.session import checkpoint_dir, ship_package
 from crawlmeta.sinks import robots_files
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sinks.robots_files import archive_file_name, robots_file_name
@@ -133,22 +133,11 @@ def q_filter_grouped(spark, sf_dir):
     return tsv_sink.grouped_rows(c).select("out_group", "out_key", "page_id", "sitemap_url")
 
 
-def selected_country_key(spark: SparkSession, dim: DataFrame, query: str) -> str:
-    """Resolve one country query on the (small) dimension; unknown -> error
-    listing the first supported keys."""
-    q = local_rows(spark, ["query"], [(query,)], "query string")
-    row = geo.select_country(dim, q).first()
-    if row is None or row["country_key"] is None:
-        keys = [r["country_key"] for r in geo.supported_country_keys(dim).collect()]
-        raise ValueError(f"Unknown sitemap country '{query}'. Supported country keys include: {', '.join(keys)}")
-    return row["country_key"]
-
-
 def q_one_country_sitemaps(spark, sf_dir, country: str = "ua"):
     """One-country mode: the dimension is cut to the country *before* the
     lookup, so a .de robots host with a .ua sitemap counts as this country."""
     dim = geo.sample_dimension(spark)
-    one = geo.country_dimension(dim, selected_country_key(spark, dim, country))
+    one = geo.country_dimension(dim, geo.resolve_country(spark, dim, country))
     return classified(spark, sf_dir, one).select(
         "page_id", "robots_host", "sitemap_url", "country_key", "country_name", "matched_suffix",
         "language_region")
