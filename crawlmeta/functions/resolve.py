@@ -28,6 +28,18 @@ from pyspark.sql import functions as F
 from crawlmeta.functions.text import col
 
 
+# An already-normal absolute http(s) URL made only of plain characters
+# (letters, digits, -._~!$&'()*+,;=:@, valid %XX; no empty, '.' or '..'
+# path segment) resolves to itself: the common case skips URI parsing.
+_ESC = "%[0-9A-Fa-f]{2}"
+_SEG_CH = r"[A-Za-z0-9\-_.!~*'():@&=+$,;]"
+_Q_CH = r"[A-Za-z0-9\-_.!~*'();/?:@&=+$,\[\]]"
+_NOT_DOT = r"(?!\.\.?(?:/|\?|#|$))"
+_SEG = f"{_NOT_DOT}(?:{_SEG_CH}|{_ESC})+"
+FAST_ABSOLUTE = (f"^https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/{_SEG})*/?"
+                 f"(?:\\?(?:{_Q_CH}|{_ESC})*)?(?:#(?:{_Q_CH}|{_ESC})*)?$")
+
+
 def _part(u: Column, name: str) -> Column:
     return F.try_parse_url(u, F.lit(name))
 
@@ -69,7 +81,14 @@ def _server_authority(u: Column, auth: Column) -> Column:
 
 def java_resolve(base: Column | str, loc: Column | str) -> Column:
     """``base.resolve(loc).normalize()`` as a string when it is a valid
-    http(s) page URL, else NULL."""
+    http(s) page URL, else NULL. ``FAST_ABSOLUTE`` references short-cut to
+    themselves (CASE branches are evaluated lazily)."""
+    r = col(loc)
+    return F.when(r.rlike(FAST_ABSOLUTE), r).otherwise(full_resolve(base, loc))
+
+
+def full_resolve(base: Column | str, loc: Column | str) -> Column:
+    """The resolution rules without the fast path."""
     b, r = col(base), col(loc)
     b_scheme, b_auth, b_path = _part(b, "PROTOCOL"), _part(b, "AUTHORITY"), _part(b, "PATH")
     b_query, b_frag = _part(b, "QUERY"), _part(b, "REF")

@@ -132,3 +132,24 @@ def test_parse_sitemaps_column(spark):
     df = spark.createDataFrame([("u1", INDEX), ("u2", "<html/>")], "url string, body string")
     got = {r["url"]: (r["doc"]["kind"], r["doc"]["error"]) for r in parse_sitemaps(df).collect()}
     assert got == {"u1": ("sitemapindex", None), "u2": ("invalid", "Unsupported sitemap root element: html")}
+
+
+def test_fast_path_agrees_with_full_rules(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from crawlmeta.functions.resolve import FAST_ABSOLUTE, full_resolve
+    from tests.conftest import SF001
+    page_urls = [r[0] for r in duckdb.sql(f"select url from '{SF001}/pages.parquet'").fetchall()]
+    extra = ["https://h", "https://h/", "http://h:8080/a/b/?q=1&r=[2]#f", "https://h/a%20b", "https://h/~x/(y)/*z*",
+             "https://a.b-c.d/p;q=1/r", "https://h/a/b/", "https://h:/a", "https://h/a//b", "https://h/./a",
+             "https://h/a/..", "https://h/a/...", "https://h/.a/b.", "https://h/%2e%2e/x", "HTTPS://h/x"]
+    df = spark.createDataFrame([(u,) for u in page_urls + extra], "u string")
+    rows = df.select("u", F.col("u").rlike(FAST_ABSOLUTE).alias("fast"),
+                     full_resolve(F.lit("https://example.com/sitemaps/root.xml"), F.col("u")).alias("full")).collect()
+    fast = [r for r in rows if r["fast"]]
+    assert len(fast) >= len(page_urls)
+    for r in fast:
+        assert r["full"] == r["u"], r["u"]
+    assert not any(r["fast"] for r in rows if r["u"] in ("https://h/a//b", "https://h/./a", "https://h/a/..",
+                                                         "https://h:/a", "HTTPS://h/x"))
