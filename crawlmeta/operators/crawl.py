@@ -89,6 +89,7 @@ def documents_to_fetched(docs: DataFrame) -> Fetched:
     """(url, body) -> parsed status + resolved edges, checkpointed (one
     Arrow pass for parsing, one for the rows resolution cannot do with
     built-ins)."""
+    checkpoint_dir(docs.sparkSession)
     parsed = parse_sitemaps(docs.select("url", "body")).select(
         "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
     with small_arrow_batches(docs.sparkSession):
