@@ -31,3 +31,22 @@ def test_modes_and_defaults():
 def test_rejected_options(argv):
     with pytest.raises(SystemExit):
         parse(*argv)
+
+
+def test_cli_runs_a_job(tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+    tree = tmp_path / "robots" / "example.ua"
+    tree.mkdir(parents=True)
+    (tree / "https-1.txt").write_text("User-agent: *\nSitemap: https://example.ua/uk/sitemap.xml\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root + os.pathsep + os.environ.get("PYTHONPATH", ""))
+    out = subprocess.run([sys.executable, "-m", "crawlmeta", "local-sitemaps", str(tmp_path / "robots"),
+                          str(tmp_path / "out"), "--master", "local[2]"], capture_output=True, text=True, env=env,
+                         cwd=str(tmp_path), timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert json.loads(out.stdout.strip().splitlines()[-1]) == {"parsed_files": 1, "rejected_files": 0}
+    lines = [line for p in (tmp_path / "out").glob("part-*") for line in p.read_text().splitlines()]
+    assert [line.split("\t")[1:] for line in lines] == [["example.ua", "https", "https://example.ua/uk/sitemap.xml"]]
