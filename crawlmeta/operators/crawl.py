@@ -86,9 +86,8 @@ class Fetched:
 
 
 def documents_to_fetched(docs: DataFrame) -> Fetched:
-    """(url, body) -> parsed status + resolved edges, checkpointed (one
-    Arrow pass for parsing, one for the rows resolution cannot do with
-    built-ins)."""
+    """(url, body) -> parsed status + resolved edges, both checkpointed
+    (one Arrow pass parses the bodies; loc resolution is built-in)."""
     checkpoint_dir(docs.sparkSession)
     parsed = parse_sitemaps(docs.select("url", "body")).select(
         "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
@@ -127,7 +126,9 @@ def table_fetcher(documents: DataFrame, url: str = "url", body: str = "body") ->
 def body_fetcher(fetch_bodies: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], Fetched]:
     """Wrap a fetcher returning ``(url, body)`` (NULL body = failed): each
     level downloads only URLs no earlier level fetched, then parses and
-    resolves them; results accumulate for later levels."""
+    resolves them; results accumulate for later levels. A URL reached from
+    several seeds is downloaded once per crawl (the per-seed walk reuses
+    the result), not once per seed."""
     known: list[Fetched] = []
 
     def fetch(urls: DataFrame) -> Fetched:
