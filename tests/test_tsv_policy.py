@@ -50,3 +50,22 @@ def test_retry_policy_grid(spark):
     assert [(r["m"], r["r"], r["b"], r["w"]) for r in got] == [
         (1000, True, 1000, True), (4, False, 1000, False), (4, True, 4000, True), (4, True, 8000, False),
         (4, True, 1000, True), (4, False, 1000, False), (1000, True, 1000, True), (4, True, 30000, False)]
+
+
+def test_grouped_sink_spreads_a_hot_key(spark, tmp_path):
+    import glob
+
+    from crawlmeta.sinks import tsv as tsv_sink
+    n = 5000
+    df = spark.range(n).select(F.col("id").cast("string").alias("robots_file_path"),
+                               F.lit("example.ua").alias("robots_host"), F.lit("https").alias("robots_scheme"),
+                               F.concat(F.lit("https://example.ua/s"), F.col("id").cast("string")).alias("sitemap_url"),
+                               F.lit("ukraine").alias("country_key"), F.lit("Ukraine").alias("country_name"),
+                               F.lit(".ua").alias("matched_suffix"),
+                               F.when(F.col("id") % 10 == 0, "uk-UA").otherwise("unknown").alias("language_region"))
+    tsv_sink.write_grouped(df, tsv.CLASSIFIED_COLUMNS, str(tmp_path / "out"), files_per_key=4)
+    hot = glob.glob(str(tmp_path / "out" / "out_group=country" / "out_key=ukraine" / "part-*"))
+    assert 1 < len(hot) <= 4
+    back = spark.read.text(str(tmp_path / "out"))
+    assert back.count() == 2 * n
+    assert back.filter(F.col("out_group") == "country").select("value").distinct().count() == n
