@@ -63,7 +63,14 @@ def test_grouped_sink_spreads_a_hot_key(spark, tmp_path):
                                F.lit("ukraine").alias("country_key"), F.lit("Ukraine").alias("country_name"),
                                F.lit(".ua").alias("matched_suffix"),
                                F.when(F.col("id") % 10 == 0, "uk-UA").otherwise("unknown").alias("language_region"))
-    tsv_sink.write_grouped(df, tsv.CLASSIFIED_COLUMNS, str(tmp_path / "out"), files_per_key=4)
+    # AQE merges small shuffle partitions (right for small data); switch that off to see the spreading
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        tsv_sink.write_grouped(df, tsv.CLASSIFIED_COLUMNS, str(tmp_path / "out"), files_per_key=4)
+    finally:
+        spark.conf.set(key, old)
     hot = glob.glob(str(tmp_path / "out" / "out_group=country" / "out_key=ukraine" / "part-*"))
     assert 1 < len(hot) <= 4
     back = spark.read.text(str(tmp_path / "out"))
