@@ -318,3 +318,19 @@ def with_resolved_sitemaps(df: DataFrame, robots_url: str = "robots_url", sitema
     when the result is not an http(s) URL."""
     from crawlmeta.functions.resolve import with_resolved
     return with_resolved(df, robots_url, sitemap, out)
+
+
+# An agent table beyond this many rows is refused (matching is a contains()
+# test, which has no hash join form; the list travels with the plan).
+MAX_AGENT_ROWS = 10_000
+
+
+def agent_group_rows_from(df: DataFrame, keys: list[str], agents: DataFrame, agent_col: str = "agent",
+                          robots: str = "robots") -> DataFrame:
+    """``agent_group_rows`` for a table of agents. The table is a small list
+    of crawler names: its size is checked before it is read into the plan
+    as a literal array (no nested-loop join over the robots rows)."""
+    names = agents.select(agent_col).distinct().limit(MAX_AGENT_ROWS + 1).collect()
+    if len(names) > MAX_AGENT_ROWS:
+        raise ValueError(f"more than {MAX_AGENT_ROWS} distinct agents")
+    return agent_group_rows(df, keys, sorted(r[agent_col] for r in names if r[agent_col] is not None), robots)

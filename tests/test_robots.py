@@ -144,3 +144,11 @@ def test_light_parse_equals_full_parse(spark):
     light = robots.with_sitemaps(caps).select("page_id", F.col("robots.sitemaps").alias("s2"), F.col("robots.valid").alias("v2"))
     diff = full.join(light, "page_id").filter((F.col("s1") != F.col("s2")) | (F.col("v1") != F.col("v2"))).count()
     assert diff == 0
+
+
+def test_agent_table(spark):
+    df = spark.createDataFrame([(1, "User-agent: *\nDisallow: /\nUser-agent: googlebot\nAllow: /g\n")],
+                               "id int, body string")
+    agents = spark.createDataFrame([("Googlebot",), ("Other",), ("Googlebot",)], "agent string")
+    rows = robots.agent_group_rows_from(robots.with_robots(df), ["id"], agents).orderBy("agent", "group_no").collect()
+    assert [(r["agent"], r["group_no"]) for r in rows] == [("Googlebot", 1), ("Googlebot", 2), ("Other", 1)]
