@@ -50,3 +50,21 @@ def test_cli_runs_a_job(tmp_path):
     assert json.loads(out.stdout.strip().splitlines()[-1]) == {"parsed_files": 1, "rejected_files": 0}
     lines = [line for p in (tmp_path / "out").glob("part-*") for line in p.read_text().splitlines()]
     assert [line.split("\t")[1:] for line in lines] == [["example.ua", "https", "https://example.ua/uk/sitemap.xml"]]
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2",
+               BENCH_QUERIES="robots_sitemaps,kafka_payload")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], capture_output=True, text=True, env=env,
+                         cwd="/tmp", timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = out.stdout.strip().splitlines()
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert d["metric"] == "total_query_seconds" and d["unit"] == "sec" and set(d["queries"]) == {
+        "robots_sitemaps", "kafka_payload"} and d["sf"] == "0.001"
