@@ -103,3 +103,38 @@ def test_classify_plans_broadcast_hash_join(spark):
     df = spark.createDataFrame([("example.ua", "https://example.ua/")], "host string, url string")
     plan = geo.classify(df, dim(spark), "host", "url")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+
+
+def _model_region(host, path):
+    import re
+    markers = geo.LANGUAGE_REGION_MARKERS
+
+    def tokens(text):
+        toks = [t.lower() for t in re.split(r"[^A-Za-z0-9]+", text or "") if t]
+        return [f"{a}-{b}" for a, b in zip(toks, toks[1:])] + toks
+
+    h = ".".join((host or "").rstrip(".").split(".")[:-1]) if host else ""
+    for t in tokens(h) + tokens(path):
+        if t in markers:
+            return markers[t]
+    return "unknown"
+
+
+def test_language_region_random_against_token_model(spark):
+    import random
+    rnd = random.Random(11)
+    words = ["uk", "ua", "ru", "en", "gb", "de", "x", "UK", "Ru", "EN", "gB", "ua1", "uken"]
+    seps = ["-", ".", "/", "_", "--", "%20"]
+
+    def text(n):
+        out = []
+        for _ in range(n):
+            out += [rnd.choice(words), rnd.choice(seps)]
+        return "".join(out[:-1])
+
+    rows = [(f"{text(rnd.randint(0, 3))}.example.{rnd.choice(['ua', 'com'])}".lstrip("."),
+             "/" + text(rnd.randint(0, 4))) for _ in range(800)]
+    df = spark.createDataFrame(rows, "h string, p string")
+    got = df.select("h", "p", geo.language_region_of(F.col("h"), F.col("p")).alias("r")).collect()
+    for r in got:
+        assert r["r"] == _model_region(r["h"], r["p"]), (r["h"], r["p"])
