@@ -13,9 +13,24 @@ VOCAB = [
     "Request-rate: 0/5", "Request-rate: 3 / 7", "Sitemap: https://a.example/s.xml", "Sitemap: /s.xml",
     "Sitemap: User-agent: *", "Sitemap:", "Host: x", "", "   ", "# only a comment", "no colon here",
     "Disallow: /p # c", "\ufeffUser-agent: z", "Sitemap: https://a.example/s.xml",
+    "Crawl-delay: 1d", "Crawl-delay: 0x1p3", "Crawl-delay: Infinity", "Crawl-delay: NaN", "Crawl-delay: inf",
+    "Crawl-delay: .5e1", "Request-rate: +2/07", "Request-rate: 1/2/3",
 ]
 
 
+def java_double(v):
+    """Double.parseDouble on an already trimmed value, None when it throws."""
+    if re.fullmatch(r"[+-]?(NaN|Infinity)", v):
+        return float(v.replace("Infinity", "inf"))
+    m = re.fullmatch(r"([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)[fFdD]?", v)
+    if m:
+        return float(m.group(1))
+    m = re.fullmatch(r"([+-]?)0[xX]([0-9a-fA-F]*\.?[0-9a-fA-F]*)[pP]([+-]?\d+)[fFdD]?", v)
+    if m and m.group(2) not in ("", "."):
+        return float.fromhex(f"{m.group(1)}0x{m.group(2)}p{m.group(3)}")
+    return None
+
+
 def jtrim(s):
     i, j = 0, len(s)
     while i < j and s[i] <= " ":
@@ -61,10 +76,7 @@ def model(body):
             else:
                 warnings.append((n, "Ignored rule before user-agent"))
         elif name == "crawl-delay":
-            try:
-                d = float(value)
-            except ValueError:
-                d = None
+            d = java_double(value)
             if d is None or math.isnan(d) or d < 0:
                 warnings.append((n, f"Invalid crawl-delay value '{value}'"))
             elif cur["agents"]:
