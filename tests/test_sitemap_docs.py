@@ -1,3 +1,4 @@
+import re
 import gzip
 
 import pytest
@@ -153,3 +154,39 @@ def test_fast_path_agrees_with_full_rules(spark):
         assert r["full"] == r["u"], r["u"]
     assert not any(r["fast"] for r in rows if r["u"] in ("https://h/a//b", "https://h/./a", "https://h/a/..",
                                                          "https://h:/a", "HTTPS://h/x"))
+
+
+def _java_normalize_model(path):
+    """java.net.URI path normalisation: drop '.', cancel 'seg/..', keep a
+    '..' with nothing to cancel, collapse repeated slashes."""
+    if not re.search(r"//|(^|/)\.\.?(/|$)", path):
+        return path
+    absolute = path.startswith("/")
+    body = path.lstrip("/")
+    parts = [p for p in re.split(r"/+", body) if p]
+    ends = body.endswith("/")
+    segs = [(p, i + 1 < len(parts) or ends) for i, p in enumerate(parts)]
+    kept = []
+    for s, slash in segs:
+        if s == ".":
+            continue
+        if s == ".." and kept and kept[-1][0] != "..":
+            kept.pop()
+            continue
+        kept.append((s, slash))
+    return ("/" if absolute else "") + "".join(s + ("/" if slash else "") for s, slash in kept)
+
+
+def test_normalize_path_random(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from crawlmeta.functions.resolve import normalize_path
+    rnd = random.Random(5)
+    parts = ["a", "b", ".", "..", "", "c.d", "...", ".x"]
+    paths = ["/" * rnd.randint(0, 2) + "/".join(rnd.choice(parts) for _ in range(rnd.randint(0, 6)))
+             + rnd.choice(["", "/"]) for _ in range(600)]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    for r in df.select("p", normalize_path(F.col("p")).alias("n")).collect():
+        assert r["n"] == _java_normalize_model(r["p"]), r["p"]
