@@ -34,8 +34,8 @@ def main(argv):
     out = ["# PLANS", "",
            "Static physical plans (AQE off) of the registered queries at sf0.01, generated by",
            "`tools/explain_all.py`. Columns count operators; `Exchange hash` = shuffles, `BHJ` = broadcast",
-           "hash joins (our explicit broadcasts are size-checked lookups or counted checkpointed frames; any
-other is Spark's own choice from file statistics of a small scan, such as the seed table),",
+           "hash joins (our explicit broadcasts are size-checked lookups or counted checkpointed frames; any",
+           "other is Spark's own choice from file statistics of a small scan, such as the seed table),",
            "`BNLJ` must stay 0. Python stages appear only for byte formats. Queries that write and read back",
            "(WARC, robots tree, stream) show the read side. Crawl queries show the final joins over the",
            "checkpointed levels.", "",
