@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crawlmeta.llm import exact_dedup, packing, token_store
-from crawlmeta.llm.common import shared_folder, table
+from crawlmeta.llm import exact_dedup, minhash_forest, packing, quality_rules, token_store, toxicity
+from crawlmeta.llm.common import held_out, shared_folder, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -27,14 +28,37 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(manifest)
 
 
+def op4_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_dedup(documents(spark, sf_dir), width=3, percent=85)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out().alias("held_out"),
+                         toxicity.score_column(docs, model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_rules.with_score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
+    "op4_minhash_forest": op4_minhash_forest,
+    "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 _SPACES = r"'[\x20\x09-\x0D]+', ' ', 'g'"
