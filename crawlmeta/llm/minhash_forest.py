@@ -264,3 +264,12 @@ def near_dedup(docs: DataFrame, width: int = 3, percent: int = 85, id_col: str =
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("of_set"))
     return found.select("doc_id", "n_shingles", own.alias("component_id"),
                         F.col("doc_id").eqNullSafe(own).alias("kept"))
+
+
+def keep_one(docs: DataFrame, width: int = 3, percent: int = 85, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: all but those that
+    the decision drops. A row without an id stays."""
+    found = near_dedup(docs, width, percent, id_col, text_col)
+    drop = found.where(~F.col("kept")).select(F.col("doc_id").alias("__drop")).distinct()
+    return docs.join(drop, F.col(f"`{id_col}`") == F.col("__drop"), "left_anti")
