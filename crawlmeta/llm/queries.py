@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmeta.llm import exact_dedup, minhash_forest, packing, quality_rules, token_store, toxicity
+from crawlmeta.llm import exact_dedup, imatch, kneser_ney, line_winnow, minhash_forest, packing, quality_rules, token_store, toxicity
 from crawlmeta.llm.common import held_out, shared_folder, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -52,6 +52,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint(documents(spark, sf_dir))
+
+
+def op9_line_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_winnow.dedup_lines(documents(spark, sf_dir))
+    return done.select("doc_id", "n_lines", "deleted_lines", "deleted_words",
+                       F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("text_sha256"))
+
+
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = kneser_ney.fit(docs, shared_folder(spark, "language"))
+    found = kneser_ney.identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
@@ -59,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_imatch": op8_imatch,
+    "op9_line_winnow": op9_line_winnow,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 _SPACES = r"'[\x20\x09-\x0D]+', ' ', 'g'"
