@@ -8,16 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmeta.llm import exact_dedup, imatch, kneser_ney, line_winnow, minhash_forest, packing, quality_rules, token_store, toxicity
+from crawlmeta.llm import (
+    exact_dedup,
+    imatch,
+    kneser_ney,
+    line_winnow,
+    minhash_forest,
+    packing,
+    quality_rules,
+    sentencepiece_codec,
+    token_store,
+    toxicity,
+)
 from crawlmeta.llm.common import held_out, shared_folder, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(documents(spark, sf_dir), public_tokenizers.path(PIECES), with_ids=False)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), size=2048, end_id=0)
 
@@ -70,6 +86,7 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
     "op4_minhash_forest": op4_minhash_forest,
