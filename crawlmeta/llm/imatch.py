@@ -106,7 +106,7 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
                        F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("place"))
     known = rows.where("doc_id IS NOT NULL")
     inner = sorted(set(known.approxQuantile("place", [i / parts for i in range(1, parts)], 0.25 / parts))) if parts > 1 else []
-    bounds = [float("-inf"), *inner, float("inf")]
+    bounds = [float("-inf"), *(inner or [0.0]), float("inf")]  # a Bucketizer wants two ranges or more
     dealt = Bucketizer(splits=bounds, inputCol="place", outputCol="b").transform(rows).withColumn("range", F.col("b").cast("int"))
     heads = dealt.groupBy("range").agg(F.min("place").alias("place")).orderBy("range").collect()
     to = [(h.place, heads[i - 1].range) for i, h in enumerate(heads)]
