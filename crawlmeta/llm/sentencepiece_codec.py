@@ -10,9 +10,9 @@ Where no piece has the metaspace mark after another character, a text falls into
 words that are encoded apart from each other. Each worker encodes a distinct word
 once, in multithreaded batches, and checks that word against the sentencepiece
 library: same ids, and the decoder gives the word back. So parity is verified on
-everything that is encoded, without encoding every text twice. (A unigram reference
-sums 32-bit floats over a whole text; by words, a near tie in a very long text is
-decided as in a short one.) Texts that do not fall into such words (runs of spaces, spaces at their ends) are encoded and
+everything that is encoded, without encoding every text twice. (Of two unigram
+paths with one score the libraries may take different ones: such texts are marked
+as not verified.) Texts that do not fall into such words (runs of spaces, spaces at their ends) are encoded and
 checked whole.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; null
