@@ -124,7 +124,8 @@ class PieceModel:
         out = Tokenizer(model)
         steps = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
         if self.extra_spaces_go:
-            steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+            steps += [normalizers.Replace(Regex(f"\\A[ {MARK}]+|[ {MARK}]+\\z"), ""),
+                      normalizers.Replace(Regex(f"[ {MARK}]{{2,}}"), " ")]
         if self.dummy_prefix:
             steps.append(normalizers.Prepend(MARK))
         out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
