@@ -12,7 +12,8 @@ once, in multithreaded batches, and checks that word against the sentencepiece
 library: same ids, and the decoder gives the word back. So parity is verified on
 everything that is encoded, without encoding every text twice. (Of two unigram
 paths with one score the libraries may take different ones: such texts are marked
-as not verified.) Texts that do not fall into such words (runs of spaces, spaces at their ends) are encoded and
+as not verified, as are literal marks at the ends of a text whose model trims it.)
+Texts that do not fall into such words (runs of spaces, spaces at their ends) are encoded and
 checked whole.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; null
@@ -124,8 +125,7 @@ class PieceModel:
         out = Tokenizer(model)
         steps = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
         if self.extra_spaces_go:
-            steps += [normalizers.Replace(Regex(f"\\A[ {MARK}]+|[ {MARK}]+\\z"), ""),
-                      normalizers.Replace(Regex(f"[ {MARK}]{{2,}}"), " ")]
+            steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
         if self.dummy_prefix:
             steps.append(normalizers.Prepend(MARK))
         out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
