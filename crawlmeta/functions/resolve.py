@@ -22,118 +22,155 @@ resolution and dot-segment rules, written with ``CASE`` and a small
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlmeta.functions.text import col
 
 
-# An already-normal absolute http(s) URL made only of plain characters
-# (letters, digits, -._~!$&'()*+,;=:@, valid %XX; no empty, '.' or '..'
-# path segment) resolves to itself: the common case skips URI parsing.
-_ESC = "%[0-9A-Fa-f]{2}"
-_SEG_CH = r"[A-Za-z0-9\-_.!~*'():@&=+$,;]"
-_Q_CH = r"[A-Za-z0-9\-_.!~*'();/?:@&=+$,\[\]]"
-_NOT_DOT = r"(?!\.\.?(?:/|\?|#|$))"
-_SEG = f"{_NOT_DOT}(?:{_SEG_CH}|{_ESC})+"
-FAST_ABSOLUTE = (f"^https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/{_SEG})*/?"
-                 f"(?:\\?(?:{_Q_CH}|{_ESC})*)?(?:#(?:{_Q_CH}|{_ESC})*)?$")
-
-
-def _part(u: Column, name: str) -> Column:
-    return F.try_parse_url(u, F.lit(name))
+# Flat tests only: java.util.regex evaluates a repeated group by recursion, so
+# a long URL would overflow the stack; a repeated character class is a loop.
+_HEAD = "^https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:[/?#]|$)"
+_OTHER_CHARACTER = r"[^A-Za-z0-9\-_.!~*'():@&=+$,;/?%#]"
+_BAD_ESCAPE = "%(?![0-9A-Fa-f]{2})"
+_SECOND_FRAGMENT = "#[^#]*#"
+_ODD_SEGMENT = r"^https?://[^?#]*/(?:/|[.][.]?(?:[/?#]|$))"
 
+# scheme, authority, path, query and fragment of a valid reference, each with
+# its delimiter, so that an absent part differs from an empty one
+_PARTS = "^([^:/?#]+:)?(//[^/?#]*)?([^?#]*)([?][^#]*)?(#.*)?$"
+_CUT = "\u0001"
 
 # A path needs normalisation when it has a '.' or '..' segment or an empty
 # segment ('//'), or starts with more than one slash.
 _NEEDS_NORMALIZE = r"//|(^|/)[.][.]?(/|$)"
 
 
-def normalize_path(path: Column) -> Column:
+def is_normal_absolute(r: Column) -> Column:
+    """An absolute http(s) URL of plain characters with no empty, '.' or '..'
+    path segment resolves to itself: the common case skips URI parsing."""
+    return (r.rlike(_HEAD) & ~r.rlike(_OTHER_CHARACTER) & ~r.rlike(_BAD_ESCAPE) & ~r.rlike(_SECOND_FRAGMENT)
+            & ~r.rlike(_ODD_SEGMENT))
+
+
+def _split(u: Column) -> tuple[Column, Column]:
+    """(whether ``java.net.URI`` takes the reference, its five parts with delimiters)."""
+    scheme = F.try_parse_url(u, F.lit("PROTOCOL"))
+    path = F.try_parse_url(u, F.lit("PATH"))
+    parts = F.split(F.regexp_replace(u, _PARTS, _CUT.join(f"${i}" for i in range(1, 6))), _CUT, -1)
+    return scheme.isNotNull() | path.isNotNull(), parts
+
+
+def _after(part: Column, skip: int) -> Column:
+    """The text behind a part's delimiter; NULL for an absent part."""
+    return F.when(part != "", F.substr(part, F.lit(skip + 1)))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _without_dots(path: Column) -> Column:
     absolute = path.startswith("/")
     body = F.regexp_replace(path, "^/+", "")
-    ends_slash = body.endswith("/")
     segs = F.filter(F.split(body, "/+", -1), lambda s: s != "")
-    n = F.size(segs)
-    # each segment keeps whether a slash followed it in the original path
-    tagged = F.transform(segs, lambda s, i: F.struct(s.alias("s"), ((i + 1 < n) | ends_slash).alias("slash")))
-    empty = F.array().cast("array<struct<s:string,slash:boolean>>")
+    start = F.struct(F.lit(0).alias("up"), F.lit("").alias("rest"), F.lit("").alias("slash"))
 
     def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        return (F.when(x["s"] == ".", acc)
-                .when(x["s"] == "..", F.when((F.size(acc) > 0) & (last["s"] != ".."), F.slice(acc, 1, F.size(acc) - 1))
-                      .otherwise(F.array_append(acc, x)))
-                .otherwise(F.array_append(acc, x)))
-
-    kept = F.aggregate(tagged, empty, step)
+        up, rest, slash = acc["up"], acc["rest"], acc["slash"]
+        parent, here = x["s"] == "..", x["s"] == "."
+        return F.struct(
+            F.when(here, up).when(parent, up + 1).when(up > 0, up - 1).otherwise(up).alias("up"),
+            F.when(here | parent | (up > 0), rest).otherwise(F.concat(x["s"], x["slash"], rest)).alias("rest"),
+            F.when(parent & (up == 0), x["slash"]).otherwise(slash).alias("slash"))
+
+    def joined(done: Column) -> Column:
+        # '..' that had nothing to cancel: the last of them keeps its own slash
+        above = F.when(done["up"] > 0, F.concat(F.repeat(F.lit("../"), done["up"] - 1), F.lit(".."), done["slash"])).otherwise("")
+        return F.concat(F.when(absolute, "/").otherwise(""), above, done["rest"])
+
+    # each segment keeps whether a slash followed it in the original path;
     # a removed '.' / '..' at the end leaves the previous segment's slash
-    joined = F.array_join(F.transform(kept, lambda x: F.concat(x["s"], F.when(x["slash"], "/").otherwise(""))), "")
-    out = F.concat(F.when(absolute, "/").otherwise(""), joined)
-    return F.when(path.rlike(_NEEDS_NORMALIZE), out).otherwise(path)
+    tagged = _let(segs, lambda all_: F.transform(all_, lambda s, i: F.struct(
+        s.alias("s"), F.when((i + 1 < F.size(all_)) | body.endswith("/"), "/").otherwise("").alias("slash"))))
+    return _let(F.aggregate(F.reverse(tagged), start, step), joined)
+
+
+def normalize_path(path: Column) -> Column:
+    """Dot segments and empty segments removed. Segments are read from the end
+    with a count of open '..'; what stays is prepended, so the work is linear
+    in the segments for any mix of them."""
+    return F.when(path.rlike(_NEEDS_NORMALIZE), _let(path, _without_dots)).otherwise(path)
 
 
 def _server_authority(u: Column, auth: Column) -> Column:
     """Authority as ``URI.toString`` rebuilds it for a new URI: a server
     authority drops an empty port (``host:`` -> ``host``)."""
-    return F.when(_part(u, "HOST").isNotNull(), F.regexp_replace(auth, ":$", "")).otherwise(auth)
+    return F.when(auth.endswith(":") & F.try_parse_url(u, F.lit("HOST")).isNotNull(),
+                  F.regexp_replace(auth, ":$", "")).otherwise(auth)
 
 
 def java_resolve(base: Column | str, loc: Column | str) -> Column:
     """``base.resolve(loc).normalize()`` as a string when it is a valid
-    http(s) page URL, else NULL. ``FAST_ABSOLUTE`` references short-cut to
+    http(s) page URL, else NULL. Normal absolute references short-cut to
     themselves (CASE branches are evaluated lazily)."""
     r = col(loc)
-    return F.when(r.rlike(FAST_ABSOLUTE), r).otherwise(full_resolve(base, loc))
+    return F.when(is_normal_absolute(r), r).otherwise(full_resolve(base, loc))
+
+
+def _named(u: Column) -> Column:
+    """STRUCT of what a reference is made of; parsed once."""
+    ok, parts = _split(u)
+    return _let(F.struct(u.alias("text"), ok.alias("ok"), parts.alias("p")), lambda x: F.struct(
+        x["text"].alias("text"), x["ok"].alias("ok"),
+        F.when(x["p"][0] != "", F.regexp_replace(x["p"][0], ":$", "")).alias("scheme"),
+        F.when(F.length(x["p"][1]) > 2, _server_authority(x["text"], F.substr(x["p"][1], F.lit(3)))).alias("authority"),
+        x["p"][2].alias("path"), _after(x["p"][3], 1).alias("query"), _after(x["p"][4], 1).alias("fragment"),
+        ((x["p"][0] != "") & (x["p"][1] == "") & ~x["p"][2].startswith("/")).alias("opaque")))
+
+
+def _rebuilt(u: Column, scheme: Column, authority: Column, path: Column, fragment: Column) -> Column:
+    """The text of a URI of these parts, with the query of ``u``."""
+    parts = [(scheme, "", ":"), (authority, "//", ""), (path, "", ""), (u["query"], "?", ""), (fragment, "#", "")]
+    return F.concat(*[F.coalesce(F.concat(F.lit(a), x, F.lit(b)), F.lit("")) for x, a, b in parts])
+
+
+def _page_url(scheme: Column, authority: Column, text: Column) -> Column:
+    """The text when it is a page URL, else NULL."""
+    fits = F.lower(scheme).isin("http", "https") & authority.isNotNull()
+    return _let(text, lambda t: F.when(fits & ~t.rlike("[\\p{javaWhitespace}\\p{javaISOControl}]"), t))
+
+
+def _itself(u: Column, fragment: Column) -> Column:
+    """A URI as it is, or rebuilt when normalisation or a fragment changes it."""
+    return _let(normalize_path(u["path"]), lambda path: F.when(
+        (path == u["path"]) & fragment.eqNullSafe(u["fragment"]), u["text"]).otherwise(
+        _rebuilt(u, u["scheme"], u["authority"], path, fragment)))
+
+
+def _against(b: Column, r: Column) -> Column:
+    """A reference without a scheme, resolved against the base."""
+    lone_fragment = r["authority"].isNull() & (r["path"] == "") & r["fragment"].isNotNull() & r["query"].isNull()
+    folder = F.regexp_extract(b["path"], "^(.*/)", 1)
+    merged = (F.when(r["authority"].isNotNull() | r["path"].startswith("/"), r["path"])
+              .when((r["path"] != "") & (folder == "") & b["scheme"].isNotNull(), F.concat(F.lit("/"), r["path"]))
+              .otherwise(F.concat(folder, r["path"])))
+    authority = F.coalesce(r["authority"], b["authority"])
+    return F.when(b["ok"] & ~b["opaque"], _page_url(b["scheme"], authority, F.when(
+        lone_fragment, _itself(b, r["fragment"])).otherwise(
+        _rebuilt(r, b["scheme"], authority, normalize_path(merged), r["fragment"]))))
 
 
 def full_resolve(base: Column | str, loc: Column | str) -> Column:
-    """The resolution rules without the fast path."""
-    b, r = col(base), col(loc)
-    b_scheme, b_auth, b_path = _part(b, "PROTOCOL"), _part(b, "AUTHORITY"), _part(b, "PATH")
-    b_query, b_frag = _part(b, "QUERY"), _part(b, "REF")
-    r_scheme, r_auth, r_path = _part(r, "PROTOCOL"), _part(r, "AUTHORITY"), _part(r, "PATH")
-    r_query, r_frag = _part(r, "QUERY"), _part(r, "REF")
-    b_ok = b_path.isNotNull() | b_scheme.isNotNull()
-    r_ok = r_path.isNotNull() | r_scheme.isNotNull()
-    r_opaque = r_scheme.isNotNull() & r_path.isNull()
-    b_opaque = b_scheme.isNotNull() & b_path.isNull()
-
-    def build(scheme: Column, auth: Column, path: Column, query: Column, frag: Column) -> Column:
-        return F.concat(F.coalesce(F.concat(scheme, F.lit(":")), F.lit("")),
-                        F.coalesce(F.concat(F.lit("//"), auth), F.lit("")), F.coalesce(path, F.lit("")),
-                        F.coalesce(F.concat(F.lit("?"), query), F.lit("")),
-                        F.coalesce(F.concat(F.lit("#"), frag), F.lit("")))
-
-    # reference with a scheme: itself, rebuilt only when normalisation changes its path
-    abs_path = normalize_path(r_path)
-    absolute = F.when(abs_path == r_path, r).otherwise(
-        build(r_scheme, _server_authority(r, r_auth), abs_path, r_query, r_frag))
-    # lone fragment: the base with that fragment
-    lone_frag = r_scheme.isNull() & r_auth.isNull() & (r_path == "") & r_frag.isNotNull() & r_query.isNull()
-    b_norm = normalize_path(b_path)
-    same_frag = F.coalesce(b_frag == r_frag, F.lit(False))
-    fragment_only = F.when(same_frag & (b_norm == b_path), b).otherwise(
-        build(b_scheme, _server_authority(b, b_auth), b_norm, b_query, r_frag))
-    # relative reference
-    b_dir = F.regexp_extract(b_path, "^(.*/)", 1)
-    merged = (F.when(r_path == "", b_dir)
-              .when((b_dir != "") | b_scheme.isNull(), F.concat(b_dir, r_path))
-              .otherwise(F.concat(F.lit("/"), r_path)))
-    rel_path = F.when(r_auth.isNotNull() | r_path.startswith("/"), r_path).otherwise(merged)
-    rel_auth = F.when(r_auth.isNotNull(), _server_authority(r, r_auth)).otherwise(_server_authority(b, b_auth))
-    relative = build(b_scheme, rel_auth, normalize_path(rel_path), r_query, r_frag)
-    out_auth = F.when(r_scheme.isNotNull(), r_auth).when(r_auth.isNotNull(), r_auth).otherwise(b_auth)
-    out_scheme = F.coalesce(r_scheme, b_scheme)
-    resolved = (F.when(r_scheme.isNotNull(), absolute).when(lone_frag, fragment_only).otherwise(relative))
-    valid = (b_ok & r_ok & ~r_opaque & ~b_opaque & F.lower(out_scheme).isin("http", "https")
-             & F.coalesce(out_auth != "", F.lit(False))
-             & ~resolved.rlike("[\\p{javaWhitespace}\\p{javaISOControl}]"))
-    # a scheme-carrying reference is used as it is even against an opaque base
-    valid_abs = (r_ok & ~r_opaque & F.lower(r_scheme).isin("http", "https") & F.coalesce(r_auth != "", F.lit(False))
-                 & ~absolute.rlike("[\\p{javaWhitespace}\\p{javaISOControl}]"))
-    return F.when(r_scheme.isNotNull(), F.when(F.coalesce(valid_abs, F.lit(False)), absolute)).otherwise(
-        F.when(F.coalesce(valid, F.lit(False)), resolved))
+    """The resolution rules without the fast path. A reference with a scheme is
+    used as it is, even against a base that cannot take relative ones."""
+    b, r = _named(col(base)), _named(col(loc))
+    return _let(r, lambda x: F.when(x["ok"] & ~x["opaque"], F.when(
+        x["scheme"].isNotNull(), _page_url(x["scheme"], x["authority"], _itself(x, x["fragment"]))).otherwise(
+        _let(b, lambda y: _against(y, x)))))
 
 
 def with_resolved(df: DataFrame, base: str, loc: str, out: str) -> DataFrame:
