@@ -82,24 +82,30 @@ class NoisyOr:
         self.weights, self.bias = weights, bias
 
     @classmethod
-    def fit(cls, feature: np.ndarray, at: np.ndarray, doc: np.ndarray, y: np.ndarray,
-            epochs: int = 160, rate: float = 0.15, penalty: float = 0.02) -> NoisyOr:
-        """``doc`` of each sentence, ascending; ``y`` of each document."""
-        if not len(y) or not len(doc) or y.min() == y.max():
+    def fit(cls, bags: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 160, rate: float = 0.15,
+            penalty: float = 0.02) -> NoisyOr:
+        """``bags`` has a label, sentence bounds and features for each document.
+        Features that tell nothing are left out before anything is joined."""
+        y = np.array([b[0] for b in bags], float)
+        sentences = np.array([max(0, len(at) - 1) for _, at, _ in bags], np.int64)
+        if not sentences.sum() or y.min() == y.max():
             share = (y.sum() + 1) / (len(y) + 2)
-            per_doc = max(1.0, len(doc) / max(1, len(y)))
+            per_doc = max(1.0, sentences.sum() / max(1, len(y)))
             return cls(np.zeros(BUCKETS, np.float32), float(np.log(np.expm1(-np.log1p(-share) / per_doc))))
-        token_doc = np.repeat(doc, np.diff(at))
-        pairs = np.unique(token_doc * BUCKETS + feature)
-        in_toxic = np.bincount(pairs % BUCKETS, y[pairs // BUCKETS], BUCKETS)
-        in_all = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+        in_all, in_toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for label, _, feature in bags:
+            present = np.unique(feature)
+            in_all[present] += 1
+            in_toxic[present] += label
         share = y.mean()
         spread = np.sqrt(np.maximum(in_all * share * (1 - share), 1e-9))
-        use = ((in_all >= LEAST_DOCS) & (np.abs(in_toxic - in_all * share) >= LEAST_Z * spread))[feature]
-        at = np.concatenate([[0], np.cumsum(use)])[at]
-        used, feature = np.unique(feature[use], return_inverse=True)
-        bounds = np.searchsorted(doc, np.arange(len(y) + 1))
-        sentence = np.repeat(np.arange(len(doc)), np.diff(at))
+        telling = (in_all >= LEAST_DOCS) & (np.abs(in_toxic - in_all * share) >= LEAST_Z * spread)
+        kept = [telling[feature] for _, _, feature in bags]
+        at = np.concatenate([[0], np.cumsum(np.concatenate([
+            np.diff(np.concatenate([[0], np.cumsum(k)])[bounds]) for k, (_, bounds, _) in zip(kept, bags)]))])
+        used, feature = np.unique(np.concatenate([f[k] for k, (_, _, f) in zip(kept, bags)]), return_inverse=True)
+        bounds = np.concatenate([[0], np.cumsum(sentences)])
+        sentence = np.repeat(np.arange(bounds[-1]), np.diff(at))
         w, m, v = (np.zeros(len(used) + 1) for _ in range(3))
         w[-1] = -6.0
         for step in range(1, epochs + 1):
@@ -144,12 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
 
     got = sorted((r.label, bytes(r.feature), bytes(r.at)) for r in
                  sample.mapInPandas(features, "label int, at binary, feature binary").toLocalIterator())
-    got = [(y, np.frombuffer(f, np.int32), np.frombuffer(a, np.int32)) for y, f, a in got]
-    sentences = np.array([max(0, len(a) - 1) for _, _, a in got], np.int64)
-    feature = np.concatenate([np.zeros(0, np.int32), *(f for _, f, _ in got)])
-    lengths = np.concatenate([np.zeros(0, np.int64), *(np.diff(a) for _, _, a in got)])
-    return NoisyOr.fit(feature, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
-                       np.repeat(np.arange(len(got)), sentences), np.array([y for y, _, _ in got], float))
+    return NoisyOr.fit([(y, np.frombuffer(a, np.int32), np.frombuffer(f, np.int32)) for y, f, a in got])
 
 
 def score_column(docs: DataFrame, model: NoisyOr, text: Column) -> Column:

@@ -85,7 +85,8 @@ def test_noisy_or_learns_the_sentence_from_document_labels():
             sentences[int(rng.integers(len(sentences)))] += " venomous"
         texts.append(". ".join(sentences) + ".")
     s = toxicity.Sentences(to_bytes(texts))
-    model = toxicity.NoisyOr.fit(s.feature, s.at, s.doc, np.array(y, float))
+    bags = [toxicity.Sentences([t]) for t in to_bytes(texts)]
+    model = toxicity.NoisyOr.fit([(int(label), b.at, b.feature) for label, b in zip(y, bags)])
     assert ((model.scores(to_bytes(texts)) >= 0.5) == y).all()
     p = 1 / (1 + np.exp(-model.sentence_logits(s)))
     own = [t.split(". ")[k] for t, n in zip(texts, np.bincount(s.doc)) for k in range(n)]
