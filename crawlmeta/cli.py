@@ -17,6 +17,7 @@ import sys
 MODES = ["robots", "sitemaps", "country-sitemaps", "local-sitemaps", "filter-sitemaps", "local-country-sitemaps",
          "download-sitemaps", "publish-urls"]
 ARCHIVE_MODES = {"robots", "sitemaps", "country-sitemaps"}
+DOWNLOAD_MODES = ARCHIVE_MODES | {"download-sitemaps"}
 COUNTRY_MODES = {"country-sitemaps", "local-country-sitemaps"}
 SUFFIX_MODES = COUNTRY_MODES | {"filter-sitemaps"}
 
@@ -63,12 +64,13 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--country", required=True, help="country key, name or suffix")
         if mode == "robots":
             s.add_argument("--export-files", help="also write one file per robots capture under this folder")
-        if mode == "download-sitemaps":
+        if mode in DOWNLOAD_MODES:
             s.add_argument("--download-connect-timeout-seconds", type=_positive("--download-connect-timeout-seconds"),
                            default=10)
             s.add_argument("--download-read-timeout-seconds", type=_positive("--download-read-timeout-seconds"),
                            default=30)
             s.add_argument("--download-delay-seconds", type=_non_negative("--download-delay-seconds"), default=1)
+        if mode == "download-sitemaps":
             s.add_argument("--max-depth", type=_non_negative("--max-depth"), default=20)
         if mode == "publish-urls":
             s.add_argument("--bootstrap-servers")
@@ -88,15 +90,14 @@ def main(argv: list[str] | None = None) -> int:
         b = b.master(args.master)
     spark = b.getOrCreate()
     src = args.input
+    pol = None
+    if args.mode in DOWNLOAD_MODES:
+        pol = jobs.FetchPolicy(args.download_connect_timeout_seconds, args.download_read_timeout_seconds,
+                               args.download_delay_seconds)
     if args.mode in ARCHIVE_MODES and src.endswith(".paths.gz"):
         if not args.staging:
             raise SystemExit("--staging is required when the input is a manifest")
-        staged = jobs.stage_archives(spark, src, args.staging, args.skip_files, args.max_files).collect()
-        failed = [r for r in staged if r["local_path"] is None]
-        if failed:
-            raise SystemExit(f"{len(failed)} archives could not be fetched: " +
-                             "; ".join(f"{r['archive_uri']}: {r['error']}" for r in failed[:20]))
-        src = ",".join(r["local_path"] for r in staged)
+        src = jobs.stage_archives(spark, src, args.staging, args.skip_files, args.max_files, fetch_policy=pol)
     elif args.mode in ARCHIVE_MODES and (args.max_files or args.skip_files):
         raise SystemExit("--max-files / --skip-files apply to manifest inputs")
     dim = geo.load_suffixes(spark, args.suffixes) if args.mode in SUFFIX_MODES else None
@@ -113,8 +114,6 @@ def main(argv: list[str] | None = None) -> int:
     elif args.mode == "local-country-sitemaps":
         res = jobs.local_country_sitemaps_job(spark, src, args.output, args.country, dim)
     elif args.mode == "download-sitemaps":
-        pol = jobs.FetchPolicy(args.download_connect_timeout_seconds, args.download_read_timeout_seconds,
-                               args.download_delay_seconds)
         res = jobs.download_sitemaps_job(spark, src, args.output, max_depth=args.max_depth, fetch_policy=pol)
     else:
         res = jobs.publish_urls_job(spark, src, args.output, args.bootstrap_servers, args.topic, args.file_suffix)

@@ -35,8 +35,8 @@ def _code_point_char(code: Column) -> Column:
 
 def _decode_entity(e: Column) -> Column:
     named = F.element_at(F.create_map(*[x for k, v in NAMED_ENTITIES.items() for x in (F.lit(k), F.lit(v))]), e)
-    hex_digits = F.substring(e, 3, 1 << 20)
-    dec_digits = F.substring(e, 2, 1 << 20)
+    hex_digits = F.substr(e, F.lit(3))
+    dec_digits = F.substr(e, F.lit(2))
     hex_code = F.when(F.length(F.ltrim(F.lit("0"), hex_digits)) <= 8,
                       F.conv(hex_digits, 16, 10).cast("long"))
     dec_code = F.when(F.length(F.ltrim(F.lit("0"), dec_digits)) <= 10, dec_digits.cast("decimal(12,0)").cast("long"))

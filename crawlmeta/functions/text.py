@@ -26,7 +26,7 @@ def java_trim(c: Column | str) -> Column:
 def strip_bom(c: Column | str) -> Column:
     """Drop one leading U+FEFF."""
     x = col(c)
-    return F.when(x.startswith(BOM), F.substring(x, 2, 1 << 30)).otherwise(x)
+    return F.when(x.startswith(BOM), F.substr(x, F.lit(2))).otherwise(x)
 
 
 def text_lines(c: Column | str) -> Column:
@@ -66,22 +66,3 @@ def slug(c: Column | str) -> Column:
     """Lowercase, runs of non [a-z0-9] become '-', one '-' cut at each end."""
     dashed = F.regexp_replace(F.lower(java_trim(c)), "[^a-z0-9]+", "-")
     return F.regexp_replace(dashed, "^-|-$", "")
-
-
-def path_key(c: Column | str) -> Column:
-    """Slug used as a folder name; an empty slug becomes 'country'."""
-    s = slug(c)
-    return F.when(s == "", F.lit("country")).otherwise(s)
-
-
-def http_status_message(url: Column | str, status: Column | str, status_text: Column | str,
-                        body: Column | str, retryable: Column | str) -> Column:
-    """Error text of a failed HTTP response: the first three body lines,
-    joined by spaces, cut at 240 characters."""
-    details = F.substring(F.array_join(F.slice(text_lines(F.coalesce(col(body), F.lit(""))), 1, 3), " "),
-                          1, 240)
-    retry_text = F.when(col(retryable), F.lit("retryable HTTP response")).otherwise(
-        F.lit("non-retryable HTTP response"))
-    detail_text = F.when(details != "", F.concat(F.lit(": "), details)).otherwise(F.lit(""))
-    return F.concat(F.lit("GET "), col(url), F.lit(" returned "), col(status).cast("string"), F.lit(" "),
-                    col(status_text), F.lit(" ("), retry_text, F.lit(")"), detail_text)

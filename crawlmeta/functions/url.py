@@ -18,24 +18,17 @@ def try_parse_url(c: Column | str, part: str) -> Column:
     return F.try_parse_url(col(c), F.lit(part))
 
 
-def url_host(u: Column | str, strict_idn: bool = False) -> Column:
+def url_host(u: Column | str) -> Column:
     """Host of a URL; when the text has none, retry with ``https://`` put in
     front (so ``example.ua/x`` gives ``example.ua``).
 
     ``java.net.URI`` has no host for names with ``_`` or non-ASCII text, so
-    the retry then yields ``https`` (kept by default, as the crawl tools do).
-    With ``strict_idn`` such names come from the raw authority instead
-    (user info and port removed)."""
+    the retry then yields ``https`` (kept, as the crawl tools do)."""
     u = col(u)
-    host = F.coalesce(
+    return F.coalesce(
         try_parse_url(java_trim(u), "HOST"),
         try_parse_url(java_trim(F.concat(F.lit("https://"), u)), "HOST"),
     )
-    if not strict_idn:
-        return host
-    auth = try_parse_url(java_trim(u), "AUTHORITY")
-    bare = F.regexp_replace(F.regexp_replace(auth, "^[^@]*@", ""), ":[0-9]*$", "")
-    return F.coalesce(try_parse_url(java_trim(u), "HOST"), F.nullif(bare, F.lit("")), host)
 
 
 def url_path(u: Column | str) -> Column:
@@ -82,21 +75,6 @@ def is_usable_sitemap_value(v: Column | str) -> Column:
     return (v != "") & ~v.rlike("\\p{javaWhitespace}") & v.rlike("^(?i:https?://|/)")
 
 
-def has_whitespace_or_control(c: Column | str) -> Column:
-    return col(c).rlike("[\\p{javaWhitespace}\\p{javaISOControl}]")
-
-
-def is_valid_page_url(u: Column | str) -> Column:
-    """http/https scheme, non-empty raw authority, hierarchical, and no
-    whitespace or control character."""
-    u = col(u)
-    scheme = F.lower(try_parse_url(u, "PROTOCOL"))
-    authority = try_parse_url(u, "AUTHORITY")
-    return F.coalesce(
-        scheme.isin("http", "https") & (authority != "") & ~has_whitespace_or_control(u),
-        F.lit(False))
-
-
 def archive_uri(p: Column | str, base: str = "https://data.commoncrawl.org/") -> Column:
     """Absolute archive paths are kept; relative ones are resolved on the
     public crawl bucket base."""

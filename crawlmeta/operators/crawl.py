@@ -9,27 +9,26 @@ frontiers give the same visited set as a FIFO queue.
 
 A fetcher turns a set of URLs into row sets: ``status (url, kind, error)``,
 ``index_edges (url, target)`` (resolved children of sitemap indexes) and
-``page_edges (url, pos, target)`` (resolved page URLs of URL sets,
-duplicates kept). Every URL is fetched, parsed and resolved once per crawl,
-not once per seed or level. A level only needs the index edges:
+``page_edges (url, target)`` (resolved page URLs of URL sets, duplicates kept).
+Every URL is fetched and parsed once per crawl, not once per seed or level. A
+level only reads the index edges, a table of its own:
 
   children = frontier JOIN index_edges -> distinct -> ANTI JOIN visited
 
-and after the last level two joins finish the job, each reading its table
-once: visits = frontiers JOIN status, links = parsed URL-set visits JOIN
-page_edges (the page table is by far the largest; it is never scanned per
-level).
+and after the last level two joins finish the job: visits = frontiers JOIN
+status, links = URL-set visits JOIN page_edges. The page edges are by far the
+largest; they are made from the parsed documents in that last join and never
+written or scanned per level.
 
 Scale notes: rows are hash-partitioned by url / (seed, url), so a seed with
-millions of children is spread over all tasks and no seed is collected in
-one place; AQE splits a hot URL shared by many seeds. Each level knows the
-exact size of its frontier and visited set (observed at the checkpoint):
-below CRAWL_BROADCAST_ROWS the set is broadcast, so the edge tables are
-streamed without a shuffle; above it the join shuffles (never a broadcast
-from a stale estimate). The frontier of each level is a reliable checkpoint in the cluster's checkpoint
-folder (one action per level); visited = union of those checkpoints, so
-lineage stays one level deep and a lost executor recomputes at most one
-level. Distinct seed URLs are crawled once and seed rows join their results
+millions of children is spread over all tasks; the last joins with the seed
+rows are skewed for such a seed, and adaptive execution splits them. Each level
+knows the bytes of its frontier and visited set (observed as they are written):
+up to BROADCAST_BYTES the set is broadcast, so the edge table is streamed without
+a shuffle; above it both sides are sorted and merged, which can spill. Frontiers,
+parsed documents and index edges are Parquet tables in the cluster's checkpoint
+folder, so lineage stays one level deep and a lost executor recomputes at most
+one level. Distinct seed URLs are crawled once and seed rows join their results
 back (a seed listed twice emits its links twice).
 """
 
@@ -44,13 +43,12 @@ from pyspark.sql import functions as F
 
 from crawlmeta.functions.resolve import with_resolved
 from crawlmeta.operators.sitemap_docs import KIND_FAILED, KIND_INDEX, KIND_INVALID, KIND_URLSET, parse_sitemaps
-from crawlmeta.session import checkpoint_dir
+from crawlmeta.session import work_folder
 
 MAX_SITEMAP_INDEX_DEPTH = 20
-# A frontier / visited set is broadcast only when its counted size is at most
-# this many rows (a few tens of MB); larger sets use a shuffle join. The
-# counts are exact (observed at each checkpoint), not optimizer estimates.
-CRAWL_BROADCAST_ROWS = 500_000
+# A frontier / visited set is broadcast up to this many bytes of its strings,
+# counted when it is written (never an optimizer estimate).
+BROADCAST_BYTES = 32 << 20
 
 # Sitemap bodies can be tens of MB: keep Arrow batches to few documents.
 DOCUMENT_BATCH_ROWS = 256
@@ -82,26 +80,24 @@ class CrawlResult:
 class Fetched:
     status: DataFrame        # url, kind, error       (one row per fetched URL)
     index_edges: DataFrame   # url, target            (children of sitemap indexes)
-    page_edges: DataFrame    # url, pos, target       (page URLs of URL sets)
+    page_edges: DataFrame    # url, target            (page URLs of URL sets)
 
 
 def documents_to_fetched(docs: DataFrame) -> Fetched:
-    """(url, body) -> parsed status + resolved edges, both checkpointed
-    (one Arrow pass parses the bodies; loc resolution is built-in)."""
-    checkpoint_dir(docs.sparkSession)
+    """(url, body) -> parsed status + resolved edges. One pass parses the
+    bodies into a table; the children of indexes are a second, small table."""
+    spark = docs.sparkSession
+    folder = work_folder(spark, "documents")
     parsed = parse_sitemaps(docs.select("url", "body")).select(
         "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
-    with small_arrow_batches(docs.sparkSession):
-        parsed = parsed.checkpoint(eager=True)
-    # these tables grow with the crawl: never broadcast them on an estimate
-    status = parsed.select("url", "kind", "error").hint("shuffle_hash")
-    locs = parsed.filter(F.col("kind").isin(KIND_URLSET, KIND_INDEX)).select(
-        "url", "kind", F.posexplode("locs").alias("pos", "loc"))
-    edges = with_resolved(locs, "url", "loc", "target").filter(F.col("target").isNotNull()).drop("loc")
-    edges = edges.checkpoint(eager=True)
-    index_edges = edges.filter(F.col("kind") == KIND_INDEX).select("url", "target").hint("shuffle_hash")
-    page_edges = edges.filter(F.col("kind") == KIND_URLSET).select("url", "pos", "target").hint("shuffle_hash")
-    return Fetched(status, index_edges, page_edges)
+    with small_arrow_batches(spark):
+        parsed = _table(parsed, f"{folder}/parsed")
+
+    def edges(kind: str) -> DataFrame:
+        locs = parsed.where(F.col("kind") == kind).select("url", F.explode("locs").alias("loc"))
+        return with_resolved(locs, "url", "loc", "target").where("target IS NOT NULL").select("url", "target")
+
+    return Fetched(parsed.select("url", "kind", "error"), _table(edges(KIND_INDEX), f"{folder}/index_edges"), edges(KIND_URLSET))
 
 
 def _union_fetched(a: Fetched, b: Fetched) -> Fetched:
@@ -148,13 +144,18 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
     if max_depth < 0:
         raise ValueError("max_depth must be >= 0")
     spark = seeds.sparkSession
-    checkpoint_dir(spark)
+    folder = work_folder(spark, "crawl")
+
+    def level(df: DataFrame, depth: int) -> tuple[DataFrame, int, int]:
+        """The frontier as a table, its rows and its bytes."""
+        obs = Observation(f"frontier_{depth}")
+        size = F.coalesce(F.sum(F.octet_length("root") + F.octet_length("url") + 32), F.lit(0))
+        out = _table(df.observe(obs, F.count(F.lit(1)).alias("n"), size.alias("bytes")), f"{folder}/level-{depth}")
+        return out, obs.get["n"], obs.get["bytes"]
+
     roots = seeds.select(F.col(seed_url).alias("root")).distinct()
-    obs0 = Observation("frontier_0")
-    frontier = roots.select("root", F.col("root").alias("url")).observe(
-        obs0, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    n_frontier = obs0.get["n"]
-    n_visited = 0
+    frontier, n_frontier, n_bytes = level(roots.select("root", F.col("root").alias("url")), 0)
+    visited_bytes = 0
     visited: list[DataFrame] = []
     status_expr = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
                    .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
@@ -164,24 +165,21 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
         if n_frontier == 0:
             break
         visited.append(frontier)
-        n_visited += n_frontier
+        visited_bytes += n_bytes
         frontiers.append(frontier.withColumn("depth", F.lit(depth)))
         got = fetch(frontier.select("url").distinct())
         if depth == max_depth:
             break
-        children = (_sized(frontier, n_frontier).join(got.index_edges, "url")
+        children = (_sized(frontier, n_bytes).join(got.index_edges, "url")
                     .select("root", F.col("target").alias("url")).distinct())
-        seen = _sized(_union(visited, "root string, url string", spark), n_visited)
-        children = children.join(seen, ["root", "url"], "left_anti")
-        obs = Observation(f"frontier_{depth + 1}")
-        frontier = children.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-        n_frontier = obs.get["n"]
+        seen = _sized(_union(visited, "root string, url string", spark), visited_bytes)
+        frontier, n_frontier, n_bytes = level(children.join(seen, ["root", "url"], "left_anti"), depth + 1)
     schema_v = "root string, sitemap_url string, depth int, status string, error string"
     if got is None:
         all_visits = spark.createDataFrame([], schema_v)
         all_links = spark.createDataFrame([], "root string, sitemap_url string, page_url string")
     else:
-        f = _sized(_union(frontiers, "root string, url string, depth int", spark), n_visited)
+        f = _sized(_union(frontiers, "root string, url string, depth int", spark), visited_bytes)
         v = f.join(got.status, "url", "left").select(
             "root", F.col("url").alias("sitemap_url"), "depth",
             F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"),
@@ -198,10 +196,15 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
     return CrawlResult(out_links, out_visits)
 
 
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a side whose row count is known to be small; otherwise
-    ask for a shuffle join so a stale size estimate never broadcasts it."""
-    return F.broadcast(df) if rows <= CRAWL_BROADCAST_ROWS else df.hint("shuffle_hash")
+def _sized(df: DataFrame, size: int) -> DataFrame:
+    """Broadcast a side whose bytes are known to be few; otherwise sort and
+    merge, so that neither a stale estimate nor a hash table decides."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
+
+
+def _table(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _union(frames: list[DataFrame], schema: str, spark) -> DataFrame:

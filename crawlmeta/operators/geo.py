@@ -54,8 +54,8 @@ DIMENSION_SCHEMA = T.StructType([
     T.StructField("suffix", T.StringType(), False),
 ])
 
-# A suffix dimension beyond this many rows is joined without a broadcast.
-MAX_BROADCAST_DIMENSION_ROWS = 200_000
+# A suffix dimension of more bytes than this is joined without a broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def dimension_from_rows(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
@@ -94,29 +94,42 @@ def load_suffixes(spark: SparkSession, path: str) -> DataFrame:
     return dimension_from_lines(lines)
 
 
-def row_count(df: DataFrame) -> int:
-    """Row count of a (small) lookup frame, computed once per frame object."""
-    n = getattr(df, "_crawlmeta_rows", None)
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of a lookup frame's strings, counted once per frame object."""
+    n = getattr(df, "_crawlmeta_bytes", None)
     if n is None:
-        n = df.count()
-        df._crawlmeta_rows = n
+        size = sum((F.octet_length(F.col(c).cast("string")) for c in df.columns), F.lit(16 * len(df.columns)))
+        n = df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
+        df._crawlmeta_bytes = n
     return n
 
 
-def checked_broadcast(dim: DataFrame, limit: int = MAX_BROADCAST_DIMENSION_ROWS, rows: int | None = None) -> DataFrame:
-    """Broadcast a lookup side only after its row count is checked."""
-    n = row_count(dim) if rows is None else rows
-    return F.broadcast(dim) if n <= limit else dim
+def checked_broadcast(df: DataFrame, size: int) -> DataFrame:
+    """Broadcast a lookup side only when its counted bytes are few."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def _by_last_label(dim: DataFrame) -> DataFrame:
-    cand = F.struct((-F.length("suffix")).alias("neg_len"), F.col("ord"),
-                    F.substring("suffix", 2, 1 << 20).alias("bare"), F.col("suffix"),
+    bare = F.substr(F.col("suffix"), F.lit(2))
+    cand = F.struct((-F.length("suffix")).alias("neg_len"), F.col("ord"), bare.alias("bare"), F.col("suffix"),
                     F.col("country_key"), F.col("country_name"))
-    return (dim.select(last_label(F.substring("suffix", 2, 1 << 20)).alias("label"), cand.alias("c"))
+    return (dim.select(last_label(bare).alias("label"), cand.alias("c"))
             .groupBy("label").agg(F.array_sort(F.collect_list("c")).alias("cands")))
 
 
+def best_by_host(hosts: DataFrame, dim: DataFrame) -> DataFrame:
+    """(host, best) for distinct hosts and a dimension of any size: a host's
+    label suffixes meet the dimension's suffixes in an equi join, and the
+    longest (then first listed) match stays."""
+    labels = F.split(F.col("host"), "[.]", -1)
+    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(
+        F.lit("."), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    cand = F.struct((-F.length("suffix")).alias("neg_len"), F.col("ord"), F.col("suffix"), F.col("country_key"),
+                    F.col("country_name"))
+    return (hosts.select("host", F.explode(F.array_distinct(tails)).alias("suffix")).join(dim, "suffix")
+            .groupBy("host").agg(F.min(cand).alias("best")))
+
+
 def _pick(host: Column, cands: Column) -> Column:
     return F.try_element_at(F.filter(cands, lambda c: (host == c["bare"]) | host.endswith(c["suffix"])),
                             F.lit(1))
@@ -179,17 +192,23 @@ def classify(df: DataFrame, dim: DataFrame, host_col: str, url_col: str, keep_un
     Country comes from the robots host; if that host has no suffix match,
     from the sitemap URL's host. Rows without a country are dropped unless
     ``keep_unmatched`` (then the four columns are NULL)."""
-    cands = _by_last_label(dim)
-    if row_count(dim) <= MAX_BROADCAST_DIMENSION_ROWS:
-        cands = F.broadcast(cands)
     rh, sh, uh, up = "_cl_rhost", "_cl_shost", "_cl_uhost", "_cl_upath"
     x = (df.withColumn(uh, url_host(url_col)).withColumn(up, url_path(url_col))
          .withColumn(rh, normalize_host(host_col)).withColumn(sh, normalize_host(F.col(uh))))
-    r = cands.select(F.col("label").alias("_cl_rlabel"), F.col("cands").alias("_cl_rcands"))
-    s = cands.select(F.col("label").alias("_cl_slabel"), F.col("cands").alias("_cl_scands"))
-    x = x.join(r, last_label(x[rh]) == r["_cl_rlabel"], "left")
-    x = x.join(s, last_label(x[sh]) == s["_cl_slabel"], "left")
-    best = F.coalesce(_pick(F.col(rh), F.col("_cl_rcands")), _pick(F.col(sh), F.col("_cl_scands")))
+    if table_bytes(dim) <= BROADCAST_BYTES:
+        cands = F.broadcast(_by_last_label(dim))
+        r = cands.select(F.col("label").alias("_cl_rlabel"), F.col("cands").alias("_cl_rcands"))
+        s = cands.select(F.col("label").alias("_cl_slabel"), F.col("cands").alias("_cl_scands"))
+        x = x.join(r, last_label(x[rh]) == r["_cl_rlabel"], "left")
+        x = x.join(s, last_label(x[sh]) == s["_cl_slabel"], "left")
+        best = F.coalesce(_pick(F.col(rh), F.col("_cl_rcands")), _pick(F.col(sh), F.col("_cl_scands")))
+    else:
+        hosts = x.select(F.explode(F.array(rh, sh)).alias("host")).where("host IS NOT NULL").distinct()
+        by_host = best_by_host(hosts, dim)
+        r = by_host.select(F.col("host").alias("_cl_rkey"), F.col("best").alias("_cl_rbest"))
+        s = by_host.select(F.col("host").alias("_cl_skey"), F.col("best").alias("_cl_sbest"))
+        x = x.join(r, x[rh] == r["_cl_rkey"], "left").join(s, x[sh] == s["_cl_skey"], "left")
+        best = F.coalesce("_cl_rbest", "_cl_sbest")
     x = x.withColumn("_cl_best", best)
     if not keep_unmatched:
         x = x.filter(F.col("_cl_best").isNotNull())
@@ -212,9 +231,9 @@ def select_country(dim: DataFrame, queries: DataFrame, query_col: str = "query")
                .groupBy("k").agg(F.min("c").alias("c")))
     by_suffix = dim.groupBy(F.col("suffix").alias("k")).agg(
         F.min(F.struct("ord", "country_key", "country_name")).alias("c"))
-    n = 2 * row_count(dim)   # each lookup has at most two keys per dimension row
-    a = checked_broadcast(by_slug.select(F.col("k").alias("_sc_k1"), F.col("c").alias("_sc_c1")), rows=n)
-    b = checked_broadcast(by_suffix.select(F.col("k").alias("_sc_k2"), F.col("c").alias("_sc_c2")), rows=n)
+    n = 2 * table_bytes(dim)   # each lookup has at most two keys per dimension row
+    a = checked_broadcast(by_slug.select(F.col("k").alias("_sc_k1"), F.col("c").alias("_sc_c1")), n)
+    b = checked_broadcast(by_suffix.select(F.col("k").alias("_sc_k2"), F.col("c").alias("_sc_c2")), n)
     probes = queries.withColumn("_sc_slug", slug(query_col)).withColumn("_sc_suffix", normalize_suffix(query_col))
     x = probes.join(a, probes["_sc_slug"] == a["_sc_k1"], "left").join(
         b, probes["_sc_suffix"] == b["_sc_k2"], "left")

@@ -311,26 +311,20 @@ def agent_group_rows(df: DataFrame, keys: list[str], agents: list[str],
         *keys, "agent", F.col("_g.group_no").cast("long").alias("group_no"))
 
 
-def with_resolved_sitemaps(df: DataFrame, robots_url: str = "robots_url", sitemap: str = "sitemap_url",
-                           out: str = "resolved_url") -> DataFrame:
-    """Optional ``resolved_url``: relative sitemap values (``/x``, ``//h/x``)
-    resolved against the robots URL; the raw value stays as it was. NULL
-    when the result is not an http(s) URL."""
-    from crawlmeta.functions.resolve import with_resolved
-    return with_resolved(df, robots_url, sitemap, out)
-
-
-# An agent table beyond this many rows is refused (matching is a contains()
-# test, which has no hash join form; the list travels with the plan).
-MAX_AGENT_ROWS = 10_000
-
-
 def agent_group_rows_from(df: DataFrame, keys: list[str], agents: DataFrame, agent_col: str = "agent",
                           robots: str = "robots") -> DataFrame:
-    """``agent_group_rows`` for a table of agents. The table is a small list
-    of crawler names: its size is checked before it is read into the plan
-    as a literal array (no nested-loop join over the robots rows)."""
-    names = agents.select(agent_col).distinct().limit(MAX_AGENT_ROWS + 1).collect()
-    if len(names) > MAX_AGENT_ROWS:
-        raise ValueError(f"more than {MAX_AGENT_ROWS} distinct agents")
-    return agent_group_rows(df, keys, sorted(r[agent_col] for r in names if r[agent_col] is not None), robots)
+    """``agent_group_rows`` for a table of agents of any size. A token is
+    contained in an agent's name exactly when it equals one of the name's
+    substrings, so the (short) names are exploded into those, with ``*``, and
+    the groups' tokens meet them in an equi join."""
+    names = agents.select(F.col(agent_col).alias("agent")).where("agent IS NOT NULL").distinct()
+    low, n = F.lower("agent"), F.length("agent")
+    starts = F.sequence(F.lit(1), n)
+    subs = F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(low, i, k))))
+    parts = names.select("agent", F.explode(F.array_union(
+        F.when(n > 0, F.array_distinct(subs)).otherwise(F.array().cast("array<string>")), F.array(F.lit("*")))).alias("_token"))
+    tokens = (df.select(*keys, F.posexplode(F.col(robots)["groups"]).alias("_no", "_g"))
+              .select(*keys, (F.col("_no") + 1).cast("long").alias("group_no"),
+                      F.explode(F.array_distinct("_g.user_agents")).alias("_token")))
+    return tokens.join(parts, "_token").select(*keys, "agent", "group_no").distinct()

@@ -2,9 +2,12 @@
 
 Each job is a DataFrame plan (transforms from ``operators``/``sources``)
 ending in one write; its counters are gathered with ``DataFrame.observe``
-in the same pass as the write. Work units that fail (unreadable archive,
-undecodable body) become rows of a failures table; the job finishes all
-other work, reports every failure and then raises ``JobFailed``.
+in the same pass as the write. Archives are scanned once: what was parsed,
+and what failed, is a table in the shared folder from which outputs, counts
+and failures are read. Work units that fail (unreadable archive, undecodable
+body, failed fetch) become rows of a failures table beside the output; the
+job finishes all other work and then raises ``JobFailed`` with their number
+and that table's path.
 
   robots                  WARC archives -> valid robots files (table / files)
   sitemaps                WARC archives -> (archive, date, robots URL, sitemap URL)
@@ -30,6 +33,7 @@ from crawlmeta.functions.url import is_robots_target, url_host
 from crawlmeta.operators import crawl as crawl_op
 from crawlmeta.operators import geo, robots
 from crawlmeta.operators import metrics as metrics_op
+from crawlmeta.session import work_folder
 from crawlmeta.sinks import kafka, robots_files
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sources import fetch as fetch_src
@@ -43,12 +47,13 @@ class JobFailed(RuntimeError):
 @dataclass
 class JobResult:
     metrics: dict = field(default_factory=dict)
-    failures: list[str] = field(default_factory=list)
+    failures: int = 0
+    failure_table: str | None = None     # text lines, one per failure
     per_unit: DataFrame | None = None    # e.g. per-archive results (lazy)
 
     def raise_if_failed(self, what: str) -> "JobResult":
         if self.failures:
-            raise JobFailed(f"{len(self.failures)} {what} failed: " + "; ".join(self.failures[:20]))
+            raise JobFailed(f"{self.failures} {what} failed, listed in {self.failure_table}")
         return self
 
 
@@ -57,6 +62,8 @@ class FetchPolicy:
     connect_timeout_s: int = policy.DEFAULT_CONNECT_TIMEOUT_S
     read_timeout_s: int = policy.DEFAULT_READ_TIMEOUT_S
     delay_s: int = policy.DEFAULT_DELAY_S
+    partitions: int | None = None        # fetch tasks of a level; None: the session's parallelism
+    host_spread: int = 1                 # tasks that may ask one host at a time
 
     def __post_init__(self):
         if self.connect_timeout_s <= 0 or self.read_timeout_s <= 0:
@@ -75,19 +82,23 @@ def _check_slice(skip: int, max_files: int | None) -> None:
 # --- archives -----------------------------------------------------------------------
 
 def stage_archives(spark: SparkSession, manifest_path: str, dest_dir: str, skip: int = 0,
-                   max_files: int | None = None, allow_local: bool = True) -> DataFrame:
+                   max_files: int | None = None, allow_local: bool = True,
+                   fetch_policy: FetchPolicy | None = None) -> Archives:
     """Manifest -> archive URIs (slice applied after the path filter) ->
     each archive streamed into ``dest_dir`` (shared storage) by one task,
-    never held in memory. Returns (line_no, archive_path, archive_uri,
-    local_path, error); file names are content hashes, so a retried task
-    overwrites its own file."""
+    never held in memory. File names are content hashes, so a retried task
+    overwrites its own file. The result's path table keeps the manifest path
+    of every staged file; archives that could not be fetched are failures of
+    the job that reads it, not of this step."""
     _check_slice(skip, max_files)
-    from crawlmeta.session import checkpoint_dir, ship_package
+    from crawlmeta.session import ship_package
     ship_package(spark)
-    checkpoint_dir(spark)
+    pol = fetch_policy or FetchPolicy()
     lines = manifest.read_manifest_lines(spark, manifest.resolve_manifest_path(manifest_path))
     paths = manifest.with_archive_uri(manifest.slice_archives(manifest.archive_paths(lines), skip, max_files))
-    paths = paths.checkpoint(eager=True)
+    folder = work_folder(spark, "archives")
+    paths.write.parquet(f"{folder}/paths")
+    paths = spark.read.parquet(f"{folder}/paths")
     import hashlib
 
     import pandas as pd
@@ -96,43 +107,77 @@ def stage_archives(spark: SparkSession, manifest_path: str, dest_dir: str, skip:
     def store(batches):
         for pdf in batches:
             out = []
-            for uri in pdf["archive_uri"]:
+            for uri, archive in zip(pdf["archive_uri"], pdf["archive_path"]):
                 name = uri.rstrip("/").rsplit("/", 1)[-1]
                 digest = hashlib.sha256(uri.encode("utf-8")).hexdigest()[:16]
-                out.append(fetch_src.download_to(uri, f"{base}/{digest}-{name}", allow_local=allow_local))
-            yield pd.DataFrame(out, columns=["archive_uri", "local_path", "error"])
+                _, path, error = fetch_src.download_to(uri, f"{base}/{digest}-{name}", allow_local=allow_local,
+                                                       connect_timeout=pol.connect_timeout_s,
+                                                       read_timeout=pol.read_timeout_s, delay=pol.delay_s)
+                out.append((archive, path, error))
+            yield pd.DataFrame(out, columns=["archive_path", "local_path", "error"])
 
     n = max(1, paths.count())
-    stored = (paths.select("archive_uri").repartition(n, "archive_uri")
-              .mapInPandas(store, "archive_uri string, local_path string, error string"))
-    return paths.join(stored, "archive_uri", "left")
+    stored = (paths.select("archive_uri", "archive_path").repartition(n, "archive_uri")
+              .mapInPandas(store, "archive_path string, local_path string, error string"))
+    stored.write.parquet(f"{folder}/stored")
+    stored = spark.read.parquet(f"{folder}/stored")
+    (stored.where("local_path IS NOT NULL").select(F.concat_ws("\t", "local_path", "archive_path").alias("value"))
+     .write.text(f"{folder}/table"))
+    return Archives(path_table=f"{folder}/table", failed=stored.where("local_path IS NULL").select(
+        "archive_path", "error"))
+
 
+@dataclass
+class Archives:
+    """What an archive job reads: a path, or the path table of staged files."""
 
-def _captures(spark: SparkSession, archives: str) -> tuple[DataFrame, DataFrame]:
-    """(robots captures with decoded text, failures) from WARC archives."""
-    w = warc.read_warc(spark, archives)
-    failures = w.filter(F.col("error").isNotNull()).select(
-        F.concat_ws(": ", "archive_path", F.coalesce("target_url", F.lit("archive")), "error").alias("failure"))
-    ok = w.filter(F.col("error").isNull() & (F.col("record_type") == "response") & is_robots_target("target_url"))
-    ok = ok.withColumn("text", robots.decode_body("body")).drop("body")
-    return robots.with_sitemaps(ok, body="text"), failures
+    path: str | None = None
+    path_table: str | None = None
+    failed: DataFrame | None = None      # archive_path, error of archives that were not fetched
 
 
-def _failures(df: DataFrame) -> list[str]:
-    return [r["failure"] for r in df.limit(1000).collect()]
+def _captures(spark: SparkSession, archives: str | Archives, keep_text: bool = False) -> DataFrame:
+    """Parsed robots captures and error rows of WARC archives, scanned once
+    and written to the shared folder."""
+    src = archives if isinstance(archives, Archives) else Archives(path=archives)
+    w = warc.read_warc(spark, src.path, path_table=src.path_table)
+    if src.failed is not None:
+        w = w.unionByName(src.failed, allowMissingColumns=True)
+    parsed = robots.with_sitemaps(w.withColumn("text", robots.decode_body("body")).drop("body"), body="text")
+    path = f"{work_folder(spark, 'captures')}/captures"
+    (parsed if keep_text else parsed.drop("text")).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def robots_job(spark: SparkSession, archives: str, out_table: str, export_root: str | None = None) -> JobResult:
-    caps, failures = _captures(spark, archives)
-    valid = F.col("robots.valid")
-    obs = Observation("robots")
-    counted = caps.observe(obs, F.count_if(valid).alias("saved_files"), F.count_if(~valid).alias("rejected_files"))
-    table = robots_files.with_file_name(counted.filter(valid)).select(
-        "host_bucket", "file_name", "archive_path", "capture_date", "target_url", "text")
-    robots_files.write_table(table, out_table)
+def _ok(captures: DataFrame) -> DataFrame:
+    return captures.where(F.col("error").isNull() & (F.col("record_type") == "response") & is_robots_target("target_url"))
+
+
+def _finish(captures: DataFrame, out: str, metrics: dict, per_unit: DataFrame) -> JobResult:
+    """List the failures beside the output, then raise if there are any."""
+    table = f"{out.rstrip('/')}-failures"
+    (captures.where(F.col("error").isNotNull()).select(
+        F.translate(F.concat_ws(": ", "archive_path", F.coalesce("target_url", F.lit("archive")), "error"),
+        "\r\n", "  ").alias("value")).write.mode("overwrite").text(table))
+    failures = captures.sparkSession.read.text(table).count()
+    return JobResult(metrics, failures, table, per_unit).raise_if_failed("archives or captures")
+
+
+def _per_archive(captures: DataFrame) -> DataFrame:
+    return captures.groupBy("archive_path").agg(F.count(F.lit(1)).alias("rows")).select("archive_path")
+
+
+def robots_job(spark: SparkSession, archives: str | Archives, out_table: str, export_root: str | None = None) -> JobResult:
+    found = _captures(spark, archives, keep_text=True)
+    caps = _ok(found)
+    table = robots_files.with_file_name(caps.where(F.col("robots.valid"))).select(
+        "file_name", "archive_path", "capture_date", "target_url", "text")
+    robots_files.write_by_archive(table, out_table, _per_archive(found))
     if export_root:
         robots_files.export_files(spark.read.parquet(out_table), export_root)
-    return JobResult(dict(obs.get), _failures(failures), metrics_op.archive_results(caps)).raise_if_failed("archives")
+    per_unit = metrics_op.archive_results(caps)
+    counts = metrics_op.totals(per_unit, "parsed_files", "rejected_files")
+    return _finish(found, out_table, {"saved_files": counts["parsed_files"], "rejected_files": counts["rejected_files"]}, per_unit)
 
 
 def sitemap_rows_from_captures(caps: DataFrame) -> DataFrame:
@@ -142,19 +187,13 @@ def sitemap_rows_from_captures(caps: DataFrame) -> DataFrame:
     return s
 
 
-def sitemaps_job(spark: SparkSession, archives: str, out_path: str) -> JobResult:
-    caps, failures = _captures(spark, archives)
-    valid = F.col("robots.valid")
-    obs = Observation("sitemaps")
-    caps = caps.observe(obs, F.count_if(valid).alias("parsed_files"), F.count_if(~valid).alias("rejected_files"),
-                        F.sum(F.when(valid, F.size(F.array_distinct("robots.sitemaps"))).otherwise(0))
-                        .alias("sitemap_links"))
-    rows = sitemap_rows_from_captures(caps)
-    out = rows.select(robots_files.archive_file_name("archive_path").alias("archive_file"),
-                      tsv_row(*tsv.WARC_SITEMAP_COLUMNS).alias("value"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("archive_file").text(out_path))
-    return JobResult(dict(obs.get), _failures(failures), metrics_op.archive_results(caps)).raise_if_failed("archives")
+def sitemaps_job(spark: SparkSession, archives: str | Archives, out_path: str) -> JobResult:
+    found = _captures(spark, archives)
+    caps = _ok(found)
+    per_unit = metrics_op.archive_results(caps)
+    rows = sitemap_rows_from_captures(caps).select("archive_path", tsv_row(*tsv.WARC_SITEMAP_COLUMNS).alias("value"))
+    robots_files.write_by_archive(rows, out_path, _per_archive(found), "text")
+    return _finish(found, out_path, metrics_op.totals(per_unit, "parsed_files", "rejected_files", "sitemap_links"), per_unit)
 
 
 def _one_country(spark: SparkSession, dim: DataFrame, country: str) -> DataFrame:
@@ -163,21 +202,18 @@ def _one_country(spark: SparkSession, dim: DataFrame, country: str) -> DataFrame
     return geo.country_dimension(dim, geo.resolve_country(spark, dim, country))
 
 
-def country_sitemaps_job(spark: SparkSession, archives: str, out_path: str, country: str,
+def country_sitemaps_job(spark: SparkSession, archives: str | Archives, out_path: str, country: str,
                          dim: DataFrame) -> JobResult:
     one = _one_country(spark, dim, country)
-    caps, failures = _captures(spark, archives)
-    valid = F.col("robots.valid")
-    files = Observation("files")
-    caps = caps.observe(files, F.count_if(valid).alias("parsed_files"), F.count_if(~valid).alias("rejected_files"))
+    found = _captures(spark, archives)
+    caps = _ok(found)
     rows = sitemap_rows_from_captures(caps).withColumn(
         "robots_host", F.coalesce(url_host("robots_url"), F.lit("unknown-host")))
     cls = geo.classify(rows, one, "robots_host", "sitemap_url")
     obs = Observation("country")
-    cls = cls.observe(obs, F.count(F.lit(1)).alias("matched_links"))
-    tsv_sink.write_tsv(cls, tsv.WARC_COUNTRY_COLUMNS, out_path)
-    return JobResult({**dict(files.get), **dict(obs.get)}, _failures(failures),
-                     metrics_op.archive_results(caps, cls)).raise_if_failed("archives")
+    tsv_sink.write_tsv(cls.observe(obs, F.count(F.lit(1)).alias("matched_links")), tsv.WARC_COUNTRY_COLUMNS, out_path)
+    counts = metrics_op.totals(metrics_op.archive_results(caps), "parsed_files", "rejected_files")
+    return _finish(found, out_path, {**counts, **dict(obs.get)}, metrics_op.archive_results(caps, cls))
 
 
 def local_sitemaps_job(spark: SparkSession, root: str, out_path: str) -> JobResult:
@@ -201,12 +237,14 @@ def _filter_input(spark: SparkSession, in_root: str) -> tuple[DataFrame, Observa
 
 
 def filter_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, dim: DataFrame) -> JobResult:
-    rows, obs = _filter_input(spark, in_root)
+    rows, _ = _filter_input(spark, in_root)
+    counts = tsv.parse_local_sitemap_rows(tsv.read_lines(spark, in_root, tsv.SITEMAPS_SUFFIX)).agg(
+        F.count_if(F.col("status") == "ok").alias("read_rows"),
+        F.count_if(F.col("status") == "malformed").alias("malformed_rows")).first().asDict()
     cls = geo.classify(rows, dim, "robots_host", "sitemap_url")
-    kept = Observation("kept")
-    cls = cls.observe(kept, F.count(F.lit(1)).alias("kept_rows"))
     tsv_sink.write_grouped(cls, tsv.CLASSIFIED_COLUMNS, out_path)
-    return JobResult({**dict(obs.get), **dict(kept.get)})
+    kept = tsv_sink.read_grouped(spark, out_path).where(F.col("out_group") == tsv_sink.COUNTRY_GROUP).count()
+    return JobResult({**counts, "kept_rows": kept})
 
 
 def local_country_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, country: str,
@@ -227,26 +265,28 @@ def download_sitemaps_job(spark: SparkSession, in_root: str, out_path: str,
     """Seeds = 4th field of any TSV row shape; each seed row is crawled
     (depth <= max_depth) and every page URL becomes (seed, sitemap, page)."""
     pol = fetch_policy or FetchPolicy()
-    from crawlmeta.session import checkpoint_dir
-    checkpoint_dir(spark)
     lines = tsv.parse_seed_rows(tsv.read_lines(spark, in_root, tsv.SITEMAPS_SUFFIX))
     obs = Observation("seeds")
     lines = lines.observe(obs, F.count_if(F.col("status") == "ok").alias("read_rows"),
                           F.count_if(F.col("status") == "malformed").alias("malformed_rows"))
-    seeds = lines.filter(F.col("status") == "ok").select(
-        F.monotonically_increasing_id().alias("seed_id"), "seed_sitemap_url").checkpoint(eager=True)
+    path = f"{work_folder(spark, 'seeds')}/seeds"
+    lines.filter(F.col("status") == "ok").select(
+        F.monotonically_increasing_id().alias("seed_id"), "seed_sitemap_url").write.parquet(path)
+    seeds = spark.read.parquet(path)
     counts = dict(obs.get)
     if fetcher is None:
         fetcher = crawl_op.body_fetcher(lambda urls: fetch_src.fetch(
-            urls, allow_local=allow_local, delay=pol.delay_s).select("url", "body"))
+            urls, allow_local=allow_local, delay=pol.delay_s, connect_timeout=pol.connect_timeout_s,
+            read_timeout=pol.read_timeout_s, partitions=pol.partitions, host_spread=pol.host_spread).select("url", "body"))
     res = crawl_op.crawl(seeds, fetcher, max_depth=max_depth)
-    links = res.links.checkpoint(eager=True)
-    tsv_sink.write_tsv(links, tsv.LINK_COLUMNS[:1] + ["sitemap_url", "page_url"], out_path)
+    saved = Observation("links")
+    tsv_sink.write_tsv(res.links.observe(saved, F.count(F.lit(1)).alias("saved_links")),
+                       tsv.LINK_COLUMNS[:1] + ["sitemap_url", "page_url"], out_path)
     tot = res.visits.agg(
         F.count_if(F.col("status") == crawl_op.STATUS_PARSED).alias("downloaded_sitemaps"),
         F.count_if(F.col("status") == crawl_op.STATUS_INVALID).alias("invalid_sitemaps"),
         F.count_if(F.col("status") == crawl_op.STATUS_FAILED).alias("failed_downloads")).first().asDict()
-    return JobResult({**counts, **tot, "saved_links": links.count()})
+    return JobResult({**counts, **tot, "saved_links": saved.get["saved_links"]})
 
 
 def publish_urls_job(spark: SparkSession, in_root: str, out: str, bootstrap: str | None = None,

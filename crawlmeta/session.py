@@ -57,6 +57,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared checkpoint folder. It goes when the
+    driver's JVM ends: results that read it are lazy."""
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return path
+
+
 def _sql_literal(v) -> str:
     if v is None:
         return "NULL"

@@ -1,6 +1,6 @@
 """Robots payload sink: valid captures as a table keyed by a generated
-file name ``<host>/<scheme>-<date>-<digest16>.txt``, partitioned by a host
-bucket (a file per capture is not a Spark layout; ``export_files`` writes
+file name ``<host>/<scheme>-<date>-<digest16>.txt``, partitioned by
+archive (a file per capture is not a Spark layout; ``export_files`` writes
 that layout from the table when needed)."""
 
 from __future__ import annotations
@@ -25,15 +25,29 @@ def archive_file_name(archive: str):
     return F.concat(F.lit("archive-"), sha256_hex16(archive), F.lit(".sitemaps.tsv"))
 
 
-def with_file_name(captures: DataFrame, buckets: int = 64) -> DataFrame:
-    x = captures.withColumn("file_name", robots_file_name("target_url", "capture_date", "archive_path"))
-    return x.withColumn("host_bucket", F.pmod(F.xxhash64(F.substring_index("file_name", "/", 1)), F.lit(buckets)))
+def with_file_name(captures: DataFrame) -> DataFrame:
+    return captures.withColumn("file_name", robots_file_name("target_url", "capture_date", "archive_path"))
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Parquet, partitioned by host bucket; re-runs replace touched buckets."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("host_bucket").parquet(path))
+def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "parquet") -> None:
+    """Write rows under ``archive_file=<name>/``: a second run replaces the
+    archives it has processed (``done``: archive_path, one row each) and no
+    others; archives that have no rows now lose their old ones. Rows are
+    rebalanced by archive, so files have the advisory size and a large
+    archive is written by several tasks."""
+    spark = df.sparkSession
+    named = df.withColumn("archive_file", archive_file_name("archive_path"))
+    if form == "text":
+        named = named.select("archive_file", "value")
+    (named.hint("rebalance", "archive_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("archive_file").format(form).save(path))
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    empty = done.select("archive_path").join(df.select("archive_path").distinct(), "archive_path", "left_anti")
+    for r in empty.select(archive_file_name("archive_path").alias("f")).toLocalIterator():
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old, f"archive_file={r['f']}")
+        if fs.exists(folder):
+            fs.delete(folder, True)
 
 
 def export_files(df: DataFrame, root: str, text_col: str = "text") -> None:

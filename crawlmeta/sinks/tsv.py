@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlmeta.functions.text import tsv_row
@@ -29,16 +29,16 @@ def grouped_rows(df: DataFrame) -> DataFrame:
     return df.select("*", F.inline(groups))
 
 
-def write_grouped(df: DataFrame, cols: list[str], path: str, files_per_key: int = 64,
-                  salt_col: str | None = None) -> None:
-    """``out_group=<group>/out_key=<key>/part-*`` text files; re-running
-    replaces only the groups present (dynamic partition overwrite).
+def write_grouped(df: DataFrame, cols: list[str], path: str) -> None:
+    """``out_group=<group>/out_key=<key>/part-*`` text files; a run replaces
+    the whole output, so no group of an earlier run stays.
 
-    Rows are spread over ``files_per_key`` salted tasks per key, so a key
-    holding a third of all rows is written by many tasks while a key still
-    gets a bounded number of files."""
-    salt_src = F.col(salt_col) if salt_col else F.col("value")
+    Rows are rebalanced by group and key: a key that holds a third of all
+    rows is split into files of the advisory size, small keys share tasks."""
     out = grouped_rows(df).select("out_group", "out_key", tsv_row(*cols).alias("value"))
-    out = out.withColumn("_salt", F.pmod(F.xxhash64(salt_src), F.lit(files_per_key)))
-    (out.repartition("out_group", "out_key", "_salt").drop("_salt").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("out_group", "out_key").text(path))
+    (out.hint("rebalance", "out_group", "out_key").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("out_group", "out_key").text(path))
+
+
+def read_grouped(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("value string, out_group string, out_key string").text(path)

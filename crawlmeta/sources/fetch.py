@@ -46,108 +46,111 @@ def _bucket(url: str) -> bool:
     return h is not None and h.lower() in policy.CRAWL_BUCKET_HOSTS
 
 
-def fetch_one(url: str, allow_local: bool = False, connect_timeout: float = policy.DEFAULT_CONNECT_TIMEOUT_S,
-              read_timeout: float = policy.DEFAULT_READ_TIMEOUT_S, delay: float = policy.DEFAULT_DELAY_S):
-    scheme = url.split(":", 1)[0].lower() if ":" in url.split("/", 1)[0] else None
-    try:
-        if scheme == "file" or (scheme is None and allow_local):
-            with open_input(url) as f:
-                return url, 200, f.read(), 1, None
-        if scheme is None:
-            return url, None, None, 0, "Local paths are not allowed for this fetch"
-        if scheme not in ("http", "https"):
-            return url, None, None, 0, f"Unsupported URI scheme: {scheme}"
-    except OSError as ex:
-        return url, None, None, 1, f"{type(ex).__name__}: {ex}"
+def _open_url(url: str, connect_timeout: float, read_timeout: float):
+    """An open response: the first timeout holds until the server answers, the second between reads."""
+    req = urllib.request.Request(url, headers={"User-Agent": USER_AGENT})
+    response = urllib.request.urlopen(req, timeout=connect_timeout)
+    connection = getattr(getattr(response.fp, "raw", None), "_sock", None)
+    if connection is not None:
+        connection.settimeout(read_timeout)
+    return response
+
+
+def with_retries(url: str, take, connect_timeout: float, read_timeout: float, delay: float):
+    """``take(response)`` under the retry policy: (its result, status, attempts,
+    error). Whatever an attempt raises is retried, but for an HTTP status
+    that the policy takes as final."""
     bucket = _bucket(url)
-    max_attempts = policy.BUCKET_MAX_ATTEMPTS if bucket else policy.DEFAULT_MAX_ATTEMPTS
+    attempts = policy.BUCKET_MAX_ATTEMPTS if bucket else policy.DEFAULT_MAX_ATTEMPTS
     backoff = policy.RETRY_DELAY_MS / 1000.0
-    last = None
-    for attempt in range(1, max_attempts + 1):
+    status = last = None
+    for attempt in range(1, attempts + 1):
         _wait(delay)
         status = None
         try:
-            req = urllib.request.Request(url, headers={"User-Agent": USER_AGENT})
-            with urllib.request.urlopen(req, timeout=max(connect_timeout, read_timeout)) as r:
-                return url, r.status, r.read(), attempt, None
+            with _open_url(url, connect_timeout, read_timeout) as response:
+                return take(response), response.status, attempt, None
         except urllib.error.HTTPError as ex:
             status = ex.code
-            body = ex.read() or b""
-            details = " ".join(body.decode("utf-8", "replace").splitlines()[:3])[:240]
-            retry = status in policy.TRANSIENT_STATUS_CODES or (status == 403 and bucket)
+            retry = status in policy.TRANSIENT_STATUS_CODES or status == 403 and bucket
+            details = " ".join((ex.read() or b"").decode("utf-8", "replace").splitlines()[:3])[:240]
             last = (f"GET {url} returned {status} {ex.reason} "
                     f"({'retryable' if retry else 'non-retryable'} HTTP response)" + (f": {details}" if details else ""))
             if not retry:
-                return url, status, None, attempt, last
-        except (OSError, ValueError) as ex:
+                return None, status, attempt, last
+        except Exception as ex:  # noqa: BLE001  (any failed request is an attempt; it becomes a row)
             last = f"{type(ex).__name__}: {ex}"
-        if attempt < max_attempts:
+        if attempt < attempts:
             time.sleep(backoff)
             backoff = policy.RETRY_DELAY_MS / 1000.0 if bucket else min(backoff * 2, policy.MAX_BACKOFF_MS / 1000.0)
-    return url, status, None, max_attempts, f"GET {url} failed after {max_attempts} attempts: {last}"
+    return None, status, attempts, f"GET {url} failed after {attempts} attempts: {last}"
+
+
+def _fetch(url: str, take, allow_local: bool, connect_timeout: float, read_timeout: float, delay: float):
+    """``take(stream)`` of a file or of an HTTP response: (result, status, attempts, error)."""
+    scheme = url.split(":", 1)[0].lower() if ":" in url.split("/", 1)[0] else None
+    if scheme == "file" or (scheme is None and allow_local):
+        try:
+            with open_input(url) as f:
+                return take(f), 200, 1, None
+        except OSError as ex:
+            return None, None, 1, f"{type(ex).__name__}: {ex}"
+    if scheme is None:
+        return None, None, 0, "Local paths are not allowed for this fetch"
+    if scheme not in ("http", "https"):
+        return None, None, 0, f"Unsupported URI scheme: {scheme}"
+    return with_retries(url, take, connect_timeout, read_timeout, delay)
+
+
+def fetch_one(url: str, allow_local: bool = False, connect_timeout: float = policy.DEFAULT_CONNECT_TIMEOUT_S,
+              read_timeout: float = policy.DEFAULT_READ_TIMEOUT_S, delay: float = policy.DEFAULT_DELAY_S):
+    body, status, attempts, error = _fetch(url, lambda f: f.read(), allow_local, connect_timeout, read_timeout, delay)
+    return url, status, body, attempts, error
 
 
 def fetch(urls: DataFrame, url_col: str = "url", allow_local: bool = False, delay: float = policy.DEFAULT_DELAY_S,
-          partitions: int | None = None, host_spread: int = 1) -> DataFrame:
+          partitions: int | None = None, host_spread: int = 1, connect_timeout: float = policy.DEFAULT_CONNECT_TIMEOUT_S,
+          read_timeout: float = policy.DEFAULT_READ_TIMEOUT_S) -> DataFrame:
     """Distinct URLs -> (url, status, body, attempts, error).
 
-    URLs of one host go to at most ``host_spread`` tasks (1 = one task per
-    host, the polite default); raise it to split a host that holds a large
-    share of the URLs, at the cost of more parallel requests to it."""
+    The number of tasks is ``partitions`` (by default the larger of shuffle
+    partitions and parallelism), which adaptive execution leaves alone: the
+    few MB of URLs stand for hours of waiting. URLs of one host go to at most
+    ``host_spread`` tasks (1 = one task per host, the polite default); raise
+    it to split a host that holds a large share of the URLs, at the cost of
+    more parallel requests to it."""
     if host_spread < 1:
         raise ValueError("host_spread must be >= 1")
     from crawlmeta.session import ship_package
-    ship_package(urls.sparkSession)
+    spark = urls.sparkSession
+    ship_package(spark)
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     u = urls.select(F.col(url_col).alias("url")).distinct()
     host = F.coalesce(F.try_parse_url(F.col("url"), F.lit("HOST")), F.col("url"))
-    spread = F.pmod(F.xxhash64("url"), F.lit(host_spread))
-    u = u.repartition(partitions, host, spread) if partitions else u.repartition(host, spread)
+    u = u.repartition(n, host, F.pmod(F.xxhash64("url"), F.lit(host_spread)))
 
     def run(batches):
         for pdf in batches:
-            rows = [fetch_one(x, allow_local=allow_local, delay=delay) for x in pdf["url"]]
-            yield pd.DataFrame(rows, columns=["url", "status", "body", "attempts", "error"])
+            for x in pdf["url"]:
+                row = fetch_one(x, allow_local, connect_timeout, read_timeout, delay)
+                yield pd.DataFrame([row], columns=["url", "status", "body", "attempts", "error"])
 
     return u.mapInPandas(run, FETCH_SCHEMA)
 
 
 def download_to(url: str, dest: str, allow_local: bool = True, delay: float = 0,
+                connect_timeout: float = policy.DEFAULT_CONNECT_TIMEOUT_S,
+                read_timeout: float = policy.DEFAULT_READ_TIMEOUT_S,
                 chunk: int = 8 << 20) -> tuple[str, str | None, str | None]:
     """Stream one URL (file: / local path / http(s)) into ``dest`` chunk by
-    chunk, never holding the whole body; retries follow the policy.
-    Returns (url, dest or None, error)."""
+    chunk, never holding the whole body. Returns (url, dest or None, error)."""
     import shutil
 
     from crawlmeta.sources.files import open_output
-    scheme = url.split(":", 1)[0].lower() if ":" in url.split("/", 1)[0] else None
-    if scheme == "file" or (scheme is None and allow_local):
-        try:
-            with open_input(url) as src, open_output(dest) as out:
-                shutil.copyfileobj(src, out, chunk)
-            return url, dest, None
-        except OSError as ex:
-            return url, None, f"{type(ex).__name__}: {ex}"
-    if scheme not in ("http", "https"):
-        return url, None, f"Unsupported URI scheme: {scheme}"
-    bucket = _bucket(url)
-    max_attempts = policy.BUCKET_MAX_ATTEMPTS if bucket else policy.DEFAULT_MAX_ATTEMPTS
-    backoff = policy.RETRY_DELAY_MS / 1000.0
-    last = None
-    for attempt in range(1, max_attempts + 1):
-        _wait(delay)
-        try:
-            req = urllib.request.Request(url, headers={"User-Agent": USER_AGENT})
-            with urllib.request.urlopen(req, timeout=policy.DEFAULT_READ_TIMEOUT_S) as r, open_output(dest) as out:
-                shutil.copyfileobj(r, out, chunk)
-            return url, dest, None
-        except urllib.error.HTTPError as ex:
-            retry = ex.code in policy.TRANSIENT_STATUS_CODES or (ex.code == 403 and bucket)
-            last = f"GET {url} returned {ex.code} {ex.reason}"
-            if not retry:
-                return url, None, last
-        except (OSError, ValueError) as ex:
-            last = f"{type(ex).__name__}: {ex}"
-        if attempt < max_attempts:
-            time.sleep(backoff)
-            backoff = policy.RETRY_DELAY_MS / 1000.0 if bucket else min(backoff * 2, policy.MAX_BACKOFF_MS / 1000.0)
-    return url, None, f"GET {url} failed after {max_attempts} attempts: {last}"
+
+    def store(stream) -> None:
+        with open_output(dest) as out:
+            shutil.copyfileobj(stream, out, chunk)
+
+    _, _, _, error = _fetch(url, store, allow_local, connect_timeout, read_timeout, delay)
+    return url, dest if error is None else None, error

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import glob
 import os
+from urllib.parse import unquote
 
 
 def _fs_and_path(uri: str):
     if uri.startswith("file:"):
-        return None, "/" + uri[len("file:"):].lstrip("/")
+        return None, "/" + unquote(uri[len("file:"):]).lstrip("/")
     if "://" not in uri:
         return None, uri
     from pyarrow import fs

@@ -9,7 +9,7 @@ archive in memory.
 
 Pushed-down work (Catalyst cannot push filters through Python): by default
 only ``response`` records whose target path ends with ``/robots.txt`` are
-materialised; other bodies are skipped unread. The HTTP payload is split
+materialised; other bodies are skipped in small steps. The HTTP payload is split
 from its headers and its ``Content-Encoding`` layers are undone (in reverse
 order; gzip / x-gzip / deflate; unknown codings pass through). A body that
 cannot be decoded gives a row with ``error`` set instead of failing the
@@ -41,7 +41,10 @@ WARC_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
-MAX_RECORD_BYTES = 64 << 20
+# Bytes that are read at once when a record is skipped.
+SKIP_BYTES = 1 << 20
+# Rows of one Arrow batch that a reader yields.
+BATCH_ROWS = 256
 
 
 def maybe_robots_target(url: str | None) -> bool:
@@ -125,8 +128,46 @@ def _http_split(payload: bytes) -> tuple[dict[str, str], bytes]:
     return headers, body
 
 
-def read_records(path: str, record_types: tuple[str, ...] = ("response",),
-                 robots_only: bool = True) -> Iterator[tuple]:
+def _dechunked(body: bytes) -> bytes:
+    """Payload of a ``Transfer-Encoding: chunked`` body; a body that is not
+    framed so (some archives store it already joined) stays as it is."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        try:
+            n = int(size, 16)
+        except ValueError:
+            return body
+        if n == 0:
+            return b"".join(out)
+        if len(body) < end + 2 + n:
+            return body
+        out.append(body[end + 2:end + 2 + n])
+        at = end + 2 + n + 2
+
+
+def http_body(headers: dict[str, str], body: bytes) -> bytes:
+    """The message body: chunk marks removed, cut at ``Content-Length``."""
+    if "chunked" in headers.get("transfer-encoding", "").lower():
+        return _dechunked(body)
+    length = headers.get("content-length", "").strip()
+    return body[:int(length)] if length.isdigit() else body
+
+
+def _skip(stream: io.BufferedReader, n: int) -> None:
+    while n > 0:
+        got = len(stream.read(min(n, SKIP_BYTES)))
+        if not got:
+            raise ValueError("Truncated WARC record")
+        n -= got
+
+
+def read_records(path: str, record_types: tuple[str, ...] = ("response",), robots_only: bool = True,
+                 archive: str | None = None) -> Iterator[tuple]:
+    """Rows of one archive file; ``archive`` is its name in the rows (the
+    manifest path of a staged file), the file's path by default."""
+    archive = archive or path
     try:
         raw = open_input(path)
         stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if path.endswith(".gz") else io.BufferedReader(raw)
@@ -140,14 +181,8 @@ def read_records(path: str, record_types: tuple[str, ...] = ("response",),
                 n = int(h.get("content-length", "0"))
                 wtype = h.get("warc-type", "")
                 target = h.get("warc-target-uri")
-                keep = wtype in record_types and (not robots_only or maybe_robots_target(target))
-                if not keep or n > MAX_RECORD_BYTES:
-                    skipped = stream.read(n)
-                    if len(skipped) < n:
-                        raise ValueError("Truncated WARC record")
-                    if keep:
-                        yield (path, wtype, instant_text(h.get("warc-date")), target, None, None,
-                               f"Record larger than {MAX_RECORD_BYTES} bytes")
+                if wtype not in record_types or robots_only and not maybe_robots_target(target):
+                    _skip(stream, n)
                     continue
                 payload = stream.read(n)
                 if len(payload) < n:
@@ -157,26 +192,49 @@ def read_records(path: str, record_types: tuple[str, ...] = ("response",),
                     http_headers, body = _http_split(payload)
                     enc = http_headers.get("content-encoding", "")
                     try:
-                        yield (path, wtype, date, target, enc, decode_content(body, enc), None)
+                        yield (archive, wtype, date, target, enc, decode_content(http_body(http_headers, body), enc), None)
                     except (OSError, EOFError, zlib.error) as ex:
-                        yield (path, wtype, date, target, enc, None, f"Body decode failed: {ex}")
+                        yield (archive, wtype, date, target, enc, None, f"Body decode failed: {ex}")
                 else:
-                    yield (path, wtype, date, target, None, payload, None)
+                    yield (archive, wtype, date, target, None, payload, None)
     except (OSError, EOFError, ValueError, zlib.error) as ex:
-        yield (path, None, None, None, None, None, f"{type(ex).__name__}: {ex}")
+        yield (archive, None, None, None, None, None, f"{type(ex).__name__}: {ex}")
+
+
+def staged_paths(folder: str) -> list[tuple[str, str]]:
+    """(file, archive name) lines of a path table, in order."""
+    out = []
+    for part in list_files(folder, suffixes=(".txt",)):
+        with open_input(part) as f:
+            out += [tuple(line.split("\t", 1)) for line in f.read().decode("utf-8").splitlines() if line]
+    return sorted(out)
 
 
 class _WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.paths = list_files(options["path"], suffixes=tuple(options.get("suffixes", ".warc.gz,.warc").split(",")))
+        if "pathtable" in {k.lower() for k in options}:
+            self.files = staged_paths(options["pathTable"])
+        else:
+            suffixes = tuple(options.get("suffixes", ".warc.gz,.warc").split(","))
+            self.files = [(p, p) for p in list_files(options["path"], suffixes=suffixes)]
         self.types = tuple(t.strip() for t in options.get("recordTypes", "response").split(","))
         self.robots_only = options.get("robotsOnly", "true").lower() == "true"
 
     def partitions(self):
-        return [InputPartition(p) for p in self.paths]
+        return [InputPartition(p) for p in self.files]
 
     def read(self, partition):
-        yield from read_records(partition.value, self.types, self.robots_only)
+        import itertools
+
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        schema = to_arrow_schema(WARC_SCHEMA)
+        if partition is None:  # no archive at all
+            return
+        path, archive = partition.value
+        rows = read_records(path, self.types, self.robots_only, archive)
+        while batch := list(itertools.islice(rows, BATCH_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
 
 
 class WarcDataSource(DataSource):
@@ -197,14 +255,16 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
-def read_warc(spark: SparkSession, path: str, robots_only: bool = True, record_types: str = "response") -> DataFrame:
-    """Records of the archives under ``path``; with ``robots_only`` only
-    robots.txt targets (exact check in the JVM after the reader's prefilter;
-    archive-level error rows are kept)."""
+def read_warc(spark: SparkSession, path: str | None = None, robots_only: bool = True, record_types: str = "response",
+              path_table: str | None = None) -> DataFrame:
+    """Records of the archives under ``path``, or of the files that the lines
+    (file, TAB, archive name) of ``path_table`` list; with ``robots_only``
+    only robots.txt targets (exact check in the JVM after the reader's
+    prefilter; archive-level error rows are kept)."""
     from crawlmeta.functions.url import is_robots_target
     register(spark)
-    df = (spark.read.format("warc").option("path", path).option("robotsOnly", str(robots_only).lower())
-          .option("recordTypes", record_types).load())
+    r = spark.read.format("warc").option("robotsOnly", str(robots_only).lower()).option("recordTypes", record_types)
+    df = (r.option("pathTable", path_table) if path_table else r.option("path", path)).load()
     if robots_only:
         df = df.filter(F.col("target_url").isNull() | is_robots_target("target_url"))
     return df
@@ -249,8 +309,8 @@ def write_warc_files(df: DataFrame, out_dir: str, archive_col: str = "archive_ke
                      files_per_key: int = 1) -> DataFrame:
     """Write rows as ``<archive_key>-<task>.warc.gz`` files under ``out_dir``
     (shared storage on a cluster). Rows are hash-partitioned by key (salted
-    over ``files_per_key`` tasks, so a hot key is written by several tasks)
-    and streamed: each task keeps one open file per key and appends one gzip
+    over ``files_per_key`` tasks, so a hot key is written by several tasks),
+    sorted and streamed: each task has one file open and appends one gzip
     member per record, so no group is collected in memory. A retried task
     rewrites exactly the files of its first attempt. Columns used:
     target_url, capture_date, body (string or binary), content_encoding.
@@ -264,27 +324,26 @@ def write_warc_files(df: DataFrame, out_dir: str, archive_col: str = "archive_ke
 
     def write(batches):
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
-        files: dict[str, object] = {}
-        counts: dict[str, int] = {}
-        try:
-            for pdf in batches:
-                for key, part in pdf.groupby(archive_col, sort=False):
+        out, current, done = None, None, []
+        for pdf in batches:
+            for key, part in pdf.groupby(archive_col, sort=True):
+                if key != current:
+                    if out:
+                        out.close()
                     path = f"{out_dir.rstrip('/')}/{key}-{task:05d}.warc.gz"
-                    if path not in files:
-                        files[path] = open_output(path)
-                        files[path].write(warc_bytes([], with_noise=True))
-                        counts[path] = 0
-                    rows = [(r.target_url, r.capture_date,
-                             r.body.encode("utf-8") if isinstance(r.body, str) else bytes(r.body), r.content_encoding)
-                            for r in part.itertuples(index=False)]
-                    files[path].write(_records_bytes(rows, first=counts[path] == 0))
-                    counts[path] += len(rows)
-        finally:
-            for f in files.values():
-                f.close()
-        yield pd.DataFrame({"archive_path": list(counts), "records": list(counts.values())})
+                    out, current = open_output(path), key
+                    out.write(warc_bytes([], with_noise=True))
+                    done.append([path, 0])
+                rows = [(r.target_url, r.capture_date,
+                         r.body.encode("utf-8") if isinstance(r.body, str) else bytes(r.body), r.content_encoding)
+                        for r in part.itertuples(index=False)]
+                out.write(_records_bytes(rows, first=done[-1][1] == 0))
+                done[-1][1] += len(rows)
+        if out:
+            out.close()
+        yield pd.DataFrame(done, columns=["archive_path", "records"])
 
     cols = [archive_col, "target_url", "capture_date", "body", "content_encoding"]
     salt = F.pmod(F.xxhash64("target_url"), F.lit(files_per_key))
-    x = df.select(*cols).repartition(archive_col, salt)
+    x = df.select(*cols).repartition(archive_col, salt).sortWithinPartitions(archive_col)
     return x.mapInPandas(write, "archive_path string, records long")

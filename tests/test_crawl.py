@@ -41,5 +41,5 @@ def test_depth_limit_and_duplicate_seeds(spark):
 
 
 def test_shuffle_path_gives_same_totals(spark, monkeypatch):
-    monkeypatch.setattr(crawl_op, "CRAWL_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(crawl_op, "BROADCAST_BYTES", -1)
     assert totals(spark, SF0001) == (50, 627, 123, 20, 322)

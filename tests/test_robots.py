@@ -23,31 +23,16 @@ def warning_lines(r):
     return [w["line_number"] for w in r["warnings"]]
 
 
-def test_reference_cases(spark):
-    a, b, c, d, e, f, g = parse(
-        spark,
-        "User-agent: *\nDisallow: /private\nCrawl-delay: eventually\n",
-        "Sitemap: https://example.com/sitemap.xml\n",
-        "Sitemap: /sitemap.xml\n",
-        "Sitemap: User-agent: *\nSitemap: https://example.com/sitemap.xml\n",
-        BOM + "User-agent: *\nDisallow: /tmp\n",
-        "<html><title>Not found</title></html>\n",
-        "Disallow: /private\nUser-agent: *\nAllow: /\n",
-    )
-    # usable groups stay valid when owner mistakes produce warnings
-    assert a["valid"] and len(a["groups"]) == 1 and warning_lines(a) == [3]
-    # sitemap-only files are valid
-    assert b["valid"] and list(b["sitemaps"]) == ["https://example.com/sitemap.xml"]
-    # root-relative sitemap values are accepted
-    assert c["valid"] and list(c["sitemaps"]) == ["/sitemap.xml"]
-    # directive-looking sitemap values are rejected with a warning
-    assert list(d["sitemaps"]) == ["https://example.com/sitemap.xml"] and warning_lines(d) == [1]
-    # BOM before the first field name
-    assert e["valid"] and agents(e) == [["*"]]
-    # HTML body is not a robots file
-    assert not f["valid"]
-    # misplaced rule: warning, no group of its own
-    assert g["valid"] and rules(g) == [[("allow", "/")]] and warning_lines(g) == [1]
+def test_what_makes_a_file_valid(spark):
+    cases = {
+        "": (False, 0, 0), "no field\n<p>\n": (False, 0, 0), "Host: t.test\n# note": (False, 0, 0),
+        "Allow: /a\nDisallow: /b": (False, 0, 0), "user-agent:\nallow: /": (False, 0, 0),
+        "SITEMAP :/s.xml": (True, 0, 1), "Sitemap: map of this site": (False, 0, 0), "sitemap: HTTP://t.test/s?x#y": (True, 0, 1),
+        "User-Agent: q": (True, 1, 0), BOM + "user-agent:q\rsitemap:/s": (True, 1, 1),
+        "Disallow: /lost\nuser-agent: q\nDisallow: /kept": (True, 1, 0),
+        "user-agent: q\ncrawl-delay: soon\nrequest-rate: often": (True, 1, 0)}
+    for body, r in zip(cases, parse(spark, *cases)):
+        assert (r["valid"], len(r["groups"]), len(r["sitemaps"])) == cases[body], body
 
 
 def test_group_assembly_and_last_value_wins(spark):
@@ -146,9 +131,13 @@ def test_light_parse_equals_full_parse(spark):
     assert diff == 0
 
 
-def test_agent_table(spark):
-    df = spark.createDataFrame([(1, "User-agent: *\nDisallow: /\nUser-agent: googlebot\nAllow: /g\n")],
-                               "id int, body string")
-    agents = spark.createDataFrame([("Googlebot",), ("Other",), ("Googlebot",)], "agent string")
-    rows = robots.agent_group_rows_from(robots.with_robots(df), ["id"], agents).orderBy("agent", "group_no").collect()
-    assert [(r["agent"], r["group_no"]) for r in rows] == [("Googlebot", 1), ("Googlebot", 2), ("Other", 1)]
+def test_agent_table_equals_the_contains_test(spark):
+    names = ["Googlebot/2.1", "otherBOT", "", "x", "Googlebot/2.1", None, "A b*c"]
+    body = "User-agent: *\nDisallow: /\nUser-agent: googlebot\nUser-agent: bot\nAllow: /g\nUser-agent: b*\nUser-agent: bot\nAllow: /\n"
+    df = robots.with_robots(spark.createDataFrame([(1, body), (2, "User-agent: X\n"), (3, "")], "id int, body string"))
+    agents = spark.createDataFrame([(n,) for n in names], "agent string")
+    got = robots.agent_group_rows_from(df, ["id"], agents)
+    want = robots.agent_group_rows(df, ["id"], sorted({n for n in names if n is not None}))
+    key = lambda rows: sorted((r["id"], r["agent"], r["group_no"]) for r in rows.collect())
+    assert key(got) == key(want) and got.count() > 5
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()

@@ -31,78 +31,71 @@ def java_double(v):
     return None
 
 
-def jtrim(s):
-    i, j = 0, len(s)
-    while i < j and s[i] <= " ":
-        i += 1
-    while j > i and s[j - 1] <= " ":
-        j -= 1
-    return s[i:j]
+def blank_cut(s):
+    return s.strip("".join(map(chr, range(33))))
 
 
-def model(body):
+def line_table(body):
+    """(line number, field or None, value) of the lines that say something."""
     lines = re.split(r"\r\n|\n|\r", body)
-    if lines and lines[-1] == "" and re.search(r"(\r\n|\n|\r)$", body):
-        lines.pop()
-    groups, sitemaps, warnings = [], [], []
-    cur = {"agents": [], "rules": [], "delay": None, "rate": None}
+    for n, raw in enumerate(lines, 1):
+        text = blank_cut(raw.partition("#")[0])
+        field, colon, value = text.partition(":")
+        if text:
+            yield n, blank_cut(field).removeprefix("\ufeff").lower() if colon else None, blank_cut(value) if colon else text
 
-    def flush():
-        if cur["agents"]:
-            groups.append((tuple(cur["agents"]), tuple(cur["rules"]), cur["delay"], cur["rate"]))
-        cur.update(agents=[], rules=[], delay=None, rate=None)
 
-    for n, raw in enumerate(lines, 1):
-        line = jtrim(raw.split("#", 1)[0])
-        if not line:
-            continue
-        if ":" not in line:
-            warnings.append((n, f"Expected 'field: value', found '{line}'"))
-            continue
-        name, value = line.split(":", 1)
-        name = jtrim(name)
-        name = (name[1:] if name.startswith("\ufeff") else name).lower()
-        value = jtrim(value)
-        if name == "user-agent":
-            if not value:
-                warnings.append((n, "Missing user-agent value"))
-                continue
-            if cur["rules"] or cur["delay"] is not None or cur["rate"] is not None:
-                flush()
-            cur["agents"].append(value.lower())
-        elif name in ("allow", "disallow"):
-            if cur["agents"]:
-                cur["rules"].append((name, value))
-            else:
-                warnings.append((n, "Ignored rule before user-agent"))
-        elif name == "crawl-delay":
-            d = java_double(value)
-            if d is None or math.isnan(d) or d < 0:
-                warnings.append((n, f"Invalid crawl-delay value '{value}'"))
-            elif cur["agents"]:
-                cur["delay"] = d
-            else:
-                warnings.append((n, "Ignored crawl-delay before user-agent"))
-        elif name == "request-rate":
-            parts = value.split("/", 1)
-            ok = len(parts) == 2 and all(re.fullmatch(r"[+-]?\d+", jtrim(p)) for p in parts)
-            rate = (int(jtrim(parts[0])), int(jtrim(parts[1]))) if ok else None
-            if rate is None or rate[0] <= 0 or rate[1] <= 0:
-                warnings.append((n, f"Invalid request-rate value '{value}'"))
-            elif cur["agents"]:
-                cur["rate"] = rate
-            else:
-                warnings.append((n, "Ignored request-rate before user-agent"))
-        elif name == "sitemap":
-            low = value.lower()
-            if value and not re.search(r"\s", value) and (low.startswith(("http://", "https://")) or value.startswith("/")):
-                sitemaps.append(value)
-            elif value:
-                warnings.append((n, f"Ignored invalid sitemap value '{value}'"))
+def rate(value):
+    parts = [blank_cut(p) for p in value.split("/", 1)]
+    if len(parts) != 2 or not all(re.fullmatch(r"[+-]?\d+", p) for p in parts):
+        return None
+    return tuple(map(int, parts)) if min(map(int, parts)) > 0 else None
+
+
+def delay(value):
+    d = java_double(value)
+    return None if d is None or math.isnan(d) or d < 0 else d
+
+
+def usable(value):
+    return bool(value) and not re.search(r"\s", value) and bool(re.match(r"(?i)https?://|/", value))
+
+
+# per field: what its value says (None: nothing), and the texts for an unusable value and for a place before any agent
+SAYS = {"allow": (str, None, "Ignored rule before user-agent"), "disallow": (str, None, "Ignored rule before user-agent"),
+        "crawl-delay": (delay, "Invalid crawl-delay value '{}'", "Ignored crawl-delay before user-agent"),
+        "request-rate": (rate, "Invalid request-rate value '{}'", "Ignored request-rate before user-agent")}
+
+
+def model(body):
+    """Groups as islands: a new island starts at an agent line whose last
+    telling line before was no agent line; each island is then read by field."""
+    table = list(line_table(body))
+    agents = [n for n, f, v in table if f == "user-agent" and v]
+    first = min(agents, default=math.inf)
+    said, warnings = [], []
+    for n, f, v in table:
+        if f is None:
+            warnings.append((n, f"Expected 'field: value', found '{v}'"))
+        elif f == "user-agent":
+            said.append((n, f, v.lower())) if v else warnings.append((n, "Missing user-agent value"))
+        elif f in SAYS:
+            read, unusable, early = SAYS[f]
+            if read(v) is None:
+                warnings.append((n, unusable.format(v)))
+            elif n < first:
+                warnings.append((n, early))
             else:
-                warnings.append((n, "Missing sitemap value"))
-    flush()
-    return groups, sitemaps, warnings
+                said.append((n, f, read(v)))
+        elif f == "sitemap" and not usable(v):
+            warnings.append((n, f"Ignored invalid sitemap value '{v}'" if v else "Missing sitemap value"))
+    starts = [i for i, x in enumerate(said) if x[1] == "user-agent" and (i == 0 or said[i - 1][1] != "user-agent")]
+    groups = []
+    for a, b in zip(starts, [*starts[1:], len(said)]):
+        by = {k: [v for _, f, v in said[a:b] if f == k] for k in ("user-agent", "crawl-delay", "request-rate")}
+        rules = tuple((f, v) for _, f, v in said[a:b] if f in ("allow", "disallow"))
+        groups.append((tuple(by["user-agent"]), rules, *(by[k][-1] if by[k] else None for k in ("crawl-delay", "request-rate"))))
+    return groups, [v for _, f, v in table if f == "sitemap" and usable(v)], warnings
 
 
 def test_parser_matches_line_model(spark):

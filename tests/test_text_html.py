@@ -10,16 +10,6 @@ def test_java_trim_and_slug(spark):
     assert one(spark, text.java_trim, " x ") == " x "
     assert one(spark, text.slug, "  Côte d'Ivoire ") == "c-te-d-ivoire"
     assert one(spark, text.slug, "--Russian Federation!--") == "russian-federation"
-    assert one(spark, text.path_key, "!!!") == "country"
-
-
-def test_http_status_message(spark):
-    df = spark.createDataFrame([("https://x/a", 503, "Service Unavailable", "line1\r\nline2\nline3\nline4\n", True),
-                                ("https://x/b", 404, "Not Found", "", False)],
-                               "u string, s int, t string, b string, r boolean")
-    got = [r["m"] for r in df.select(text.http_status_message("u", "s", "t", "b", "r").alias("m")).collect()]
-    assert got == ["GET https://x/a returned 503 Service Unavailable (retryable HTTP response): line1 line2 line3",
-                   "GET https://x/b returned 404 Not Found (non-retryable HTTP response)"]
 
 
 def test_url_helpers(spark):
@@ -34,8 +24,6 @@ def test_url_helpers(spark):
     assert one(spark, url.is_usable_sitemap_value, "HTTPS://x/s.xml") is True
     assert one(spark, url.is_usable_sitemap_value, "//x/s.xml") is True
     assert one(spark, url.is_usable_sitemap_value, "https://x/　s.xml") is False
-    assert one(spark, url.is_valid_page_url, "https://x/a") is True
-    assert one(spark, url.is_valid_page_url, "mailto:a@b") is False
     assert one(spark, url.archive_uri, "/crawl-data/a.warc.gz") == "https://data.commoncrawl.org/crawl-data/a.warc.gz"
     assert one(spark, url.archive_uri, "s3://b/a.warc.gz") == "s3://b/a.warc.gz"
     assert one(spark, url.manifest_url, "https://h/crawl-data/CC/wat.paths.gz") == \
@@ -68,14 +56,3 @@ def test_anchor_rows(spark):
     df = spark.createDataFrame([(1, '<a href="/x">A &amp; B</a><a href="/y">y</a>')], "page_id long, html string")
     got = [(r["link_no"], r["href"], r["label"]) for r in html.anchor_rows(df).orderBy("link_no").collect()]
     assert got == [(1, "/x", "A & B"), (2, "/y", "y")]
-
-
-def test_strict_idn_host_and_resolved_sitemaps(spark):
-    assert one(spark, url.url_host, "https://ex_ample.ua/x") == "https"
-    assert one(spark, lambda c: url.url_host(c, strict_idn=True), "https://u@ex_ample.ua:8080/x") == "ex_ample.ua"
-    assert one(spark, lambda c: url.url_host(c, strict_idn=True), "https://example.com/x") == "example.com"
-    from crawlmeta.operators import robots
-    df = spark.createDataFrame([("https://h.ua/robots.txt", "/s.xml"), ("https://h.ua/robots.txt", "//cdn.ua/s.xml"),
-                                ("https://h.ua/robots.txt", "https://x.ua/s.xml")], "robots_url string, sitemap_url string")
-    got = sorted(r["resolved_url"] for r in robots.with_resolved_sitemaps(df).collect())
-    assert got == ["https://cdn.ua/s.xml", "https://h.ua/s.xml", "https://x.ua/s.xml"]

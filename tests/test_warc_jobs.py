@@ -131,8 +131,92 @@ def test_manifest_stage(spark, tmp_path):
     _archive(arch, [("https://example.ua/robots.txt", "2024-08-01T00:00:00Z", ROBOTS, "")])
     man = tmp_path / "robotstxt.paths.gz"
     man.write_bytes(gzip.compress(f"# c\n\n{arch.as_uri()}\n{arch.as_uri()}x\nother/wat/b.warc.gz\n".encode()))
-    staged = jobs.stage_archives(spark, str(man), str(tmp_path / "staged")).collect()
-    assert len(staged) == 1 and staged[0]["local_path"] and os.path.exists(staged[0]["local_path"])
+    staged = jobs.stage_archives(spark, str(man), str(tmp_path / "staged"))
+    ((path, archive),) = warc.staged_paths(staged.path_table)
+    assert archive == arch.as_uri() and os.path.exists(path) and staged.failed.count() == 0
+
+
+def test_manifest_job_keeps_names_and_goes_on_after_a_failed_fetch(spark, tmp_path):
+    (tmp_path / "robotstxt").mkdir()
+    arch = tmp_path / "robotstxt" / "a,b.warc.gz"
+    _archive(arch, [("https://t.test/robots.txt", "2024-08-01T00:00:00Z", b"Sitemap: /one.xml\n", "gzip")])
+    gone = tmp_path / "robotstxt" / "gone.warc.gz"
+    man = tmp_path / "robotstxt.paths.gz"
+    man.write_bytes(gzip.compress(f"{arch.as_uri()}\n{gone.as_uri()}\n".encode()))
+    staged = jobs.stage_archives(spark, str(man), str(tmp_path / "staged"))
+    out = str(tmp_path / "out")
+    with pytest.raises(jobs.JobFailed, match="1 archives or captures failed, listed in .*out-failures"):
+        jobs.sitemaps_job(spark, staged, out)
+    (line,) = [r["value"] for r in spark.read.text(out).collect()]
+    assert line.split("\t") == [arch.as_uri(), "2024-08-01T00:00:00Z", "https://t.test/robots.txt", "/one.xml"]
+    (listed,) = [r["value"] for r in spark.read.text(out + "-failures").collect()]
+    assert listed.startswith(f"{gone.as_uri()}: archive: FileNotFoundError")
+
+
+def test_second_runs_replace_what_they_process(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    for name, body in (("a", b"Sitemap: /a.xml\n"), ("b", b"Sitemap: /b.xml\n")):
+        _archive(src / f"{name}.warc.gz", [(f"https://{name}.test/robots.txt", "2024-08-01T00:00:00Z", body, "")])
+    links, table = str(tmp_path / "links"), str(tmp_path / "table")
+    one = lambda name: str(src / f"{name}.warc.gz")
+    for name in "ab":
+        jobs.sitemaps_job(spark, one(name), links)
+        jobs.robots_job(spark, one(name), table)
+    assert spark.read.text(links).count() == 2 and spark.read.parquet(table).count() == 2
+    _archive(src / "a.warc.gz", [("https://a.test/robots.txt", "2024-08-01T00:00:00Z", b"<html>", "")])
+    jobs.sitemaps_job(spark, one("a"), links)
+    jobs.robots_job(spark, one("a"), table)
+    assert [r["value"].split("\t")[3] for r in spark.read.text(links).collect()] == ["/b.xml"]
+    assert [r["target_url"] for r in spark.read.parquet(table).collect()] == ["https://b.test/robots.txt"]
+
+
+def test_every_failure_is_listed(spark, tmp_path):
+    rec = b"".join(warc._record([("WARC-Type", "response"), ("WARC-Target-URI", f"https://t{i}.test/robots.txt"),
+                                 ("WARC-Date", "2024-01-01T00:00:00Z")], b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\nno")
+                   for i in range(1500))
+    (tmp_path / "c.warc.gz").write_bytes(rec)
+    with pytest.raises(jobs.JobFailed, match="^1500 "):
+        jobs.sitemaps_job(spark, str(tmp_path / "c.warc.gz"), str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out-failures")).distinct().count() == 1500
+
+
+def test_large_records_and_message_framing(spark, tmp_path):
+    big = b"# " + b"x" * (70 << 20) + b"\nSitemap: /big.xml\n"
+    def record(url, head, body):
+        return warc._record([("WARC-Type", "response"), ("WARC-Target-URI", url), ("WARC-Date", "2024-01-01T00:00:00Z")],
+                            b"HTTP/1.1 200 OK\r\n" + head + b"\r\n" + body)
+    chunked = b"5;x=y\r\nSitem\r\n9\r\nap: /c.xm\r\n1\r\nl\r\n0\r\n\r\n"
+    (tmp_path / "d.warc.gz").write_bytes(
+        record("https://a.test/robots.txt", b"", big) + record("https://a.test/page", b"", big)
+        + record("https://b.test/robots.txt", b"Transfer-Encoding: chunked\r\n", chunked)
+        + record("https://c.test/robots.txt", b"Transfer-Encoding: chunked\r\n", b"Sitemap: /joined.xml")
+        + record("https://d.test/robots.txt", b"Content-Length: 15\r\n", b"Sitemap: /e.xml\n\n trailer"))
+    got = {r["target_url"][8]: r for r in warc.read_warc(spark, str(tmp_path)).selectExpr(
+        "target_url", "length(body) as n", "substr(body, 1, 100) as head", "error").collect()}
+    assert got["a"]["n"] == len(big) and got["a"]["error"] is None
+    assert [bytes(got[k]["head"]) for k in "bcd"] == [b"Sitemap: /c.xml", b"Sitemap: /joined.xml", b"Sitemap: /e.xml"]
+
+
+def test_fetch_uses_the_configured_tasks(spark):
+    from crawlmeta.sources import fetch
+    urls = spark.range(200_000).selectExpr("concat('none://h', id % 5000, '.test/', id) as url")
+    got = fetch.fetch(urls, delay=0, partitions=64).selectExpr("spark_partition_id() as p", "error").groupBy("p").count()
+    assert got.count() == 64
+
+
+def test_any_failed_request_is_an_attempt(monkeypatch):
+    import http.client
+
+    from crawlmeta.sources import fetch
+    monkeypatch.setattr(fetch.time, "sleep", lambda s: None)
+    seen = []
+    def broken(url, connect, read):
+        seen.append((connect, read))
+        raise http.client.IncompleteRead(b"x") if len(seen) % 2 else http.client.InvalidURL("bad")
+    monkeypatch.setattr(fetch, "_open_url", broken)
+    url, status, body, attempts, error = fetch.fetch_one("https://t.test/a b", connect_timeout=3, read_timeout=7, delay=0)
+    assert (status, body, attempts) == (None, None, 4) and "InvalidURL" in error and set(seen) == {(3, 7)}
 
 
 def test_file_fetch(spark, tmp_path):
