@@ -228,17 +228,18 @@ def local_sitemaps_job(spark: SparkSession, root: str, out_path: str) -> JobResu
     return JobResult(dict(obs.get))
 
 
-def _filter_input(spark: SparkSession, in_root: str) -> tuple[DataFrame, Observation]:
-    lines = tsv.parse_local_sitemap_rows(tsv.read_lines(spark, in_root, tsv.SITEMAPS_SUFFIX))
+def _filter_input(spark: SparkSession, in_root: str, suffix: str = tsv.SITEMAPS_SUFFIX) -> tuple[DataFrame, Observation]:
+    lines = tsv.parse_local_sitemap_rows(tsv.read_lines(spark, in_root, suffix))
     obs = Observation("filter")
     lines = lines.observe(obs, F.count_if(F.col("status") == "ok").alias("read_rows"),
                           F.count_if(F.col("status") == "malformed").alias("malformed_rows"))
     return lines.filter(F.col("status") == "ok"), obs
 
 
-def filter_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, dim: DataFrame) -> JobResult:
-    rows, _ = _filter_input(spark, in_root)
-    counts = tsv.parse_local_sitemap_rows(tsv.read_lines(spark, in_root, tsv.SITEMAPS_SUFFIX)).agg(
+def filter_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, dim: DataFrame,
+                        suffix: str = tsv.SITEMAPS_SUFFIX) -> JobResult:
+    rows, _ = _filter_input(spark, in_root, suffix)
+    counts = tsv.parse_local_sitemap_rows(tsv.read_lines(spark, in_root, suffix)).agg(
         F.count_if(F.col("status") == "ok").alias("read_rows"),
         F.count_if(F.col("status") == "malformed").alias("malformed_rows")).first().asDict()
     cls = geo.classify(rows, dim, "robots_host", "sitemap_url")

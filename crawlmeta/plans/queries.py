@@ -22,11 +22,12 @@ from crawlmeta.operators import crawl as crawl_op
 from crawlmeta.operators import geo, robots
 from crawlmeta.operators.metrics import archive_results
 from crawlmeta.operators.sitemap_docs import parse_sitemaps
-from crawlmeta.session import checkpoint_dir, ship_package
+from crawlmeta.session import checkpoint_dir, ship_package, work_folder
 from crawlmeta.sinks import robots_files
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sinks.robots_files import archive_file_name, robots_file_name
-from crawlmeta.sources import corpus, local_tree, manifest, tsv, warc
+from crawlmeta.plans import jobs
+from crawlmeta.sources import corpus, fetch, local_tree, manifest, tsv, warc
 from crawlmeta.sources.files import open_output
 from crawlmeta.streaming import pipelines as streams
 
@@ -370,7 +371,7 @@ def q_warc_roundtrip(spark, sf_dir):
                     F.col("robots_url").alias("target_url"), corpus.capture_date().alias("capture_date"),
                     "body", enc.alias("content_encoding"))
     out_dir = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    warc.write_warc_files(rows, out_dir).collect()
+    warc.write_warc_files(rows, out_dir).write.format("noop").mode("overwrite").save()
     got = warc.read_warc(spark, out_dir)
     parsed_back = robots.with_robots(got.withColumn("text", robots.decode_body("body")), body="text")
     return parsed_back.select("target_url", "capture_date", "content_encoding", F.col("text").alias("body"),
@@ -469,3 +470,145 @@ def q_sitemaps_classified_loaded_dim(spark, sf_dir):
 
 
 QUERIES["sitemaps_classified_loaded_dim"] = q_sitemaps_classified_loaded_dim
+
+
+# --- robots parsing over real text -------------------------------------------------------
+
+
+def documents_as_robots(spark, sf_dir) -> DataFrame:
+    """Every whole text of ``documents`` as a robots body."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+
+
+def q_robots_directives_text(spark, sf_dir):
+    return robots.directive_rows(documents_as_robots(spark, sf_dir), ["doc_id"])
+
+
+def q_robots_warnings_text(spark, sf_dir):
+    return robots.warning_rows(robots.with_robots(documents_as_robots(spark, sf_dir)), ["doc_id"])
+
+
+def q_robots_groups_for_agent_table(spark, sf_dir):
+    """Agent names come from a table."""
+    agents = table(spark, sf_dir, "nation").select(F.col("n_name").alias("agent"))
+    return robots.agent_group_rows_from(parsed(spark, sf_dir), ["page_id"], agents)
+
+
+def q_resolve_long(spark, sf_dir):
+    """References as long as a page: its whole html as a path and as a query."""
+    pages = table(spark, sf_dir, "pages")
+    plain = F.regexp_replace("html", "[^A-Za-z0-9]+", "-")
+    refs = F.array(F.concat(F.lit("/"), plain), F.concat(F.lit("/p?"), plain, F.lit("=%41"), plain),
+                   F.concat(F.lit("/d/../"), plain, F.lit("/./")))
+    x = pages.select("page_id", F.col("url").alias("base"), F.posexplode(refs).alias("ref_no", "ref"))
+    return with_resolved(x, "base", "ref", "resolved").select(
+        "page_id", F.col("ref_no").cast("long").alias("ref_no"), F.sha2("resolved", 256).alias("resolved_sha256"))
+
+
+# --- jobs, run as they are used: written, run again, read back -----------------------------
+
+
+def _archived(spark, rows: DataFrame, out_dir: str) -> str:
+    """Write (archive_key, target_url, capture_date, body, content_encoding) rows as archives."""
+    warc.write_warc_files(rows, out_dir).write.format("noop").mode("overwrite").save()
+    return out_dir
+
+
+def _capture_rows(spark, sf_dir) -> DataFrame:
+    key = F.floor(F.col("page_id") / 10).cast("long")
+    return captures(spark, sf_dir).select(
+        "page_id", key.alias("key"), key.cast("string").alias("archive_key"), F.col("robots_url").alias("target_url"),
+        corpus.capture_date().alias("capture_date"), "body", F.lit("gzip").alias("content_encoding"))
+
+
+def q_robots_job_rerun(spark, sf_dir):
+    """Odd archives, then even ones, then the odd ones again: the table holds every valid capture once."""
+    base, rows = work_folder(spark, "robots-job"), _capture_rows(spark, sf_dir)
+    odd = _archived(spark, rows.where("key % 2 = 1"), f"{base}/odd")
+    even = _archived(spark, rows.where("key % 2 = 0"), f"{base}/even")
+    for src in (odd, even, odd):
+        jobs.robots_job(spark, src, f"{base}/table")
+    return spark.read.parquet(f"{base}/table").select("target_url", "capture_date", F.col("text").alias("body"))
+
+
+def q_sitemaps_job_rerun(spark, sf_dir):
+    """All archives, then again with html in the odd ones: those have no links any more."""
+    base, rows = work_folder(spark, "sitemaps-job"), _capture_rows(spark, sf_dir)
+    jobs.sitemaps_job(spark, _archived(spark, rows, f"{base}/in"), f"{base}/out")
+    changed = rows.withColumn("body", F.when(F.col("key") % 2 == 1, "<html></html>").otherwise(F.col("body")))
+    jobs.sitemaps_job(spark, _archived(spark, changed, f"{base}/in"), f"{base}/out")
+    f = F.split("value", "\t")
+    return spark.read.text(f"{base}/out").select(f[1].alias("capture_date"), f[2].alias("robots_url"), f[3].alias("sitemap_url"))
+
+
+def q_filter_job_rerun(spark, sf_dir):
+    """All link rows, then those of even pages: groups of the first run are gone."""
+    base, lines = work_folder(spark, "filter-job"), local_sitemap_lines(spark, sf_dir)
+    for part, some in (("all", lines), ("even", lines.where("page_id % 2 = 0"))):
+        some.select("value").write.text(f"{base}/{part}")
+        jobs.filter_sitemaps_job(spark, f"{base}/{part}", f"{base}/out", geo.sample_dimension(spark), suffix=".txt")
+    return tsv_sink.read_grouped(spark, f"{base}/out")
+
+
+def q_manifest_sitemaps_job(spark, sf_dir):
+    """A manifest of ``file:`` archives -> staged -> link rows that carry the manifest's paths."""
+    base = work_folder(spark, "manifest-job")
+    written = warc.write_warc_files(_capture_rows(spark, sf_dir), f"{base}/robotstxt")
+    path = F.when(F.col("archive_path").contains(":"), F.col("archive_path")).otherwise(F.concat(F.lit("file://"), "archive_path"))
+    written.select(path.alias("value")).write.option("compression", "gzip").text(f"{base}/manifest")
+    staged = jobs.stage_archives(spark, f"{base}/manifest", f"{base}/staged")
+    jobs.sitemaps_job(spark, staged, f"{base}/out")
+    f = F.split("value", "\t")
+    return spark.read.text(f"{base}/out").select(
+        F.regexp_extract(f[0], "/robotstxt/([0-9]+)-[0-9]+[.]warc[.]gz$", 1).alias("archive_key"),
+        f[1].alias("capture_date"), f[2].alias("robots_url"), f[3].alias("sitemap_url"))
+
+
+def q_job_failures(spark, sf_dir):
+    """One capture per order, every tenth with a body that is not what its header says: all are listed."""
+    base = work_folder(spark, "job-failures")
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        F.floor(key / 4000).cast("string").alias("archive_key"),
+        F.concat(F.lit("https://o"), key.cast("string"), F.lit(".example.ua/robots.txt")).alias("target_url"),
+        F.lit("2024-08-01T00:00:00Z").alias("capture_date"), F.lit("Sitemap: /s.xml\n").alias("body"),
+        F.when(key % 10 == 0, "!gzip").otherwise("gzip").alias("content_encoding"))
+    try:
+        jobs.sitemaps_job(spark, _archived(spark, rows, f"{base}/in"), f"{base}/out")
+    except jobs.JobFailed:
+        pass  # the job has finished all other work and says where it lists what failed
+    listed = spark.read.text(f"{base}/out-failures").select(
+        F.regexp_extract("value", "(https://o[0-9]+[.]example[.]ua/robots[.]txt): Body decode failed", 1).alias("robots_url"),
+        F.lit("failed").alias("outcome"))
+    links = spark.read.text(f"{base}/out").select(F.split("value", "\t")[2].alias("robots_url"), F.lit("link").alias("outcome"))
+    return listed.unionByName(links)
+
+
+def q_fetch_rows(spark, sf_dir):
+    """One file per page, fetched by ``file:`` URL, with a missing file and a foreign scheme per page."""
+    base = work_folder(spark, "fetch")
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    name = F.concat(F.col("page_id").cast("string"), F.lit(".html"))
+    robots_files.export_files(pages.select(name.alias("file_name"), F.col("html").alias("text")), f"{base}/files")
+    root = F.lit(f"{base}/files/" if ":" in base else f"file://{base}/files/")
+    urls = pages.select(F.explode(F.array(F.concat(root, name), F.concat(root, F.lit("no-"), name),
+                                          F.concat(F.lit("gopher://x/"), name))).alias("url"))
+    got = fetch.fetch(urls, delay=0)
+    return got.select(F.regexp_extract("url", "([^/]*)$", 1).alias("name"),
+                      F.regexp_extract("url", "^([a-z]+):", 1).alias("scheme"), F.col("status").cast("long").alias("status"),
+                      F.length("body").cast("long").alias("n_bytes"), F.col("attempts").cast("long").alias("attempts"),
+                      F.regexp_extract("error", "^([A-Za-z ]+)", 1).alias("problem"))
+
+
+QUERIES.update({
+    "robots_directives_text": q_robots_directives_text,
+    "robots_warnings_text": q_robots_warnings_text,
+    "robots_groups_for_agent_table": q_robots_groups_for_agent_table,
+    "resolve_long": q_resolve_long,
+    "robots_job_rerun": q_robots_job_rerun,
+    "sitemaps_job_rerun": q_sitemaps_job_rerun,
+    "filter_job_rerun": q_filter_job_rerun,
+    "manifest_sitemaps_job": q_manifest_sitemaps_job,
+    "job_failures": q_job_failures,
+    "fetch_rows": q_fetch_rows,
+})

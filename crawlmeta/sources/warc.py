@@ -285,9 +285,10 @@ def _records_bytes(rows: list[tuple[str, str, bytes, str]], first: bool = True,
             out.append(_record([("WARC-Type", "request"), ("WARC-Target-URI", url), ("WARC-Date", date)],
                                f"GET {url} HTTP/1.1\r\n\r\n".encode()))
         http = b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\n"
+        plain, enc = enc.startswith("!"), enc.removeprefix("!")   # "!gzip": said to be gzip, but is not
         if enc:
             http += f"Content-Encoding: {enc}\r\n".encode()
-        payload = http + b"\r\n" + encode_content(body, enc)
+        payload = http + b"\r\n" + (body if plain else encode_content(body, enc))
         out.append(_record([("WARC-Type", "response"), ("WARC-Target-URI", url), ("WARC-Date", date),
                             ("Content-Type", "application/http; msgtype=response")], payload))
         if with_noise and first and i == 0:

@@ -439,3 +439,50 @@ from sm join cap using (page_id)
 where sm.page_id in (select page_id from validp)"""
 
 ORACLE["sitemaps_classified_loaded_dim"] = ORACLE["sitemaps_classified"]
+
+# --- robots parsing over real text, agents of a table, long references, jobs ---
+
+WITH_TEXT = "with cap as (select doc_id as page_id, '' as robots_url, '' as robots_host, text as body from documents)," + PARSE
+
+ORACLE["robots_directives_text"] = WITH_TEXT + """
+select page_id as doc_id, cast(n as bigint) as line_no, f as field, v as value, k as kind from kd"""
+
+ORACLE["robots_warnings_text"] = ORACLE["robots_warnings"].replace(WITH_A, WITH_TEXT).replace(
+    "select page_id, cast(n", "select page_id as doc_id, cast(n")
+
+ORACLE["robots_groups_for_agent_table"] = WITH_A + """
+, agents as (select distinct n_name as agent from nation)
+select distinct gn.page_id, a.agent, gn.group_no
+from gn join agents a on gn.k = 'agent' and (lower(gn.v) = '*' or contains(lower(a.agent), lower(gn.v)))"""
+
+ORACLE["resolve_long"] = """
+with p as (select page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) as root,
+             regexp_replace(html, '[^A-Za-z0-9]+', '-', 'g') as x from pages)
+select page_id, cast(0 as bigint) as ref_no, sha256(root || '/' || x) as resolved_sha256 from p
+union all select page_id, 1, sha256(root || '/p?' || x || '=%41' || x) from p
+union all select page_id, 2, sha256(root || '/' || x || '/') from p"""
+
+DATE = "strftime(make_timestamp((1722470400 + page_id * 37) * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
+
+ORACLE["robots_job_rerun"] = WITH_A + f"""
+select robots_url as target_url, {DATE} as capture_date, body from cap where page_id in (select page_id from validp)"""
+
+ORACLE["sitemaps_job_rerun"] = WITH_A + f"""
+select {DATE} as capture_date, robots_url, sitemap_url from links
+where page_id in (select page_id from validp) and (page_id // 10) % 2 = 0"""
+
+ORACLE["manifest_sitemaps_job"] = WITH_A + f"""
+select cast(page_id // 10 as varchar) as archive_key, {DATE} as capture_date, robots_url, sitemap_url from links
+where page_id in (select page_id from validp)"""
+
+ORACLE["filter_job_rerun"] = ORACLE["stream_equals_batch"].replace("from cl2", "from cl2 where page_id % 2 = 0")
+
+ORACLE["job_failures"] = """
+select 'https://o' || cast(o_orderkey as varchar) || '.example.ua/robots.txt' as robots_url,
+  case when o_orderkey % 10 = 0 then 'failed' else 'link' end as outcome from orders"""
+
+ORACLE["fetch_rows"] = """
+with p as (select cast(page_id as varchar) || '.html' as n, octet_length(encode(html)) as b from pages)
+select n as name, 'file' as scheme, cast(200 as bigint) as status, cast(b as bigint) as n_bytes, cast(1 as bigint) as attempts, cast(null as varchar) as problem from p
+union all select 'no-' || n, 'file', null, null, 1, 'FileNotFoundError' from p
+union all select n, 'gopher', null, null, 0, 'Unsupported URI scheme' from p"""
