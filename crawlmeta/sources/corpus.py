@@ -20,11 +20,11 @@ from crawlmeta.functions.text import BOM
 # (page_id % 5). ``{s}`` = scheme, ``{h}`` = host, ``{loc}`` = folder.
 _ROBOTS_CASES = r"""
 case page_id % 8
-  when 0 then concat('User-agent: *', char(10), 'Disallow: /private # note', char(10), 'Crawl-delay: eventually', char(10), 'Sitemap: ', scheme, '://', host, '/', loc, 'sitemap.xml', char(10))
+  when 0 then concat('User-agent: *', char(10), 'Disallow: /cart/ # no shop pages', char(10), 'Crawl-delay: soon', char(10), 'Sitemap: ', scheme, '://', host, '/', loc, 'sitemap.xml', char(10))
   when 1 then concat('Sitemap: ', scheme, '://', host, '/', loc, 'sitemap.xml', char(13), char(10), 'sitemap:/sitemap.xml', char(13), char(10))
   when 2 then concat('{BOM}', 'User-agent: A', char(10), 'user-agent: b', char(10), 'Allow: /', char(10), 'Crawl-delay: 2.5', char(10), 'Request-rate: 1/10', char(10), 'User-agent: c', char(10), 'Disallow:', char(10))
-  when 3 then concat('<html><title>Not found ', cast(page_id as string), '</title></html>', char(10))
-  when 4 then concat('Disallow: /early', char(10), 'User-agent: *', char(10), 'Sitemap: User-agent: *', char(10), 'Sitemap: https://cdn.example.ua/', loc, 's.xml', char(10), 'Allow: /', char(10))
+  when 3 then concat('<!doctype html>', char(10), '<p>Page ', cast(page_id as string), ' is gone</p>', char(10))
+  when 4 then concat('Allow: /too-soon', char(10), 'User-agent: *', char(10), 'Sitemap: see the map page', char(10), 'Sitemap: https://maps.example.ua/', loc, 'all.xml', char(10), 'Disallow: /old', char(10))
   when 5 then concat('User-agent:', char(10), 'Request-rate: 0/5', char(10), 'no colon here', char(10))
   when 6 then concat('User-agent: *', char(13), 'Sitemap: ', scheme, '://', host, '/a.xml', char(13), 'Sitemap: ', scheme, '://', host, '/a.xml', char(13), 'Host: x')
   else '' end

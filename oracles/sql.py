@@ -27,11 +27,11 @@ p0 as (
 ), cap as (
 select page_id, concat(scheme, '://', host, '/robots.txt') as robots_url, host as robots_host,
   case page_id % 8
-    when 0 then concat('User-agent: *', chr(10), 'Disallow: /private # note', chr(10), 'Crawl-delay: eventually', chr(10), 'Sitemap: ', scheme, '://', host, '/', loc, 'sitemap.xml', chr(10))
+    when 0 then concat('User-agent: *', chr(10), 'Disallow: /cart/ # no shop pages', chr(10), 'Crawl-delay: soon', chr(10), 'Sitemap: ', scheme, '://', host, '/', loc, 'sitemap.xml', chr(10))
     when 1 then concat('Sitemap: ', scheme, '://', host, '/', loc, 'sitemap.xml', chr(13), chr(10), 'sitemap:/sitemap.xml', chr(13), chr(10))
     when 2 then concat(chr(65279), 'User-agent: A', chr(10), 'user-agent: b', chr(10), 'Allow: /', chr(10), 'Crawl-delay: 2.5', chr(10), 'Request-rate: 1/10', chr(10), 'User-agent: c', chr(10), 'Disallow:', chr(10))
-    when 3 then concat('<html><title>Not found ', cast(page_id as varchar(20)), '</title></html>', chr(10))
-    when 4 then concat('Disallow: /early', chr(10), 'User-agent: *', chr(10), 'Sitemap: User-agent: *', chr(10), 'Sitemap: https://cdn.example.ua/', loc, 's.xml', chr(10), 'Allow: /', chr(10))
+    when 3 then concat('<!doctype html>', chr(10), '<p>Page ', cast(page_id as varchar(20)), ' is gone</p>', chr(10))
+    when 4 then concat('Allow: /too-soon', chr(10), 'User-agent: *', chr(10), 'Sitemap: see the map page', chr(10), 'Sitemap: https://maps.example.ua/', loc, 'all.xml', chr(10), 'Disallow: /old', chr(10))
     when 5 then concat('User-agent:', chr(10), 'Request-rate: 0/5', chr(10), 'no colon here', chr(10))
     when 6 then concat('User-agent: *', chr(13), 'Sitemap: ', scheme, '://', host, '/a.xml', chr(13), 'Sitemap: ', scheme, '://', host, '/a.xml', chr(13), 'Host: x')
     else '' end as body
