@@ -13,7 +13,7 @@ A fetcher turns a set of URLs into row sets: ``status (url, kind, error)``,
 Every URL is fetched and parsed once per crawl, not once per seed or level. A
 level only reads the index edges, a table of its own:
 
-  children = frontier JOIN index_edges -> distinct -> ANTI JOIN visited
+  children = frontier JOIN index_edges -> ANTI JOIN visited -> distinct
 
 and after the last level two joins finish the job: visits = frontiers JOIN
 status, links = URL-set visits JOIN page_edges. The page edges are by far the
@@ -150,36 +150,36 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
         """The frontier as a table, its rows and its bytes."""
         obs = Observation(f"frontier_{depth}")
         size = F.coalesce(F.sum(F.octet_length("root") + F.octet_length("url") + 32), F.lit(0))
-        out = _table(df.observe(obs, F.count(F.lit(1)).alias("n"), size.alias("bytes")), f"{folder}/level-{depth}")
+        out = _table(df.observe(obs, F.count(F.lit(1)).alias("n"), size.alias("bytes")), f"{folder}/depth={depth}")
         return out, obs.get["n"], obs.get["bytes"]
 
+    def visited() -> DataFrame:
+        """All levels so far as one scan: root, url, depth."""
+        return spark.read.schema("root string, url string, depth int").parquet(folder)
+
     roots = seeds.select(F.col(seed_url).alias("root")).distinct()
     frontier, n_frontier, n_bytes = level(roots.select("root", F.col("root").alias("url")), 0)
     visited_bytes = 0
-    visited: list[DataFrame] = []
     status_expr = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
                    .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
     got: Fetched | None = None
-    frontiers: list[DataFrame] = []
     for depth in range(max_depth + 1):
         if n_frontier == 0:
             break
-        visited.append(frontier)
         visited_bytes += n_bytes
-        frontiers.append(frontier.withColumn("depth", F.lit(depth)))
         got = fetch(frontier.select("url").distinct())
         if depth == max_depth:
             break
         children = (_sized(frontier, n_bytes).join(got.index_edges, "url")
-                    .select("root", F.col("target").alias("url")).distinct())
-        seen = _sized(_union(visited, "root string, url string", spark), visited_bytes)
-        frontier, n_frontier, n_bytes = level(children.join(seen, ["root", "url"], "left_anti"), depth + 1)
+                    .select("root", F.col("target").alias("url")))
+        seen = _sized(visited().select("root", "url"), visited_bytes)
+        frontier, n_frontier, n_bytes = level(children.join(seen, ["root", "url"], "left_anti").distinct(), depth + 1)
     schema_v = "root string, sitemap_url string, depth int, status string, error string"
     if got is None:
         all_visits = spark.createDataFrame([], schema_v)
         all_links = spark.createDataFrame([], "root string, sitemap_url string, page_url string")
     else:
-        f = _sized(_union(frontiers, "root string, url string, depth int", spark), visited_bytes)
+        f = _sized(visited(), visited_bytes)
         v = f.join(got.status, "url", "left").select(
             "root", F.col("url").alias("sitemap_url"), "depth",
             F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"),
@@ -207,15 +207,6 @@ def _table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _union(frames: list[DataFrame], schema: str, spark) -> DataFrame:
-    if not frames:
-        return spark.createDataFrame([], schema)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def seed_counters(result: CrawlResult, seeds: DataFrame, seed_id: str = "seed_id") -> DataFrame:
     """Per seed row: downloaded (parsed), invalid, failed documents and saved links."""
     v = result.visits.groupBy("seed_id").agg(

@@ -70,16 +70,14 @@ def sitemap_documents(pages: DataFrame) -> DataFrame:
     """Corpus B: ``(url, body)``; per page one sitemap index ``idx-N.xml``
     (its own ``sm-N.xml`` relative, plus one next index) and one document
     ``sm-N.xml`` (urlset / RSS / Atom / text / HTML / bad text)."""
-    idx = pages.select(
-        F.concat(F.lit("https://s.example.ua/idx-"), F.col("page_id").cast("string"), F.lit(".xml")).alias("url"),
-        F.concat(F.lit('<?xml version="1.0"?><sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
-                 F.lit("<sitemap><loc> sm-"), F.col("page_id").cast("string"), F.lit(".xml </loc></sitemap>"),
-                 F.lit("<sitemap><loc>https://s.example.ua/idx-"), F.expr(_next_index_id()).cast("string"),
-                 F.lit(".xml</loc></sitemap>"), F.lit("</sitemapindex>")).alias("body"))
-    docs = pages.select(
-        F.concat(F.lit("https://s.example.ua/sm-"), F.col("page_id").cast("string"), F.lit(".xml")).alias("url"),
-        F.expr(_SITEMAP_BODY).alias("body"))
-    return idx.unionByName(docs)
+    page = F.col("page_id").cast("string")
+    index = F.concat(F.lit('<?xml version="1.0"?><sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
+                     F.lit("<sitemap><loc> sm-"), page, F.lit(".xml </loc></sitemap>"),
+                     F.lit("<sitemap><loc>https://s.example.ua/idx-"), F.expr(_next_index_id()).cast("string"),
+                     F.lit(".xml</loc></sitemap>"), F.lit("</sitemapindex>"))
+    both = [F.struct(F.concat(F.lit(f"https://s.example.ua/{name}-"), page, F.lit(".xml")).alias("url"), body.alias("body"))
+            for name, body in (("idx", index), ("sm", F.expr(_SITEMAP_BODY)))]
+    return pages.select(F.inline(F.array(*both)))
 
 
 def sitemap_seeds(pages: DataFrame) -> DataFrame:
