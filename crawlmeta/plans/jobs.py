@@ -249,9 +249,9 @@ def filter_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, dim: D
 
 
 def local_country_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, country: str,
-                               dim: DataFrame) -> JobResult:
+                               dim: DataFrame, suffix: str = tsv.SITEMAPS_SUFFIX) -> JobResult:
     one = _one_country(spark, dim, country)
-    rows, obs = _filter_input(spark, in_root)
+    rows, obs = _filter_input(spark, in_root, suffix)
     cls = geo.classify(rows, one, "robots_host", "sitemap_url")
     kept = Observation("kept")
     cls = cls.observe(kept, F.count(F.lit(1)).alias("kept_rows"))

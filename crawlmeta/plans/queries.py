@@ -612,3 +612,53 @@ QUERIES.update({
     "job_failures": q_job_failures,
     "fetch_rows": q_fetch_rows,
 })
+
+
+def q_country_sitemaps_job(spark, sf_dir):
+    base = work_folder(spark, "country-job")
+    src = _archived(spark, _capture_rows(spark, sf_dir), f"{base}/in")
+    jobs.country_sitemaps_job(spark, src, f"{base}/out", "Ukraine", geo.sample_dimension(spark))
+    f = F.split("value", "\t")
+    return spark.read.text(f"{base}/out").select(*[f[i + 1].alias(c) for i, c in enumerate(tsv.WARC_COUNTRY_COLUMNS[1:])])
+
+
+def q_local_country_job(spark, sf_dir):
+    base = work_folder(spark, "local-country-job")
+    local_sitemap_lines(spark, sf_dir).select("value").write.text(f"{base}/in")
+    jobs.local_country_sitemaps_job(spark, f"{base}/in", f"{base}/out", "ua", geo.sample_dimension(spark), suffix=".txt")
+    return spark.read.text(f"{base}/out")
+
+
+def link_lines(spark, sf_dir) -> DataFrame:
+    """Link TSV lines of the pages, every fifth without its page URL."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    url = F.when(F.col("page_id") % 5 == 4, F.lit("")).otherwise(F.col("url"))
+    return pages.select(tsv_row(F.lit("https://s.example.ua/seed.xml"), F.lit("https://s.example.ua/map.xml"), url).alias("value"))
+
+
+def q_publish_stream(spark, sf_dir):
+    """New link files -> the streaming publisher (available-now) -> its records read back."""
+    base = work_folder(spark, "publish")
+    link_lines(spark, sf_dir).write.text(f"{base}/in")
+    streams.publish_urls_stream(spark, f"{base}/in", f"{base}/ckpt", f"{base}/out", suffix=".txt").awaitTermination()
+    return spark.read.text(f"{base}/out")
+
+
+def q_job_counters(spark, sf_dir):
+    """Counters that the filter and publish jobs report, one row each."""
+    base = work_folder(spark, "counters")
+    links = robots.sitemap_rows(parsed(spark, sf_dir), ["page_id", "robots_host"])
+    tsv_lines_from_links(links).select("value").write.text(f"{base}/rows")
+    link_lines(spark, sf_dir).write.text(f"{base}/links")
+    done = {"filter": jobs.filter_sitemaps_job(spark, f"{base}/rows", f"{base}/kept", geo.sample_dimension(spark), suffix=".txt"),
+            "publish": jobs.publish_urls_job(spark, f"{base}/links", f"{base}/sent", suffix=".txt")}
+    rows = [(job, k, int(v)) for job, r in done.items() for k, v in r.metrics.items() if k != "files"]
+    return spark.createDataFrame(rows, "job string, counter string, value long")
+
+
+QUERIES.update({
+    "country_sitemaps_job": q_country_sitemaps_job,
+    "local_country_job": q_local_country_job,
+    "publish_stream": q_publish_stream,
+    "job_counters": q_job_counters,
+})

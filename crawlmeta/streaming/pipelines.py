@@ -50,10 +50,10 @@ def filter_sitemaps_stream(spark: SparkSession, in_root: str, out_path: str, che
 
 def publish_urls_stream(spark: SparkSession, in_root: str, checkpoint: str, out_path: str | None = None,
                         bootstrap: str | None = None, topic: str | None = None,
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, suffix: str = tsv.LINKS_SUFFIX) -> StreamingQuery:
     """New ``*.sitemap-links.tsv`` files -> ``{"url": ...}`` values, to Kafka
     when a server and topic are given, else to JSON-lines files."""
-    lines = _text_stream(spark, in_root, tsv.LINKS_SUFFIX, None)
+    lines = _text_stream(spark, in_root, suffix, None)
     values = kafka.url_values(tsv.parse_link_rows(lines).filter(F.col("status") == "ok"))
     w = values.writeStream.option("checkpointLocation", checkpoint)
     if bootstrap and topic:

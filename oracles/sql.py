@@ -486,3 +486,24 @@ with p as (select cast(page_id as varchar) || '.html' as n, octet_length(encode(
 select n as name, 'file' as scheme, cast(200 as bigint) as status, cast(b as bigint) as n_bytes, cast(1 as bigint) as attempts, cast(null as varchar) as problem from p
 union all select 'no-' || n, 'file', null, null, 1, 'FileNotFoundError' from p
 union all select n, 'gopher', null, null, 0, 'Unsupported URI scheme' from p"""
+
+ORACLE["country_sitemaps_job"] = (WITH_A + "," + DIM + ", dimu as (select * from dim where country_key = 'ukraine'),"
+                                  + classified_cte("dimu") + f"""
+select {DATE} as capture_date, cap.robots_url, cls.sitemap_url, country_key, country_name, matched_suffix, language_region
+from cls join cap using (page_id)""")
+
+ORACLE["local_country_job"] = (WITH_A + "," + DIM + ", dimu as (select * from dim where country_key = 'ukraine'),"
+                               + classified_cte("dimu") + f""",
+cl2 as (select cls.*, '/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt' as fpath from cls)
+select {tsv_sql('fpath', 'robots_host', "'https'", 'sitemap_url', 'country_key', 'country_name', 'matched_suffix', 'language_region')} as value from cl2""")
+
+ORACLE["publish_stream"] = """select '{"url":"' || url || '"}' as value from pages where page_id % 5 <> 4"""
+
+ORACLE["job_counters"] = WITH_CLS + """
+, l as (select page_id, page_id % 6 = 0 as ok from links where page_id in (select page_id from validp))
+select 'filter' as job, 'read_rows' as counter, cast(count(*) filter (where ok) as bigint) as value from l
+union all select 'filter', 'malformed_rows', count(*) filter (where not ok) from l
+union all select 'filter', 'kept_rows', count(*) from cls where page_id % 6 = 0
+union all select 'publish', 'rows', count(*) from pages
+union all select 'publish', 'malformed_rows', count(*) from pages where page_id % 5 = 4
+union all select 'publish', 'sent_urls', count(*) from pages where page_id % 5 <> 4"""
