@@ -141,5 +141,6 @@ def dedup_lines(docs: DataFrame, least: int = WINDOW_WORDS, id_col: str = "doc_i
                         int(words[sorted(drop)].sum()) if drop else 0))
         return pd.DataFrame(out, columns=["doc_id", "text", "n_lines", "deleted_lines", "deleted_words"]).astype({"doc_id": "Int64"})
 
-    return map_rows(rows.join(runs, ["doc_id", "h"], "left").select("doc_id", "text", "runs"), rewrite,
+    # sorted and merged at every size: the runs grow with the input, so no broadcast on an estimate
+    return map_rows(rows.join(runs.hint("merge"), ["doc_id", "h"], "left").select("doc_id", "text", "runs"), rewrite,
                     "doc_id long, text string, n_lines long, deleted_lines long, deleted_words long")
