@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from crawlmeta.llm.common import written
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node links to the node's least neighbour."""
+def _large_star(edges: DataFrame, folder: str, name: str) -> DataFrame:
+    """Every larger neighbour of a node links to the node's least neighbour. The
+    least neighbours are a table of their own, so that both sides of the join are
+    shuffled for it and adaptive execution splits a node with many neighbours."""
     both = edges.select("u", "v").union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), folder, name)
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
@@ -41,4 +43,4 @@ def connected_components(links: DataFrame, folder: str) -> DataFrame:
         if not chained and not forked:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         rounds += 1
-        edges = written(_small_star(_large_star(edges).distinct()).distinct(), folder, f"links-{rounds}")
+        edges = written(_small_star(_large_star(edges, folder, f"least-{rounds}").distinct()).distinct(), folder, f"links-{rounds}")
