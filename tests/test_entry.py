@@ -7,7 +7,7 @@ import __spark_entry__ as entry_mod
 from crawlmeta.plans.queries import QUERIES
 from tests.conftest import SF0001
 
-TABLES = ["pages", "lineitem", "documents", "nation"]
+TABLES = ["pages", "lineitem", "documents", "nation", "orders"]
 SLOW = {"crawl_links", "crawl_counters", "warc_roundtrip", "stream_equals_batch"}
 
 

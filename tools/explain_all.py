@@ -20,12 +20,12 @@ OPS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange Sing
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as e
+    from crawlmeta.plans.queries import QUERIES
     from crawlmeta.session import local_session
     spark = local_session(8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the static plan
     rows = []
-    for name, fn in e.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         counts = {op: plan.count(op) for op in OPS}
@@ -34,11 +34,11 @@ def main(argv):
     out = ["# PLANS", "",
            "Static physical plans (AQE off) of the registered queries at sf0.01, generated by",
            "`tools/explain_all.py`. Columns count operators; `Exchange hash` = shuffles, `BHJ` = broadcast",
-           "hash joins (our explicit broadcasts are size-checked lookups or counted checkpointed frames; any",
+           "hash joins (our explicit broadcasts are lookups or crawl levels of counted bytes; any",
            "other is Spark's own choice from file statistics of a small scan, such as the seed table),",
            "`BNLJ` must stay 0. Python stages appear only for byte formats. Queries that write and read back",
            "(WARC, robots tree, stream) show the read side. Crawl queries show the final joins over the",
-           "checkpointed levels.", "",
+           "written levels.", "",
            "| Query | Exchange hash | Exchange range/single | BroadcastExchange | BHJ | SMJ | SHJ | BNLJ | Python | Generate | ReadSchema |",
            "|---|---|---|---|---|---|---|---|---|---|---|"]
     for name, c, scans in rows:
