@@ -9,7 +9,10 @@
    common prefix is deep enough and the signatures agree well. Where many alike
    documents lie, the neighbours share long prefixes; where few do, short ones
    suffice: the depth adapts to each region. A hot region is split by the range
-   partitioning like any other. Tasks emit spanning links only, never pairs.
+   partitioning like any other. Where more rows share the least prefix than the
+   window holds, the window is not enough: such a run is dealt into blocks of a
+   bounded number of rows, and each pair of blocks is one task, in which every pair
+   of rows is compared by its whole signatures. Tasks emit spanning links only, never pairs.
 3. Connected neighbours form a region (by links of ids alone). A region is dealt
    into blocks of a bounded total, by set size; each pair of blocks whose
    set sizes can reach the threshold is one task's work. There every pair whose
@@ -20,8 +23,11 @@
 
 A pair at the threshold shares the least prefix in some order with probability
 1 - (1 - t^depth)^orders (above 0.99999 for the defaults), and comes near enough
-by signature with more than four standard deviations to spare. Sets are of
-64-bit shingle hashes.
+by signature with more than four standard deviations to spare. A pair that shares
+it is compared however many rows stand between: in a run of at most NEIGHBOURS + 1
+rows by the window, in a longer one by the blocks. Only a run of the first kind that
+the range partitioning cuts can miss a pair in that order. The work on a run grows
+with the square of its rows that are no near duplicates. Sets are of 64-bit shingle hashes.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing; a text with fewer words than a shingle is one shingle;
@@ -49,6 +55,8 @@ ORDER_BYTES = 64
 DEPTH = 4
 #: Rows before a row in its order that are compared with it.
 NEIGHBOURS = 8
+#: Rows of one block of a run that is longer than the window.
+RUN_ROWS = 1 << 14
 #: Shingles of one block of a region.
 BLOCK_SHINGLES = 1 << 21
 #: Standard deviations of the signature's estimate that a pair may fall short of the threshold.
@@ -176,6 +184,51 @@ def _neighbours(classes: DataFrame, threshold: float) -> DataFrame:
     return ordered.mapInPandas(run, "u long, v long")
 
 
+def _agreeing(sig: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Equal columns of each row of ``sig`` with ``one``: 0 or 1 per byte, eight bytes added at once."""
+    lanes = (sig == one).view(np.uint64).sum(1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56)
+
+
+def _run_links(classes: DataFrame, threshold: float) -> DataFrame:
+    """Spanning links (u, v) among all rows of each run that is longer than the window."""
+    least = int((threshold - SLACK * (threshold * (1 - threshold) / COLUMNS) ** 0.5) * COLUMNS)
+    step = COLUMNS // ORDERS
+    places = classes.select("rep", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"), "sig").select(
+        "rep", F.expr("cast(o as byte)").alias("o"),
+        F.expr(f"substring(concat(sig, sig), o * {step} + 1, {DEPTH})").alias("prefix"))
+    runs = places.groupBy("o", "prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEIGHBOURS + 1).select(
+        "o", "prefix", F.ceil(F.col("n") / RUN_ROWS).cast("int").alias("parts"))
+    members = (places.join(runs, ["o", "prefix"])
+               .withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)"))
+               .join(classes.select("rep", "n_shingles", "sig"), "rep"))
+    met = F.expr("explode(transform(sequence(0, parts - 1), q -> named_struct('a', least(part, q), 'b', greatest(part, q))))")
+    spread = members.select("o", "prefix", met.alias("task"), "part", "rep", "n_shingles", "sig")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["n_shingles", "rep"])
+        size, rep, part = pdf.n_shingles.to_numpy(), pdf.rep.to_numpy(), pdf.part.to_numpy()
+        sig = np.frombuffer(b"".join(pdf.sig), np.uint8).reshape(len(pdf), COLUMNS)
+        two = (part != part[0]).any()
+        ends = np.searchsorted(size * threshold, size, "right")
+        group, links = np.arange(len(pdf)), []
+        for i in range(len(pdf) - 1):
+            a, b = i + 1, int(ends[i])
+            open_ = group[a:b] != group[i]
+            if two:  # pairs within one block are another task's
+                open_ &= part[a:b] != part[i]
+            other = np.flatnonzero(open_) + a
+            near = other[_agreeing(sig[other], sig[i]) >= least]
+            if len(near):
+                groups, first = np.unique(group[near], return_index=True)
+                links += [(rep[i], rep[j]) for j in near[first]]
+                group[np.isin(group, groups)] = group[i]
+        return pd.DataFrame(links, columns=["u", "v"], dtype=np.int64)
+
+    return spread.groupBy("o", "prefix", "task").applyInPandas(compare, "u long, v long")
+
+
 def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int) -> DataFrame:
     """Spanning links (u, v) of the confirmed pairs of each region (rep, region, n_shingles)."""
     t = percent / 100
@@ -251,7 +304,8 @@ def near_dedup(docs: DataFrame, width: int = 3, percent: int = 85, id_col: str =
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = written(classes, folder, "classes")
     named = classes.where("rep IS NOT NULL")
-    near = connected_components(_neighbours(named, percent / 100), f"{folder}/near")
+    links = _neighbours(named, percent / 100).union(_run_links(named, percent / 100))
+    near = connected_components(links, f"{folder}/near")
     near = written(near, folder, "regions")
     member = near.select(F.col("node").alias("rep"), F.col("component").alias("region")).union(
         near.select(F.col("component").alias("rep"), F.col("component").alias("region")).distinct())

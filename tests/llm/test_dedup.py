@@ -101,6 +101,28 @@ def test_near_components_are_those_of_all_pairs(spark, monkeypatch, block):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("rows_of_block", [minhash_forest.RUN_ROWS, 7])
+def test_near_pair_with_a_crowd_between_is_linked(spark, monkeypatch, rows_of_block):
+    """A pair shares the least prefix in one order only, and forty rows of that prefix stand between."""
+    monkeypatch.setattr(minhash_forest, "RUN_ROWS", rows_of_block)
+    r = random.Random(5)
+    depth, step = minhash_forest.DEPTH, minhash_forest.COLUMNS // minhash_forest.ORDERS
+    one = [100] * minhash_forest.COLUMNS
+    two = [101 if c >= step and c % step == 0 else x for c, x in enumerate(one)]
+    one[depth], two[depth] = 0, 255
+    crowd = [one[:depth] + [10 + k] + [r.randrange(256) for _ in one[depth + 1:]] for k in range(40)]
+    rows = [(i, 50, bytearray(s)) for i, s in enumerate([one, two, *crowd], 1)]
+    classes = spark.createDataFrame(rows, "rep long, n_shingles long, sig binary")
+    monkeypatch.setattr(minhash_forest, "_signed", lambda docs, width: classes.selectExpr(
+        "rep as doc_id", "n_shingles", "rep as h1", "rep as h2", "sig"))
+    found = []
+    monkeypatch.setattr(minhash_forest, "_confirmed", lambda docs, regions, width, percent: found.append(
+        {x.rep: x.region for x in regions.collect()}) or spark.createDataFrame([], "u long, v long"))
+    docs = spark.createDataFrame([(i, "") for i, _, _ in rows], "doc_id long, text string")
+    minhash_forest.near_dedup(docs).collect()
+    assert found == [{1: 1, 2: 1}]
+
+
 def test_near_takes_odd_rows(spark):
     docs = odd.odd(spark)
     got = minhash_forest.near_dedup(docs).collect()
