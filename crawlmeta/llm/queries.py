@@ -31,7 +31,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode(documents(spark, sf_dir), public_tokenizers.path(PIECES), with_ids=False)
+    return sentencepiece_codec.round_trip(documents(spark, sf_dir), public_tokenizers.path(PIECES))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ everything that is encoded, without encoding every text twice. (Of two unigram
 paths with one score the libraries may take different ones: such texts are marked
 as not verified, as are literal marks at the ends of a text whose model trims it.)
 Texts that do not fall into such words (runs of spaces, spaces at their ends) are encoded and
-checked whole.
+checked whole. ``round_trip`` also checks every text whole: its ids against those the sentencepiece
+library gives for the text, and the decoding of its ids against that library's.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; null
 ids decode to an empty text; a null id column value stays null; repeated rows are
@@ -23,6 +24,7 @@ encoded alike; an empty table gives an empty result; further columns are not rea
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 import zlib
@@ -229,6 +231,34 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, with_ids: bool =
     return rows.mapInPandas(run, f"doc_id long, {ids}n_tokens long, ids_crc32 long, parity boolean")
 
 
+def round_trip(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_tokens, ids_crc32, parity (the words' and that of the whole text's ids),
+    decoded_sha256 of the text that the ids decode to, decoded_parity (the reference's decoding is equal)."""
+    model = share_model(docs.sparkSession, model_path)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = codec(model, threads)
+        for pdf in batches:
+            for a in range(0, len(pdf), 512):
+                part = pdf.iloc[a:a + 512]
+                texts = [t or "" for t in part.text]
+                made = own.encode(texts)
+                ids = [np.frombuffer(x, "<u4").tolist() for x, _ in made]
+                wanted = own.reference.encode(texts, num_threads=threads)
+                back, again = own.decode(ids), own.reference.decode(ids, num_threads=threads)
+                yield pd.DataFrame({
+                    "doc_id": part.doc_id.to_numpy(), "n_tokens": [len(x) for x in ids],
+                    "ids_crc32": [zlib.crc32(x) for x, _ in made],
+                    "parity": [ok and x == y for (_, ok), x, y in zip(made, ids, wanted)],
+                    "decoded_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back],
+                    "decoded_parity": [x == y for x, y in zip(back, again)]})
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_crc32 long, parity boolean, "
+                                 "decoded_sha256 string, decoded_parity boolean")
+
+
 def decode(encoded: DataFrame, model_path: str, threads: int = 2) -> DataFrame:
     """doc_id and text of rows (doc_id, ids)."""
     model = share_model(encoded.sparkSession, model_path)

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -7,6 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+import __spark_entry__ as entry
 from crawlmeta.llm import packing, sentencepiece_codec, token_store
 from crawlmeta.llm.byte_bpe import Coder
 from crawlmeta.llm.common import shared_folder
@@ -187,3 +189,19 @@ def test_sentencepiece_columns(spark):
     assert sorted(((r.doc_id, r.text) for r in back), key=key) == want
     assert all(r.parity for r in got.select("parity").collect())
     assert sentencepiece_codec.encode(odd.empty(spark), PIECES).collect() == []
+
+
+def test_sentencepiece_query_decodes_whole_texts(spark):
+    with open(PIECES, "rb") as f:
+        reference = sentencepiece.SentencePieceProcessor(model_proto=f.read())
+    name = next(q for q in entry.queries() if q.startswith("op1_"))
+    got = {r.doc_id: r for r in entry.queries()[name](spark, odd.SF).collect()}
+    assert set(got) == {d for d, _ in odd.texts()}
+    for doc, text in odd.texts():
+        ids = reference.encode(text)
+        r = got[doc]
+        assert (r.n_tokens, r.ids_crc32, r.parity, r.decoded_parity) == (len(ids), crc(ids), True, True)
+        assert r.decoded_sha256 == hashlib.sha256(reference.decode(ids).encode()).hexdigest()
+    rows = sentencepiece_codec.round_trip(odd.odd(spark), PIECES).collect()
+    assert len(rows) == len(odd.rows()) and all(r.parity and r.decoded_parity for r in rows)
+    assert sentencepiece_codec.round_trip(odd.empty(spark), PIECES).collect() == []
