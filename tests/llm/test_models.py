@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
@@ -164,6 +165,30 @@ def test_kneser_ney_equals_plain_dictionaries(spark, monkeypatch):
     assert n.tolist() == [8, 0] and h[0, 0] == pytest.approx(-sum(math.log(prob(x)) for x in grams) / 8, rel=1e-4)
 
 
+@pytest.mark.parametrize("least", [None, 1e-3])
+def test_kneser_ney_sums_to_one_with_rare_grams(spark, monkeypatch, least):
+    """Of 200,000 characters a rare word is below a share of 1e-5; production keeps it, and no mass is lost either way."""
+    if least is not None:
+        monkeypatch.setattr(kneser_ney, "LEAST_SHARE", least)
+    rows = [(i, "the cat sat on that mat " * 1500, "xx") for i in range(1, 9)] + [(9, "quiz theft", "xx"), (11, "quiz theft", "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    train = [t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert "quiz theft" in train and sum(map(len, train)) > 150_000
+    model = kneser_ney.fit(df, shared_folder(spark, "t"))
+    prob, counts = brute_kneser_ney(train)
+    if least is None:
+        some = sorted(counts)
+        g = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).reshape(-1, kneser_ney.ORDER)
+        assert np.exp(model.log_prob(g))[:, 0] == pytest.approx([prob(x) for x in some], rel=1e-4)
+    ends = sorted({g[-1] for g in counts})
+    for context in sorted({g[:-1] for g in counts}):
+        g = np.frombuffer("".join(context + e for e in ends).encode("utf-32-le"), np.uint32).reshape(-1, kneser_ney.ORDER)
+        unseen = 1 + len({x[-1] for x in counts}) - len(ends)  # the model's alphabet has one more, for all unseen characters
+        other = np.frombuffer((context + "\u4e00").encode("utf-32-le"), np.uint32).reshape(1, -1)
+        total = np.exp(model.log_prob(g))[:, 0].sum() + unseen * np.exp(model.log_prob(other))[0, 0]
+        assert total == pytest.approx(1, rel=1e-4), context
+
+
 def test_language_held_out(spark):
     docs = table(spark, SF, "documents")
     model = kneser_ney.fit(docs, shared_folder(spark, "t"))
