@@ -199,6 +199,18 @@ def test_language_held_out(spark):
     assert kneser_ney.identify(strange, model).first().rejected
 
 
+def test_rejection_is_calibrated_for_rare_languages(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "CALIBRATION_ROWS", 20)
+    rows = [(i, f"the quick brown fox and {'abcdefgh'[i % 8]}", "en") for i in range(600)]
+    rows += [(1000 + 10 * k + i, f"{chr(0x3b1 + k) * 4} {chr(0x3b1 + i)}", f"x{k}") for k in range(6) for i in range(8)]
+    rows.append((2001, "123", "zz"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = kneser_ney.fit(df, shared_folder(spark, "t"))
+    assert model.langs == ["en", *(f"x{k}" for k in range(6))] and np.isfinite(model.limit).all()
+    strange = spark.createDataFrame([(1, chr(0x3b1) * 3 + " zqxj vvkw qqzx jjxq")], "doc_id long, text string")
+    assert kneser_ney.identify(strange, model).first().rejected
+
+
 def test_language_takes_odd_rows(spark):
     docs = odd.odd(spark)
     model = kneser_ney.fit(docs, shared_folder(spark, "t"))
