@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlmeta.llm import (
     exact_dedup,
+    filter_audit,
     imatch,
     kneser_ney,
     line_winnow,
@@ -85,6 +86,10 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch": op8_imatch,
     "op9_line_winnow": op9_line_winnow,
     "op10_kneser_ney": op10_kneser_ney,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _SPACES = r"'[\x20\x09-\x0D]+', ' ', 'g'"
@@ -105,4 +111,44 @@ ORACLE: dict[str, str] = {
         g as (select t, min(doc_id) as keep_id, count(*) as group_size from d group by t)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
         from d join g using (t)""",
+    "op12_filter_audit": r"""
+        with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+        w as (select doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
+                     min(doc_id) over (partition by t) as first_id from d),
+        l as (select doc_id, max(coalesce(quality, 0)) as quality, max(coalesce(toxic, 0)) as toxic
+              from labels group by doc_id),
+        f as (select part, len(ws) < 50 as a, 100 * len(list_distinct(ws)) < 65 * len(ws) as b,
+                     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) as c,
+                     regexp_matches(t, '[#$%&*|]') as d, coalesce(doc_id > first_id, false) as e,
+                     coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic
+              from w left join l using (doc_id)),
+        cells as (select part, a, b, c, d, e, count(*) as n, count(*) filter (good) as n_good,
+                         count(*) filter (toxic) as n_toxic from f group by all),
+        letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+        orders as (select p.x || q.x || r.x || s.x || u.x as filter_order
+                   from letters p, letters q, letters r, letters s, letters u
+                   where len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5),
+        steps as (select filter_order, step, substr(filter_order, step, 1) as letter,
+                         substr(filter_order, 1, step - 1) as earlier
+                  from orders, (select unnest([1, 2, 3, 4, 5]) as step)),
+        failed as (select *, (case when a then 'A' else '' end || case when b then 'B' else '' end ||
+                              case when c then 'C' else '' end || case when d then 'D' else '' end ||
+                              case when e then 'E' else '' end) as fails from cells),
+        at_step as (select part, filter_order, step, letter, n, n_good, n_toxic, fails,
+                           contains(fails, letter) as here,
+                           earlier <> '' and translate(earlier, fails, '') <> earlier as gone
+                    from failed, steps),
+        sums as (select part, filter_order, cast(step as integer) as step, letter,
+                        coalesce(sum(n) filter (not gone and not here), 0) as kept,
+                        coalesce(sum(n) filter (not gone and here), 0) as removed,
+                        coalesce(sum(n) filter (gone and here), 0) as redundant,
+                        coalesce(sum(n) filter (fails = letter), 0) as unique_fails,
+                        coalesce(sum(n_good) filter (not gone and here), 0) as good_lost,
+                        coalesce(sum(n_toxic) filter (not gone and here), 0) as toxic_lost
+                 from at_step group by all)
+        select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+               cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+               cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+               cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+        from sums""",
 }
