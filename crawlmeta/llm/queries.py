@@ -12,6 +12,7 @@ from crawlmeta.llm import (
     exact_dedup,
     filter_audit,
     imatch,
+    importance,
     kneser_ney,
     line_winnow,
     minhash_forest,
@@ -20,8 +21,9 @@ from crawlmeta.llm import (
     sentencepiece_codec,
     token_store,
     toxicity,
+    warc_zip,
 )
-from crawlmeta.llm.common import held_out, shared_folder, table
+from crawlmeta.llm.common import held_out, shared_folder, table, written
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -86,10 +88,22 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op11_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "packages")
+    packages = warc_zip.write(table(spark, sf_dir, "pages"), folder)
+    records = written(warc_zip.read(packages, with_payload=False).drop("payload"), folder, "records")
+    return warc_zip.resolved(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return made.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -101,7 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch": op8_imatch,
     "op9_line_winnow": op9_line_winnow,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_warc_zip": op11_warc_zip,
     "op12_filter_audit": op12_filter_audit,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 _SPACES = r"'[\x20\x09-\x0D]+', ' ', 'g'"
@@ -111,6 +127,14 @@ ORACLE: dict[str, str] = {
         g as (select t, min(doc_id) as keep_id, count(*) as group_size from d group by t)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
         from d join g using (t)""",
+    "op11_warc_zip": """
+        with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+        g as (select page_id, octet_length(b) as n, sha1(b) as payload_digest,
+                     case when octet_length(b) >= 1000 then max(page_id) over (partition by b) end as largest from p)
+        select page_id, cast(n as bigint) as payload_bytes, payload_digest,
+               case when largest is null or page_id = largest then 'response' else 'revisit' end as record_type,
+               case when page_id <> largest then largest end as refers_to, cast(null as varchar) as error
+        from g""",
     "op12_filter_audit": r"""
         with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
         w as (select doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
