@@ -1,35 +1,36 @@
-"""Sitemap-index crawl: breadth-first, one DataFrame step per depth.
+"""Sitemap-index crawl: every URL that a seed reaches, with its least depth.
 
 Per seed URL the walk starts at depth 0; every fetched document is parsed;
 a URL set emits its resolved page URLs, an index enqueues its resolved
-children at depth + 1. A URL is processed once per seed (visited set), and
-depth <= ``max_depth`` (21 levels for the default 20). Breadth-first order
-means the first visit of a URL has its least depth, so level-by-level
-frontiers give the same visited set as a FIFO queue.
+children at depth + 1. A URL is processed once per seed, and depth <=
+``max_depth`` (21 levels for the default 20). The first visit of a
+breadth-first walk has the least depth, so any way to compute least depths
+gives the walk's visits.
 
 A fetcher turns a set of URLs into row sets: ``status (url, kind, error)``,
 ``index_edges (url, target)`` (resolved children of sitemap indexes) and
 ``page_edges (url, target)`` (resolved page URLs of URL sets, duplicates kept).
-Every URL is fetched and parsed once per crawl, not once per seed or level. A
-level only reads the index edges, a table of its own:
-
-  children = frontier JOIN index_edges -> ANTI JOIN visited -> distinct
-
-and after the last level two joins finish the job: visits = frontiers JOIN
-status, links = URL-set visits JOIN page_edges. The page edges are by far the
-largest; they are made from the parsed documents in that last join and never
-written or scanned per level.
-
-Scale notes: rows are hash-partitioned by url / (seed, url), so a seed with
-millions of children is spread over all tasks; the last joins with the seed
-rows are skewed for such a seed, and adaptive execution splits them. Each level
-knows the bytes of its frontier and visited set (observed as they are written):
-up to BROADCAST_BYTES the set is broadcast, so the edge table is streamed without
-a shuffle; above it both sides are sorted and merged, which can spill. Frontiers,
-parsed documents and index edges are Parquet tables in the cluster's checkpoint
-folder, so lineage stays one level deep and a lost executor recomputes at most
-one level. Distinct seed URLs are crawled once and seed rows join their results
-back (a seed listed twice emits its links twice).
+Every URL is fetched and parsed once per crawl, not once per seed or level.
+
+* When all documents are a table (``table_fetcher``), every link is known before
+  the walk: ``reach.least_depths`` doubles the links and needs six joins for
+  depth 20 instead of a job per level.
+* When links are learnt by fetching (``body_fetcher``), each level joins its
+  frontier with the index edges and keeps what ``visited.Visited`` has not seen:
+  a broadcast anti join while the visited set is small, later a Bloom filter
+  probe and an anti join of its hits with a bucketed table, so that a level
+  shuffles its candidates alone.
+
+Two joins finish the job: visits = least depths JOIN status, links = URL-set
+visits JOIN page_edges. The page edges are by far the largest; they are made from
+the parsed documents in that last join and never written or scanned per level.
+
+Scale notes: joins with a seed that has millions of children are skewed, and
+adaptive execution splits them. Sides are broadcast only by counted bytes
+(BROADCAST_BYTES), else both sides are sorted and merged, which can spill. Tables
+between rounds are Parquet in the cluster's checkpoint folder, so a lost executor
+recomputes at most one round. Distinct seed URLs are crawled once and seed rows
+join their results back (a seed listed twice emits its links twice).
 """
 
 from __future__ import annotations
@@ -38,11 +39,13 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlmeta.functions.resolve import with_resolved
+from crawlmeta.operators.reach import least_depths, sized
 from crawlmeta.operators.sitemap_docs import KIND_FAILED, KIND_INDEX, KIND_INVALID, KIND_URLSET, parse_sitemaps
+from crawlmeta.operators.visited import Visited
 from crawlmeta.session import work_folder
 
 MAX_SITEMAP_INDEX_DEPTH = 20
@@ -116,6 +119,7 @@ def table_fetcher(documents: DataFrame, url: str = "url", body: str = "body") ->
             cache["all"] = documents_to_fetched(documents.select(F.col(url).alias("url"), F.col(body).alias("body")))
         return cache["all"]
 
+    fetch.knows_all = True  # every link is known before the walk
     return fetch
 
 
@@ -139,47 +143,44 @@ def body_fetcher(fetch_bodies: Callable[[DataFrame], DataFrame]) -> Callable[[Da
     return fetch
 
 
-def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: int = MAX_SITEMAP_INDEX_DEPTH,
-          seed_id: str = "seed_id", seed_url: str = "seed_sitemap_url") -> CrawlResult:
-    if max_depth < 0:
-        raise ValueError("max_depth must be >= 0")
-    spark = seeds.sparkSession
-    folder = work_folder(spark, "crawl")
-
-    def level(df: DataFrame, depth: int) -> tuple[DataFrame, int, int]:
-        """The frontier as a table, its rows and its bytes."""
-        obs = Observation(f"frontier_{depth}")
-        size = F.coalesce(F.sum(F.octet_length("root") + F.octet_length("url") + 32), F.lit(0))
-        out = _table(df.observe(obs, F.count(F.lit(1)).alias("n"), size.alias("bytes")), f"{folder}/depth={depth}")
-        return out, obs.get["n"], obs.get["bytes"]
-
-    def visited() -> DataFrame:
-        """All levels so far as one scan: root, url, depth."""
-        return spark.read.schema("root string, url string, depth int").parquet(folder)
-
-    roots = seeds.select(F.col(seed_url).alias("root")).distinct()
-    frontier, n_frontier, n_bytes = level(roots.select("root", F.col("root").alias("url")), 0)
-    visited_bytes = 0
-    status_expr = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
-                   .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
+def _walked(roots: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: int, folder: str) -> tuple[DataFrame, int, Fetched | None]:
+    """Level by level, for fetchers that learn links only by fetching."""
+    seen = Visited(roots.sparkSession, folder, BROADCAST_BYTES)
+    frontier, n_frontier, n_bytes = seen.add(roots.select("root", F.col("root").alias("url")), 0)
     got: Fetched | None = None
     for depth in range(max_depth + 1):
         if n_frontier == 0:
             break
-        visited_bytes += n_bytes
         got = fetch(frontier.select("url").distinct())
         if depth == max_depth:
             break
         children = (_sized(frontier, n_bytes).join(got.index_edges, "url")
                     .select("root", F.col("target").alias("url")))
-        seen = _sized(visited().select("root", "url"), visited_bytes)
-        frontier, n_frontier, n_bytes = level(children.join(seen, ["root", "url"], "left_anti").distinct(), depth + 1)
+        frontier, n_frontier, n_bytes = seen.add(seen.unseen(children), depth + 1)
+    seen.close()
+    return seen.all(), seen.bytes, got
+
+
+def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: int = MAX_SITEMAP_INDEX_DEPTH,
+          seed_id: str = "seed_id", seed_url: str = "seed_sitemap_url") -> CrawlResult:
+    if max_depth < 0:
+        raise ValueError("max_depth must be >= 0")
+    spark = seeds.sparkSession
+    folder = work_folder(spark, "crawl")
+    roots = seeds.select(F.col(seed_url).alias("root")).distinct()
+    status_expr = (F.when(F.col("kind").isin(KIND_URLSET, KIND_INDEX), STATUS_PARSED)
+                   .when(F.col("kind") == KIND_INVALID, STATUS_INVALID).otherwise(STATUS_FAILED))
+    if getattr(fetch, "knows_all", False):
+        got: Fetched | None = fetch(roots)
+        visited, visited_bytes = least_depths(roots, got.index_edges, max_depth, folder, BROADCAST_BYTES)
+    else:
+        visited, visited_bytes, got = _walked(roots, fetch, max_depth, folder)
     schema_v = "root string, sitemap_url string, depth int, status string, error string"
     if got is None:
         all_visits = spark.createDataFrame([], schema_v)
         all_links = spark.createDataFrame([], "root string, sitemap_url string, page_url string")
     else:
-        f = _sized(visited(), visited_bytes)
+        f = _sized(visited, visited_bytes)
         v = f.join(got.status, "url", "left").select(
             "root", F.col("url").alias("sitemap_url"), "depth",
             F.coalesce("kind", F.lit(KIND_FAILED)).alias("kind"),
@@ -197,9 +198,7 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], Fetched], max_depth: in
 
 
 def _sized(df: DataFrame, size: int) -> DataFrame:
-    """Broadcast a side whose bytes are known to be few; otherwise sort and
-    merge, so that neither a stale estimate nor a hash table decides."""
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
+    return sized(df, size, BROADCAST_BYTES)
 
 
 def _table(df: DataFrame, path: str) -> DataFrame:
