@@ -27,7 +27,7 @@ from crawlmeta.sinks import robots_files
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sinks.robots_files import archive_file_name, robots_file_name
 from crawlmeta.plans import jobs
-from crawlmeta.sources import corpus, fetch, local_tree, manifest, tsv, warc
+from crawlmeta.sources import corpus, fetch, local_tree, manifest, tsv, warc, warc_index
 from crawlmeta.sources.files import open_output
 from crawlmeta.streaming import pipelines as streams
 
@@ -382,6 +382,23 @@ def q_warc_roundtrip(spark, sf_dir):
 QUERIES["warc_roundtrip"] = q_warc_roundtrip
 
 
+def q_warc_split_roundtrip(spark, sf_dir):
+    """Corpus A as two archives, indexed by ranges of a 64th each; robots captures read by range,
+    and once more those of one host ending, which skips the other members."""
+    rows = _capture_rows(spark, sf_dir).withColumn("archive_key", (F.col("page_id") % 2).cast("string"))
+    base = work_folder(spark, "warc-split")
+    files = warc_index.archive_files(_archived(spark, rows, f"{base}/in"))
+    step = max(1, sum(size for _, _, size in files) // 64)
+    index = warc_index.build_index(spark, files, f"{base}/index", range_bytes=step)
+    got = warc_index.read_indexed(index, range_bytes=step).withColumn("selected", F.lit("all"))
+    some = warc_index.read_indexed(index, where="target_url LIKE '%.ua/robots.txt'").withColumn("selected", F.lit("ua"))
+    return got.unionByName(some).select("selected", "target_url", "capture_date", "content_encoding",
+                                        robots.decode_body("body").alias("body"), "error")
+
+
+QUERIES["warc_split_roundtrip"] = q_warc_split_roundtrip
+
+
 # --- streaming = batch -------------------------------------------------------------
 
 

@@ -24,6 +24,30 @@ def open_input(uri: str):
     return filesystem.open_input_stream(path)
 
 
+def open_random(uri: str):
+    """A file that can seek."""
+    filesystem, path = _fs_and_path(uri)
+    if filesystem is None:
+        return open(path, "rb")
+    return filesystem.open_input_file(path)
+
+
+def file_sizes(uris: list[str]) -> dict[str, int]:
+    """Bytes of each file (0 for one that is not there), asked for in one call per file system."""
+    out = {u: 0 for u in uris}
+    remote: dict = {}
+    for u in out:
+        filesystem, path = _fs_and_path(u)
+        if filesystem is None:
+            out[u] = os.path.getsize(path) if os.path.isfile(path) else 0
+        else:
+            remote.setdefault(u[:len(u) - len(path)], (filesystem, []))[1].append((u, path))
+    for filesystem, found in remote.values():
+        for (u, _), info in zip(found, filesystem.get_file_info([p for _, p in found])):
+            out[u] = info.size or 0
+    return out
+
+
 def open_output(uri: str):
     filesystem, path = _fs_and_path(uri)
     if filesystem is None:

@@ -2,10 +2,10 @@
 
 ``spark.read.format("warc").option("path", p).load()`` gives one row per
 kept record: ``archive_path, record_type, capture_date, target_url,
-content_encoding, body, error``. One input partition per archive file (a
-``.warc.gz`` is a series of gzip members and cannot be split without an
-offset index). Records are streamed member by member, never the whole
-archive in memory.
+content_encoding, body, error``. One input partition per archive file;
+``read_warc`` reads larger archives through an index of their gzip members
+(``warc_index``) instead, by as many tasks as they have ranges. Records are
+streamed member by member, never the whole archive in memory.
 
 Pushed-down work (Catalyst cannot push filters through Python): by default
 only ``response`` records whose target path ends with ``/robots.txt`` are
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from crawlmeta.sources.files import open_input, open_output, list_files
+from crawlmeta.session import work_folder
+from crawlmeta.sources.files import file_sizes, list_files, open_input, open_output
 
 WARC_SCHEMA = T.StructType([
     T.StructField("archive_path", T.StringType()),
@@ -43,6 +44,8 @@ WARC_SCHEMA = T.StructType([
 
 # Bytes that are read at once when a record is skipped.
 SKIP_BYTES = 1 << 20
+# Archives of more bytes are read by several tasks.
+SPLIT_BYTES = 256 << 20
 # Rows of one Arrow batch that a reader yields.
 BATCH_ROWS = 256
 
@@ -155,7 +158,7 @@ def http_body(headers: dict[str, str], body: bytes) -> bytes:
     return body[:int(length)] if length.isdigit() else body
 
 
-def _skip(stream: io.BufferedReader, n: int) -> None:
+def skip_content(stream: io.BufferedReader, n: int) -> None:
     while n > 0:
         got = len(stream.read(min(n, SKIP_BYTES)))
         if not got:
@@ -163,6 +166,46 @@ def _skip(stream: io.BufferedReader, n: int) -> None:
         n -= got
 
 
+def record_headers(stream: io.BufferedReader) -> Iterator[tuple[dict[str, str], int]]:
+    """Headers and content length of each record of a stream. The content lies
+    ahead in the stream; the caller reads or skips it before the next step."""
+    while True:
+        version, h = _read_headers(stream)
+        if version is None:
+            return
+        if not version.startswith("WARC/"):
+            raise ValueError(f"Not a WARC record header: {version[:40]!r}")
+        yield h, int(h.get("content-length", "0"))
+
+
+def is_wanted(h: dict[str, str], record_types: tuple[str, ...], robots_only: bool) -> bool:
+    return h.get("warc-type", "") in record_types and (not robots_only or maybe_robots_target(h.get("warc-target-uri")))
+
+
+def record_row(h: dict[str, str], content: bytes, archive: str) -> tuple:
+    """The row of one record; a body that cannot be decoded is an error in it."""
+    wtype, target, date = h.get("warc-type", ""), h.get("warc-target-uri"), instant_text(h.get("warc-date"))
+    if wtype != "response":
+        return archive, wtype, date, target, None, content, None
+    http_headers, body = _http_split(content)
+    enc = http_headers.get("content-encoding", "")
+    try:
+        return archive, wtype, date, target, enc, decode_content(http_body(http_headers, body), enc), None
+    except (OSError, EOFError, zlib.error) as ex:
+        return archive, wtype, date, target, enc, None, f"Body decode failed: {ex}"
+
+
+def read_content(stream: io.BufferedReader, n: int) -> bytes:
+    content = stream.read(n)
+    if len(content) < n:
+        raise ValueError("Truncated WARC record")
+    return content
+
+
+def error_row(archive: str, ex: Exception) -> tuple:
+    return archive, None, None, None, None, None, f"{type(ex).__name__}: {ex}"
+
+
 def read_records(path: str, record_types: tuple[str, ...] = ("response",), robots_only: bool = True,
                  archive: str | None = None) -> Iterator[tuple]:
     """Rows of one archive file; ``archive`` is its name in the rows (the
@@ -172,33 +215,13 @@ def read_records(path: str, record_types: tuple[str, ...] = ("response",), robot
         raw = open_input(path)
         stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if path.endswith(".gz") else io.BufferedReader(raw)
         with stream:
-            while True:
-                version, h = _read_headers(stream)
-                if version is None:
-                    return
-                if not version.startswith("WARC/"):
-                    raise ValueError(f"Not a WARC record header: {version[:40]!r}")
-                n = int(h.get("content-length", "0"))
-                wtype = h.get("warc-type", "")
-                target = h.get("warc-target-uri")
-                if wtype not in record_types or robots_only and not maybe_robots_target(target):
-                    _skip(stream, n)
-                    continue
-                payload = stream.read(n)
-                if len(payload) < n:
-                    raise ValueError("Truncated WARC record")
-                date = instant_text(h.get("warc-date"))
-                if wtype == "response":
-                    http_headers, body = _http_split(payload)
-                    enc = http_headers.get("content-encoding", "")
-                    try:
-                        yield (archive, wtype, date, target, enc, decode_content(http_body(http_headers, body), enc), None)
-                    except (OSError, EOFError, zlib.error) as ex:
-                        yield (archive, wtype, date, target, enc, None, f"Body decode failed: {ex}")
+            for h, n in record_headers(stream):
+                if is_wanted(h, record_types, robots_only):
+                    yield record_row(h, read_content(stream, n), archive)
                 else:
-                    yield (archive, wtype, date, target, None, payload, None)
+                    skip_content(stream, n)
     except (OSError, EOFError, ValueError, zlib.error) as ex:
-        yield (archive, None, None, None, None, None, f"{type(ex).__name__}: {ex}")
+        yield error_row(archive, ex)
 
 
 def staged_paths(folder: str) -> list[tuple[str, str]]:
@@ -217,6 +240,9 @@ class _WarcReader(DataSourceReader):
         else:
             suffixes = tuple(options.get("suffixes", ".warc.gz,.warc").split(","))
             self.files = [(p, p) for p in list_files(options["path"], suffixes=suffixes)]
+        if "most_bytes" in {k.lower() for k in options}:
+            size = file_sizes([f for f, _ in self.files])
+            self.files = [(f, a) for f, a in self.files if size[f] <= int(options["most_bytes"])]
         self.types = tuple(t.strip() for t in options.get("recordTypes", "response").split(","))
         self.robots_only = options.get("robotsOnly", "true").lower() == "true"
 
@@ -256,15 +282,25 @@ def register(spark: SparkSession) -> None:
 
 
 def read_warc(spark: SparkSession, path: str | None = None, robots_only: bool = True, record_types: str = "response",
-              path_table: str | None = None) -> DataFrame:
+              path_table: str | None = None, split_bytes: int | None = SPLIT_BYTES) -> DataFrame:
     """Records of the archives under ``path``, or of the files that the lines
     (file, TAB, archive name) of ``path_table`` list; with ``robots_only``
     only robots.txt targets (exact check in the JVM after the reader's
-    prefilter; archive-level error rows are kept)."""
+    prefilter; archive-level error rows are kept). Archives of more than
+    ``split_bytes`` are indexed and read by byte ranges (``warc_index``), the
+    others by one task each."""
     from crawlmeta.functions.url import is_robots_target
+    from crawlmeta.sources import warc_index
     register(spark)
+    large = warc_index.archive_files(path, path_table, split_bytes) if split_bytes else []
     r = spark.read.format("warc").option("robotsOnly", str(robots_only).lower()).option("recordTypes", record_types)
+    if large:
+        r = r.option("most_bytes", split_bytes)
     df = (r.option("pathTable", path_table) if path_table else r.option("path", path)).load()
+    if large:
+        types = tuple(t.strip() for t in record_types.split(","))
+        index = warc_index.build_index(spark, large, work_folder(spark, "warc-index"))
+        df = df.unionByName(warc_index.read_indexed(index, types, robots_only))
     if robots_only:
         df = df.filter(F.col("target_url").isNull() | is_robots_target("target_url"))
     return df

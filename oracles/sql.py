@@ -412,6 +412,13 @@ select c.robots_url as target_url,
   cast((select count(*) from sm where sm.page_id = c.page_id) as bigint) as sitemap_links
 from cap c left join validp v using (page_id)"""
 
+ORACLE["warc_split_roundtrip"] = WITH_A + """,
+r as (select robots_url as target_url,
+  strftime(make_timestamp((1722470400 + page_id * 37) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as capture_date,
+  'gzip' as content_encoding, body, cast(null as varchar) as error from cap)
+select 'all' as selected, * from r
+union all select 'ua' as selected, * from r where target_url like '%.ua/robots.txt'"""
+
 ORACLE["stream_equals_batch"] = WITH_A + "," + DIM + "," + classified_cte() + f""",
 cl2 as (select cls.*, '/data/robots/' || robots_host || '/https-' || cast(page_id as varchar) || '.txt' as fpath from cls)
 select {tsv_sql('fpath', 'robots_host', "'https'", 'sitemap_url', 'country_key', 'country_name', 'matched_suffix', 'language_region')} as value,
