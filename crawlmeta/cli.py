@@ -18,6 +18,7 @@ MODES = ["robots", "sitemaps", "country-sitemaps", "local-sitemaps", "filter-sit
          "download-sitemaps", "publish-urls"]
 ARCHIVE_MODES = {"robots", "sitemaps", "country-sitemaps"}
 DOWNLOAD_MODES = ARCHIVE_MODES | {"download-sitemaps"}
+SNAPSHOT_MODES = {"robots", "sitemaps", "filter-sitemaps"}
 COUNTRY_MODES = {"country-sitemaps", "local-country-sitemaps"}
 SUFFIX_MODES = COUNTRY_MODES | {"filter-sitemaps"}
 
@@ -62,6 +63,8 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--suffixes", required=True, help="country suffix TSV (country_key, country_name, suffix)")
         if mode in COUNTRY_MODES:
             s.add_argument("--country", required=True, help="country key, name or suffix")
+        if mode in SNAPSHOT_MODES:
+            s.add_argument("--snapshots", action="store_true", help="write a snapshot table, replaced at once")
         if mode == "robots":
             s.add_argument("--export-files", help="also write one file per robots capture under this folder")
         if mode in DOWNLOAD_MODES:
@@ -102,15 +105,15 @@ def main(argv: list[str] | None = None) -> int:
         raise SystemExit("--max-files / --skip-files apply to manifest inputs")
     dim = geo.load_suffixes(spark, args.suffixes) if args.mode in SUFFIX_MODES else None
     if args.mode == "robots":
-        res = jobs.robots_job(spark, src, args.output, args.export_files)
+        res = jobs.robots_job(spark, src, args.output, args.export_files, args.snapshots)
     elif args.mode == "sitemaps":
-        res = jobs.sitemaps_job(spark, src, args.output)
+        res = jobs.sitemaps_job(spark, src, args.output, args.snapshots)
     elif args.mode == "country-sitemaps":
         res = jobs.country_sitemaps_job(spark, src, args.output, args.country, dim)
     elif args.mode == "local-sitemaps":
         res = jobs.local_sitemaps_job(spark, src, args.output)
     elif args.mode == "filter-sitemaps":
-        res = jobs.filter_sitemaps_job(spark, src, args.output, dim)
+        res = jobs.filter_sitemaps_job(spark, src, args.output, dim, snapshots=args.snapshots)
     elif args.mode == "local-country-sitemaps":
         res = jobs.local_country_sitemaps_job(spark, src, args.output, args.country, dim)
     elif args.mode == "download-sitemaps":

@@ -17,6 +17,9 @@ and that table's path.
   local_country_sitemaps  *.sitemaps.tsv -> one-country classified rows
   download_sitemaps       *.sitemaps.tsv seeds -> crawl -> *.sitemap-links.tsv
   publish_urls            *.sitemap-links.tsv -> {"url": ...} records
+
+With ``snapshots`` the robots, sitemaps and filter jobs write snapshot tables
+(``sinks.snapshots``): a reader sees all rows of a run or none of them.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from crawlmeta.operators import geo, robots
 from crawlmeta.operators import metrics as metrics_op
 from crawlmeta.session import work_folder
 from crawlmeta.sinks import kafka, robots_files
+from crawlmeta.sinks import snapshots as snapshot_tables
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sources import fetch as fetch_src
 from crawlmeta.sources import local_tree, manifest, tsv, warc
@@ -167,14 +171,16 @@ def _per_archive(captures: DataFrame) -> DataFrame:
     return captures.groupBy("archive_path").agg(F.count(F.lit(1)).alias("rows")).select("archive_path")
 
 
-def robots_job(spark: SparkSession, archives: str | Archives, out_table: str, export_root: str | None = None) -> JobResult:
+def robots_job(spark: SparkSession, archives: str | Archives, out_table: str, export_root: str | None = None,
+               snapshots: bool = False) -> JobResult:
     found = _captures(spark, archives, keep_text=True)
     caps = _ok(found)
     table = robots_files.with_file_name(caps.where(F.col("robots.valid"))).select(
         "file_name", "archive_path", "capture_date", "target_url", "text")
-    robots_files.write_by_archive(table, out_table, _per_archive(found))
+    robots_files.write_by_archive(table, out_table, _per_archive(found), snapshots=snapshots)
     if export_root:
-        robots_files.export_files(spark.read.parquet(out_table), export_root)
+        saved = snapshot_tables.read(spark, out_table) if snapshots else spark.read.parquet(out_table)
+        robots_files.export_files(saved, export_root)
     per_unit = metrics_op.archive_results(caps)
     counts = metrics_op.totals(per_unit, "parsed_files", "rejected_files")
     return _finish(found, out_table, {"saved_files": counts["parsed_files"], "rejected_files": counts["rejected_files"]}, per_unit)
@@ -187,12 +193,12 @@ def sitemap_rows_from_captures(caps: DataFrame) -> DataFrame:
     return s
 
 
-def sitemaps_job(spark: SparkSession, archives: str | Archives, out_path: str) -> JobResult:
+def sitemaps_job(spark: SparkSession, archives: str | Archives, out_path: str, snapshots: bool = False) -> JobResult:
     found = _captures(spark, archives)
     caps = _ok(found)
     per_unit = metrics_op.archive_results(caps)
     rows = sitemap_rows_from_captures(caps).select("archive_path", tsv_row(*tsv.WARC_SITEMAP_COLUMNS).alias("value"))
-    robots_files.write_by_archive(rows, out_path, _per_archive(found), "text")
+    robots_files.write_by_archive(rows, out_path, _per_archive(found), "text", snapshots)
     return _finish(found, out_path, metrics_op.totals(per_unit, "parsed_files", "rejected_files", "sitemap_links"), per_unit)
 
 
@@ -237,13 +243,13 @@ def _filter_input(spark: SparkSession, in_root: str, suffix: str = tsv.SITEMAPS_
 
 
 def filter_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, dim: DataFrame,
-                        suffix: str = tsv.SITEMAPS_SUFFIX) -> JobResult:
+                        suffix: str = tsv.SITEMAPS_SUFFIX, snapshots: bool = False) -> JobResult:
     rows, _ = _filter_input(spark, in_root, suffix)
     counts = tsv.parse_local_sitemap_rows(tsv.read_lines(spark, in_root, suffix)).agg(
         F.count_if(F.col("status") == "ok").alias("read_rows"),
         F.count_if(F.col("status") == "malformed").alias("malformed_rows")).first().asDict()
     cls = geo.classify(rows, dim, "robots_host", "sitemap_url")
-    tsv_sink.write_grouped(cls, tsv.CLASSIFIED_COLUMNS, out_path)
+    tsv_sink.write_grouped(cls, tsv.CLASSIFIED_COLUMNS, out_path, snapshots)
     kept = tsv_sink.read_grouped(spark, out_path).where(F.col("out_group") == tsv_sink.COUNTRY_GROUP).count()
     return JobResult({**counts, "kept_rows": kept})
 

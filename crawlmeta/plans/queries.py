@@ -23,7 +23,7 @@ from crawlmeta.operators import geo, robots
 from crawlmeta.operators.metrics import archive_results
 from crawlmeta.operators.sitemap_docs import parse_sitemaps
 from crawlmeta.session import checkpoint_dir, ship_package, work_folder
-from crawlmeta.sinks import robots_files
+from crawlmeta.sinks import robots_files, snapshots
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sinks.robots_files import archive_file_name, robots_file_name
 from crawlmeta.plans import jobs
@@ -567,6 +567,33 @@ def q_filter_job_rerun(spark, sf_dir):
     return tsv_sink.read_grouped(spark, f"{base}/out")
 
 
+def q_snapshot_jobs(spark, sf_dir):
+    """Link and group tables as snapshots: what a reader of the first run still sees after the second
+    one (``before``), and what the newest version holds (``after``)."""
+    base, rows = work_folder(spark, "snapshot-jobs"), _capture_rows(spark, sf_dir)
+    jobs.sitemaps_job(spark, _archived(spark, rows, f"{base}/in"), f"{base}/out", snapshots=True)
+    before = snapshots.read(spark, f"{base}/out")
+    changed = rows.withColumn("body", F.when(F.col("key") % 2 == 1, "<html></html>").otherwise(F.col("body")))
+    jobs.sitemaps_job(spark, _archived(spark, changed, f"{base}/in"), f"{base}/out", snapshots=True)
+    jobs.filter_sitemaps_job(spark, _local_lines_table(spark, sf_dir, base), f"{base}/groups", geo.sample_dimension(spark), snapshots=True)
+    f = F.split("value", "\t")
+
+    def links(df, state):
+        return df.select(F.lit(state).alias("state"), f[2].alias("a"), f[3].alias("b"))
+
+    groups = tsv_sink.read_grouped(spark, f"{base}/groups").select(F.lit("group").alias("state"), F.col("out_group").alias("a"), F.col("out_key").alias("b"))
+    return links(before, "before").unionByName(links(snapshots.read(spark, f"{base}/out"), "after")).unionByName(groups)
+
+
+def _local_lines_table(spark, sf_dir, base: str) -> str:
+    """Local link lines as a snapshot table of two commits, by part of the pages."""
+    table = snapshots.SnapshotTable(spark, f"{base}/lines", ["part"], "text")
+    lines = local_sitemap_lines(spark, sf_dir).select("value", (F.col("page_id") % 4).cast("string").alias("part"))
+    table.replace(lines)
+    table.replace(lines.where("part = '1'"), lines.select("part").where("part IN ('1', '2')"))
+    return f"{base}/lines"
+
+
 def q_manifest_sitemaps_job(spark, sf_dir):
     """A manifest of ``file:`` archives -> staged -> link rows that carry the manifest's paths."""
     base = work_folder(spark, "manifest-job")
@@ -624,6 +651,7 @@ QUERIES.update({
     "resolve_long": q_resolve_long,
     "robots_job_rerun": q_robots_job_rerun,
     "sitemaps_job_rerun": q_sitemaps_job_rerun,
+    "snapshot_jobs": q_snapshot_jobs,
     "filter_job_rerun": q_filter_job_rerun,
     "manifest_sitemaps_job": q_manifest_sitemaps_job,
     "job_failures": q_job_failures,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlmeta.functions.text import safe_path_part, sha256_hex16
 from crawlmeta.functions.url import try_parse_url
+from crawlmeta.sinks.snapshots import SnapshotTable
 from crawlmeta.sources.files import open_output
 
 
@@ -29,7 +30,7 @@ def with_file_name(captures: DataFrame) -> DataFrame:
     return captures.withColumn("file_name", robots_file_name("target_url", "capture_date", "archive_path"))
 
 
-def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "parquet") -> None:
+def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "parquet", snapshots: bool = False) -> None:
     """Write rows under ``archive_file=<name>/``: a second run replaces the
     archives it has processed (``done``: archive_path, one row each) and no
     others; archives that have no rows now lose their old ones. Rows are
@@ -39,6 +40,10 @@ def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "par
     named = df.withColumn("archive_file", archive_file_name("archive_path"))
     if form == "text":
         named = named.select("archive_file", "value")
+    if snapshots:
+        SnapshotTable(spark, path, ["archive_file"], form).replace(
+            named, done.select(archive_file_name("archive_path").alias("archive_file")))
+        return
     (named.hint("rebalance", "archive_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("archive_file").format(form).save(path))
     old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))

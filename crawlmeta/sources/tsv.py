@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlmeta.functions.text import tsv_fields
+from crawlmeta.sinks import snapshots
 
 # File suffixes of the three TSV kinds.
 SITEMAPS_SUFFIX = ".sitemaps.tsv"
@@ -25,7 +26,10 @@ LINK_COLUMNS = ["seed_sitemap_url", "sitemap_url", "page_url"]
 
 def read_lines(spark: SparkSession, root: str, suffix: str = SITEMAPS_SUFFIX) -> DataFrame:
     """All lines of files under ``root`` (recursive) whose name ends with
-    ``suffix``; ``source_file`` names the file."""
+    ``suffix``; ``source_file`` names the file. Of a snapshot table, the
+    lines of its newest version."""
+    if snapshots.is_table(spark, root):
+        return snapshots.read(spark, root).select("value", F.lit(root).alias("source_file"))
     return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
             .text(root).select("value", F.col("_metadata.file_path").alias("source_file")))
 

@@ -478,6 +478,13 @@ ORACLE["sitemaps_job_rerun"] = WITH_A + f"""
 select {DATE} as capture_date, robots_url, sitemap_url from links
 where page_id in (select page_id from validp) and (page_id // 10) % 2 = 0"""
 
+ORACLE["snapshot_jobs"] = WITH_CLS + """
+select 'before' as state, robots_url as a, sitemap_url as b from links where page_id in (select page_id from validp)
+union all
+select 'after', robots_url, sitemap_url from links where page_id in (select page_id from validp) and (page_id // 10) % 2 = 0
+union all select 'group', 'country', country_key from cls where page_id % 4 <> 2
+union all select 'group', 'language-region', language_region from cls where page_id % 4 <> 2"""
+
 ORACLE["manifest_sitemaps_job"] = WITH_A + f"""
 select cast(page_id // 10 as varchar) as archive_key, {DATE} as capture_date, robots_url, sitemap_url from links
 where page_id in (select page_id from validp)"""
