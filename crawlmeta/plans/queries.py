@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from crawlmeta.plans import jobs
 from crawlmeta.sources import corpus, fetch, local_tree, manifest, tsv, warc, warc_index
 from crawlmeta.sources.files import open_output
 from crawlmeta.streaming import pipelines as streams
+from crawlmeta.streaming.ledger import Ledger, file_target
 
 # Crawler names checked against robots groups.
 AGENTS = ["Googlebot", "Bingbot", "a-crawler/1.0", "B", "CCBot/2.0"]
@@ -674,11 +676,11 @@ def q_local_country_job(spark, sf_dir):
     return spark.read.text(f"{base}/out")
 
 
-def link_lines(spark, sf_dir) -> DataFrame:
-    """Link TSV lines of the pages, every fifth without its page URL."""
+def link_lines(spark, sf_dir, *more: str) -> DataFrame:
+    """Link TSV lines of the pages, every fifth without its page URL, with further columns of the pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     url = F.when(F.col("page_id") % 5 == 4, F.lit("")).otherwise(F.col("url"))
-    return pages.select(tsv_row(F.lit("https://s.example.ua/seed.xml"), F.lit("https://s.example.ua/map.xml"), url).alias("value"))
+    return pages.select(tsv_row(F.lit("https://s.example.ua/seed.xml"), F.lit("https://s.example.ua/map.xml"), url).alias("value"), *more)
 
 
 def q_publish_stream(spark, sf_dir):
@@ -689,6 +691,58 @@ def q_publish_stream(spark, sf_dir):
     return spark.read.text(f"{base}/out")
 
 
+def q_manifest_stream(spark, sf_dir):
+    """Archives named by a manifest that grows between two runs of the stream -> grouped links."""
+    base = work_folder(spark, "manifest-stream")
+    names = (warc.write_warc_files(_capture_rows(spark, sf_dir), f"{base}/robotstxt").select("archive_path").distinct()
+             .orderBy("archive_path").toPandas().archive_path.tolist())  # one name per archive
+    for n in (len(names) // 2, len(names)):
+        with open_output(f"{base}/paths") as f:
+            f.write("".join(f"{name}\n" for name in ["# archives", *names[:n]]).encode("utf-8"))
+        streams.archive_links_stream(spark, f"{base}/paths", f"{base}/out", f"{base}/ckpt", geo.sample_dimension(spark)).awaitTermination()
+    f = F.split("value", "\t")
+    return (spark.read.schema("value string, out_group string, out_key string").text(f"{base}/out")
+            .select("out_group", "out_key", f[1].alias("capture_date"), f[2].alias("robots_url"), f[3].alias("sitemap_url")))
+
+
+def q_publish_once_stream(spark, sf_dir):
+    """Link files of even pages, then of all pages after a restart: each URL is published once."""
+    base = work_folder(spark, "publish-once")
+    rows = link_lines(spark, sf_dir, "page_id")
+    for some in ("page_id % 2 = 0", "true"):
+        rows.where(some).select("value").write.mode("append").text(f"{base}/in")
+        streams.publish_urls_stream(spark, f"{base}/in", f"{base}/ckpt", f"{base}/out", suffix=".txt", once_within="30 days").awaitTermination()
+    return spark.read.text(f"{base}/out")
+
+
+def q_publish_ledger(spark, sf_dir):
+    """A publishing stream whose target breaks in every task after its first chunk, run again until it is
+    through: what the target got, and the ledger's counters."""
+    base = work_folder(spark, "publish-ledger")
+    link_lines(spark, sf_dir).write.text(f"{base}/in")
+    book = Ledger(spark, f"{base}/ledger", chunk=100)
+    whole = file_target(f"{base}/sent")
+
+    def breaking():
+        send, left = whole(), [1]
+
+        def limited(values):
+            if not left:
+                raise ConnectionError("target lost")
+            left.pop()
+            send(values)
+
+        return limited
+
+    for target in (breaking, whole):
+        try:
+            streams.publish_with_ledger_stream(spark, f"{base}/in", f"{base}/ckpt", book, target, suffix=".txt").awaitTermination()
+        except StreamingQueryException:
+            pass
+    counters = spark.createDataFrame([(f"{k}={v}",) for k, v in book.totals().items()], "value string")
+    return spark.read.text(f"{base}/sent").unionByName(counters)
+
+
 def q_job_counters(spark, sf_dir):
     """Counters that the filter and publish jobs report, one row each."""
     base = work_folder(spark, "counters")
@@ -705,5 +759,8 @@ QUERIES.update({
     "country_sitemaps_job": q_country_sitemaps_job,
     "local_country_job": q_local_country_job,
     "publish_stream": q_publish_stream,
+    "manifest_stream": q_manifest_stream,
+    "publish_once_stream": q_publish_once_stream,
+    "publish_ledger": q_publish_ledger,
     "job_counters": q_job_counters,
 })

@@ -521,3 +521,15 @@ union all select 'filter', 'kept_rows', count(*) from cls where page_id % 6 = 0
 union all select 'publish', 'rows', count(*) from pages
 union all select 'publish', 'malformed_rows', count(*) from pages where page_id % 5 = 4
 union all select 'publish', 'sent_urls', count(*) from pages where page_id % 5 <> 4"""
+
+ORACLE["manifest_stream"] = WITH_CLS + f"""
+select 'country' as out_group, country_key as out_key, {DATE} as capture_date, cap.robots_url, cls.sitemap_url from cls join cap using (page_id)
+union all
+select 'language-region', language_region, {DATE}, cap.robots_url, cls.sitemap_url from cls join cap using (page_id)"""
+
+ORACLE["publish_once_stream"] = "select distinct value from (" + ORACLE["publish_stream"] + ")"
+
+ORACLE["publish_ledger"] = ORACLE["publish_stream"] + """
+union all select 'rows=' || cast(count(*) as varchar) from pages
+union all select 'malformed_rows=' || cast(count(*) filter (page_id % 5 = 4) as varchar) from pages
+union all select 'sent=' || cast(count(*) filter (page_id % 5 <> 4) as varchar) from pages"""
