@@ -3,9 +3,9 @@
 ``readStream.format("warc_manifest").option("manifest", file)`` gives the records
 of every archive that the manifest names, each archive once, as lines are
 appended to it. The offset is a position in the manifest: the number of lines
-that have been taken, with a running CRC of them. A micro-batch has one input
-partition per archive between two positions; a restarted query goes on at its
-checkpointed position. The manifest may only grow: when the lines before the
+that have been taken, with a running CRC of them. A micro-batch reads the
+archives between two positions in input partitions of whole archives; a restarted query goes on at its
+checkpointed position. Small archives share a partition. The manifest may only grow: when the lines before the
 position are no longer those that were taken, the query stops with an error
 instead of skipping or repeating archives.
 
@@ -27,9 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from crawlmeta.session import ship_package
-from crawlmeta.sources.files import open_input
+from crawlmeta.sources.files import file_sizes, open_input
 from crawlmeta.sources.warc import BATCH_ROWS, WARC_SCHEMA, read_records
 
+#: Bytes of archives that one task reads.
+PARTITION_BYTES = 64 << 20
 # Characters that are trimmed off a line.
 _TRIMMED = "".join(map(chr, range(33)))
 _ABSOLUTE = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:|/")
@@ -58,6 +60,7 @@ class _ManifestReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.manifest = options["manifest"]
         self.root = options.get("archiveRoot", "").rstrip("/")
+        self.tasks = int(options.get("tasks", "64"))
         self.types = tuple(t.strip() for t in options.get("recordTypes", "response").split(","))
         self.robots_only = options.get("robotsOnly", "true").lower() == "true"
 
@@ -74,14 +77,26 @@ class _ManifestReader(DataSourceStreamReader):
             if position(lines, at["lines"]) != at:
                 raise ValueError(f"{self.manifest}: the lines before position {at['lines']} have changed")
         names = [line.strip(_TRIMMED) for line in lines[start["lines"]:end["lines"]]]
-        return [InputPartition((n if _ABSOLUTE.match(n) else f"{self.root}/{n}", n)) for n in names if is_archive_line(n)]
+        return [InputPartition(some) for some in self._packed(
+            [(n if _ABSOLUTE.match(n) else f"{self.root}/{n}", n) for n in names if is_archive_line(n)])]
+
+    def _packed(self, archives: list[tuple[str, str]]) -> list[list[tuple[str, str]]]:
+        """Runs of archives of at most PARTITION_BYTES (a larger one alone), in ``tasks`` partitions or more."""
+        size = file_sizes([f for f, _ in archives])
+        most, out, held = -(-len(archives) // self.tasks), [], 0
+        for f, name in archives:
+            if not out or len(out[-1]) >= most or held + size[f] > PARTITION_BYTES:
+                out.append([])
+                held = 0
+            out[-1].append((f, name))
+            held += size[f]
+        return out
 
     def read(self, partition):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
         schema = to_arrow_schema(WARC_SCHEMA)
-        path, archive = partition.value
-        rows = read_records(path, self.types, self.robots_only, archive)
+        rows = itertools.chain.from_iterable(read_records(f, self.types, self.robots_only, name) for f, name in partition.value)
         while batch := list(itertools.islice(rows, BATCH_ROWS)):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
 

@@ -55,12 +55,20 @@ def test_a_manifest_that_changes_behind_the_position_stops_the_query(tmp_path):
     path.write_text("a/robotstxt/1.warc.gz\n")
     reader = manifest_stream._ManifestReader({"manifest": str(path), "archiveRoot": "/r/"})
     end = reader.latestOffset()
-    assert [p.value for p in reader.partitions(reader.initialOffset(), end)] == [("/r/a/robotstxt/1.warc.gz", "a/robotstxt/1.warc.gz")]
+    assert [p.value for p in reader.partitions(reader.initialOffset(), end)] == [[("/r/a/robotstxt/1.warc.gz", "a/robotstxt/1.warc.gz")]]
     path.write_text("b/robotstxt/1.warc.gz\nc/robotstxt/1.warc.gz\n")
     with pytest.raises(ValueError, match="have changed"):
         reader.partitions(end, reader.latestOffset())
 
 
+def test_small_archives_share_a_partition(tmp_path):
+    names = [f"{tmp_path}/robotstxt/{i}.warc.gz" for i in range(300)]
+    reader = manifest_stream._ManifestReader({"manifest": "m", "tasks": "10"})
+    packed = reader._packed([(n, n) for n in names])
+    assert [f for part in packed for f, _ in part] == names and len(packed) == 10
+    assert reader._packed([]) == [] and len(reader._packed([(n, n) for n in names[:4]])) == 4
+
+
 def links(folder, name, urls):
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/{name}.sitemap-links.tsv", "w") as f:
