@@ -311,20 +311,52 @@ def agent_group_rows(df: DataFrame, keys: list[str], agents: list[str],
         *keys, "agent", F.col("_g.group_no").cast("long").alias("group_no"))
 
 
+#: Tokens of so many characters or more are found by their rarest gram of that length.
+GRAM = 3
+
+
+def _pieces(text: Column, size: Column | int) -> Column:
+    """Distinct substrings of one length, none for a shorter text."""
+    size = F.lit(size) if isinstance(size, int) else size
+    last = F.length(text) - size + 1
+    return F.when(last >= 1, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(text, i, size)))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def contained_tokens(tokens: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs (token, name) of distinct tokens (column ``token``) and names
+    (``name``, ``low``) with ``low`` containing the token.
+
+    A name of n characters gives n grams, not its n^2 substrings. A token
+    meets the names at one of its grams only, the one that the fewest names
+    have (a token with a gram that no name has meets none), and is then looked
+    for in them. Tokens shorter than a gram are gram-sized or shorter pieces
+    themselves, an equi join."""
+    grams = names.select("name", "low", F.explode(_pieces(F.col("low"), GRAM)).alias("gram"))
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
+    long = tokens.where(F.length("token") >= GRAM)
+    parts = long.select("token", _pieces(F.col("token"), GRAM).alias("parts"))
+    anchors = (parts.select("token", F.size("parts").alias("n"), F.explode("parts").alias("gram")).join(held, "gram")
+               .groupBy("token", "n").agg(F.count(F.lit(1)).alias("found"), F.min(F.struct("names", "gram")).alias("rarest"))
+               .where("found = n").select("token", F.col("rarest.gram").alias("gram")))
+    met = anchors.join(grams, "gram").where(F.contains(F.col("low"), F.col("token"))).select("token", "name")
+    short = [_pieces(F.col("low"), k) for k in range(1, GRAM)]
+    few = names.select("name", F.explode(F.concat(*short)).alias("token"))
+    return met.unionByName(tokens.where(F.length("token") < GRAM).join(few, "token").select("token", "name"))
+
+
 def agent_group_rows_from(df: DataFrame, keys: list[str], agents: DataFrame, agent_col: str = "agent",
                           robots: str = "robots") -> DataFrame:
-    """``agent_group_rows`` for a table of agents of any size. A token is
-    contained in an agent's name exactly when it equals one of the name's
-    substrings, so the (short) names are exploded into those, with ``*``, and
-    the groups' tokens meet them in an equi join."""
-    names = agents.select(F.col(agent_col).alias("agent")).where("agent IS NOT NULL").distinct()
-    low, n = F.lower("agent"), F.length("agent")
-    starts = F.sequence(F.lit(1), n)
-    subs = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(low, i, k))))
-    parts = names.select("agent", F.explode(F.array_union(
-        F.when(n > 0, F.array_distinct(subs)).otherwise(F.array().cast("array<string>")), F.array(F.lit("*")))).alias("_token"))
-    tokens = (df.select(*keys, F.posexplode(F.col(robots)["groups"]).alias("_no", "_g"))
+    """``agent_group_rows`` for a table of agents of any size: the distinct
+    tokens of the groups are searched in the distinct names once
+    (``contained_tokens``), ``*`` goes with every name, and the pairs are
+    joined back to the groups."""
+    names = agents.select(F.col(agent_col).alias("name")).where("name IS NOT NULL").distinct().withColumn("low", F.lower("name"))
+    groups = (df.select(*keys, F.posexplode(F.col(robots)["groups"]).alias("_no", "_g"))
               .select(*keys, (F.col("_no") + 1).cast("long").alias("group_no"),
                       F.explode(F.array_distinct("_g.user_agents")).alias("_token")))
-    return tokens.join(parts, "_token").select(*keys, "agent", "group_no").distinct()
+    tokens = groups.where("_token <> '*'").select(F.col("_token").alias("token")).distinct()
+    pairs = contained_tokens(tokens, names).unionByName(names.select(F.lit("*").alias("token"), "name"))
+    pairs = pairs.select(F.col("token").alias("_token"), F.col("name").alias("agent"))
+    return groups.join(pairs, "_token").select(*keys, "agent", "group_no").distinct()

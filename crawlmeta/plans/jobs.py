@@ -42,6 +42,7 @@ from crawlmeta.sinks import snapshots as snapshot_tables
 from crawlmeta.sinks import tsv as tsv_sink
 from crawlmeta.sources import fetch as fetch_src
 from crawlmeta.sources import local_tree, manifest, tsv, warc
+from crawlmeta.sources.files import count_empty
 
 
 class JobFailed(RuntimeError):
@@ -231,7 +232,9 @@ def local_sitemaps_job(spark: SparkSession, root: str, out_path: str) -> JobResu
     rows = parsed.filter(valid).select("robots_file_path", "robots_host", "robots_scheme",
                                        F.explode(F.array_distinct("robots.sitemaps")).alias("sitemap_url"))
     tsv_sink.write_tsv(rows, tsv.LOCAL_SITEMAP_COLUMNS, out_path)
-    return JobResult(dict(obs.get))
+    counts = dict(obs.get)
+    counts["rejected_files"] += count_empty(root, ".txt")
+    return JobResult(counts)
 
 
 def _filter_input(spark: SparkSession, in_root: str, suffix: str = tsv.SITEMAPS_SUFFIX) -> tuple[DataFrame, Observation]:

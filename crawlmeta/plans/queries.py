@@ -8,6 +8,7 @@ whole input. Column names match the DuckDB oracle texts in
 
 from __future__ import annotations
 
+import gzip
 import uuid
 
 from pyspark.errors import StreamingQueryException
@@ -20,7 +21,7 @@ from crawlmeta.functions.resolve import with_resolved
 from crawlmeta.functions.text import tsv_row
 from crawlmeta.functions.url import normalize_host
 from crawlmeta.operators import crawl as crawl_op
-from crawlmeta.operators import geo, robots
+from crawlmeta.operators import geo, quality, robots
 from crawlmeta.operators.metrics import archive_results
 from crawlmeta.operators.sitemap_docs import parse_sitemaps
 from crawlmeta.session import checkpoint_dir, ship_package, work_folder
@@ -513,6 +514,32 @@ def q_robots_groups_for_agent_table(spark, sf_dir):
     return robots.agent_group_rows_from(parsed(spark, sf_dir), ["page_id"], agents)
 
 
+def q_robots_quality_report(spark, sf_dir):
+    """Warnings per country ending of corpus A, merged from sketches per archive, beside exact checks:
+    is the median number of warnings per file, and the number of distinct messages, within its bound?"""
+    label = F.substring_index("robots_host", ".", -1)
+    p = (parsed(spark, sf_dir).withColumn("archive_path", F.floor(F.col("page_id") / 10).cast("string")).withColumn("ending", label))
+    by = ["archive_path", "ending"]
+    files = quality.merged_files(quality.file_sketches(p, by), ["ending"])
+    kinds = quality.merged_kinds(quality.kind_sketches(p, by), ["ending"])
+    report = quality.file_report(files, {"median": 0.5})
+    n = F.size("robots.warnings")
+    # One row per ending from here on the right side: exact ranks of the estimate, and exact distinct messages.
+    rank = (p.select("ending", n.alias("n")).join(report.select("ending", "median"), "ending").groupBy("ending")
+            .agg((F.count_if(F.col("n") < F.col("median")) / F.count(F.lit(1))).alias("below"),
+                 (F.count_if(F.col("n") <= F.col("median")) / F.count(F.lit(1))).alias("upto")))
+    slack = 5 * quality.RANK_ERROR
+    exact = (p.select("ending", F.explode("robots.warnings.message").alias("message")).distinct()
+             .groupBy("ending", quality.warning_kind(F.col("message")).alias("kind")).agg(F.count(F.lit(1)).alias("distinct_exact")))
+    close = F.abs(F.col("distinct_messages") - F.col("distinct_exact")) <= 1 + 5 * quality.DISTINCT_ERROR * F.col("distinct_exact")
+    per_kind = (quality.kind_report(kinds).join(exact, ["ending", "kind"])
+                .select("ending", "kind", "warnings", close.alias("in_bound")))
+    per_file = (report.join(rank, "ending").select(
+        "ending", F.lit("any").alias("kind"), "warnings",
+        ((F.col("below") - slack <= 0.5) & (F.lit(0.5) <= F.col("upto") + slack)).alias("in_bound"), "files", "rejected_files"))
+    return per_file.unionByName(per_kind, allowMissingColumns=True)
+
+
 def q_resolve_long(spark, sf_dir):
     """References as long as a page: its whole html as a path and as a query."""
     pages = table(spark, sf_dir, "pages")
@@ -650,6 +677,7 @@ QUERIES.update({
     "robots_directives_text": q_robots_directives_text,
     "robots_warnings_text": q_robots_warnings_text,
     "robots_groups_for_agent_table": q_robots_groups_for_agent_table,
+    "robots_quality_report": q_robots_quality_report,
     "resolve_long": q_resolve_long,
     "robots_job_rerun": q_robots_job_rerun,
     "sitemaps_job_rerun": q_sitemaps_job_rerun,
@@ -755,7 +783,80 @@ def q_job_counters(spark, sf_dir):
     return spark.createDataFrame(rows, "job string, counter string, value long")
 
 
+def q_country_archive_counts(spark, sf_dir):
+    """The one-country job over the archives of a ``wat.paths.gz`` manifest: its counters per archive and in total."""
+    base = work_folder(spark, "country-counts")
+    written = warc.write_warc_files(_capture_rows(spark, sf_dir), f"{base}/robotstxt")
+    path = F.when(F.col("archive_path").contains(":"), F.col("archive_path")).otherwise(F.concat(F.lit("file://"), "archive_path"))
+    written.select(path.alias("value")).write.option("compression", "gzip").text(f"{base}/robotstxt.paths.gz")
+    staged = jobs.stage_archives(spark, f"{base}/wat.paths.gz", f"{base}/staged")
+    done = jobs.country_sitemaps_job(spark, staged, f"{base}/out", "ukraine", geo.sample_dimension(spark))
+    unit = F.regexp_extract("archive_path", "/robotstxt/([0-9]+)-[0-9]+[.]warc[.]gz$", 1)
+    total = spark.createDataFrame([("total", *(int(done.metrics[k]) for k in ("parsed_files", "rejected_files", "matched_links")))],
+                                  "unit string, parsed_files long, rejected_files long, matched_links long")
+    return done.per_unit.select(unit.alias("unit"), "parsed_files", "rejected_files", "matched_links", "sitemap_links").unionByName(
+        total, allowMissingColumns=True)
+
+
+def q_local_download_jobs(spark, sf_dir):
+    """A local robots tree through the local job, and link rows with malformed ones through the download job:
+    lines of both outputs and their counters."""
+    base = work_folder(spark, "local-jobs")
+    scheme = F.regexp_extract("robots_url", "^([a-z]+)://", 1)
+    files = captures(spark, sf_dir).select(F.concat("robots_host", F.lit("/"), scheme, F.lit("-"), F.col("page_id").cast("string"),
+                                                    F.lit(".txt")).alias("file_name"), F.col("body").alias("text"))
+    robots_files.export_files(files, f"{base}/tree")
+    local = jobs.local_sitemaps_job(spark, f"{base}/tree", f"{base}/local")
+    seeds = corpus.sitemap_seeds(table(spark, sf_dir, "pages").select("page_id", "url"))
+    line = F.when(F.col("seed_id") % 7 == 6, F.lit("one\ttwo\tthree")).otherwise(
+        tsv_row(F.lit("archive"), F.lit("date"), F.lit("robots"), "seed_sitemap_url"))
+    snapshots.SnapshotTable(spark, f"{base}/seeds", ["part"], "text").replace(
+        seeds.select(line.alias("value"), (F.col("seed_id") % 3).cast("string").alias("part")))
+    fetcher = crawl_op.table_fetcher(documents_b(spark, sf_dir))
+    done = jobs.download_sitemaps_job(spark, f"{base}/seeds", f"{base}/links", fetcher=fetcher)
+    f = F.split("value", "\t")
+    rows = spark.read.text(f"{base}/local").select(F.lit("local").alias("output"), F.array_join(F.slice(f, 2, 3), " ").alias("line"))
+    links = spark.read.text(f"{base}/links").select(F.lit("download").alias("output"), F.array_join(f, " ").alias("line"))
+    counters = spark.createDataFrame([(job, f"{k}={int(v)}") for job, r in (("local counter", local), ("download counter", done))
+                                      for k, v in r.metrics.items()], "output string, line string")
+    return rows.unionByName(links).unionByName(counters)
+
+
+def q_packed_sitemap_docs(spark, sf_dir):
+    """Corpus B with the documents of odd pages packed by gzip, and an entity declaration before those of every ninth."""
+    @F.pandas_udf("binary")
+    def packed(bodies):
+        return bodies.map(lambda b: gzip.compress(b.encode("utf-8"), mtime=0))
+
+    page = F.regexp_extract("url", "-([0-9]+)[.]xml$", 1).cast("long")
+    entity = F.lit('<!DOCTYPE x [<!ENTITY a "b">]>')
+    docs = documents_b(spark, sf_dir).withColumn("page_id", page).withColumn(
+        "body", F.when((page % 9 == 0) & F.col("body").startswith("<") & ~F.col("body").startswith("<?"), F.concat(entity, "body"))
+        .otherwise(F.col("body")))
+    d = parse_sitemaps(docs.select("url", F.when(page % 2 == 1, packed("body")).otherwise(F.encode("body", "UTF-8")).alias("body")))
+    return d.select("url", F.col("doc.kind").alias("kind"), F.array_join("doc.locs", " ").alias("locs"), F.col("doc.error").alias("error"))
+
+
+def q_root_zone_dimension(spark, sf_dir):
+    """A suffix dimension refreshed from root-zone pages (one index page per region, one detail page per nation),
+    and the supported keys that an error would list."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("region"), F.col("n_nationkey").cast("string").alias("no"), "n_name")
+    href = F.concat(F.lit("/domains/root/db/n"), "no", F.lit(".html"))
+    row = F.concat(F.lit('<tr><td><span class="domain tld"><a href="'), href, F.lit('">.n'), "no", F.lit("</a></span></td>\n<td>"),
+                   F.when(F.col("no") % 5 == 0, F.lit("generic")).otherwise(F.lit("country&#45;code")), F.lit("</td></tr>"))
+    index = n.groupBy("region").agg(F.array_join(F.collect_list(row), "\n").alias("html"))
+    details = n.select(href.alias("href"), F.concat(
+        F.lit("<p><!-- (Country-code top-level domain designated for "), F.replace("n_name", F.lit(" "), F.lit("&#32;")), F.lit(") --></p>")).alias("html"))
+    dim = html_fn.suffixes_from_root_zone_pages(index, details)
+    keys = geo.supported_country_keys(dim).select(F.lit("supported").alias("part"), "country_key")
+    return dim.select(F.lit("dimension").alias("part"), "*").unionByName(keys, allowMissingColumns=True)
+
+
 QUERIES.update({
+    "country_archive_counts": q_country_archive_counts,
+    "local_download_jobs": q_local_download_jobs,
+    "packed_sitemap_docs": q_packed_sitemap_docs,
+    "root_zone_dimension": q_root_zone_dimension,
     "country_sitemaps_job": q_country_sitemaps_job,
     "local_country_job": q_local_country_job,
     "publish_stream": q_publish_stream,

@@ -10,6 +10,7 @@ de-duplicated before fetching and spread by host.
 
 from __future__ import annotations
 
+import re
 import time
 import urllib.error
 import urllib.request
@@ -73,7 +74,7 @@ def with_retries(url: str, take, connect_timeout: float, read_timeout: float, de
         except urllib.error.HTTPError as ex:
             status = ex.code
             retry = status in policy.TRANSIENT_STATUS_CODES or status == 403 and bucket
-            details = " ".join((ex.read() or b"").decode("utf-8", "replace").splitlines()[:3])[:240]
+            details = error_text(ex.read() or b"")
             last = (f"GET {url} returned {status} {ex.reason} "
                     f"({'retryable' if retry else 'non-retryable'} HTTP response)" + (f": {details}" if details else ""))
             if not retry:
@@ -86,6 +87,14 @@ def with_retries(url: str, take, connect_timeout: float, read_timeout: float, de
     return None, status, attempts, f"GET {url} failed after {attempts} attempts: {last}"
 
 
+def error_text(body: bytes) -> str:
+    """The first three lines of an error response in one; lines end with CR or LF only."""
+    lines = re.split("\r\n|\n|\r", body.decode("utf-8", "replace"))
+    if lines[-1] == "":
+        lines.pop()
+    return " ".join(lines[:3])[:240]
+
+
 def _fetch(url: str, take, allow_local: bool, connect_timeout: float, read_timeout: float, delay: float):
     """``take(stream)`` of a file or of an HTTP response: (result, status, attempts, error)."""
     scheme = url.split(":", 1)[0].lower() if ":" in url.split("/", 1)[0] else None

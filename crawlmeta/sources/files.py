@@ -48,6 +48,17 @@ def file_sizes(uris: list[str]) -> dict[str, int]:
     return out
 
 
+def count_empty(folder: str, suffix: str) -> int:
+    """Files without a byte under a folder: Spark's file sources pass over them."""
+    filesystem, path = _fs_and_path(folder)
+    if filesystem is None:
+        return sum(os.path.getsize(os.path.join(root, f)) == 0
+                   for root, _dirs, files in os.walk(path) for f in files if f.endswith(suffix))
+    from pyarrow import fs
+    found = filesystem.get_file_info(fs.FileSelector(path, recursive=True))
+    return sum(i.type == fs.FileType.File and i.size == 0 and i.path.endswith(suffix) for i in found)
+
+
 def open_output(uri: str):
     filesystem, path = _fs_and_path(uri)
     if filesystem is None:

@@ -19,7 +19,6 @@ hundred bytes per archive; archives are read by tasks, error rows as in ``warc``
 from __future__ import annotations
 
 import gzip
-import itertools
 import re
 import zlib
 
@@ -27,11 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from crawlmeta.session import ship_package
-from crawlmeta.sources.files import file_sizes, open_input
-from crawlmeta.sources.warc import BATCH_ROWS, WARC_SCHEMA, read_records
+from crawlmeta.sources.files import open_input
+from crawlmeta.sources.warc import WARC_SCHEMA, packed, read_packed
 
-#: Bytes of archives that one task reads.
-PARTITION_BYTES = 64 << 20
 # Characters that are trimmed off a line.
 _TRIMMED = "".join(map(chr, range(33)))
 _ABSOLUTE = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:|/")
@@ -77,28 +74,11 @@ class _ManifestReader(DataSourceStreamReader):
             if position(lines, at["lines"]) != at:
                 raise ValueError(f"{self.manifest}: the lines before position {at['lines']} have changed")
         names = [line.strip(_TRIMMED) for line in lines[start["lines"]:end["lines"]]]
-        return [InputPartition(some) for some in self._packed(
-            [(n if _ABSOLUTE.match(n) else f"{self.root}/{n}", n) for n in names if is_archive_line(n)])]
-
-    def _packed(self, archives: list[tuple[str, str]]) -> list[list[tuple[str, str]]]:
-        """Runs of archives of at most PARTITION_BYTES (a larger one alone), in ``tasks`` partitions or more."""
-        size = file_sizes([f for f, _ in archives])
-        most, out, held = -(-len(archives) // self.tasks), [], 0
-        for f, name in archives:
-            if not out or len(out[-1]) >= most or held + size[f] > PARTITION_BYTES:
-                out.append([])
-                held = 0
-            out[-1].append((f, name))
-            held += size[f]
-        return out
+        return [InputPartition(some) for some in packed(
+            [(n if _ABSOLUTE.match(n) else f"{self.root}/{n}", n) for n in names if is_archive_line(n)], self.tasks)]
 
     def read(self, partition):
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-        schema = to_arrow_schema(WARC_SCHEMA)
-        rows = itertools.chain.from_iterable(read_records(f, self.types, self.robots_only, name) for f, name in partition.value)
-        while batch := list(itertools.islice(rows, BATCH_ROWS)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
+        yield from read_packed(partition.value, self.types, self.robots_only)
 
 
 class ManifestDataSource(DataSource):
@@ -118,4 +98,4 @@ def stream_archives(spark: SparkSession, manifest: str, archive_root: str = "",
     ship_package(spark)
     spark.dataSource.register(ManifestDataSource)
     return (spark.readStream.format("warc_manifest").option("manifest", manifest).option("archiveRoot", archive_root)
-            .option("robotsOnly", str(robots_only).lower()).load())
+            .option("tasks", 4 * spark.sparkContext.defaultParallelism).option("robotsOnly", str(robots_only).lower()).load())

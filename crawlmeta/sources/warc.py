@@ -2,7 +2,7 @@
 
 ``spark.read.format("warc").option("path", p).load()`` gives one row per
 kept record: ``archive_path, record_type, capture_date, target_url,
-content_encoding, body, error``. One input partition per archive file;
+content_encoding, body, error``. An input partition is an archive file, or some small ones;
 ``read_warc`` reads larger archives through an index of their gzip members
 (``warc_index``) instead, by as many tasks as they have ranges. Records are
 streamed member by member, never the whole archive in memory.
@@ -44,6 +44,8 @@ WARC_SCHEMA = T.StructType([
 
 # Bytes that are read at once when a record is skipped.
 SKIP_BYTES = 1 << 20
+# Small archives share a task up to so many bytes.
+PARTITION_BYTES = 64 << 20
 # Archives of more bytes are read by several tasks.
 SPLIT_BYTES = 256 << 20
 # Rows of one Arrow batch that a reader yields.
@@ -233,6 +235,32 @@ def staged_paths(folder: str) -> list[tuple[str, str]]:
     return sorted(out)
 
 
+def packed(archives: list[tuple[str, str]], tasks: int, size: dict[str, int] | None = None) -> list[list[tuple[str, str]]]:
+    """Runs of archives (file, name) of at most PARTITION_BYTES (a larger one
+    alone), in ``tasks`` runs or more: small archives share a task."""
+    size = size or file_sizes([f for f, _ in archives])
+    most, out, held = -(-len(archives) // max(1, tasks)), [], 0
+    for f, name in archives:
+        if not out or len(out[-1]) >= most or held + size[f] > PARTITION_BYTES:
+            out.append([])
+            held = 0
+        out[-1].append((f, name))
+        held += size[f]
+    return out
+
+
+def read_packed(archives: list[tuple[str, str]], types: tuple[str, ...], robots_only: bool):
+    """Arrow batches of the rows of some archives, one after the other."""
+    import itertools
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    schema = to_arrow_schema(WARC_SCHEMA)
+    rows = itertools.chain.from_iterable(read_records(f, types, robots_only, name) for f, name in archives)
+    while batch := list(itertools.islice(rows, BATCH_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
+
+
 class _WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         if "pathtable" in {k.lower() for k in options}:
@@ -240,27 +268,19 @@ class _WarcReader(DataSourceReader):
         else:
             suffixes = tuple(options.get("suffixes", ".warc.gz,.warc").split(","))
             self.files = [(p, p) for p in list_files(options["path"], suffixes=suffixes)]
+        self.size = file_sizes([f for f, _ in self.files])
         if "most_bytes" in {k.lower() for k in options}:
-            size = file_sizes([f for f, _ in self.files])
-            self.files = [(f, a) for f, a in self.files if size[f] <= int(options["most_bytes"])]
+            self.files = [(f, a) for f, a in self.files if self.size[f] <= int(options["most_bytes"])]
+        self.tasks = int(options.get("tasks", "64"))
         self.types = tuple(t.strip() for t in options.get("recordTypes", "response").split(","))
         self.robots_only = options.get("robotsOnly", "true").lower() == "true"
 
     def partitions(self):
-        return [InputPartition(p) for p in self.files]
+        return [InputPartition(some) for some in packed(self.files, self.tasks, self.size)]
 
     def read(self, partition):
-        import itertools
-
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-        schema = to_arrow_schema(WARC_SCHEMA)
-        if partition is None:  # no archive at all
-            return
-        path, archive = partition.value
-        rows = read_records(path, self.types, self.robots_only, archive)
-        while batch := list(itertools.islice(rows, BATCH_ROWS)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
+        if partition is not None:  # else there is no archive at all
+            yield from read_packed(partition.value, self.types, self.robots_only)
 
 
 class WarcDataSource(DataSource):
@@ -294,6 +314,7 @@ def read_warc(spark: SparkSession, path: str | None = None, robots_only: bool =
     register(spark)
     large = warc_index.archive_files(path, path_table, split_bytes) if split_bytes else []
     r = spark.read.format("warc").option("robotsOnly", str(robots_only).lower()).option("recordTypes", record_types)
+    r = r.option("tasks", 4 * spark.sparkContext.defaultParallelism)
     if large:
         r = r.option("most_bytes", split_bytes)
     df = (r.option("pathTable", path_table) if path_table else r.option("path", path)).load()

@@ -533,3 +533,49 @@ ORACLE["publish_ledger"] = ORACLE["publish_stream"] + """
 union all select 'rows=' || cast(count(*) as varchar) from pages
 union all select 'malformed_rows=' || cast(count(*) filter (page_id % 5 = 4) as varchar) from pages
 union all select 'sent=' || cast(count(*) filter (page_id % 5 <> 4) as varchar) from pages"""
+
+ORACLE["robots_quality_report"] = WITH_A + """,
+w as (""" + ORACLE["robots_warnings"].removeprefix(WITH_A).strip() + """),
+e as (select page_id, regexp_extract(robots_host, '[^.]*$') as ending, page_id not in (select page_id from validp) as bad from cap),
+f as (select ending, count(*) as files, count(*) filter (where bad) as rejected from e group by ending),
+k as (select ending, regexp_extract(message, '^[A-Za-z-]+(?: [a-z-]+)*') as kind, count(*) as n from w join e using (page_id) group by all)
+select ending, 'any' as kind, cast(coalesce((select sum(n) from k where k.ending = f.ending), 0) as bigint) as warnings, true as in_bound,
+  cast(files as bigint) as files, cast(rejected as bigint) as rejected_files from f
+union all select ending, kind, cast(n as bigint), true, null, null from k"""
+
+ORACLE["country_archive_counts"] = WITH_A + "," + DIM + ", dimu as (select * from dim where country_key = 'ukraine')," + classified_cte("dimu") + """,
+per as (select page_id // 10 as key, page_id in (select page_id from validp) as valid,
+          case when page_id in (select page_id from validp) then (select count(*) from sm where sm.page_id = cap.page_id) else 0 end as n,
+          (select count(*) from cls where cls.page_id = cap.page_id and cls.page_id in (select page_id from validp)) as m from cap),
+u as (select cast(key as varchar) as unit, cast(count(*) filter (valid) as bigint) as parsed_files,
+        cast(count(*) filter (not valid) as bigint) as rejected_files, cast(sum(m) as bigint) as matched_links,
+        cast(sum(n) as bigint) as sitemap_links from per group by key)
+select * from u union all
+select 'total', cast(sum(parsed_files) as bigint), cast(sum(rejected_files) as bigint), cast(sum(matched_links) as bigint), null from u"""
+
+ORACLE["local_download_jobs"] = CRAWL.replace("with recursive ", "with recursive " + CORPUS_A.strip() + "," + PARSE.replace(
+    "links as (", "a_links as (") + ",") + """,
+got as (select * from links where seed_id % 7 <> 6), seen as (select * from vis where seed_id % 7 <> 6)
+select 'local' as output, cap.robots_host || ' ' || regexp_extract(cap.robots_url, '^([a-z]+)://', 1) || ' ' || sm.sitemap_url as line
+from sm join cap using (page_id) where sm.page_id in (select page_id from validp)
+union all select 'download', 'https://s.example.ua/idx-' || cast(seed_id as varchar) || '.xml ' || sitemap_url || ' ' || page_url from got
+union all select 'local counter', 'parsed_files=' || count(*) filter (page_id in (select page_id from validp)) from cap
+union all select 'local counter', 'rejected_files=' || count(*) filter (page_id not in (select page_id from validp)) from cap
+union all select 'download counter', 'read_rows=' || count(*) filter (page_id % 7 <> 6) from pages
+union all select 'download counter', 'malformed_rows=' || count(*) filter (page_id % 7 = 6) from pages
+union all select 'download counter', 'downloaded_sitemaps=' || count(*) filter (status = 'parsed') from seen
+union all select 'download counter', 'invalid_sitemaps=' || count(*) filter (status = 'invalid') from seen
+union all select 'download counter', 'failed_downloads=' || count(*) filter (status = 'failed') from seen
+union all select 'download counter', 'saved_links=' || count(*) from got"""
+
+ORACLE["packed_sitemap_docs"] = "with plain as (" + ORACLE["sitemap_docs"] + """),
+p as (select *, cast(regexp_extract(url, '-([0-9]+)[.]xml$', 1) as bigint) as page_id, contains(url, '/sm-') as sm from plain),
+q as (select *, sm and page_id % 9 = 0 and page_id % 6 in (0, 1, 2, 4) as refused from p)
+select url, case when refused then 'invalid' else kind end as kind, case when not refused then locs end as locs,
+  case when refused then 'Invalid sitemap XML: entity declarations are not supported' else error end as error from q"""
+
+ORACLE["root_zone_dimension"] = """
+with d as (select trim(regexp_replace(lower(n_name), '[^a-z0-9]+', '-', 'g'), '-') as country_key, n_name as country_name,
+             '.n' || cast(n_nationkey as varchar) as suffix from nation where n_nationkey % 5 <> 0)
+select 'dimension' as part, * from d
+union all select 'supported', country_key, null, null from (select distinct country_key from d order by country_key limit 12)"""

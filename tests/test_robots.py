@@ -141,3 +141,28 @@ def test_agent_table_equals_the_contains_test(spark):
     key = lambda rows: sorted((r["id"], r["agent"], r["group_no"]) for r in rows.collect())
     assert key(got) == key(want) and got.count() > 5
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_contained_tokens_equal_brute_force(spark):
+    import random
+    r = random.Random(8)
+    word = lambda k: "".join(r.choices("abé-/", k=k))
+    names = sorted({word(r.choice([0, 1, 2, 3, 8, 40, 2000])).upper() for _ in range(60)})
+    tokens = sorted({word(r.choice([1, 2, 3, 4, 5, 9])) for _ in range(400)} | {n[5:30].lower() for n in names if len(n) > 30})
+    got = robots.contained_tokens(
+        spark.createDataFrame([(t,) for t in tokens], "token string"),
+        spark.createDataFrame([(n, n.lower()) for n in names], "name string, low string")).collect()
+    want = sorted((t, n) for t in tokens for n in names if t in n.lower())
+    assert sorted(map(tuple, got)) == want and len(want) > 1000
+
+
+def test_long_agent_names_are_not_blown_up(spark):
+    names = spark.range(40).select(F.concat(F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(250)), lambda i: F.concat(F.lit("bot/"), F.hex(F.col("id") * 1000 + i))), " "), F.col("id").cast("string")).alias("name"))
+    names = names.withColumn("low", F.lower("name"))
+    grams = names.select(F.explode(robots._pieces(F.col("low"), robots.GRAM)))
+    assert names.agg(F.max(F.length("name"))).first()[0] > 1500
+    assert grams.count() <= names.agg(F.sum(F.length("name"))).first()[0]
+    tokens = spark.range(50_000).select(F.concat(F.lit("crawler-bot/"), F.hex("id")).alias("token")).union(
+        spark.createDataFrame([("bot/3e9 ",)], "token string"))
+    assert [r.token for r in robots.contained_tokens(tokens, names).collect()].count("bot/3e9 ") >= 1

@@ -63,10 +63,11 @@ def test_a_manifest_that_changes_behind_the_position_stops_the_query(tmp_path):
 
 def test_small_archives_share_a_partition(tmp_path):
     names = [f"{tmp_path}/robotstxt/{i}.warc.gz" for i in range(300)]
-    reader = manifest_stream._ManifestReader({"manifest": "m", "tasks": "10"})
-    packed = reader._packed([(n, n) for n in names])
-    assert [f for part in packed for f, _ in part] == names and len(packed) == 10
-    assert reader._packed([]) == [] and len(reader._packed([(n, n) for n in names[:4]])) == 4
+    some = warc.packed([(n, n) for n in names], 10)
+    assert [f for part in some for f, _ in part] == names and len(some) == 10
+    assert warc.packed([], 10) == [] and len(warc.packed([(n, n) for n in names[:4]], 10)) == 4
+    sizes = {n: warc.PARTITION_BYTES // 2 for n in names}
+    assert {len(part) for part in warc.packed([(n, n) for n in names], 1, sizes)} == {2}
 
 
 def links(folder, name, urls):

@@ -79,3 +79,10 @@ def test_grouped_sink_splits_a_hot_key_and_replaces_the_output(spark, tmp_path):
     tsv_sink.write_grouped(classified(spark, 10, "bb"), tsv.CLASSIFIED_COLUMNS, out)
     assert {(r.out_group, r.out_key) for r in spark.read.text(out).collect()} == {
         ("country", "land-bb"), ("language-region", "bb-X"), ("language-region", "unknown")}
+
+
+def test_error_text_takes_three_lines_ended_by_cr_or_lf():
+    from crawlmeta.sources.fetch import error_text
+    assert error_text(b"") == "" and error_text(b"one\n") == "one"
+    assert error_text("a\x0cb c\r\nd\re\nf\n".encode()) == "a\x0cb c d e"
+    assert error_text(b"x" * 300) == "x" * 240
