@@ -12,15 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlmeta.llm import exact_dedup, minhash_forest, packing, quality_rules, toxicity
-from crawlmeta.llm.common import shared_folder, table, written
+from crawlmeta.llm.common import shared_folder, table, unused, written
 from crawlmeta.llm.queries import BYTE_BPE
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble scores below 0.3 go."""
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"), "quality")
-    scored = quality_rules.with_score(docs, model, name="__score")
-    return scored.where(F.col("__score") >= 0.3).select(*[F.col(f"`{c}`") for c in docs.columns])
+    (name,) = unused(docs.columns, "__score")
+    scored = quality_rules.with_score(docs, model, name=name)
+    return scored.where(F.col(name) >= 0.3).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared checkpoint folder. It goes when the
     driver's JVM ends: results that Spark reads from it are lazy."""
+    ship_package(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
@@ -38,6 +39,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def unused(taken: list[str], *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``taken`` has, whatever its case."""
+    held, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back."""
     path = f"{folder}/{name}"
@@ -135,6 +147,7 @@ def to_bytes(texts) -> list[bytes]:
 
 def map_rows(df: DataFrame, make: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``make`` per Arrow batch; it must not depend on how rows are batched."""
+    ship_package(df.sparkSession)
 
     def run(batches):
         for pdf in batches:

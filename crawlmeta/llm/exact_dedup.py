@@ -9,8 +9,9 @@ hash and SHA-256, a join of short rows whose hot keys adaptive execution splits.
 Defined cases: null text is empty text; white space runs count as one space; a
 null id never stays when its group has a row with an id (a group of null ids
 has keep_id null and all its rows count as kept); rows that repeat id and text
-share one decision, and ``keep_first`` returns them once; an empty table gives
-an empty result; only id and text are read, whatever further columns are named.
+share one decision, and ``keep_first`` returns them once (rows of a group of null
+ids each); an empty table gives an empty result; only id and text are read, and
+``keep_first`` returns all columns as they are, whatever they are named.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlmeta.llm.common import unused
+
 # Fixed pattern of the contract: characters that count as white space.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -57,11 +60,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                hash_fn: Callable[[Column], Column] = content_hash) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, once each."""
-    keep = groups(docs, id_col, text_col, hash_fn).select(
-        F.col("h").alias("__h"), F.col("sha").alias("__sha"), F.col("keep_id").alias("__keep"))
-    t = normalised(F.col(text_col))
-    tagged = docs.withColumns({"__t_h": hash_fn(t), "__t_sha": F.sha2(F.encode(t, "UTF-8"), 256)})
-    on = (F.col("__t_h") == F.col("__h")) & (F.col("__t_sha") == F.col("__sha")) & \
-        F.col(id_col).eqNullSafe(F.col("__keep"))
-    staying = tagged.join(keep, on, "left_semi")
-    return staying.dropDuplicates(["__t_h", "__t_sha", id_col]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    h, sha, keep, t_h, t_sha, row = unused(docs.columns, "__h", "__sha", "__keep", "__t_h", "__t_sha", "__row")
+    found = groups(docs, id_col, text_col, hash_fn).select(
+        F.col("h").alias(h), F.col("sha").alias(sha), F.col("keep_id").alias(keep))
+    t, own = normalised(F.col(f"`{text_col}`")), F.col(f"`{id_col}`")
+    # Rows without an id are no repetitions of each other: each has a number of its own.
+    number = F.when(own.isNull(), F.monotonically_increasing_id()).otherwise(0)
+    tagged = docs.withColumns({t_h: hash_fn(t), t_sha: F.sha2(F.encode(t, "UTF-8"), 256), row: number})
+    on = (F.col(t_h) == F.col(h)) & (F.col(t_sha) == F.col(sha)) & own.eqNullSafe(F.col(keep))
+    staying = tagged.join(found, on, "left_semi")
+    return staying.dropDuplicates([t_h, t_sha, id_col, row]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlmeta.llm.common import Words, blocks, is_train, to_bytes
+from crawlmeta.llm.common import Words, blocks, is_train, to_bytes, unused
+from crawlmeta.session import ship_package
 
 #: Labelled rows that a model is fitted on at most, chosen by a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -104,6 +105,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
                     text_col: str = "text") -> DataFrame:
     """text and label (0 or 1) of at most ``rows`` labelled training rows, chosen by a hash of
     the id. The chosen labels are a table of bounded size and are broadcast."""
+    ship_package(docs.sparkSession)
     chosen = (labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__label"))
               .where(is_train("__id") & F.col("__label").isin(0, 1))
               .orderBy(F.xxhash64("__id"), "__id", "__label").limit(rows))
@@ -227,6 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 
 def with_score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1; the statistics are computed once per row."""
-    tmp = "__statistics"
+    ship_package(docs.sparkSession)
+    (tmp,) = unused([*docs.columns, name], "__statistics")
     return (docs.withColumn(tmp, statistics_column(F.col(f"`{text_col}`")))
             .withColumn(name, model.column(F.col(tmp))).drop(tmp))

@@ -6,7 +6,10 @@ from crawlmeta.llm.common import table
 
 SF = "/root/testdata/sf0.001"
 CLASHING = ("doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, "
-            "keep_id long, h long, t string, label int, sequence_id long, range int, tail string, __score int, rep long")
+            "keep_id long, h long, t string, label int, sequence_id long, range int, tail string, __score int, rep long, __h string, __keep int, __t_h string, __t_sha string, "
+            "__drop long, __statistics string, __row string, __SHA int")
+#: Values of the columns behind ``text``, which must come back as they are.
+EXTRA = (0.5, False, 9, 8, "x", 1, 7, 6, "y", 5, 4, "h", 11, "th", "tsha", 12, "stat", "row", 13)
 LONG = " ".join(f"word{i % 977} and{i % 13}" for i in range(30_000)) + ".\nThe end of it all."
 PROSE = "the quick brown fox jumps over the lazy dog while seven wizards box on"
 
@@ -18,7 +21,7 @@ def rows():
         (9, "one", "de"), (10, "one two", "de"), (11, "1234 !!! ###", None), (12, "a  b   c ", "fr"),
         (None, PROSE, None), (None, None, None), (None, "ein anderer satz ohne nummer steht hier", "de"),
         (13, "日本語 の テキスト です 。 ﬁ é́ 😀", "ja"), (14, "<|endoftext|> <s> </s> ▁x", "en")]
-    return [(i, t, g, "s", len(t or ""), 0.5, False, 9, 8, "x", 1, 7, 6, "y", 5, 4) for i, t, g in texts]
+    return [(i, t, g, "s", len(t or ""), *EXTRA) for i, t, g in texts]
 
 
 def odd(spark):

@@ -47,6 +47,24 @@ def test_exact_keep_first_keeps_columns(spark):
     assert exact_dedup.exact_dedup(odd.empty(spark)).collect() == []
 
 
+def extras(rows):
+    return {tuple(r)[5:] for r in rows}
+
+
+def test_deciding_functions_keep_every_row_and_column(spark):
+    docs = odd.odd(spark)
+    got = exact_dedup.keep_first(docs)
+    assert got.columns == docs.columns and extras(got.collect()) == {odd.EXTRA}
+    nobody = docs.where("doc_id IS NULL AND text LIKE 'ein %'")
+    copies = docs.where("doc_id IS NOT NULL").union(nobody).union(nobody).union(nobody)
+    assert exact_dedup.keep_first(copies).where("doc_id IS NULL").count() == 3
+    decided = exact_dedup.exact_dedup(copies).where("kept AND doc_id IS NULL").count()
+    assert decided == 3
+    near = minhash_forest.keep_one(docs)
+    assert near.columns == docs.columns and extras(near.collect()) == {odd.EXTRA}
+    assert near.where("doc_id IS NULL").count() == docs.where("doc_id IS NULL").count()
+
+
 def shingles(text, width=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
     if len(words) < width:

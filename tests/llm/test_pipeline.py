@@ -28,6 +28,22 @@ def test_run_equals_the_stages(spark):
     assert 100 < got.select("doc_id").distinct().count() <= 200
 
 
+def test_stages_keep_clashing_columns(spark):
+    docs = odd.odd(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, odd.SF).collect()
+        assert got and {tuple(r)[5:] for r in got} == {odd.EXTRA}, name
+
+
+def test_run_is_the_stages_one_after_the_other(spark):
+    docs = odd.documents(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, odd.SF).toPandas())
+    pieces = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    key = lambda df: sorted(map(tuple, df.select(pieces).collect()))
+    assert key(corpus_pipeline.run(spark, odd.SF)) == key(docs)
+
+
 def test_stages_take_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd.empty(spark), odd.SF).collect() == []
