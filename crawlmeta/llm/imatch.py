@@ -9,8 +9,12 @@ lexicon is a small sorted array of hashes that every executor gets.
 A fingerprint has one hash per randomised subset of the lexicon: of the sorted
 distinct terms of the text in that subset. Subsets come in several densities, so
 that short and long texts have some that hold few of their terms; a subset that
-holds more than MOST_TERMS of a text's terms is not filled by it. The likeness of
-two fingerprints is the share of equal hashes among subsets that either fills.
+holds more than MOST_TERMS of a text's terms is not filled by it. Densities go on as
+texts get longer: a text of n terms takes the twelve densities that end at about 2/n (2^-12
+for texts of up to 4,095 terms); a density always has the same place in the
+fingerprint, and shares it with the one 2^12 times as dense. A text with terms that
+fills no subset fills the first with all its terms. The likeness of two
+fingerprints is the share of equal hashes among subsets that either fills.
 
 Defined cases: a null text is empty; a text with terms but none in the band uses
 all its terms; a text without terms fills no subset, and two such
@@ -40,9 +44,11 @@ PER_DENSITY = 8
 DENSITIES = tuple(range(1, 13))
 #: Terms of a text that a subset may hold to count: larger hits break with any edit.
 MOST_TERMS = 3
+#: Bytes of text in a range of ids, a task's work.
+PART_BYTES = 16 << 20
 SUBSETS = PER_DENSITY * len(DENSITIES)
 _SEEDS = np.random.default_rng(8).integers(1, 2**63, SUBSETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFT = np.repeat(np.array([64 - d for d in DENSITIES], np.uint64), PER_DENSITY)
+_CHUNK = 4096
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -80,15 +86,26 @@ def fingerprints(texts: list[bytes], words: np.ndarray) -> np.ndarray:
                 t = banded if len(banded) else t
             if not len(t):
                 continue
-            chance = mix64(t[:, None] * _SEEDS)
-            subset, term = np.nonzero(((chance >> _SHIFT) == 0).T)
-            if not len(subset):
-                continue
-            first = np.flatnonzero(np.concatenate([[True], subset[1:] != subset[:-1]]))
-            # terms are sorted and distinct, so a sum of mixed hashes stands for the sorted list
-            total = np.add.reduceat(mix64(chance[term, subset] ^ t[term]), first)
-            few = np.diff(np.append(first, len(subset))) <= MOST_TERMS
-            out[i, subset[first][few]] = np.maximum(mix64(total[few]) >> np.uint64(32), 1)
+            # the densities of this text's length, each at its own place
+            on = max(0, len(t).bit_length() - _CHUNK.bit_length() + 1)
+            density = np.array([1 + on + (g - on) % len(DENSITIES) for g in range(len(DENSITIES))])
+            shift = np.repeat((64 - density).astype(np.uint64), PER_DENSITY)
+            found = []
+            for a in range(0, len(t), _CHUNK):
+                chance = mix64(t[a:a + _CHUNK, None] * _SEEDS)
+                subset, term = np.nonzero(((chance >> shift) == 0).T)
+                found.append((subset, mix64(chance[term, subset] ^ t[a + term])))
+            subset, mixed = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(subset, kind="stable")
+            subset, mixed = subset[order], mixed[order]
+            if len(subset):
+                first = np.flatnonzero(np.concatenate([[True], subset[1:] != subset[:-1]]))
+                # terms are sorted and distinct, so a sum of mixed hashes stands for the sorted list
+                total = np.add.reduceat(mixed, first)
+                few = np.diff(np.append(first, len(subset))) <= MOST_TERMS
+                out[i, subset[first][few]] = np.maximum(mix64(total[few]) >> np.uint64(32), 1)
+            if not out[i].any():
+                out[i, 0] = max(int(mix64(mix64(t).sum(keepdims=True))[0]) >> 32, 1)
     return out
 
 
@@ -114,7 +131,7 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     firsts = spark.createDataFrame(to or [(0.0, -1)], "place double, range int")
     tails = rows.join(F.broadcast(firsts), "place").select("doc_id", "text", "range", F.lit(True).alias("tail"))
     own = dealt.select("doc_id", "text", "range", F.lit(False).alias("tail"))
-    return (own.union(tails).repartition(parts, "range").withColumn("h", F.xxhash64("text"))
+    return (own.union(tails).repartitionById(parts, "range").withColumn("h", F.xxhash64("text"))
             .sortWithinPartitions("range", "tail", F.col("doc_id").asc_nulls_first(), "h"))
 
 
@@ -129,7 +146,9 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     words = spark.sparkContext.broadcast(lexicon(rows))
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts is None:
+        size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
 
     def made(pairs: list[tuple]) -> pd.DataFrame:
         texts = [t for _, t, _ in pairs] + [pairs[-1][2]]

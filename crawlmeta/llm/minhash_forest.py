@@ -25,8 +25,8 @@ A pair at the threshold shares the least prefix in some order with probability
 1 - (1 - t^depth)^orders (above 0.99999 for the defaults), and comes near enough
 by signature with more than four standard deviations to spare. A pair that shares
 it is compared however many rows stand between: in a run of at most NEIGHBOURS + 1
-rows by the window, in a longer one by the blocks. Only a run of the first kind that
-the range partitioning cuts can miss a pair in that order. The work on a run grows
+rows by the window (where the range partitioning cuts a run, by a second window over the
+rows at the cut), in a longer one by the blocks. The work on a run grows
 with the square of its rows that are no near duplicates. Sets are of 64-bit shingle hashes.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
@@ -42,10 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlmeta.llm.common import Words, blocks, map_rows, mix64, shared_folder, to_bytes, written
+from crawlmeta.llm.common import Words, blocks, map_rows, mix64, shared_folder, to_bytes, unused, written
 from crawlmeta.llm.components import connected_components
 
 COLUMNS = 128
@@ -55,6 +56,8 @@ ORDER_BYTES = 64
 DEPTH = 4
 #: Rows before a row in its order that are compared with it.
 NEIGHBOURS = 8
+#: Rows of the sorted orders that one task takes.
+TASK_ROWS = 500_000
 #: Rows of one block of a run that is longer than the window.
 RUN_ROWS = 1 << 14
 #: Shingles of one block of a region.
@@ -153,35 +156,57 @@ class Union:
                             columns=["u", "v"], dtype=np.int64)
 
 
-def _neighbours(classes: DataFrame, threshold: float) -> DataFrame:
-    """Spanning links (u, v) between neighbours in the sorted orders."""
+def _window_links(near: Union, pdf: pd.DataFrame, old: int, threshold: float, least: int) -> None:
+    """Join each row from ``old`` on with its last neighbours in the order."""
+    key = np.frombuffer(b"".join(pdf.key), np.uint8).reshape(len(pdf), ORDER_BYTES)
+    o, rep, n = pdf.o.to_numpy(), pdf.rep.to_numpy(), pdf.n_shingles.to_numpy()
+    for back in range(1, min(NEIGHBOURS, len(pdf) - 1) + 1):
+        i = np.arange(max(back, old), len(pdf))
+        i = i[(o[i] == o[i - back]) & (key[i, :DEPTH] == key[i - back, :DEPTH]).all(1)]
+        i = i[np.minimum(n[i], n[i - back]) >= threshold * np.maximum(n[i], n[i - back])]
+        i = i[(key[i] == key[i - back]).sum(1) >= least]
+        for x, y in zip(rep[i].tolist(), rep[i - back].tolist()):
+            near.join(x, y)
+
+
+def _neighbours(classes: DataFrame, threshold: float, folder: str) -> DataFrame:
+    """Spanning links (u, v) between neighbours in the sorted orders. A task's first and last
+    rows meet those of the tasks beside it in a second, small step."""
     least = int((threshold - SLACK * (threshold * (1 - threshold) / ORDER_BYTES) ** 0.5) * ORDER_BYTES)
     step = COLUMNS // ORDERS
     rows = classes.select(
         "rep", "n_shingles", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"), "sig").select(
         F.expr("cast(o as byte)").alias("o"),
         F.expr(f"substring(concat(sig, sig), o * {step} + 1, {ORDER_BYTES})").alias("key"), "rep", "n_shingles")
+    columns = ["o", "key", "rep", "n_shingles"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        near, kept = Union(), None
+        task = TaskContext.get().partitionId()
+        near, head, kept = Union(), None, None
         for pdf in batches:
+            head = pdf if head is None else head if len(head) >= NEIGHBOURS else pd.concat([head, pdf], ignore_index=True)
+            head = head.iloc[:NEIGHBOURS]
             if kept is not None:
                 pdf = pd.concat([kept, pdf], ignore_index=True)
-            old = 0 if kept is None else len(kept)
-            key = np.frombuffer(b"".join(pdf.key), np.uint8).reshape(len(pdf), ORDER_BYTES)
-            o, rep, n = pdf.o.to_numpy(), pdf.rep.to_numpy(), pdf.n_shingles.to_numpy()
-            for back in range(1, min(NEIGHBOURS, len(pdf) - 1) + 1):
-                i = np.arange(max(back, old), len(pdf))
-                i = i[(o[i] == o[i - back]) & (key[i, :DEPTH] == key[i - back, :DEPTH]).all(1)]
-                i = i[np.minimum(n[i], n[i - back]) >= threshold * np.maximum(n[i], n[i - back])]
-                i = i[(key[i] == key[i - back]).sum(1) >= least]
-                for x, y in zip(rep[i].tolist(), rep[i - back].tolist()):
-                    near.join(x, y)
+            _window_links(near, pdf, 0 if kept is None else len(kept), threshold, least)
             kept = pdf.iloc[-NEIGHBOURS:]
         yield near.links()
+        if kept is not None:
+            yield pd.concat([head.assign(edge=task - 1), kept.assign(edge=task)], ignore_index=True)
+
+    def met(pdf: pd.DataFrame) -> pd.DataFrame:
+        near = Union()
+        _window_links(near, pdf.sort_values(["o", "key", "rep"], ignore_index=True), 0, threshold, least)
+        return near.links()
 
-    ordered = rows.repartitionByRange("o", "key", "rep").sortWithinPartitions("o", "key", "rep")
-    return ordered.mapInPandas(run, "u long, v long")
+    # Tasks hold far more rows than the window, so that no run spans more than two of them.
+    n = classes.count() * ORDERS
+    tasks = max(1, n // TASK_ROWS, min(n // 2_000, 4 * classes.sparkSession.sparkContext.defaultParallelism))
+    ordered = rows.repartitionByRange(tasks, "o", "key", "rep").sortWithinPartitions("o", "key", "rep")
+    found = written(ordered.mapInPandas(run, "u long, v long, edge int, o byte, key binary, rep long, n_shingles long"), folder, "neighbours")
+    edges = found.where("edge IS NOT NULL").groupBy("edge").applyInPandas(
+        lambda pdf: met(pdf[columns].astype({"o": "int64"})), "u long, v long")
+    return found.where("u IS NOT NULL").select("u", "v").union(edges)
 
 
 def _agreeing(sig: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -304,7 +329,7 @@ def near_dedup(docs: DataFrame, width: int = 3, percent: int = 85, id_col: str =
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = written(classes, folder, "classes")
     named = classes.where("rep IS NOT NULL")
-    links = _neighbours(named, percent / 100).union(_run_links(named, percent / 100))
+    links = _neighbours(named, percent / 100, folder).union(_run_links(named, percent / 100))
     near = connected_components(links, f"{folder}/near")
     near = written(near, folder, "regions")
     member = near.select(F.col("node").alias("rep"), F.col("component").alias("region")).union(
@@ -325,5 +350,6 @@ def keep_one(docs: DataFrame, width: int = 3, percent: int = 85, id_col: str = "
     """The rows of ``docs`` that stay, with all their columns: all but those that
     the decision drops. A row without an id stays."""
     found = near_dedup(docs, width, percent, id_col, text_col)
-    drop = found.where(~F.col("kept")).select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(drop, F.col(f"`{id_col}`") == F.col("__drop"), "left_anti")
+    (name,) = unused(docs.columns, "__drop")
+    drop = found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(drop, F.col(f"`{id_col}`") == F.col(name), "left_anti")
