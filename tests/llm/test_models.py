@@ -223,3 +223,29 @@ def test_language_takes_odd_rows(spark):
     nothing = kneser_ney.fit(odd.empty(spark), shared_folder(spark, "t"))
     assert kneser_ney.identify(odd.empty(spark), nothing).collect() == []
     assert {r.lang_pred for r in kneser_ney.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_kneser_ney_tables_and_arrays_agree(spark, monkeypatch):
+    """A model that stays in tables gives what the broadcast one gives, null, empty, repeated and odd texts included."""
+    docs = odd.documents(spark)
+    extra = odd.odd(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    every = docs.unionByName(extra).unionByName(extra)
+    names = ["doc_id", "lang_pred", "rejected", "score", "cross_entropy"]
+    found = []
+    for limit in (kneser_ney.LOCAL_BYTES, -1):
+        monkeypatch.setattr(kneser_ney, "LOCAL_BYTES", limit)
+        model = kneser_ney.fit(docs, shared_folder(spark, "t"))
+        assert (model.tables is None) == (limit > 0)
+        rows = kneser_ney.identify(every, model).select(names).collect()
+        found.append(sorted(((str(r.doc_id), r.lang_pred, r.rejected, round(r.score, 6), None if r.cross_entropy is None else round(r.cross_entropy, 6))
+                             for r in rows), key=str))
+    assert len(found[0]) == every.count() and str(found[0]) == str(found[1])
+    assert {r[1] for r in found[0]} > {"und", "en"}
+
+
+def test_nothing_of_a_large_model_reaches_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "LOCAL_BYTES", -1)
+    model = kneser_ney.fit(odd.documents(spark), shared_folder(spark, "t"))
+    assert not model.gram and not model.share and len(model.tables.gram) == kneser_ney.ORDER
+    plan = kneser_ney.identify(odd.documents(spark), model)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
