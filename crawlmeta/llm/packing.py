@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from crawlmeta.llm.byte_bpe import coder, share_model
+from crawlmeta.llm.byte_bpe import coder, portions, share_model
 
 SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
           "sequence_id long, offset long")
@@ -114,10 +114,9 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0
             return frame.astype({"doc_id": "Int64"})
 
         for pdf in batches:
-            for a in range(0, len(pdf), 256):
-                part = pdf.iloc[a:a + 256]
-                ids = part.doc_id.astype("Int64").tolist()
-                for doc, data in zip(ids, encode(part.text.tolist())):
+            texts, ids = pdf.text.tolist(), pdf.doc_id.astype("Int64").tolist()
+            for a, b in portions(texts):
+                for doc, data in zip(ids[a:b], encode(texts[a:b])):
                     data += end
                     for k, (s, n) in enumerate(cut(len(data) // 4, size)):
                         crc = zlib.crc32(memoryview(data)[4 * s:4 * (s + n)])

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlmeta.llm.byte_bpe import coder, share_model
+from crawlmeta.llm.byte_bpe import coder, portions, share_model
 from crawlmeta.llm.common import local_path, mix64
 
 MANIFEST = "shard int, rows long, ids long, min_key long, max_key long, file string"
@@ -158,14 +158,13 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
         for pdf in batches:
             if ids is None and len(pdf):
                 ids = fs.open_output_stream(path + ".ids")
-            for a in range(0, len(pdf), 256):
-                part = pdf.iloc[a:a + 256]
-                n_null += int(part.k.isna().sum())
-                keys.append(part.k.fillna(0).astype(np.int64).to_numpy())
-                for data in encode(part.t.tolist()):
-                    data += end
-                    sizes.append(len(data) // 4)
-                    ids.write(np.frombuffer(data, "<u4").astype(f"<u{width}").tobytes())
+            texts = pdf.t.tolist()
+            n_null += int(pdf.k.isna().sum())
+            keys.append(pdf.k.fillna(0).astype(np.int64).to_numpy())
+            for a, b in portions(texts):
+                made = [data + end for data in encode(texts[a:b])]
+                sizes += [len(data) // 4 for data in made]
+                ids.write(np.frombuffer(b"".join(made), "<u4").astype(f"<u{width}").tobytes())
         if ids is None:
             return
         ids.close()
