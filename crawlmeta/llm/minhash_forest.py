@@ -179,6 +179,7 @@ def _neighbours(classes: DataFrame, threshold: float, folder: str) -> DataFrame:
         F.expr("cast(o as byte)").alias("o"),
         F.expr(f"substring(concat(sig, sig), o * {step} + 1, {ORDER_BYTES})").alias("key"), "rep", "n_shingles")
     columns = ["o", "key", "rep", "n_shingles"]
+    out, numbers = ["u", "v", "edge", *columns], dict.fromkeys(["u", "v", "edge", "o", "rep", "n_shingles"], "Int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get().partitionId()
@@ -190,9 +191,9 @@ def _neighbours(classes: DataFrame, threshold: float, folder: str) -> DataFrame:
                 pdf = pd.concat([kept, pdf], ignore_index=True)
             _window_links(near, pdf, 0 if kept is None else len(kept), threshold, least)
             kept = pdf.iloc[-NEIGHBOURS:]
-        yield near.links()
+        yield near.links().reindex(columns=out).astype(numbers)
         if kept is not None:
-            yield pd.concat([head.assign(edge=task - 1), kept.assign(edge=task)], ignore_index=True)
+            yield pd.concat([head.assign(edge=task - 1), kept.assign(edge=task)], ignore_index=True).reindex(columns=out).astype(numbers)
 
     def met(pdf: pd.DataFrame) -> pd.DataFrame:
         near = Union()
