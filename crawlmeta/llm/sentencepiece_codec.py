@@ -7,15 +7,17 @@ a Unigram model over the scores or a BPE model whose merges are ordered by them,
 byte fallback, and a decoder.
 
 Where no piece has the metaspace mark after another character, a text falls into
-words that are encoded apart from each other. Each worker encodes a distinct word
-once, in multithreaded batches, and checks that word against the sentencepiece
-library: same ids, and the decoder gives the word back. So parity is verified on
-everything that is encoded, without encoding every text twice. (Of two unigram
-paths with one score the libraries may take different ones: such texts are marked
-as not verified, as are literal marks at the ends of a text whose model trims it.)
-Texts that do not fall into such words (runs of spaces, spaces at their ends) are encoded and
-checked whole. ``round_trip`` also checks every text whole: its ids against those the sentencepiece
-library gives for the text, and the decoding of its ids against that library's.
+words (a run of marks and what follows it) that are encoded apart from each other.
+Each worker encodes a distinct word once, in batches that use as many threads as a
+Spark task has cores (``spark.task.cpus``) unless another number is given. ``encode``
+checks each such word against the sentencepiece library: same ids, and the decoder
+gives the word back. So parity is verified on everything that is encoded, without
+encoding every text twice. (Of two unigram paths with one score the libraries may
+take different ones: such texts are marked as not verified, as are literal marks at
+the ends of a text whose model trims it.) Texts of other models are encoded and
+checked whole. ``round_trip`` checks every text whole instead, which holds for its words too:
+its ids against those the sentencepiece library gives for the text, and the decoding
+of its ids against that library's.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; null
 ids decode to an empty text; a null id column value stays null; repeated rows are
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,8 +44,9 @@ from crawlmeta.llm.byte_bpe import share_model
 
 MARK = "▁"
 #: Words that a worker remembers before it starts anew, and words of one call.
-REMEMBERED = 600_000
+REMEMBERED = 1_500_000
 PER_CALL = 64
+_WORD = re.compile(f"{MARK}+[^{MARK}]*")
 # Fixed values of the public model format.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
@@ -140,7 +144,7 @@ class PieceModel:
 
 
 class Codec:
-    """Encodes and decodes batches; ``known`` maps a word to its ids and whether they were verified."""
+    """Encodes and decodes batches; ``known`` maps a word, without its first mark, to its ids."""
 
     def __init__(self, data: bytes, threads: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -153,7 +157,11 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.words = model.by_words()
         self.opens = np.array([p.startswith(MARK) for p, _, _ in model.pieces])
-        self.known: dict[str, tuple[bytes, bool]] = {}
+        self.known: dict[str, bytes] = {}
+        self.checked: set[str] = set()
+        self.doubtful: set[str] = set()  # words that the reference encodes or decodes otherwise
+        if self.words:
+            self.known[""] = self.whole(["a "])[0][len(self.whole(["a"])[0]):].tobytes()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -162,40 +170,77 @@ class Codec:
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
-    def _verified(self, texts: list[str], ids: list[np.ndarray]) -> list[tuple[bytes, bool]]:
-        lists = [x.tolist() for x in ids]
-        wanted = self.reference.encode(texts, num_threads=self.threads)
+    def agrees(self, texts: list[str], ids: list[bytes]) -> tuple[list[bool], list[str], list[bool]]:
+        """Whether the reference has the same ids of each text; the decoded texts; whether it decodes alike."""
+        wanted = self.reference.encode(texts, out_type="numpy", num_threads=self.threads)
+        same = [x == y.astype("<u4", copy=False).tobytes() for x, y in zip(ids, wanted)]
+        lists = [np.frombuffer(x, "<u4").tolist() for x in ids]
         back = self.decode(lists)
-        again = self.reference.decode(wanted, num_threads=self.threads)
-        return [(i.tobytes(), a == b and c == d) for i, a, b, c, d in zip(ids, lists, wanted, back, again)]
+        again = self.reference.decode(lists, num_threads=self.threads)
+        return same, back, [x == y for x, y in zip(back, again)]
+
+    def _verified(self, texts: list[str], ids: list[np.ndarray]) -> list[tuple[bytes, bool]]:
+        if not texts:
+            return []
+        made = [x.tobytes() for x in ids]
+        same, _, back = self.agrees(texts, made)
+        return [(x, a and b) for x, a, b in zip(made, same, back)]
 
     def _learn(self, words: list[str]) -> None:
-        ids: list[np.ndarray] = []
-        groups = [words[i:i + PER_CALL] for i in range(0, len(words), PER_CALL)]
+        plain = [w for w in words if MARK not in w]
+        marked = [w for w in words if MARK in w]  # a run of marks may be several pieces
+        self.known.update(zip(marked, [x.tobytes() for x in self.whole(marked)]))
+        groups = [plain[i:i + PER_CALL] for i in range(0, len(plain), PER_CALL)]
         for group, together in zip(groups, self.whole([" ".join(g) for g in groups])):
             first = np.flatnonzero(self.opens[together])
-            ids += np.split(together, first[1:]) if len(first) == len(group) and first[0] == 0 else self.whole(group)
-        self.known.update(zip(words, self._verified(words, ids)))
+            if len(first) == len(group) and first[0] == 0:
+                data, at = together.tobytes(), (first * 4).tolist()
+                self.known.update(zip(group, [data[a:b] for a, b in zip(at, [*at[1:], len(data)])]))
+            else:
+                self.known.update(zip(group, [x.tobytes() for x in self.whole(group)]))
+
+    def _check(self, words: set[str]) -> None:
+        new = list(words - self.checked)
+        ok = self._verified(new, [np.frombuffer(self.known[w], "<u4") for w in new])
+        self.checked.update(new)
+        self.doubtful.update(w for w, (_, good) in zip(new, ok) if not good)
+
+    def _cut(self, text: str) -> list[str]:
+        if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+            return [w[1:] for w in _WORD.findall(MARK + text.replace(" ", MARK))]
+        return text.split(" ")
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids as little-endian unsigned 32-bit bytes."""
+        if not self.words:
+            return [x.tobytes() for x in self.whole(texts)]
+        if len(self.known) > REMEMBERED:
+            self.known, self.checked = {"": self.known[""]}, set()
+        look, join, out, late = self.known.__getitem__, b"".join, [], []
+        for i, t in enumerate(texts):
+            cut = self._cut(t) if t else []
+            try:
+                out.append(join(map(look, cut)))
+            except KeyError:
+                out.append(b"")
+                late.append((i, cut))
+        if late:
+            self._learn(list(set().union(*(cut for _, cut in late)).difference(self.known)))
+            for i, cut in late:
+                out[i] = join(map(look, cut))
+        return out
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bool]]:
         """Ids as little-endian unsigned 32-bit bytes, and whether all of them were verified."""
         texts = [t or "" for t in texts]
-        apart = [self.words and t != "" and "  " not in t and t[0] != " " and t[-1] != " " and MARK not in t for t in texts]
-        cuts = [t.split(" ") if a else [] for t, a in zip(texts, apart)]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        wanted = set().union(*cuts) if cuts else set()
-        self._learn(list(wanted - self.known.keys()))
-        rest = [t for t, a in zip(texts, apart) if not a]
-        others = iter(self._verified(rest, self.whole(rest)))
-        out = []
-        for cut, a in zip(cuts, apart):
-            if a:
-                found = [self.known[w] for w in cut]
-                out.append((b"".join([x for x, _ in found]), all(ok for _, ok in found)))
-            else:
-                out.append(next(others))
-        return out
+        if not self.words:
+            return self._verified(texts, self.whole(texts))
+        made = self.ids(texts)
+        cuts = [self._cut(t) if t else [] for t in texts]
+        # The word of a last space exists only behind another one: its ids are checked with the texts they end.
+        self._check(set().union(*cuts) - {""})
+        return [(x, self.doubtful.isdisjoint(cut) and ("" not in cut or self._verified([t], [np.frombuffer(x, "<u4")])[0][1]))
+                for t, x, cut in zip(texts, made, cuts)]
 
 
 _codecs: dict[tuple[int, int], Codec] = {}
@@ -209,10 +254,15 @@ def codec(model: Broadcast, threads: int) -> Codec:
     return _codecs[key]
 
 
-def encode(docs: DataFrame, model_path: str, threads: int = 2, with_ids: bool = True, id_col: str = "doc_id",
+def task_threads(df: DataFrame) -> int:
+    """The cores that one task has: more threads than that would wait for other tasks' cores."""
+    return int(df.sparkSession.sparkContext.getConf().get("spark.task.cpus", "1"))
+
+
+def encode(docs: DataFrame, model_path: str, threads: int | None = None, with_ids: bool = True, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Per row: doc_id, ids (unless left out), n_tokens, ids_crc32, parity."""
-    model = share_model(docs.sparkSession, model_path)
+    model, threads = share_model(docs.sparkSession, model_path), threads or task_threads(docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(model, threads)
@@ -231,11 +281,11 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, with_ids: bool =
     return rows.mapInPandas(run, f"doc_id long, {ids}n_tokens long, ids_crc32 long, parity boolean")
 
 
-def round_trip(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "doc_id",
+def round_trip(docs: DataFrame, model_path: str, threads: int | None = None, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_crc32, parity (the words' and that of the whole text's ids),
+    """Per row: doc_id, n_tokens, ids_crc32, parity (the whole text's ids),
     decoded_sha256 of the text that the ids decode to, decoded_parity (the reference's decoding is equal)."""
-    model = share_model(docs.sparkSession, model_path)
+    model, threads = share_model(docs.sparkSession, model_path), threads or task_threads(docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(model, threads)
@@ -243,25 +293,22 @@ def round_trip(docs: DataFrame, model_path: str, threads: int = 2, id_col: str =
             for a in range(0, len(pdf), 512):
                 part = pdf.iloc[a:a + 512]
                 texts = [t or "" for t in part.text]
-                made = own.encode(texts)
-                ids = [np.frombuffer(x, "<u4").tolist() for x, _ in made]
-                wanted = own.reference.encode(texts, num_threads=threads)
-                back, again = own.decode(ids), own.reference.decode(ids, num_threads=threads)
+                made = own.ids(texts)
+                same, back, back_same = own.agrees(texts, made)
                 yield pd.DataFrame({
-                    "doc_id": part.doc_id.to_numpy(), "n_tokens": [len(x) for x in ids],
-                    "ids_crc32": [zlib.crc32(x) for x, _ in made],
-                    "parity": [ok and x == y for (_, ok), x, y in zip(made, ids, wanted)],
+                    "doc_id": part.doc_id.to_numpy(), "n_tokens": [len(x) // 4 for x in made],
+                    "ids_crc32": [zlib.crc32(x) for x in made], "parity": same,
                     "decoded_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back],
-                    "decoded_parity": [x == y for x, y in zip(back, again)]})
+                    "decoded_parity": back_same})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_crc32 long, parity boolean, "
                                  "decoded_sha256 string, decoded_parity boolean")
 
 
-def decode(encoded: DataFrame, model_path: str, threads: int = 2) -> DataFrame:
+def decode(encoded: DataFrame, model_path: str, threads: int | None = None) -> DataFrame:
     """doc_id and text of rows (doc_id, ids)."""
-    model = share_model(encoded.sparkSession, model_path)
+    model, threads = share_model(encoded.sparkSession, model_path), threads or task_threads(encoded)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(model, threads)
