@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 
 from crawlmeta.functions.resolve import with_resolved
 from crawlmeta.operators.reach import least_depths, sized
-from crawlmeta.operators.sitemap_docs import KIND_FAILED, KIND_INDEX, KIND_INVALID, KIND_URLSET, parse_sitemaps
+from crawlmeta.operators.sitemap_docs import KIND_FAILED, KIND_INDEX, KIND_INVALID, KIND_URLSET
+from crawlmeta.operators.sitemap_rows import location_rows
 from crawlmeta.operators.visited import Visited
 from crawlmeta.session import work_folder
 
@@ -88,19 +89,19 @@ class Fetched:
 
 def documents_to_fetched(docs: DataFrame) -> Fetched:
     """(url, body) -> parsed status + resolved edges. One pass parses the
-    bodies into a table; the children of indexes are a second, small table."""
+    bodies into a table of URL rows; the children of indexes are a second, small
+    table."""
     spark = docs.sparkSession
     folder = work_folder(spark, "documents")
-    parsed = parse_sitemaps(docs.select("url", "body")).select(
-        "url", F.col("doc.kind").alias("kind"), F.col("doc.locs").alias("locs"), F.col("doc.error").alias("error"))
     with small_arrow_batches(spark):
-        parsed = _table(parsed, f"{folder}/parsed")
+        rows = _table(location_rows(docs), f"{folder}/rows")
 
     def edges(kind: str) -> DataFrame:
-        locs = parsed.where(F.col("kind") == kind).select("url", F.explode("locs").alias("loc"))
+        locs = rows.where((F.col("kind") == kind) & (F.col("loc_no") > 0)).select("url", "loc")
         return with_resolved(locs, "url", "loc", "target").where("target IS NOT NULL").select("url", "target")
 
-    return Fetched(parsed.select("url", "kind", "error"), _table(edges(KIND_INDEX), f"{folder}/index_edges"), edges(KIND_URLSET))
+    status = rows.where("loc_no = 0").select("url", "kind", "error")
+    return Fetched(status, _table(edges(KIND_INDEX), f"{folder}/index_edges"), edges(KIND_URLSET))
 
 
 def _union_fetched(a: Fetched, b: Fetched) -> Fetched:

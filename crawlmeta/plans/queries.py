@@ -24,6 +24,7 @@ from crawlmeta.operators import crawl as crawl_op
 from crawlmeta.operators import geo, quality, robots
 from crawlmeta.operators.metrics import archive_results
 from crawlmeta.operators.sitemap_docs import parse_sitemaps
+from crawlmeta.operators.sitemap_rows import location_rows
 from crawlmeta.session import checkpoint_dir, ship_package, work_folder
 from crawlmeta.sinks import robots_files, snapshots
 from crawlmeta.sinks import tsv as tsv_sink
@@ -302,6 +303,11 @@ def q_sitemap_docs(spark, sf_dir):
                     F.col("doc.error").alias("error"))
 
 
+def q_sitemap_location_rows(spark, sf_dir):
+    """The documents as rows of URLs, as the crawl reads them."""
+    return location_rows(documents_b(spark, sf_dir)).select("url", "kind", "error", F.col("loc_no").cast("long").alias("loc_no"), "loc")
+
+
 # References resolved against every page URL besides its own
 # links (directory query, empty, above-root, scheme case and double slash,
 # network path, opaque, space, dot segments).
@@ -337,6 +343,7 @@ def q_crawl_counters(spark, sf_dir):
 
 QUERIES.update({
     "sitemap_docs": q_sitemap_docs,
+    "sitemap_location_rows": q_sitemap_location_rows,
     "resolve_loc": q_resolve_loc,
     "crawl_links": q_crawl_links,
     "crawl_counters": q_crawl_counters,

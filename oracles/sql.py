@@ -579,3 +579,9 @@ with d as (select trim(regexp_replace(lower(n_name), '[^a-z0-9]+', '-', 'g'), '-
              '.n' || cast(n_nationkey as varchar) as suffix from nation where n_nationkey % 5 <> 0)
 select 'dimension' as part, * from d
 union all select 'supported', country_key, null, null from (select distinct country_key from d order by country_key limit 12)"""
+
+ORACLE["sitemap_location_rows"] = "with d as (" + ORACLE["sitemap_docs"] + """),
+l as (select url, kind, string_split(locs, ' ') as locs from d where locs is not null),
+i as (select url, kind, locs, unnest(generate_series(1, len(locs))) as i from l)
+select url, kind, error, cast(0 as bigint) as loc_no, cast(null as varchar) as loc from d
+union all select url, kind, null, cast(i as bigint), locs[i] from i"""
