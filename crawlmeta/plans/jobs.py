@@ -247,14 +247,11 @@ def _filter_input(spark: SparkSession, in_root: str, suffix: str = tsv.SITEMAPS_
 
 def filter_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, dim: DataFrame,
                         suffix: str = tsv.SITEMAPS_SUFFIX, snapshots: bool = False) -> JobResult:
-    rows, _ = _filter_input(spark, in_root, suffix)
-    counts = tsv.parse_local_sitemap_rows(tsv.read_lines(spark, in_root, suffix)).agg(
-        F.count_if(F.col("status") == "ok").alias("read_rows"),
-        F.count_if(F.col("status") == "malformed").alias("malformed_rows")).first().asDict()
-    cls = geo.classify(rows, dim, "robots_host", "sitemap_url")
+    rows, obs = _filter_input(spark, in_root, suffix)
+    kept = Observation("kept")
+    cls = geo.classify(rows, dim, "robots_host", "sitemap_url").observe(kept, F.count(F.lit(1)).alias("kept_rows"))
     tsv_sink.write_grouped(cls, tsv.CLASSIFIED_COLUMNS, out_path, snapshots)
-    kept = tsv_sink.read_grouped(spark, out_path).where(F.col("out_group") == tsv_sink.COUNTRY_GROUP).count()
-    return JobResult({**counts, "kept_rows": kept})
+    return JobResult({**dict(obs.get), **dict(kept.get)})
 
 
 def local_country_sitemaps_job(spark: SparkSession, in_root: str, out_path: str, country: str,
