@@ -103,14 +103,16 @@ def statistics_column(text: Column) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """text and label (0 or 1) of at most ``rows`` labelled training rows, chosen by a hash of
-    the id. The chosen labels are a table of bounded size and are broadcast."""
+    """text and label (0 or 1) of at most ``rows`` labelled training documents, chosen by a hash of
+    the id; of rows that repeat an id the least text counts. The chosen labels are a table of bounded size and are broadcast."""
     ship_package(docs.sparkSession)
     chosen = (labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__label"))
               .where(is_train("__id") & F.col("__label").isin(0, 1))
               .orderBy(F.xxhash64("__id"), "__id", "__label").limit(rows))
     left = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text"))
-    return left.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("text", F.col("__label").alias("label"))
+    met = left.join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))
+    # Rows that repeat an id count once: the sample keeps its bound.
+    return met.groupBy("__doc", "__label").agg(F.min("text").alias("text")).select("text", F.col("__label").alias("label"))
 
 
 def grow_tree(x: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, depth: int, least: int) -> list[tuple]:

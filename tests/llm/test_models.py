@@ -249,3 +249,10 @@ def test_nothing_of_a_large_model_reaches_the_driver(spark, monkeypatch):
     assert not model.gram and not model.share and len(model.tables.gram) == kneser_ney.ORDER
     plan = kneser_ney.identify(odd.documents(spark), model)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
+
+
+def test_the_labelled_sample_keeps_its_bound_with_repeated_ids(spark):
+    docs = spark.range(400).selectExpr("id % 40 as doc_id", "concat('t', lpad(cast(id as string), 3, '0')) as text")
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    got = quality_rules.labelled_sample(docs, labels.union(labels), "quality", 25).collect()
+    assert 10 <= len(got) <= 25 and all(r.text < "t040" and int(r.text[1:]) % 2 == r.label for r in got)
