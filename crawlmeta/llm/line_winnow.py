@@ -12,12 +12,15 @@ Places with one fingerprint are a group. An aggregate keeps the group's first pl
 (doc_id, line), combined map-side, and every other place is compared with that first
 one only, so a passage in many texts gives as many rows, not pairs. The match is
 extended both ways over the two line sequences, and the run is deleted from the later
-place. Another earlier text may share more than the first: places that leave the
-first one after the same number of lines, with the same next line, form a new group
-(ahead and back apart), whose own first place the others are compared with in the next
-round. Any two places that share more lines than they share with the first are in
-one such group, so rounds go on until no group has two places, and then no run that
-an earlier text holds is left. Line sequences travel as hashes, texts only to be
+place. Another earlier text may share more than the first. Ahead, places that leave the
+first one after the same number of lines, with the same next line, form a new group,
+whose own first place the others are compared with in the next round; any two places
+that share more lines than they share with the first are in one such group, so rounds
+go on until no group has two places. Back, only what lies less than a window before an anchor matters,
+since a run that begins earlier has an anchor nearer to its beginning: the groups
+of places that share one line more, two lines more, ... are named at once, and one
+aggregate finds the longest that has an earlier place. Then no run of twice
+WINDOW_WORDS words that an earlier text holds is left. Line sequences travel as hashes, texts only to be
 rewritten. Runs are runs of whole lines: a passage inside differing lines is not found.
 
 Defined cases: a null or empty text has no lines and stays as it is; texts of
@@ -41,7 +44,7 @@ from crawlmeta.llm.common import Words, blocks, map_rows, shared_folder, to_byte
 #: Words of a window; runs of twice as many that repeat are always found.
 WINDOW_WORDS = 25
 LINES = "doc_id long, h long, hashes array<long>, words array<int>"
-PLACES = "doc_id long, h long, line long, g long, way int"  # way: 0 both ways, 1 ahead, -1 back
+PLACES = "doc_id long, h long, line long, g long, back array<long>"
 
 
 def line_table(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -82,64 +85,80 @@ def extend(late: np.ndarray, j: int, early: np.ndarray, i: int) -> tuple[int, in
 
 
 def _begun(lines: DataFrame, least: int) -> DataFrame:
-    """Every fingerprint's place: doc_id, h, line, and the group ``g`` of the places that share it."""
+    """Every fingerprint's place: doc_id, h, line, the group ``g`` of the places that share it, and in ``back``
+    the names of the groups that also share one line, two lines, ... before it, for less than a window."""
     def places(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = [(doc, h, line, f, 0) for doc, h, hashes, words in zip(pdf.doc_id, pdf.h, pdf.hashes, pdf.words)
-               for line, f in fingerprints(np.asarray(hashes, np.int64), np.asarray(words), least)]
-        return pd.DataFrame(out, columns=["doc_id", "h", "line", "g", "way"])
+        out = []
+        for doc, h, hashes, words in zip(pdf.doc_id, pdf.h, pdf.hashes, pdf.words):
+            hashes, words = np.asarray(hashes, np.int64), np.asarray(words)
+            for line, f in fingerprints(hashes, words, least):
+                back, name, total = [], f, 0
+                for k in range(line - 1, -1, -1):
+                    total += int(words[k])
+                    if total >= least:
+                        break
+                    name = hash((name, int(hashes[k])))
+                    back.append(name)
+                out.append((doc, h, line, f, back))
+        return pd.DataFrame(out, columns=["doc_id", "h", "line", "g", "back"])
 
     return map_rows(lines, places, PLACES)
 
 
+def _first_places(state: DataFrame) -> DataFrame:
+    """g and its first place, for groups of several places."""
+    return (state.groupBy("g").agg(F.min(F.struct("doc_id", "h", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
+            .where("n > 1").select("g", "first"))
+
+
+def _runs_before(state: DataFrame) -> DataFrame:
+    """The lines before a place that an earlier place has too. A run that begins further back than a window
+    has an anchor nearer to its beginning, so all lengths are known beforehand and one aggregate finds the longest."""
+    several = state.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
+    backs = state.join(several, "g", "left_semi").select("doc_id", "h", "line", F.posexplode("back").alias("k", "g"))
+    held = backs.join(_first_places(backs), "g").where("struct(doc_id, h, line) > first")
+    longest = held.groupBy("doc_id", "h", "line").agg(F.max("k").alias("k"))
+    return longest.select("doc_id", "h", F.expr("cast(line - k - 1 as int)").alias("a"), F.col("line").cast("int").alias("b"))
+
+
 def _compared(hits: DataFrame) -> DataFrame:
-    """The run that each place shares with its group's first place, and the groups that it goes on in:
+    """The run that each place shares with its group's first place, and the group that it goes on in:
     places that leave the first one after the same lines, with the same next line."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for doc, h, found, late, early in zip(pdf.doc_id, pdf.h, pdf.hits, pdf.hashes, pdf.early):
             late, early = np.asarray(late, np.int64), np.asarray(early, np.int64)
             done: dict[int, tuple[int, int]] = {}
-            for j, i, g, way in sorted((int(x["line"]), int(x["at"]), int(x["g"]), int(x["way"])) for x in found):
+            for j, i, g in sorted((int(x["line"]), int(x["at"]), int(x["g"])) for x in found):
                 a, b = done.get(j - i, (0, 0))
                 if b <= j:
                     a, b = done[j - i] = extend(late, j, early, i)
-                if b <= j:
-                    continue  # not the lines of the first place: a collision of hashes
-                after = hash((g, b - j, int(late[b]), 1)) if way >= 0 and b < len(late) else None
-                before = hash((g, j - a, int(late[a - 1]), -1)) if way <= 0 and a > 0 else None
-                out.append((doc, h, a if way <= 0 else j, b if way >= 0 else j + 1, j, after, before))
-        return pd.DataFrame(out, columns=["doc_id", "h", "a", "b", "line", "after", "before"]).astype(
-            {"after": "Int64", "before": "Int64"})
+                if b > j:  # else not the lines of the first place: a collision of hashes
+                    out.append((doc, h, a, b, j, hash((g, b - j, int(late[b]))) if b < len(late) else None))
+        return pd.DataFrame(out, columns=["doc_id", "h", "a", "b", "line", "after"]).astype({"after": "Int64"})
 
-    return map_rows(hits, run, "doc_id long, h long, a int, b int, line long, after long, before long")
+    return map_rows(hits, run, "doc_id long, h long, a int, b int, line long, after long")
 
 
 def repeated_runs(lines: DataFrame, folder: str, least: int = WINDOW_WORDS) -> DataFrame:
     """(doc_id, h, runs): runs [a, b) of line numbers to delete; h is the text's hash."""
-    state = written(_begun(lines, least), folder, "places-0")
+    begun = written(_begun(lines, least), folder, "places")
     source = lines.select(F.col("doc_id").alias("from_doc"), F.col("h").alias("from_h"), F.col("hashes").alias("early"))
-    rounds, found = 0, []
+    every = _runs_before(begun)
+    state, rounds = begun.drop("back"), 0
     while True:
-        first = (state.groupBy("g").agg(F.min(F.struct("doc_id", "h", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").select("g", "first"))
-        met = (state.join(first, "g").where("struct(doc_id, h, line) > first")
+        met = (state.join(_first_places(state), "g").where("struct(doc_id, h, line) > first")
                .groupBy("doc_id", "h", F.col("first.doc_id").alias("from_doc"), F.col("first.h").alias("from_h"))
-               .agg(F.collect_list(F.struct("line", F.col("first.line").alias("at"), "g", "way")).alias("hits")))
+               .agg(F.collect_list(F.struct("line", F.col("first.line").alias("at"), "g")).alias("hits")))
         both = met.join(lines, ["doc_id", "h"]).join(source, ["from_doc", "from_h"])
         made = written(_compared(both.select("doc_id", "h", "hits", "hashes", "early")), folder, f"runs-{rounds}")
-        found.append(made.select("doc_id", "h", "a", "b"))
-        rounds += 1
-        ways = F.array(F.struct(F.col("after").alias("g"), F.lit(1).alias("way")), F.struct(F.col("before").alias("g"), F.lit(-1).alias("way")))
-        onward = made.select("doc_id", "h", "line", F.inline(ways)).where("g IS NOT NULL")
+        every, rounds = every.union(made.select("doc_id", "h", "a", "b")), rounds + 1
+        onward = made.where("after IS NOT NULL").select("doc_id", "h", "line", F.col("after").alias("g"))
         # A place that is alone in its group has no further holder.
         several = onward.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
         state = written(onward.join(several, "g", "left_semi"), folder, f"places-{rounds}")
         if not state.limit(1).count():
-            break
-    every = found[0]
-    for more in found[1:]:
-        every = every.union(more)
-    return every.groupBy("doc_id", "h").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
+            return every.groupBy("doc_id", "h").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
 
 
 def without_lines(text: str, drop: set[int]) -> str:
