@@ -20,10 +20,10 @@ from pyspark.sql import SparkSession
 
 from crawlmeta.session import ship_package
 
-#: Distinct pieces, and characters of them, that a worker remembers before it starts anew (some 400 MB).
-REMEMBERED, HELD_CHARS = 1_600_000, 1 << 25
+#: Distinct pieces, and characters of them, that a worker remembers before it starts anew (some 200 MB).
+REMEMBERED, HELD_CHARS = 800_000, 1 << 25
 #: Texts, and characters of them, of one call.
-PORTION, PORTION_CHARS = 1024, 1 << 22
+PORTION, PORTION_CHARS = 1024, 1 << 21
 _ALONE = re.compile(r"\s")
 _CUT = re.compile(r" (?=\S)")
 _NO_CUT = re.compile(r" (?:\s|\Z)")

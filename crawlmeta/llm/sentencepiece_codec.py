@@ -44,7 +44,7 @@ from crawlmeta.llm.byte_bpe import share_model
 
 MARK = "▁"
 #: Words that a worker remembers before it starts anew, and words of one call.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 PER_CALL = 64
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 # Fixed values of the public model format.

@@ -21,7 +21,7 @@ the results. The manifest has one row per shard.
 
 Defined cases: null or empty text is the end id alone; null keys come first and
 have no index entry; repeated keys are stored once per row, ordered by the
-text's hash, and a lookup returns all of them; an empty table is a store without
+text's hash (in several shards if they are many), and a lookup returns all of them; an empty table is a store without
 shards; further columns are not read.
 """
 
@@ -136,6 +136,11 @@ class Shard:
         data = self.ids.read_at((hi - lo) * int(self.width), lo * int(self.width))
         return np.frombuffer(data, f"<u{self.width}").astype("<u4")
 
+    def span(self, lo: int, hi: int) -> bytes:
+        """The ids lo to hi (exclusive) of the shard, as little-endian 32-bit integers."""
+        data = self.ids.read_at((hi - lo) * int(self.width), lo * int(self.width))
+        return np.frombuffer(data, f"<u{self.width}").astype("<u4").tobytes()
+
     def close(self) -> None:
         self.ids.close()
 
@@ -161,6 +166,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
             texts = pdf.t.tolist()
             n_null += int(pdf.k.isna().sum())
             keys.append(pdf.k.fillna(0).astype(np.int64).to_numpy())
+            del pdf
             for a, b in portions(texts):
                 made = [data + end for data in encode(texts[a:b])]
                 sizes += [len(data) // 4 for data in made]
@@ -178,8 +184,10 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
                            columns=["shard", "rows", "ids", "min_key", "max_key", "file"]).astype(
             {"min_key": "Int64", "max_key": "Int64"})
 
-    rows = docs.selectExpr(f"`{id_col}` AS k", f"`{text_col}` AS t").withColumn("h", F.xxhash64("t"))
-    parts = rows.repartitionByRange("k", "h").sortWithinPartitions("k", "h")
+    # A number of its own for every row: rows that repeat id and text can lie in several shards.
+    rows = docs.selectExpr(f"`{id_col}` AS k", f"`{text_col}` AS t").withColumns(
+        {"h": F.xxhash64("t"), "row": F.monotonically_increasing_id()})
+    parts = rows.repartitionByRange("k", "h", "row").sortWithinPartitions("k", "h", "row").drop("row")
     parts.mapInPandas(run, MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
     return open_store(spark, folder)
 
@@ -191,8 +199,8 @@ def open_store(spark: SparkSession, folder: str) -> DataFrame:
             .withColumn("first_id", F.coalesce(F.sum("ids").over(before), F.lit(0).cast("long"))))
 
 
-def read_store(manifest: DataFrame, tasks: int | None = None) -> DataFrame:
-    """All records, each found through the index by its key, one task per shard."""
+def read_store(manifest: DataFrame, tasks: int | None = None, part_ids: int = _READ_IDS) -> DataFrame:
+    """All records, one task per shard: each key's slot, fingerprint and offset lead to its ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -200,21 +208,25 @@ def read_store(manifest: DataFrame, tasks: int | None = None) -> DataFrame:
                 s = Shard(row.file)
                 a = 0
                 while a < s.n:
-                    b = max(a + 1, int(np.searchsorted(s.offsets, s.offsets[a] + _READ_IDS, "right")) - 1)
+                    b = max(a + 1, int(np.searchsorted(s.offsets, s.offsets[a] + part_ids, "right")) - 1)
                     keys = s.keys[a:b]
-                    found = s.find(keys)
                     null = np.arange(a, b) < s.n_null
-                    first = np.searchsorted(s.keys[s.n_null:], keys) + s.n_null
-                    if not np.array_equal(found[~null], first[~null]):
+                    # slot -> fingerprint -> first record of the key; the rows that repeat it follow there
+                    new = np.concatenate([[True], (keys[1:] != keys[:-1]) | null[:-1]])
+                    which = np.cumsum(new) - 1
+                    begin = np.flatnonzero(new)
+                    seen = np.searchsorted(s.keys[s.n_null:a], keys[0]) if a > s.n_null else 0
+                    before = np.where(which == 0, max(0, a - s.n_null - int(seen)), 0)  # rows of the key in the part before
+                    at = np.where(null, np.arange(a, b), s.find(keys[begin])[which] + np.arange(b - a) - begin[which] + before)
+                    if (at < 0).any() or (at >= s.n).any():
                         raise ValueError(f"the index of {row.file} does not fit its keys")
-                    at = np.arange(a, b)
-                    ids = s.read(a, b)
-                    rel = s.offsets[a:b + 1] - s.offsets[a]
-                    view = memoryview(ids.tobytes())
+                    lo, hi = s.offsets[at], s.offsets[at + 1]
+                    low = int(lo.min())
+                    view = memoryview(s.span(low, int(hi.max())))
                     yield pd.DataFrame({
                         "doc_id": pd.arrays.IntegerArray(keys.copy(), null), "shard": row.shard,
-                        "start": s.offsets[at] + row.first_id, "n_tokens": np.diff(rel),
-                        "ids_crc32": [zlib.crc32(view[4 * x:4 * y]) for x, y in zip(rel[:-1], rel[1:])]})
+                        "start": lo + row.first_id, "n_tokens": hi - lo,
+                        "ids_crc32": [zlib.crc32(view[4 * (x - low):4 * (y - low)]) for x, y in zip(lo.tolist(), hi.tolist())]})
                     a = b
                 s.close()
 

@@ -205,3 +205,26 @@ def test_sentencepiece_query_decodes_whole_texts(spark):
     rows = sentencepiece_codec.round_trip(odd.odd(spark), PIECES).collect()
     assert len(rows) == len(odd.rows()) and all(r.parity and r.decoded_parity for r in rows)
     assert sentencepiece_codec.round_trip(odd.empty(spark), PIECES).collect() == []
+
+
+def test_store_with_a_key_that_most_rows_repeat(spark, tokenizer):
+    """The rows of a hot key are dealt to several shards, read back through the index in parts, and all found."""
+    rows = [(7, "the same text")] * 3000 + [(7, f"other {i}") for i in range(200)] + [(i, f"t {i}") for i in range(300)] + [(None, "x")] * 5
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        manifest = token_store.write_store(docs, shared_folder(spark, "hot"), BPE)
+        assert manifest.where("min_key <= 7 AND max_key >= 7").count() > 2
+        for part_ids in (50, 1 << 20):
+            got = sorted((r.start, r.n_tokens, -1 if r.doc_id is None else r.doc_id, r.ids_crc32)
+                         for r in token_store.read_store(manifest, 2, part_ids).collect())
+            want = sorted((-1 if k is None else k, crc(ids_of(tokenizer, t) + [2])) for k, t in rows)
+            assert sorted((k, c) for _, _, k, c in got) == want
+            assert [s for s, *_ in got] == [0, *np.cumsum([n for _, n, *_ in got])[:-1].tolist()]
+            assert [k for _, _, k, _ in got] == sorted(k for _, _, k, _ in got)
+        keys = spark.createDataFrame([(7,), (299,), (12345,)], "doc_id long")
+        assert sorted(r.doc_id for r in token_store.lookup(manifest, keys).collect()) == [7] * 3201 + [299]
+    finally:
+        spark.conf.set(key, old)
