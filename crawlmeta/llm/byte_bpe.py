@@ -20,7 +20,8 @@ from pyspark.sql import SparkSession
 
 from crawlmeta.session import ship_package
 
-#: Distinct pieces, and characters of them, that a worker remembers before it starts anew (some 200 MB).
+#: Distinct pieces, and characters of them, that a worker remembers before it starts anew (some 200 MB;
+#: with twice as many, two workers and their executor came to over 3,000 MB).
 REMEMBERED, HELD_CHARS = 800_000, 1 << 25
 #: Texts, and characters of them, of one call.
 PORTION, PORTION_CHARS = 1024, 1 << 21
