@@ -204,6 +204,17 @@ def _is_xml(body: Column) -> Column:
     return decode_body(head).rlike(docs_op._XML_HEAD)
 
 
+def _lists(df: DataFrame) -> DataFrame:
+    """url, doc of documents that are not XML; one Python step, for gzip layers only."""
+    zipped = F.substring("body", 1, 2) == F.lit(docs_op.GZIP_MAGIC)
+    x = df.withColumn("unzipped", docs_op._gunzip(F.when(zipped, F.col("body"))))
+    x = x.withColumn("data", F.when(zipped, F.col("unzipped")["data"]).otherwise(F.col("body")))
+    doc = (F.when(F.col("body").isNull(), docs_op._result(KIND_FAILED, error=F.lit(docs_op.ERR_NO_DOCUMENT)))
+           .when(F.col("data").isNull(), docs_op._result(KIND_FAILED, error=docs_op._error(docs_op.ERR_GZIP, F.col("unzipped")["problem"])))
+           .otherwise(docs_op.text_result(F.col("data"))))
+    return x.select("url", doc.alias("doc"))
+
+
 def location_rows(df: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
     """(url, kind, error, loc_no, loc) of the documents of ``df``."""
     ship_package(df.sparkSession)
@@ -216,7 +227,7 @@ def location_rows(df: DataFrame, url: str = "url", body: str = "body") -> DataFr
     kind = F.when(F.col("loc_no") == 0, F.col("status.kind")).when(F.col("root") == KIND_INDEX, KIND_INDEX).otherwise(KIND_URLSET)
     from_xml = read.withColumn("status", F.when(F.col("loc_no") == 0, status)).select(
         "url", kind.alias("kind"), F.col("status.error").alias("error"), "loc_no", "loc")
-    lists = docs_op.parse_sitemaps(every.where("NOT xml").select("url", "body"))
+    lists = _lists(every.where("NOT xml").select("url", "body"))
     numbered = F.concat(F.array(F.struct(F.lit(0).alias("loc_no"), F.lit(None).cast("string").alias("loc"))), F.coalesce(
         F.transform("doc.locs", lambda x, i: F.struct((i + 1).alias("loc_no"), x.alias("loc"))),
         F.array().cast("array<struct<loc_no: int, loc: string>>")))
