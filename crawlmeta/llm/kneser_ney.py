@@ -21,8 +21,9 @@ resulting log-probabilities in another, and sums per language give the
 cross-entropies. Both ways give the same numbers (up to the order of additions).
 
 A text gets the language of the lowest cross-entropy per character. Rejection is
-calibrated: per language, the cross-entropy that nearly all of a bounded sample
-of its own training texts stay under.
+calibrated: per language, the cross-entropy that nearly all of its own training
+texts stay under, an exact quantile over every one of them. ``fit_identify``
+learns from a table and identifies its rows with one scoring of each text.
 
 Defined cases: a null or empty text, or one without a letter, is `und` with score
 0; without training rows every text is `und`; rows without lang or id are not
@@ -51,9 +52,10 @@ LOCAL_BYTES = 64 << 20
 BLOCK = 1 << 20
 #: Characters that a text's evidence counts for at most in its score.
 EVIDENCE = 40
-#: Training texts of a language that rejection is calibrated on (all if there are fewer), and their share that must pass.
-CALIBRATION_ROWS = 4_000
+#: Share of a language's training texts that must pass. Their cross-entropies are counted by ever finer ranges
+#: until the ranges that matter hold at most CALIBRATION_ROWS; those are then told apart at once.
 PASSING = 0.995
+CALIBRATION_ROWS = 4_000
 UNKNOWN = "und"
 _EDGE = 32
 _letters: np.ndarray | None = None
@@ -188,10 +190,12 @@ class Model:
                 h[a:b, k] = -(total[at[1:]] - total[at[:-1]]) / np.maximum(n[a:b], 1)
         return h, n
 
+    def entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """``cross_entropy``, of a model without languages too."""
+        return self.cross_entropy(texts) if self.langs else (np.zeros((len(texts), 0)), np.zeros(len(texts)))
+
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
-        if not self.langs:
-            return self.decided(np.zeros((len(texts), 0)), np.zeros(len(texts)))
-        return self.decided(*self.cross_entropy(texts))
+        return self.decided(*self.entropy(texts))
 
     def decided(self, h: np.ndarray, n: np.ndarray) -> pd.DataFrame:
         """Decisions from the cross-entropies per language and the characters of each text."""
@@ -222,8 +226,10 @@ def _hash_strings(grams_: pd.Series, width: int) -> np.ndarray:
     return gram_hash(flat.reshape(-1, width))
 
 
-def fit(rows: DataFrame, folder: str, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> Model:
-    """Counts over all training rows of ``rows``; only a model of at most LOCAL_BYTES comes to the driver."""
+def fit(rows: DataFrame, folder: str, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
+        calibrate: bool = True) -> Model:
+    """Counts over all training rows of ``rows``; only a model of at most LOCAL_BYTES comes to the driver. Without
+    ``calibrate`` the model rejects no text that has a letter."""
     train = rows.where(is_train(id_col) & F.col(lang_col).isNotNull())
     level = written(count_grams(train, lang_col, text_col), folder, f"grams-{ORDER}")
     langs = sorted(r[0] for r in level.select("lang").distinct().collect())
@@ -255,8 +261,9 @@ def fit(rows: DataFrame, folder: str, lang_col: str = "lang", text_col: str = "t
         model.gram, model.share = zip(*[_arrays(t, langs) for t in tables.gram])
         model.context, model.back_off = zip(*[_arrays(t, langs) for t in tables.context])
         model.tables = None
-    if langs:
-        model.limit = calibrated(model, train, lang_col, text_col, id_col)
+    if langs and calibrate:
+        own = train.select(F.lit(None).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+        model.limit = calibrated(written(scored(own, model).select("lang", "own"), folder, "calibration"), langs)
     return model
 
 
@@ -342,63 +349,108 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text")})
 
 
-def calibrated(model: Model, train: DataFrame, lang_col: str, text_col: str, id_col: str) -> np.ndarray:
-    """Per language the cross-entropy that PASSING of a bounded sample of its training texts stays under."""
-    size = {r[0]: r[1] for r in train.groupBy(F.col(lang_col)).agg(F.count(F.lit(1))).collect()}
-    rate = F.coalesce(*[F.when(F.col(lang_col) == x, F.lit(CALIBRATION_ROWS / size[x])) for x in model.langs], F.lit(0.0))
-    chosen = train.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < rate * (1 << 20))
-    sample = chosen.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    if model.tables:
-        keyed = written(_keyed(sample.where("text IS NOT NULL")), model.folder, "calibration")
-        of = entropies(keyed.dropDuplicates(["t1", "t2"]).select("t1", "t2", "text"), model, f"{model.folder}/calibrated")
-        own = F.coalesce(*[F.when(F.col("lang") == x, F.col("h")[i]) for i, x in enumerate(model.langs)])
-        got = keyed.select("lang", "t1", "t2").join(of, ["t1", "t2"]).select("lang", own.alias("h")).toPandas()
-    else:
-        shared = train.sparkSession.sparkContext.broadcast(model)
+def _ordered(h: np.ndarray) -> np.ndarray:
+    """Numbers as integers of the same order."""
+    bits = np.ascontiguousarray(h, np.float64).view(np.int64)
+    return np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits)
+
+
+def order_statistics(rows: DataFrame, wanted: list[tuple[str, int]]) -> list[int]:
+    """For each (lang, rank from 0) the value of that rank among the rows (lang, own): every row is counted, by the
+    first 16 bits, then by the next within the ranges that hold a wanted rank."""
+    at = [(lang, None, rank) for lang, rank in wanted]
+    shift, within = 64, rows
+    while shift:
+        if shift < 64:
+            ranges = rows.sparkSession.createDataFrame(sorted({(lang, low) for lang, low, _ in at}), "lang string, low long")
+            within = rows.withColumn("low", F.shiftright("own", shift)).join(F.broadcast(ranges), ["lang", "low"], "left_semi")
+        shift = shift - 16 if shift == 64 or left > CALIBRATION_ROWS else 0
+        found = within.groupBy("lang", F.shiftright("own", shift).alias("low")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+        found = found.sort_values("low")
+        inside, held = [], {}
+        for lang, low, rank in at:
+            part = found[found.lang == lang]
+            if low is not None:
+                part = part[part.low.to_numpy() >> (above - shift) == low]
+            ends = part.n.cumsum().to_numpy()
+            i = int(np.searchsorted(ends, rank, "right"))
+            inside.append((lang, int(part.low.iloc[i]), rank - int(ends[i] - part.n.iloc[i])))
+            held[inside[-1][:2]] = int(part.n.iloc[i])
+        at, above, left = inside, shift, sum(held.values())
+    return [value for _, value, _ in at]
+
+
+def calibrated(scores: DataFrame, langs: list[str]) -> np.ndarray:
+    """Per language the cross-entropy that PASSING of its training texts stay under (between ranks: the
+    straight line), from the rows of ``scored``."""
+    own = scores.where("own IS NOT NULL").select("lang", "own")
+    size = {r[0]: r[1] for r in own.groupBy("lang").agg(F.count(F.lit(1))).collect()}
+    place = {x: PASSING * (n - 1) for x, n in size.items()}
+    wanted = [(x, min(int(p) + i, size[x] - 1)) for x, p in place.items() for i in (0, 1)]
+    value = _ordered(np.array(order_statistics(own, wanted), np.int64).view(np.float64)).view(np.float64) if wanted else []
+    limit = {x: value[2 * i] + (value[2 * i + 1] - value[2 * i]) * (p - int(p)) for i, (x, p) in enumerate(place.items())}
+    return np.array([limit.get(x, np.inf) for x in langs])
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                h, n = shared.value.cross_entropy(pdf.text.tolist())
-                own = np.searchsorted(shared.value.langs, pdf.lang)
-                yield pd.DataFrame({"lang": pdf.lang, "h": h[np.arange(len(h)), own], "n": n})
 
-        got = sample.mapInPandas(run, "lang string, h double, n double").where("n > 0").toPandas()
-    return np.array([got.h[got.lang == x].quantile(PASSING) if (got.lang == x).any() else np.inf for x in model.langs])
+RESULT = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 
 
-RESULT = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """RESULT of rows (doc_id, text, lang), with lang and ``own``: the cross-entropy under the row's own language,
+    as an integer of the same order; null without lang or a letter."""
+    small = Model(model.langs, model.alphabet, [], [], [], [], model.limit)
 
+    def decided(pdf: pd.DataFrame, h: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        out = small.decided(h, n)
+        out.insert(0, "doc_id", pdf.doc_id.to_numpy())
+        out["lang"] = pdf.lang.to_numpy()
+        known = pd.Index(small.langs).get_indexer(pdf.lang)
+        usable = (known >= 0) & (n > 0)
+        out["own"] = pd.array(np.zeros(len(pdf), np.int64), "Int64")
+        if len(small.langs):
+            out["own"] = pd.array(_ordered(h[np.arange(len(h)), np.maximum(known, 0)]), "Int64")
+        out.loc[~usable, "own"] = pd.NA
+        return out
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, lang_pred, score, cross_entropy, rejected."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = RESULT + ", lang string, own long"
     if model.tables and model.langs:
-        return _identified(rows, model)
-    ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+        def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+            h = np.array([[0.0] * len(small.langs) if x is None else list(x) for x in pdf.h], float).reshape(len(pdf), len(small.langs))
+            return decided(pdf, h, pdf.n.fillna(0).to_numpy(float))
+
+        return map_rows(_met(rows, model).select("doc_id", "lang", "n", "h"), decide, schema)
+    ship_package(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                out = shared.value.predict(pdf.text.tolist())
-                out.insert(0, "doc_id", pdf.doc_id.to_numpy())
-                yield out
+                yield decided(pdf, *shared.value.entropy(pdf.text.tolist()))
 
-    return rows.mapInPandas(run, RESULT)
+    return rows.mapInPandas(run, schema)
 
 
-def _identified(rows: DataFrame, model: Model) -> DataFrame:
+def _met(rows: DataFrame, model: Model) -> DataFrame:
+    """The rows with characters and cross-entropies (n, h) of their texts, from a model in tables."""
     folder = shared_folder(rows.sparkSession, "identified")
     keyed = _keyed(rows)
     texts = written(keyed.where("text IS NOT NULL").dropDuplicates(["t1", "t2"]).select("t1", "t2", "text"), folder, "texts")
-    scored = keyed.select("doc_id", "t1", "t2").join(entropies(texts, model, folder).hint("merge"), ["t1", "t2"], "left")
-    small = Model(model.langs, model.alphabet, [], [], [], [], model.limit)
+    return keyed.drop("text").join(entropies(texts, model, folder).hint("merge"), ["t1", "t2"], "left")
 
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = pdf.n.fillna(0).to_numpy(float)
-        h = np.array([[0.0] * len(small.langs) if x is None else list(x) for x in pdf.h], float).reshape(len(pdf), len(small.langs))
-        out = small.decided(h, n)
-        out.insert(0, "doc_id", pdf.doc_id.to_numpy())
-        return out
 
-    return map_rows(scored.select("doc_id", "n", "h"), decide, RESULT)
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, lang_pred, score, cross_entropy, rejected."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(None).cast("string").alias("lang"))
+    return scored(rows, model).drop("lang", "own")
+
+
+def fit_identify(docs: DataFrame, folder: str, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``identify`` of all rows by the model that ``fit`` makes of the training rows among them: each text is
+    scored once, for its language and for the limits."""
+    model = fit(docs, folder, lang_col, text_col, id_col, calibrate=False)
+    lang = F.when(is_train(id_col), F.col(lang_col))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), lang.cast("string").alias("lang"))
+    scores = written(scored(rows, model), folder, "scores")
+    limit = dict(zip(model.langs, calibrated(scores, model.langs).tolist()))
+    over = F.coalesce(*[F.when(F.col("lang_pred") == x, F.col("cross_entropy") > v) for x, v in limit.items()], F.lit(False))
+    return scores.withColumn("rejected", F.col("rejected") | over).drop("lang", "own")

@@ -83,8 +83,7 @@ def op9_line_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = kneser_ney.fit(docs, shared_folder(spark, "language"))
-    found = kneser_ney.identify(docs, model)
+    found = kneser_ney.fit_identify(docs, shared_folder(spark, "language"))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 

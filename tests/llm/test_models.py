@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,3 +257,30 @@ def test_the_labelled_sample_keeps_its_bound_with_repeated_ids(spark):
     labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
     got = quality_rules.labelled_sample(docs, labels.union(labels), "quality", 25).collect()
     assert 10 <= len(got) <= 25 and all(r.text < "t040" and int(r.text[1:]) % 2 == r.label for r in got)
+
+
+def test_rejection_counts_every_training_text(spark, monkeypatch):
+    """The limits are exact quantiles over all training texts, however few the driver sorts at once, and one
+    scoring of each text gives the same decisions."""
+    monkeypatch.setattr(kneser_ney, "CALIBRATION_ROWS", 20)
+    docs = table(spark, SF, "documents")
+    train = docs.where(~held_out() & F.col("lang").isNotNull()).select("lang", "text").toPandas()
+    model = kneser_ney.fit(docs, shared_folder(spark, "t"))
+    h, n = model.cross_entropy(train.text.tolist())
+    for i, lang in enumerate(model.langs):
+        own = h[(train.lang == lang).to_numpy() & (n > 0), i]
+        assert len(own) > 20 and model.limit[i] == pytest.approx(np.quantile(own, kneser_ney.PASSING), rel=1e-9)
+    found = kneser_ney.fit_identify(docs, shared_folder(spark, "t"))
+    decided = [sorted((r.doc_id, r.lang_pred, round(r.score, 6), r.rejected) for r in x.collect())
+               for x in (found, kneser_ney.identify(docs, model))]
+    assert decided[0] == decided[1]
+
+
+def test_order_statistics_are_exact(spark):
+    x = np.random.default_rng(5).normal(size=30_000).round(3) + 0.0
+    keys = kneser_ney._ordered(x)
+    assert (np.argsort(keys, kind="stable") == np.argsort(x, kind="stable")).all()
+    rows = spark.createDataFrame(pd.DataFrame({"lang": np.where(np.arange(len(x)) % 3 == 0, "a", "b"), "own": keys}))
+    sides = {"a": np.sort(keys[::3]), "b": np.sort(np.delete(keys, np.s_[::3]))}
+    wanted = [("a", 0), ("a", 9_950), ("a", 9_999), ("b", 19_900), ("b", 19_901), ("b", 7)]
+    assert kneser_ney.order_statistics(rows, wanted) == [int(sides[lang][rank]) for lang, rank in wanted]
