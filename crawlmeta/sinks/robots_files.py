@@ -56,14 +56,18 @@ def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "par
 
 
 def export_files(df: DataFrame, root: str, text_col: str = "text") -> None:
-    """One UTF-8 file per row at ``<root>/<file_name>`` (same name replaces)."""
+    """One UTF-8 file per row at ``<root>/<file_name>`` (same name replaces).
+    A row stands for a file to be made, so the number of tasks is that of the
+    cluster and not of the bytes read."""
     base = root.rstrip("/")
     from crawlmeta.session import ship_package
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
     def write(rows):
         for r in rows:
             with open_output(f"{base}/{r['file_name']}") as f:
                 f.write((r[text_col] or "").encode("utf-8"))
 
-    df.select("file_name", text_col).foreachPartition(write)
+    df.select("file_name", text_col).repartition(n, "file_name").foreachPartition(write)

@@ -14,6 +14,7 @@ import re
 import time
 import urllib.error
 import urllib.request
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +25,9 @@ from crawlmeta.sources.files import open_input
 
 FETCH_SCHEMA = "url string, status int, body binary, attempts int, error string"
 USER_AGENT = "crawlmeta/0.1"
+# Rows and bytes of bodies of one Arrow batch that a fetch task yields.
+BATCH_ROWS = 256
+BATCH_BYTES = 4 << 20
 
 _next_start = [0.0]
 
@@ -124,10 +128,10 @@ def fetch(urls: DataFrame, url_col: str = "url", allow_local: bool = False, dela
 
     The number of tasks is ``partitions`` (by default the larger of shuffle
     partitions and parallelism), which adaptive execution leaves alone: the
-    few MB of URLs stand for hours of waiting. URLs of one host go to at most
-    ``host_spread`` tasks (1 = one task per host, the polite default); raise
-    it to split a host that holds a large share of the URLs, at the cost of
-    more parallel requests to it."""
+    few MB of URLs stand for hours of waiting. ``http``/``https`` URLs of one host
+    go to at most ``host_spread`` tasks (1 = one task per host, the polite default);
+    raise it to split a host that holds a large share of the URLs, at the cost of
+    more parallel requests to it. Other URLs ask no host and go to any task."""
     if host_spread < 1:
         raise ValueError("host_spread must be >= 1")
     from crawlmeta.session import ship_package
@@ -135,18 +139,31 @@ def fetch(urls: DataFrame, url_col: str = "url", allow_local: bool = False, dela
     ship_package(spark)
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     u = urls.select(F.col(url_col).alias("url")).distinct()
-    host = F.coalesce(F.try_parse_url(F.col("url"), F.lit("HOST")), F.col("url"))
+    asked = F.when(F.col("url").rlike("(?i)^https?:"), F.try_parse_url(F.col("url"), F.lit("HOST")))
+    host = F.coalesce(asked, F.col("url"))
     u = u.repartition(n, host, F.pmod(F.xxhash64("url"), F.lit(host_spread)))
 
     def run(batches):
-        for pdf in batches:
-            for x in pdf["url"]:
-                row = fetch_one(x, allow_local, connect_timeout, read_timeout, delay)
-                yield pd.DataFrame([row], columns=["url", "status", "body", "attempts", "error"])
+        made = (fetch_one(x, allow_local, connect_timeout, read_timeout, delay) for pdf in batches for x in pdf["url"])
+        for rows in _batches(made):
+            yield pd.DataFrame(rows, columns=["url", "status", "body", "attempts", "error"], dtype=object)
 
     return u.mapInPandas(run, FETCH_SCHEMA)
 
 
+def _batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows in lists of at most BATCH_ROWS, each ended by the body that reaches BATCH_BYTES."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[2] or b"")
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def download_to(url: str, dest: str, allow_local: bool = True, delay: float = 0,
                 connect_timeout: float = policy.DEFAULT_CONNECT_TIMEOUT_S,
                 read_timeout: float = policy.DEFAULT_READ_TIMEOUT_S,

@@ -230,6 +230,29 @@ def test_file_fetch(spark, tmp_path):
     assert got[str(p)][0] is None
 
 
+def test_urls_that_ask_no_host_share_no_task(spark):
+    from crawlmeta.sources import fetch
+    urls = spark.range(4_000).selectExpr("concat('gopher://x/', id) as url")
+    got = fetch.fetch(urls, delay=0, partitions=16).selectExpr("spark_partition_id() as p", "attempts").groupBy("p").count().collect()
+    assert len(got) == 16 and max(r["count"] for r in got) < 500
+    per_host = fetch.fetch(urls.selectExpr("replace(url, 'gopher', 'https') as url"), delay=0, partitions=16)
+    assert "pmod(xxhash64(url" in per_host._jdf.queryExecution().optimizedPlan().toString() and not list(fetch._batches(iter([])))
+    sizes = [len(x) for x in fetch._batches(iter([("u", 200, b"x" * n, 1, None) for n in [5] * 600 + [fetch.BATCH_BYTES, 1]]))]
+    assert sizes == [256, 256, 89, 1]
+
+
+def test_exported_files_are_spread_over_tasks(spark, tmp_path):
+    from crawlmeta.sinks import robots_files
+    rows = spark.range(0, 400, 1, 1).selectExpr("concat(id, '.txt') as file_name", "concat(spark_partition_id(), ' ', id) as text")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("export", "export")
+    robots_files.export_files(rows, str(tmp_path / "out"))
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("export") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(os.listdir(tmp_path / "out")) == 400 and max(s.numTasks for s in stages if s) > 1
+    assert (tmp_path / "out" / "7.txt").read_text() == "0 7"
+
+
 def test_streams(spark, tmp_path):
     from crawlmeta.streaming import pipelines
     src = tmp_path / "links"
