@@ -45,6 +45,10 @@ from crawlmeta.sources import local_tree, manifest, tsv, warc
 from crawlmeta.sources.files import count_empty
 
 
+#: Archives that one task fetches, when there are more than the cluster has places for.
+ARCHIVES_PER_TASK = 64
+
+
 class JobFailed(RuntimeError):
     pass
 
@@ -91,7 +95,7 @@ def stage_archives(spark: SparkSession, manifest_path: str, dest_dir: str, skip:
                    fetch_policy: FetchPolicy | None = None) -> Archives:
     """Manifest -> archive URIs (slice applied after the path filter) ->
     each archive streamed into ``dest_dir`` (shared storage) by one task,
-    never held in memory. File names are content hashes, so a retried task
+    never held in memory; of many archives, a task takes about ARCHIVES_PER_TASK. File names are content hashes, so a retried task
     overwrites its own file. The result's path table keeps the manifest path
     of every staged file; archives that could not be fetched are failures of
     the job that reads it, not of this step."""
@@ -121,8 +125,9 @@ def stage_archives(spark: SparkSession, manifest_path: str, dest_dir: str, skip:
                 out.append((archive, path, error))
             yield pd.DataFrame(out, columns=["archive_path", "local_path", "error"])
 
-    n = max(1, paths.count())
-    stored = (paths.select("archive_uri", "archive_path").repartition(n, "archive_uri")
+    n = paths.count()
+    tasks = max(1, min(n, max(4 * spark.sparkContext.defaultParallelism, -(-n // ARCHIVES_PER_TASK))))
+    stored = (paths.select("archive_uri", "archive_path").repartition(tasks, "archive_uri")
               .mapInPandas(store, "archive_path string, local_path string, error string"))
     stored.write.parquet(f"{folder}/stored")
     stored = spark.read.parquet(f"{folder}/stored")
@@ -169,7 +174,7 @@ def _finish(captures: DataFrame, out: str, metrics: dict, per_unit: DataFrame) -
 
 
 def _per_archive(captures: DataFrame) -> DataFrame:
-    return captures.groupBy("archive_path").agg(F.count(F.lit(1)).alias("rows")).select("archive_path")
+    return captures.groupBy("archive_path").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def robots_job(spark: SparkSession, archives: str | Archives, out_table: str, export_root: str | None = None,

@@ -48,6 +48,8 @@ SKIP_BYTES = 1 << 20
 PARTITION_BYTES = 64 << 20
 # Archives of more bytes are read by several tasks.
 SPLIT_BYTES = 256 << 20
+# Tasks that write archives, unless the session has more shuffle partitions.
+WRITE_TASKS = 64
 # Rows of one Arrow batch that a reader yields.
 BATCH_ROWS = 256
 
@@ -367,8 +369,9 @@ def write_warc_files(df: DataFrame, out_dir: str, archive_col: str = "archive_ke
                      files_per_key: int = 1) -> DataFrame:
     """Write rows as ``<archive_key>-<task>.warc.gz`` files under ``out_dir``
     (shared storage on a cluster). Rows are hash-partitioned by key (salted
-    over ``files_per_key`` tasks, so a hot key is written by several tasks),
-    sorted and streamed: each task has one file open and appends one gzip
+    over ``files_per_key`` tasks, so a hot key is written by several tasks) into
+    a number of tasks that does not follow the bytes, since packing short rows
+    takes long; they are sorted and streamed: each task has one file open and appends one gzip
     member per record, so no group is collected in memory. A retried task
     rewrites exactly the files of its first attempt. Columns used:
     target_url, capture_date, body (string or binary), content_encoding.
@@ -403,5 +406,6 @@ def write_warc_files(df: DataFrame, out_dir: str, archive_col: str = "archive_ke
 
     cols = [archive_col, "target_url", "capture_date", "body", "content_encoding"]
     salt = F.pmod(F.xxhash64("target_url"), F.lit(files_per_key))
-    x = df.select(*cols).repartition(archive_col, salt).sortWithinPartitions(archive_col)
+    tasks = max(WRITE_TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    x = df.select(*cols).repartition(tasks, archive_col, salt).sortWithinPartitions(archive_col)
     return x.mapInPandas(write, "archive_path string, records long")

@@ -253,6 +253,43 @@ def test_exported_files_are_spread_over_tasks(spark, tmp_path):
     assert (tmp_path / "out" / "7.txt").read_text() == "0 7"
 
 
+def test_many_archives_share_fetch_tasks(spark, tmp_path):
+    names = [f"file://{tmp_path}/robotstxt/{i}.warc.gz" for i in range(300)]
+    (tmp_path / "m.paths").write_text("".join(f"{n}\n" for n in names))
+    staged = jobs.stage_archives(spark, str(tmp_path / "m.paths"), str(tmp_path / "staged"))
+    assert {r["archive_path"] for r in staged.failed.collect()} == set(names)
+    assert len(staged.failed.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism < 300
+
+
+def test_archives_are_written_by_many_tasks_under_stable_names(spark, tmp_path):
+    rows = spark.range(400).selectExpr("cast(id % 40 as string) as archive_key", "concat('https://h', id, '.ua/robots.txt') as target_url",
+                                       "'2024-08-01T00:00:00Z' as capture_date", "'Sitemap: /s.xml' as body", "'' as content_encoding")
+    names = []
+    for some in (rows, rows.where("archive_key < 5")):  # fewer bytes, same names: a second run replaces the files
+        got = warc.write_warc_files(some, str(tmp_path / "in")).collect()
+        names.append({r["archive_path"] for r in got})
+        assert sum(r["records"] for r in got) == some.count()
+    assert len({n.rsplit("-", 1)[1] for n in names[0]}) > 8 and names[1] < names[0]
+
+
+@pytest.mark.parametrize("snapshots", [False, True])
+def test_rows_by_archive_are_written_by_many_tasks(spark, tmp_path, monkeypatch, snapshots):
+    from crawlmeta.sinks import robots_files
+    from crawlmeta.sinks import snapshots as snapshot_tables
+    monkeypatch.setattr(robots_files, "ROWS_PER_FILE", 50)
+    rows = spark.range(520).selectExpr("if(id < 200, 'large', concat('a', id % 40)) as archive_path", "concat('line ', id) as value")
+    done = rows.groupBy("archive_path").agg(F.count(F.lit(1)).alias("rows"))
+    out = str(tmp_path / "out")
+    robots_files.write_by_archive(rows, out, done, "text", snapshots)
+    read = lambda: snapshot_tables.read(spark, out) if snapshots else spark.read.text(out)
+    parts = [(d, f) for d, _, files in os.walk(out) for f in files if f.startswith("part-") and f.endswith(".txt")]
+    per = sorted(sum(x == d for x, _ in parts) for d in {d for d, _ in parts})
+    assert len(per) == 41 and per[:40] == [1] * 40 and 2 <= per[40] <= 4 and len({f[:10] for _, f in parts}) > 4
+    assert {r["value"] for r in read().select("value").collect()} == {f"line {i}" for i in range(520)}
+    robots_files.write_by_archive(rows.where("value = 'line 201'"), out, done.where("archive_path != 'large'"), "text", snapshots)
+    assert {r["value"] for r in read().select("value").collect()} == {f"line {i}" for i in [*range(200), 201]}
+
+
 def test_streams(spark, tmp_path):
     from crawlmeta.streaming import pipelines
     src = tmp_path / "links"
