@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from crawlmeta.functions.text import safe_path_part, sha256_hex16
 from crawlmeta.functions.url import try_parse_url
+from crawlmeta.session import ship_package
 from crawlmeta.sinks.snapshots import SnapshotTable
-from crawlmeta.sources.files import open_output
+from crawlmeta.sources.files import delete_folder, open_output
+
+#: Captures of an archive whose rows one file may hold.
+ROWS_PER_FILE = 20_000
 
 
 def robots_file_name(url: str, date: str, archive: str):
@@ -32,27 +36,35 @@ def with_file_name(captures: DataFrame) -> DataFrame:
 
 def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "parquet", snapshots: bool = False) -> None:
     """Write rows under ``archive_file=<name>/``: a second run replaces the
-    archives it has processed (``done``: archive_path, one row each) and no
-    others; archives that have no rows now lose their old ones. Rows are
-    rebalanced by archive, so files have the advisory size and a large
-    archive is written by several tasks."""
+    archives it has processed (``done``: archive_path and its captures, ``rows``)
+    and no others; archives that have no rows now lose their old ones, by tasks
+    too. The files of many small archives take long and few bytes, so the number
+    of tasks follows the captures and the cluster; an archive of more than
+    ROWS_PER_FILE captures is written by several tasks."""
     spark = df.sparkSession
-    named = df.withColumn("archive_file", archive_file_name("archive_path"))
+    held = done.agg(F.sum("rows").alias("rows")).first()["rows"] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, -(-held // ROWS_PER_FILE))
+    large = done.where(F.col("rows") > ROWS_PER_FILE).select("archive_path", F.ceil(F.col("rows") / ROWS_PER_FILE).alias("files"))
+    dealt = df.join(F.broadcast(large), "archive_path", "left").repartition(
+        tasks, "archive_path", F.when(F.col("files") > 1, F.pmod(F.xxhash64(*df.columns), "files")).otherwise(0)).select(*df.columns)
+    named = dealt.withColumn("archive_file", archive_file_name("archive_path"))
     if form == "text":
         named = named.select("archive_file", "value")
     if snapshots:
         SnapshotTable(spark, path, ["archive_file"], form).replace(
-            named, done.select(archive_file_name("archive_path").alias("archive_file")))
+            named, done.select(archive_file_name("archive_path").alias("archive_file")), dealt=True)
         return
-    (named.hint("rebalance", "archive_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("archive_file").format(form).save(path))
-    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     empty = done.select("archive_path").join(df.select("archive_path").distinct(), "archive_path", "left_anti")
-    for r in empty.select(archive_file_name("archive_path").alias("f")).toLocalIterator():
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old, f"archive_file={r['f']}")
-        if fs.exists(folder):
-            fs.delete(folder, True)
+    base = path.rstrip("/")
+    ship_package(spark)
+
+    def delete(rows):
+        for r in rows:
+            delete_folder(f"{base}/archive_file={r['f']}")
+
+    empty.select(archive_file_name("archive_path").alias("f")).repartition(tasks, "f").foreachPartition(delete)
 
 
 def export_files(df: DataFrame, root: str, text_col: str = "text") -> None:
@@ -60,7 +72,6 @@ def export_files(df: DataFrame, root: str, text_col: str = "text") -> None:
     A row stands for a file to be made, so the number of tasks is that of the
     cluster and not of the bytes read."""
     base = root.rstrip("/")
-    from crawlmeta.session import ship_package
     spark = df.sparkSession
     ship_package(spark)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)

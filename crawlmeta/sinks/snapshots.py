@@ -109,10 +109,11 @@ class SnapshotTable:
             on = on & (named(a, k) == named(b, k))
         return on
 
-    def stage(self, df: DataFrame) -> str:
-        """Write the rows where no reader looks; the id of the commit."""
+    def stage(self, df: DataFrame, dealt: bool = False) -> str:
+        """Write the rows where no reader looks; the id of the commit. Rows are
+        rebalanced by the keys, unless they are ``dealt`` to tasks already."""
         commit = uuid.uuid4().hex
-        (df.hint("rebalance", *self.keys).write.partitionBy(*self.keys).format(self.form)
+        ((df if dealt else df.hint("rebalance", *self.keys)).write.partitionBy(*self.keys).format(self.form)
          .save(f"{self.path}/data/commit={commit}"))
         return commit
 
@@ -147,8 +148,8 @@ class SnapshotTable:
                 continue
         raise VersionTaken(f"no free version after {_TRIES} tries")
 
-    def replace(self, df: DataFrame, done: DataFrame | None = None) -> int:
-        return self.commit(self.stage(df), df.schema, done)
+    def replace(self, df: DataFrame, done: DataFrame | None = None, dealt: bool = False) -> int:
+        return self.commit(self.stage(df, dealt), df.schema, done)
 
     # --- reading
 

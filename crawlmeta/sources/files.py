@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import glob
 import os
+import shutil
 from urllib.parse import unquote
 
 
@@ -68,6 +69,18 @@ def open_output(uri: str):
     return filesystem.open_output_stream(path)
 
 
+def delete_folder(uri: str) -> None:
+    """The folder and all in it, if it is there."""
+    filesystem, path = _fs_and_path(uri)
+    if filesystem is None:
+        if os.path.isdir(path):
+            shutil.rmtree(path)
+        return
+    from pyarrow import fs
+    if filesystem.get_file_info(path).type == fs.FileType.Directory:
+        filesystem.delete_dir(path)
+
+
 def list_files(spec: str, suffixes: tuple[str, ...] = ()) -> list[str]:
     """Comma-separated files, folders (recursive) or globs -> sorted files."""
     out: list[str] = []
