@@ -43,7 +43,8 @@ def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "par
     ROWS_PER_FILE captures is written by several tasks."""
     spark = df.sparkSession
     held = done.agg(F.sum("rows").alias("rows")).first()["rows"] or 0
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, -(-held // ROWS_PER_FILE))
+    places = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    tasks = max(places, -(-held // ROWS_PER_FILE))
     large = done.where(F.col("rows") > ROWS_PER_FILE).select("archive_path", F.ceil(F.col("rows") / ROWS_PER_FILE).alias("files"))
     dealt = df.join(F.broadcast(large), "archive_path", "left").repartition(
         tasks, "archive_path", F.when(F.col("files") > 1, F.pmod(F.xxhash64(*df.columns), "files")).otherwise(0)).select(*df.columns)
@@ -64,7 +65,7 @@ def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "par
         for r in rows:
             delete_folder(f"{base}/archive_file={r['f']}")
 
-    empty.select(archive_file_name("archive_path").alias("f")).repartition(tasks, "f").foreachPartition(delete)
+    empty.select(archive_file_name("archive_path").alias("f")).repartition(places, "f").foreachPartition(delete)
 
 
 def export_files(df: DataFrame, root: str, text_col: str = "text") -> None:

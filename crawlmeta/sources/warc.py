@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -50,6 +51,12 @@ PARTITION_BYTES = 64 << 20
 SPLIT_BYTES = 256 << 20
 # Tasks that write archives, unless the session has more shuffle partitions.
 WRITE_TASKS = 64
+# Bytes read from an archive at once, and fed of them to a gzip member at once.
+READ_BYTES = 64 << 10
+FEED_BYTES = 4 << 10
+# Payloads of at most so many bytes are packed with small tables.
+SHORT_BYTES = 4 << 10
+_DAMAGE = (OSError, EOFError, ValueError, zlib.error)
 # Rows of one Arrow batch that a reader yields.
 BATCH_ROWS = 256
 
@@ -64,12 +71,71 @@ def maybe_robots_target(url: str | None) -> bool:
     return "robots.txt" in low or "%" in low
 
 
+def _gunzip(data: bytes) -> bytes:
+    """``gzip.decompress``, sooner for the usual single member."""
+    try:
+        inflate = zlib.decompressobj(31)
+        out = inflate.decompress(data)
+        if inflate.eof and not inflate.unused_data:
+            return out
+    except zlib.error:
+        pass
+    return gzip.decompress(data)
+
+
+def _gzip(data: bytes) -> bytes:
+    """One gzip member; the tables for a long text would cost a short one more than its packing."""
+    if len(data) > SHORT_BYTES:
+        return gzip.compress(data, mtime=0)
+    deflate = zlib.compressobj(6, zlib.DEFLATED, 31, 4)
+    return deflate.compress(data) + deflate.flush()
+
+
+class _Inflated(io.RawIOBase):
+    """The bytes of a file of gzip members and nothing else; anything else in it is an error."""
+
+    def __init__(self, raw):
+        self._raw, self._held, self._at, self._inflate = raw, b"", 0, None
+
+    def readable(self) -> bool:
+        return True
+
+    def _more(self) -> None:
+        self._held, self._at = self._held[self._at:] + self._raw.read(READ_BYTES), 0
+
+    def readinto(self, buffer) -> int:
+        while True:
+            if self._inflate is None:
+                if len(self._held) - self._at < 3:
+                    self._more()
+                if not self._held:
+                    return 0
+                if self._held[self._at:self._at + 3] != b"\x1f\x8b\x08":
+                    raise OSError("not a gzip member")
+                self._inflate = zlib.decompressobj(31)
+            data = self._inflate.unconsumed_tail
+            if not data:
+                if self._at == len(self._held):
+                    self._more()
+                data = self._held[self._at:self._at + FEED_BYTES]
+                if not data:
+                    raise EOFError("a gzip member ends early")
+                self._at += len(data)
+            out = self._inflate.decompress(data, len(buffer))
+            if self._inflate.eof:  # what was fed of the next member is fed again
+                self._at -= len(self._inflate.unused_data)
+                self._inflate = None
+            if out:
+                buffer[:len(out)] = out
+                return len(out)
+
+
 def decode_content(body: bytes, content_encoding: str | None) -> bytes:
     """Undo ``Content-Encoding`` layers, last applied first."""
     codings = [c.strip().lower() for c in (content_encoding or "").split(",")]
     for c in reversed([c for c in codings if c]):
         if c in ("gzip", "x-gzip"):
-            body = gzip.decompress(body)
+            body = _gunzip(body)
         elif c == "deflate":
             body = zlib.decompress(body)
     return body
@@ -78,7 +144,7 @@ def decode_content(body: bytes, content_encoding: str | None) -> bytes:
 def encode_content(body: bytes, content_encoding: str | None) -> bytes:
     for c in [c.strip().lower() for c in (content_encoding or "").split(",") if c.strip()]:
         if c in ("gzip", "x-gzip"):
-            body = gzip.compress(body)
+            body = _gzip(body)
         elif c == "deflate":
             body = zlib.compress(body)
     return body
@@ -215,19 +281,32 @@ def read_records(path: str, record_types: tuple[str, ...] = ("response",), robot
     """Rows of one archive file; ``archive`` is its name in the rows (the
     manifest path of a staged file), the file's path by default."""
     archive = archive or path
+    done = 0
+    if path.endswith(".gz"):
+        try:
+            with open_input(path) as raw:
+                for row in _stream_rows(io.BufferedReader(_Inflated(raw), READ_BYTES), record_types, robots_only, archive):
+                    yield row
+                    done += 1
+            return
+        except _DAMAGE:
+            pass  # padded or damaged: read again by GzipFile, which says what is wrong, and go on after the rows given
     try:
         raw = open_input(path)
-        stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if path.endswith(".gz") else io.BufferedReader(raw)
-        with stream:
-            for h, n in record_headers(stream):
-                if is_wanted(h, record_types, robots_only):
-                    yield record_row(h, read_content(stream, n), archive)
-                else:
-                    skip_content(stream, n)
-    except (OSError, EOFError, ValueError, zlib.error) as ex:
+        with io.BufferedReader(gzip.GzipFile(fileobj=raw)) if path.endswith(".gz") else io.BufferedReader(raw) as stream:
+            yield from itertools.islice(_stream_rows(stream, record_types, robots_only, archive), done, None)
+    except _DAMAGE as ex:
         yield error_row(archive, ex)
 
 
+def _stream_rows(stream: io.BufferedReader, record_types: tuple[str, ...], robots_only: bool, archive: str) -> Iterator[tuple]:
+    for h, n in record_headers(stream):
+        if is_wanted(h, record_types, robots_only):
+            yield record_row(h, read_content(stream, n), archive)
+        else:
+            skip_content(stream, n)
+
+
 def staged_paths(folder: str) -> list[tuple[str, str]]:
     """(file, archive name) lines of a path table, in order."""
     out = []
@@ -253,8 +332,6 @@ def packed(archives: list[tuple[str, str]], tasks: int, size: dict[str, int] | N
 
 def read_packed(archives: list[tuple[str, str]], types: tuple[str, ...], robots_only: bool):
     """Arrow batches of the rows of some archives, one after the other."""
-    import itertools
-
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     schema = to_arrow_schema(WARC_SCHEMA)
@@ -334,7 +411,7 @@ def read_warc(spark: SparkSession, path: str | None = None, robots_only: bool =
 def _record(headers: list[tuple[str, str]], payload: bytes) -> bytes:
     head = "WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers)
     head += f"Content-Length: {len(payload)}\r\n\r\n"
-    return gzip.compress(head.encode("utf-8") + payload + b"\r\n\r\n")
+    return _gzip(head.encode("utf-8") + payload + b"\r\n\r\n")
 
 
 def _records_bytes(rows: list[tuple[str, str, bytes, str]], first: bool = True, with_noise: bool = True) -> bytes:

@@ -253,6 +253,33 @@ def test_exported_files_are_spread_over_tasks(spark, tmp_path):
     assert (tmp_path / "out" / "7.txt").read_text() == "0 7"
 
 
+def test_archives_are_read_without_gzipfile_unless_they_are_odd(tmp_path, monkeypatch):
+    import random
+
+    def plain(path):
+        with gzip.open(path) as f:
+            return list(warc._stream_rows(f, ("response",), True, path))
+
+    draw = random.Random(3)
+    rows = [(f"https://h{i}.ua/robots.txt", "2024-08-01T00:00:00Z", draw.randbytes(draw.choice([0, 30, 5_000, 300_000])), ("", "gzip", "!gzip", "deflate")[i % 4])
+            for i in range(60)]
+    good = warc.warc_bytes(rows)
+    path = str(tmp_path / "a.warc.gz")
+    (tmp_path / "a.warc.gz").write_bytes(good)
+    want = plain(path)
+    assert len(want) == 60 and all(w[5] == r[2] for w, r in zip(want, rows) if r[3] != "!gzip")
+    with monkeypatch.context() as m:
+        m.setattr(warc.gzip, "GzipFile", None)  # not opened for a good archive
+        m.setattr(warc, "_gunzip", gzip.decompress)
+        assert list(warc.read_records(path)) == want
+    for data, error in ((good + bytes(1000), None), (good + b"tail", "BadGzipFile"), (good[:-5], "EOFError"), (good[:len(good) // 2], "EOFError"),
+                        (good[:-6] + b"x" + good[-5:], "BadGzipFile")):
+        (tmp_path / "a.warc.gz").write_bytes(data)
+        got = list(warc.read_records(path))
+        rest = got if error is None else got[:-1]
+        assert rest == want[:len(rest)] and len(rest) >= 20 and (error is None or got[-1][6].startswith(error))
+
+
 def test_many_archives_share_fetch_tasks(spark, tmp_path):
     names = [f"file://{tmp_path}/robotstxt/{i}.warc.gz" for i in range(300)]
     (tmp_path / "m.paths").write_text("".join(f"{n}\n" for n in names))
