@@ -217,8 +217,10 @@ def _agreeing(sig: np.ndarray, one: np.ndarray) -> np.ndarray:
         return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56)
 
 
-def _run_links(classes: DataFrame, threshold: float) -> DataFrame:
-    """Spanning links (u, v) among all rows of each run that is longer than the window."""
+def _run_links(classes: DataFrame, threshold: float, folder: str) -> DataFrame:
+    """Spanning links (u, v) among all rows of each run that is longer than the window.
+    The runs are a table of their own: a plan of many shuffles is planned anew in the driver
+    after each of them."""
     least = int((threshold - SLACK * (threshold * (1 - threshold) / COLUMNS) ** 0.5) * COLUMNS)
     step = COLUMNS // ORDERS
     places = classes.select("rep", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"), "sig").select(
@@ -226,6 +228,7 @@ def _run_links(classes: DataFrame, threshold: float) -> DataFrame:
         F.expr(f"substring(concat(sig, sig), o * {step} + 1, {DEPTH})").alias("prefix"))
     runs = places.groupBy("o", "prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEIGHBOURS + 1).select(
         "o", "prefix", F.ceil(F.col("n") / RUN_ROWS).cast("int").alias("parts"))
+    runs = written(runs, folder, "runs")
     members = (places.join(runs, ["o", "prefix"])
                .withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)"))
                .join(classes.select("rep", "n_shingles", "sig"), "rep"))
@@ -255,15 +258,16 @@ def _run_links(classes: DataFrame, threshold: float) -> DataFrame:
     return spread.groupBy("o", "prefix", "task").applyInPandas(compare, "u long, v long")
 
 
-def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int) -> DataFrame:
-    """Spanning links (u, v) of the confirmed pairs of each region (rep, region, n_shingles)."""
+def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
+    """Spanning links (u, v) of the confirmed pairs of each region (rep, region, n_shingles). Sizes,
+    their totals and the tasks are tables of their own, like the runs."""
     t = percent / 100
     need = (t - SLACK * (t * (1 - t) / COLUMNS) ** 0.5) * COLUMNS
     # sizes of two sets that can be linked lie in the same step or in adjacent
     # ones; a step of a region is dealt into parts of a bounded total
     step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1 / t))).cast("int")
-    sized = regions.withColumn("step", step)
-    per_step = sized.groupBy("region", "step").agg(F.sum("n_shingles").alias("total"))
+    sized = written(regions.withColumn("step", step), folder, "sized")
+    per_step = written(sized.groupBy("region", "step").agg(F.sum("n_shingles").alias("total")), folder, "per-step")
     dealt = (sized.join(per_step, ["region", "step"])
              .withColumn("parts", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int"))
              .withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)")))
@@ -282,6 +286,7 @@ def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int) ->
     up = F.expr("case when above is not null then transform(sequence(0, above - 1), q -> named_struct('s', step + 1, 'k', 1, 'a', q, 'b', part)) else array() end")
     one = F.expr("array(named_struct('s', 0, 'k', 0, 'a', 0, 'b', 0))")
     tasks = dealt.select("rep", "region", F.when(whole, one).otherwise(F.concat(same, down, up)).alias("tasks"))
+    tasks = written(tasks, folder, "tasks")
 
     def with_set(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = list(shingle_sets(to_bytes(pdf.text), width))
@@ -330,13 +335,15 @@ def near_dedup(docs: DataFrame, width: int = 3, percent: int = 85, id_col: str =
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = written(classes, folder, "classes")
     named = classes.where("rep IS NOT NULL")
-    links = _neighbours(named, percent / 100, folder).union(_run_links(named, percent / 100))
+    links = written(_neighbours(named, percent / 100, folder), folder, "in-window").union(
+        written(_run_links(named, percent / 100, folder), folder, "in-runs"))
     near = connected_components(links, f"{folder}/near")
     near = written(near, folder, "regions")
     member = near.select(F.col("node").alias("rep"), F.col("component").alias("region")).union(
         near.select(F.col("component").alias("rep"), F.col("component").alias("region")).distinct())
     sizes = named.groupBy("rep").agg(F.max("n_shingles").alias("n_shingles"))
-    linked = connected_components(_confirmed(rows, member.join(sizes, "rep"), width, percent), f"{folder}/linked")
+    confirmed = written(_confirmed(rows, member.join(sizes, "rep"), width, percent, folder), folder, "confirmed")
+    linked = connected_components(confirmed, f"{folder}/linked")
     of_class = classes.select(*key, "rep").join(
         linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         *key, F.coalesce("component", "rep").alias("of_set"))

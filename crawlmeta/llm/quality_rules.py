@@ -146,6 +146,15 @@ def grow_tree(x: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, depth: i
     return nodes
 
 
+def largest_singular(z: np.ndarray, rows: int = 1024) -> np.float32:
+    """The largest singular value of a tall matrix, from products of some rows at a time in double precision."""
+    products = np.zeros((z.shape[1], z.shape[1]))
+    for a in range(0, len(z), rows):
+        some = z[a:a + rows].astype(float)
+        products += some.T @ some
+    return np.float32(max(0.0, np.linalg.eigvalsh(products)[-1]) ** 0.5)
+
+
 class RuleEnsemble:
     """Rules ((statistic, threshold, above), ...) with weights, and an intercept."""
 
@@ -176,15 +185,19 @@ class RuleEnsemble:
                     score += 0.3 * value * cls._holds(binned, path)
         if not paths:
             return cls(base, [])
-        keys = list(paths)
-        r = np.column_stack([cls._holds(binned, k) for k in keys]).astype(np.float32)
-        r, kept = np.unique(r, axis=1, return_index=True)
-        keys = [keys[i] for i in kept]
+        # Rules that hold for the same rows count once; a rule's rows are kept as bits until then.
+        held = {}
+        for k in paths:
+            held.setdefault(np.packbits(cls._holds(binned, k)).tobytes(), k)
+        keys = [held[b] for b in sorted(held)]
+        z = np.empty((len(y), len(keys)), np.float32, order="F")
+        for i, bits in enumerate(sorted(held)):
+            z[:, i] = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(y))
         # L1-penalised logistic regression by accelerated proximal steps
-        mean = r.mean(0)
-        z = r - mean
-        size = 4.0 / (np.linalg.norm(z, 2) ** 2 / len(y) + 1)
-        w = v = np.zeros(r.shape[1])
+        mean = z.mean(0)
+        z -= mean
+        size = 4.0 / (largest_singular(z) ** 2 / len(y) + 1)
+        w = v = np.zeros(z.shape[1])
         b, momentum = base, 1.0
         for _ in range(steps):
             p = 1 / (1 + np.exp(-(z @ v.astype(np.float32) + b)))
