@@ -185,7 +185,7 @@ def robots_job(spark: SparkSession, archives: str | Archives, out_table: str, ex
         "file_name", "archive_path", "capture_date", "target_url", "text")
     robots_files.write_by_archive(table, out_table, _per_archive(found), snapshots=snapshots)
     if export_root:
-        saved = snapshot_tables.read(spark, out_table) if snapshots else spark.read.parquet(out_table)
+        saved = snapshot_tables.read(spark, out_table) if snapshots else robots_files.read_by_archive(spark, out_table)
         robots_files.export_files(saved, export_root)
     per_unit = metrics_op.archive_results(caps)
     counts = metrics_op.totals(per_unit, "parsed_files", "rejected_files")

@@ -581,7 +581,7 @@ def q_robots_job_rerun(spark, sf_dir):
     even = _archived(spark, rows.where("key % 2 = 0"), f"{base}/even")
     for src in (odd, even, odd):
         jobs.robots_job(spark, src, f"{base}/table")
-    return spark.read.parquet(f"{base}/table").select("target_url", "capture_date", F.col("text").alias("body"))
+    return robots_files.read_by_archive(spark, f"{base}/table").select("target_url", "capture_date", F.col("text").alias("body"))
 
 
 def q_sitemaps_job_rerun(spark, sf_dir):
@@ -591,7 +591,7 @@ def q_sitemaps_job_rerun(spark, sf_dir):
     changed = rows.withColumn("body", F.when(F.col("key") % 2 == 1, "<html></html>").otherwise(F.col("body")))
     jobs.sitemaps_job(spark, _archived(spark, changed, f"{base}/in"), f"{base}/out")
     f = F.split("value", "\t")
-    return spark.read.text(f"{base}/out").select(f[1].alias("capture_date"), f[2].alias("robots_url"), f[3].alias("sitemap_url"))
+    return robots_files.read_by_archive(spark, f"{base}/out", "text").select(f[1].alias("capture_date"), f[2].alias("robots_url"), f[3].alias("sitemap_url"))
 
 
 def q_filter_job_rerun(spark, sf_dir):
@@ -639,7 +639,7 @@ def q_manifest_sitemaps_job(spark, sf_dir):
     staged = jobs.stage_archives(spark, f"{base}/manifest", f"{base}/staged")
     jobs.sitemaps_job(spark, staged, f"{base}/out")
     f = F.split("value", "\t")
-    return spark.read.text(f"{base}/out").select(
+    return robots_files.read_by_archive(spark, f"{base}/out", "text").select(
         F.regexp_extract(f[0], "/robotstxt/([0-9]+)-[0-9]+[.]warc[.]gz$", 1).alias("archive_key"),
         f[1].alias("capture_date"), f[2].alias("robots_url"), f[3].alias("sitemap_url"))
 
@@ -660,7 +660,7 @@ def q_job_failures(spark, sf_dir):
     listed = spark.read.text(f"{base}/out-failures").select(
         F.regexp_extract("value", "(https://o[0-9]+[.]example[.]ua/robots[.]txt): Body decode failed", 1).alias("robots_url"),
         F.lit("failed").alias("outcome"))
-    links = spark.read.text(f"{base}/out").select(F.split("value", "\t")[2].alias("robots_url"), F.lit("link").alias("outcome"))
+    links = robots_files.read_by_archive(spark, f"{base}/out", "text").select(F.split("value", "\t")[2].alias("robots_url"), F.lit("link").alias("outcome"))
     return listed.unionByName(links)
 
 

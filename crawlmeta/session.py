@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +72,22 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def dealt_listing(spark: SparkSession) -> Iterator[None]:
+    """Reads of tables with many folders that are made inside list the folders
+    by as many tasks as the cluster has places for. Spark's own number is a task
+    per folder, up to 10,000, each of which takes longer to start than to run."""
+    before = int(spark.conf.get(_LISTING))
+    spark.conf.set(_LISTING, min(before, 4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def _sql_literal(v) -> str:
     if v is None:
         return "NULL"

@@ -5,12 +5,12 @@ that layout from the table when needed)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlmeta.functions.text import safe_path_part, sha256_hex16
 from crawlmeta.functions.url import try_parse_url
-from crawlmeta.session import ship_package
+from crawlmeta.session import dealt_listing, ship_package
 from crawlmeta.sinks.snapshots import SnapshotTable
 from crawlmeta.sources.files import delete_folder, open_output
 
@@ -68,6 +68,12 @@ def write_by_archive(df: DataFrame, path: str, done: DataFrame, form: str = "par
     empty.select(archive_file_name("archive_path").alias("f")).repartition(places, "f").foreachPartition(delete)
 
 
+def read_by_archive(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """The rows of ``write_by_archive`` without ``snapshots``."""
+    with dealt_listing(spark):
+        return spark.read.format(form).load(path)
+
+
 def export_files(df: DataFrame, root: str, text_col: str = "text") -> None:
     """One UTF-8 file per row at ``<root>/<file_name>`` (same name replaces).
     A row stands for a file to be made, so the number of tasks is that of the

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlmeta.session import dealt_listing
+
 #: A manifest is broadcast into the scan up to so many partitions.
 BROADCAST_PARTITIONS = 200_000
 _TRIES = 50
@@ -164,8 +166,9 @@ class SnapshotTable:
         with_commit = T.StructType([*schema.fields, T.StructField("commit", T.StringType())])
 
         def scan(commits: list[str]) -> DataFrame:
-            return (self.spark.read.schema(with_commit).format(entry["form"]).option("basePath", f"{self.path}/data")
-                    .load([f"{self.path}/data/commit={c}" for c in commits]))
+            with dealt_listing(self.spark):
+                return (self.spark.read.schema(with_commit).format(entry["form"]).option("basePath", f"{self.path}/data")
+                        .load([f"{self.path}/data/commit={c}" for c in commits]))
 
         names = [F.col(f"`{f.name}`") for f in schema.fields]
         cut = sorted(c for c, n in entry["commits"].items() if n != entry["written"][c])
