@@ -217,7 +217,7 @@ def _agreeing(sig: np.ndarray, one: np.ndarray) -> np.ndarray:
         return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56)
 
 
-def _run_links(classes: DataFrame, threshold: float, folder: str) -> DataFrame:
+def _run_links(classes: DataFrame, threshold: float) -> DataFrame:
     """Spanning links (u, v) among all rows of each run that is longer than the window.
     The runs are a table of their own: a plan of many shuffles is planned anew in the driver
     after each of them."""
@@ -228,7 +228,7 @@ def _run_links(classes: DataFrame, threshold: float, folder: str) -> DataFrame:
         F.expr(f"substring(concat(sig, sig), o * {step} + 1, {DEPTH})").alias("prefix"))
     runs = places.groupBy("o", "prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEIGHBOURS + 1).select(
         "o", "prefix", F.ceil(F.col("n") / RUN_ROWS).cast("int").alias("parts"))
-    runs = written(runs, folder, "runs")
+    runs = written(runs, shared_folder(classes.sparkSession, "runs"), "runs")
     members = (places.join(runs, ["o", "prefix"])
                .withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)"))
                .join(classes.select("rep", "n_shingles", "sig"), "rep"))
@@ -258,10 +258,10 @@ def _run_links(classes: DataFrame, threshold: float, folder: str) -> DataFrame:
     return spread.groupBy("o", "prefix", "task").applyInPandas(compare, "u long, v long")
 
 
-def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
+def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int) -> DataFrame:
     """Spanning links (u, v) of the confirmed pairs of each region (rep, region, n_shingles). Sizes,
     their totals and the tasks are tables of their own, like the runs."""
-    t = percent / 100
+    t, folder = percent / 100, shared_folder(docs.sparkSession, "confirmed")
     need = (t - SLACK * (t * (1 - t) / COLUMNS) ** 0.5) * COLUMNS
     # sizes of two sets that can be linked lie in the same step or in adjacent
     # ones; a step of a region is dealt into parts of a bounded total
@@ -336,13 +336,13 @@ def near_dedup(docs: DataFrame, width: int = 3, percent: int = 85, id_col: str =
     classes = written(classes, folder, "classes")
     named = classes.where("rep IS NOT NULL")
     links = written(_neighbours(named, percent / 100, folder), folder, "in-window").union(
-        written(_run_links(named, percent / 100, folder), folder, "in-runs"))
+        written(_run_links(named, percent / 100), folder, "in-runs"))
     near = connected_components(links, f"{folder}/near")
     near = written(near, folder, "regions")
     member = near.select(F.col("node").alias("rep"), F.col("component").alias("region")).union(
         near.select(F.col("component").alias("rep"), F.col("component").alias("region")).distinct())
     sizes = named.groupBy("rep").agg(F.max("n_shingles").alias("n_shingles"))
-    confirmed = written(_confirmed(rows, member.join(sizes, "rep"), width, percent, folder), folder, "confirmed")
+    confirmed = written(_confirmed(rows, member.join(sizes, "rep"), width, percent), folder, "confirmed")
     linked = connected_components(confirmed, f"{folder}/linked")
     of_class = classes.select(*key, "rep").join(
         linked.withColumnRenamed("node", "rep"), "rep", "left").select(
