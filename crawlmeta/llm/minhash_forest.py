@@ -18,7 +18,8 @@
    set sizes can reach the threshold is one task's work. There every pair whose
    signatures come near the threshold is confirmed on the full sets, unless both
    are already connected by confirmed links. No pair is capped: a region larger
-   than one block gets more pairs of blocks.
+   than one block gets more pairs of blocks. Texts that lie in no region are told
+   by a table of bounded size and stay where they are read.
 4. Components of the confirmed links give the least reachable id.
 
 A pair at the threshold shares the least prefix in some order with probability
@@ -62,6 +63,8 @@ TASK_ROWS = 500_000
 RUN_ROWS = 1 << 14
 #: Shingles of one block of a region.
 BLOCK_SHINGLES = 1 << 21
+#: Words of 64 bits of the table by which tasks tell the texts that no region holds.
+MARK_WORDS = 1 << 18
 #: Standard deviations of the signature's estimate that a pair may fall short of the threshold.
 SLACK = 4.5
 _RNG = np.random.default_rng(20)
@@ -258,6 +261,19 @@ def _run_links(classes: DataFrame, threshold: float) -> DataFrame:
     return spread.groupBy("o", "prefix", "task").applyInPandas(compare, "u long, v long")
 
 
+def _marked(texts: DataFrame, ids: DataFrame, folder: str) -> DataFrame:
+    """All rows of ``texts`` whose ``rep`` is in ``ids``, and a few others: every id sets two bits of
+    one word in a table of at most MARK_WORDS words, which each task holds, so that the other texts
+    need not move to meet the ids. With many more ids than words more others pass, none is lost."""
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("h", F.xxhash64("rep")).withColumn("word", F.expr(f"pmod(shiftright(h, 12), {MARK_WORDS}L)")).withColumn(
+            "bits", F.expr("shiftleft(1L, cast(pmod(h, 64) as int)) | shiftleft(1L, cast(pmod(shiftright(h, 6), 64) as int))"))
+
+    marks = written(placed(ids.select("rep")).groupBy("word").agg(F.bit_or("bits").alias("marks")), folder, "marks")
+    return placed(texts).join(F.broadcast(marks), "word").where("(marks & bits) = bits").select(*texts.columns)
+
+
 def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int) -> DataFrame:
     """Spanning links (u, v) of the confirmed pairs of each region (rep, region, n_shingles). Sizes,
     their totals and the tasks are tables of their own, like the runs."""
@@ -294,7 +310,7 @@ def _confirmed(docs: DataFrame, regions: DataFrame, width: int, percent: int) ->
                              "shingles": [s.tobytes() for s in sets]})
 
     texts = docs.select(F.col("doc_id").alias("rep"), "text").where("rep IS NOT NULL")
-    sets = map_rows(texts.join(tasks, "rep"), with_set,
+    sets = map_rows(_marked(texts, tasks, folder).join(tasks, "rep"), with_set,
                     "rep long, region long, tasks array<struct<s int, k int, a int, b int>>, shingles binary")
     spread = sets.select("rep", "region", F.explode("tasks").alias("task"), "shingles")
 
